@@ -738,9 +738,9 @@ ORACLES["repeat_phrases"] = (
 )
 ORACLES["word_dropout"] = f"""with w as (select doc_id, text, {draw('drop', 'doc_id')} as h,
         list_filter(regexp_split_to_array(text, '\\s'), lambda x: x <> '') as w from documents),
-    d as (select *, (h // 100) % len(w) as at from w)
+    d as (select *, (h // 100) % len(w) as gone from w)
     select doc_id, case when len(w) < 3 then text
-        when h % 100 < {K.WORD_DROP_PERCENT} then array_to_string(list_concat(w[1:at], w[at + 2:]), ' ')
+        when h % 100 < {K.WORD_DROP_PERCENT} then array_to_string(list_concat(w[1:gone], w[gone + 2:len(w)]), ' ')
         else array_to_string(w, ' ') end as text from d"""
 TEST_SET = f"""rows as (
     select 'g' || item_id as row_id, 'general' as category, text as input from benchmark

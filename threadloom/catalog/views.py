@@ -135,8 +135,12 @@ def _documents(spark: SparkSession, sf_dir: str, tag: str) -> DataFrame:
 
 
 def _project(df: DataFrame, body: str) -> DataFrame:
-    """Apply a shared select body."""
-    return df.sparkSession.sql(f"select {body} from {{rows}}", rows=df)
+    """Apply a shared select body.
+
+    The generator keeps the view opaque, as a scan would be: filters on a column are not
+    rewritten into many copies of the expression that makes it.
+    """
+    return df.selectExpr(f"inline_outer(array(struct({body})))")
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,9 +21,15 @@ def word_column(normalised: Column, stem: bool = False, stop_words=K.STOP_WORDS)
     return porter.stem_tokens(words) if stem else words
 
 
+def exploded(df: DataFrame, terms: Column) -> DataFrame:
+    """One row per term. The outer form keeps the optimizer from evaluating the array twice
+    (once more for a filter on its size)."""
+    return df.select(F.explode_outer(terms).alias("term")).where(F.col("term").isNotNull())
+
+
 def term_counts(df: DataFrame, terms: str) -> DataFrame:
     """Corpus frequency per term of an array column."""
-    return df.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("tf"))
+    return exploded(df, F.col(terms)).groupBy("term").agg(F.count("*").alias("tf"))
 
 
 def top_terms(df: DataFrame, terms: str, n: int) -> DataFrame:
@@ -86,8 +92,7 @@ def idf_weight(rows, df) -> Column:
 def idf_table(df: DataFrame, terms: str) -> DataFrame:
     """Document frequency and weight per term."""
     rows = df.agg(F.count("*")).scalar()
-    found = df.select(F.explode(F.array_distinct(terms)).alias("term"))
-    counts = found.groupBy("term").agg(F.count("*").alias("df"))
+    counts = exploded(df, F.array_distinct(terms)).groupBy("term").agg(F.count("*").alias("df"))
     return counts.withColumn("idf", idf_weight(rows, F.col("df")))
 
 

@@ -30,8 +30,12 @@ def training_text(
     Every table needs a unique ``id``. ``rank`` gives the shuffled order.
     """
     sampled = sampling.sample_exact(forum, "id", n, seed).drop("rank")
-    merged = sampling.merge_sources({"forum": sampled, **others})
-    keyed = merged.withColumn("row_key", F.concat_ws("|", "origin", F.col("id").cast("string")))
+    parts = {
+        name: df.withColumn("id", F.col("id").cast("string"))
+        for name, df in {"forum": sampled, **others}.items()
+    }
+    merged = sampling.merge_sources(parts)
+    keyed = merged.withColumn("row_key", F.concat_ws("|", "origin", "id"))
     return instruct.render_chatml(sampling.seeded_shuffle(keyed, "row_key", seed))
 
 
