@@ -232,10 +232,10 @@ def _document_text(name: str, fn):
 
 _document_text("normalise_text", X.normalise_text)
 _document_text("normalise_spaced", X.normalise_spaced)
-_document_text("tokens", lambda c: F.array_join(X.tokens(X.normalise_text(c)), "|"))
+_document_text("tokens", lambda c: F.array_join(X.tokens(c), "|"))
 _document_text(
     "remove_stopwords",
-    lambda c: F.array_join(X.remove_stopwords(X.tokens(X.normalise_text(c))), " "),
+    lambda c: F.array_join(X.remove_stopwords(X.tokens(c)), " "),
 )
 _document_text("wrap_tool_call", X.wrap_tool_call)
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom import constants as K
+from threadloom.sources.readers import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -121,8 +122,13 @@ PROPS_SELECT = """
 """
 
 
+# Tables with long texts, and the key by which their rows are spread over the cores.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
 def _documents(spark: SparkSession, sf_dir: str, tag: str) -> DataFrame:

@@ -94,8 +94,13 @@ def normalise_spaced(c) -> Column:
 
 
 def tokens(c) -> Column:
-    """Words of a normalised text (single kind of space)."""
-    return F.array_remove(F.split(_col(c), " +"), "")
+    """The words of ``normalise_text(c)``: runs of kept characters, found in one pass."""
+    return F.regexp_extract_all(F.lower(_col(c)), F.lit(r"([a-z0-9+=*<>-]+)"), F.lit(1))
+
+
+def spaced_tokens(c) -> Column:
+    """The words of ``normalise_spaced(c)``: every operator is a word of its own."""
+    return F.regexp_extract_all(F.lower(_col(c)), F.lit(r"([a-z0-9]+|[+=*<>-])"), F.lit(1))
 
 
 def remove_stopwords(words, stop_words=K.STOP_WORDS) -> Column:
@@ -133,13 +138,13 @@ def ngram_terms(words: str, ngram_range=K.NGRAM_RANGE) -> Column:
     return F.concat(*[ngrams(words, n) for n in range(ngram_range[0], ngram_range[1] + 1)])
 
 
-def char_ngrams(chars: str, n: int) -> Column:
-    """Character n-grams from a column of single characters; linear in the text."""
-    arr = F.col(chars)
-    starts = F.slice(arr, F.lit(1), F.greatest(F.size(arr) - F.lit(n - 1), F.lit(0)))
-    return F.transform(
-        starts, lambda ch, i: F.concat(ch, *[F.get(arr, i + F.lit(k)) for k in range(1, n)])
-    )
+def char_ngrams(c, n: int) -> Column:
+    """All overlapping character n-grams, in one linear pass.
+
+    The look-ahead captures the gram without consuming it; the look-behind skips positions
+    inside a surrogate pair, so a gram is n code points.
+    """
+    return F.regexp_extract_all(_col(c), F.lit(rf"(?s)(?<!\p{{Cs}})(?=(.{{{n}}}))"), F.lit(1))
 
 
 def wrap_tool_call(c) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from threadloom.functions import predicates as P
 from threadloom.functions import text as X
 from threadloom.operators import language
+from threadloom.session import materialise
 
 
 def comment_candidates(comments: DataFrame) -> DataFrame:
@@ -22,12 +23,14 @@ def keep_english(
 ) -> DataFrame:
     """ASCII rows pass at once; only the others are scored by the language model.
 
-    Without a model the ASCII shortcut is the whole test.
+    Without a model the ASCII shortcut is the whole test. With one, the rows are written
+    first, because they are used three times and come out of a selective filter.
     """
     ascii_text = P.is_ascii(text)
     if model is None:
         return df.where(ascii_text)
     columns = df.columns
+    df = materialise(df)
     ascii_rows = df.where(ascii_text)
     other = df.where(~ascii_text)
     found = model.predict(other, key, text).where(F.col("lang") == "en").select(key)

@@ -15,9 +15,10 @@ from threadloom.functions import porter
 from threadloom.functions import text as X
 
 
-def word_column(normalised: Column, stem: bool = False, stop_words=K.STOP_WORDS) -> Column:
-    """Words of a normalised text without stop words, stemmed on request."""
-    words = X.remove_stopwords(X.tokens(normalised), stop_words)
+def word_column(text, spaced: bool = False, stem: bool = False, stop_words=K.STOP_WORDS) -> Column:
+    """Words of the normalised text without stop words, stemmed on request."""
+    found = X.spaced_tokens(text) if spaced else X.tokens(text)
+    words = X.remove_stopwords(found, stop_words)
     return porter.stem_tokens(words) if stem else words
 
 

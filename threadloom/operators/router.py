@@ -14,8 +14,7 @@ from threadloom.operators import features
 
 def prepare(df: DataFrame, text: str, spaced: bool = False, stem: bool = True) -> DataFrame:
     """Add the word and term columns; one normaliser serves training and scoring."""
-    normalised = X.normalise_spaced(text) if spaced else X.normalise_text(text)
-    words = df.withColumn("words", features.word_column(normalised, stem))
+    words = df.withColumn("words", features.word_column(text, spaced, stem))
     joined = words.withColumn("_words", X.word_terms(F.array_join("words", " ")))
     return joined.withColumn("terms", X.ngram_terms("_words")).drop("_words")
 
@@ -79,6 +78,5 @@ def evaluation_rows(df: DataFrame, text: str, predicted: str, expected: str) ->
 
 def normaliser_skew(df: DataFrame, text: str) -> DataFrame:
     """Rows whose words differ between the two normalisers."""
-    plain = X.tokens(X.normalise_text(text))
-    spaced = X.tokens(X.normalise_spaced(text))
-    return df.agg(F.count("*").alias("rows"), F.count_if(plain != spaced).alias("skewed"))
+    differs = X.tokens(text) != X.spaced_tokens(text)
+    return df.agg(F.count("*").alias("rows"), F.count_if(differs).alias("skewed"))

@@ -1,6 +1,7 @@
 """Session settings and lineage cuts."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder so that later uses do not recompute it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to a table in the shared folder and read it from there.
+
+    Later uses neither recompute it nor depend on the executors that made it, and the
+    Parquet table keeps column pruning and gives the optimizer its real size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

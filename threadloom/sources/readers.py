@@ -33,6 +33,18 @@ def rejected_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col(schemas.CORRUPT).isNotNull())
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hand the rows of a scan with few tasks to all cores.
+
+    A compressed dump or a Parquet file with one row group cannot be split, so per-row work
+    on it would run in one task. A scan that already has a task per core is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def parse_lines(df: DataFrame, json: str, schema: T.StructType) -> DataFrame:
     """Parse a JSON text column that was read elsewhere; adds ``parsed`` and ``is_valid``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
