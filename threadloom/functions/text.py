@@ -141,10 +141,10 @@ def ngram_terms(words: str, ngram_range=K.NGRAM_RANGE) -> Column:
 def char_ngrams(c, n: int) -> Column:
     """All overlapping character n-grams, in one linear pass.
 
-    The look-ahead captures the gram without consuming it; the look-behind skips positions
+    The look-ahead captures the gram without consuming it; the first test skips positions
     inside a surrogate pair, so a gram is n code points.
     """
-    return F.regexp_extract_all(_col(c), F.lit(rf"(?s)(?<!\p{{Cs}})(?=(.{{{n}}}))"), F.lit(1))
+    return F.regexp_extract_all(_col(c), F.lit(rf"(?s)(?!\p{{Cs}})(?=(.{{{n}}}))"), F.lit(1))
 
 
 def wrap_tool_call(c) -> Column:

@@ -16,7 +16,7 @@ def read_dump(spark: SparkSession, paths, schema: T.StructType) -> DataFrame:
     """Read NDJSON files (also ``.zst``, ``.gz``) with an explicit schema.
 
     The result has the extra column ``_corrupt_record``; see ``good_rows`` and
-    ``rejected_rows``. A compressed file is one task, so spread the rows after admission.
+    ``rejected_rows`` (a bare count of either must name a data column). A compressed file is one task, so spread the rows after admission.
     zstd frames with a window above 2**27 must be recompressed first.
     """
     reader = spark.read.schema(schemas.with_corrupt(schema))
