@@ -410,7 +410,7 @@ def test_sequences(spark):
 def test_tfidf_rows_have_unit_length(spark, sf):
     documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     rows = router.prepare(documents, "text")
-    weights = features.fit_tfidf(rows, "terms", 500).weights(rows, "doc_id")
+    weights = features.fit_tfidf(rows, "term_words", "terms", 500).weights(rows, "doc_id")
     norms = weights.groupBy("doc_id").agg(F.sum(F.col("w") * F.col("w")).alias("n")).collect()
     assert norms and all(abs(r["n"] - 1) < 1e-9 for r in norms)
 
@@ -434,6 +434,14 @@ def test_router_learns_and_persists(spark, network):
     assert rows_of(again, "id", "label") == rows_of(scored, "id", "label")
 
 
+@pytest.mark.parametrize("n,broadcast_rows", [(5, 1000), (300, 1000), (300, 0), (10**6, 1000)])
+def test_top_ngrams_equal_a_full_count(spark, sf, n, broadcast_rows):
+    documents = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
+    rows = router.prepare(documents, "text", stem=False)
+    got = features.top_ngrams(rows, "term_words", n, broadcast_rows=broadcast_rows)
+    assert rows_of(got, "tf", "term") == rows_of(features.top_terms(rows, "terms", n), "tf", "term")
+
+
 def test_label_codes(spark):
     df = spark.createDataFrame([("math",), ("code",), ("general",), ("code",)], "c string")
     assert rows_of(features.label_codes(df, "c")) == [("code", 0), ("general", 1), ("math", 2)]

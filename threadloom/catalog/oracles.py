@@ -722,16 +722,25 @@ def snippet(key: str, seed: str) -> str:
 
 ORACLES["synth_arithmetic"] = f"""select o_orderkey,
     {arithmetic('o_orderkey', 100, K.TRAINER_OPERATORS, K.TRAINER_TEMPLATES, 'arith')} as input from orders"""
-_SENTENCE = fill(
-    V.case(pick("keyword-t", len(K.MATH_KEYWORD_TEMPLATES), "keyword", "round"), K.MATH_KEYWORD_TEMPLATES),
-    keyword="keyword",
+_FORMS = " union all ".join(
+    f"select o_orderkey, {arithmetic('o_orderkey', 1000, K.SEQUENCE_OPERATORS, (t,), 'forms')} as input, {i} as form from orders"
+    for i, t in enumerate(K.SEQUENCE_TEMPLATES)
 )
+ORACLES["synth_arithmetic_forms"] = _FORMS
+
+
+def sentence(templates, seed: str) -> str:
+    chosen = V.case(pick(f"{seed}-t", len(templates), "keyword", "round"), templates)
+    return f"""case when {pick(f'{seed}-bare', 100, 'keyword', 'round')} < {K.BARE_KEYWORD_PERCENT}
+        then keyword else {fill(chosen, keyword='keyword')} end"""
+
+
 ORACLES["synth_templates"] = f"""with n as (select keyword, unnest(range({K.KEYWORD_ROUNDS})) as round
         from (select distinct p_name as keyword from part))
-    select keyword, round, 'bare' as kind, keyword as text from n
-    union all select keyword, round, 'generated',
-    case when {pick('keyword-bare', 100, 'keyword', 'round')} < {K.BARE_KEYWORD_PERCENT} then keyword
-         else {_SENTENCE} end from n"""
+    select keyword, round, 'bare' as kind, keyword as text, 'math' as origin from n
+    union all select keyword, round, 'bare', keyword, 'code' from n
+    union all select keyword, round, 'generated', {sentence(K.MATH_KEYWORD_TEMPLATES, 'keyword')}, 'math' from n
+    union all select keyword, round, 'generated', {sentence(K.CODE_KEYWORD_TEMPLATES, 'code')}, 'code' from n"""
 ORACLES["synth_snippets"] = f"select p_partkey, {snippet('p_partkey', 'snippet')} as input from part"
 ORACLES["repeat_phrases"] = (
     f"select item_id, text, unnest(range({K.PHRASE_REPEATS})) as copy from benchmark"

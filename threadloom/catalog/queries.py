@@ -440,13 +440,13 @@ def ngram_terms(spark, sf):
 
 @query
 def tfidf_vocab(spark, sf):
-    return features.top_terms(_words(spark, sf, spaced=False), "terms", K.MAX_VOCABULARY)
+    return features.top_ngrams(_words(spark, sf, spaced=False), "term_words", K.MAX_VOCABULARY)
 
 
 @query
 def tfidf_weights(spark, sf):
-    rows = _words(spark, sf, spaced=False).select("doc_id", "terms")
-    weights = features.fit_tfidf(rows, "terms").weights(rows, "doc_id")
+    rows = _words(spark, sf, spaced=False)
+    weights = features.fit_tfidf(rows, "term_words", "terms").weights(rows, "doc_id")
     return weights.select("doc_id", "term", F.round("w", 6).alias("w"))
 
 
@@ -501,14 +501,16 @@ def _router_rows(spark, sf):
 
 @query
 def train_router(spark, sf):
-    rows = materialise(_router_rows(spark, sf).select("category", "terms"))
+    rows = materialise(_router_rows(spark, sf).select("category", "term_words"))
+    rows = rows.withColumn("terms", X.ngram_terms("term_words"))
     scored = router.score(router.train(rows, "category"), rows)
     return router.confusion(scored, "label", "category")
 
 
 @query
 def score_router(spark, sf):
-    rows = materialise(_router_rows(spark, sf).select("category", "terms"))
+    rows = materialise(_router_rows(spark, sf).select("category", "term_words"))
+    rows = rows.withColumn("terms", X.ngram_terms("term_words"))
     model = router.train(rows, "category")
     return router.score(model, rows).select("category", "label", F.round("confidence", 6).alias("confidence"))
 
@@ -596,10 +598,17 @@ def synth_arithmetic(spark, sf):
     return synth.arithmetic(V.table(spark, sf, "orders"), "o_orderkey")
 
 
+@query
+def synth_arithmetic_forms(spark, sf):
+    return synth.arithmetic_forms(V.table(spark, sf, "orders"), "o_orderkey")
+
+
 @query
 def synth_templates(spark, sf):
     keywords = V.table(spark, sf, "part").select(F.col("p_name").alias("keyword")).distinct()
-    return synth.keyword_sentences(keywords, "keyword")
+    code = synth.keyword_sentences(keywords, "keyword", K.CODE_KEYWORD_TEMPLATES, seed="code")
+    maths = synth.keyword_sentences(keywords, "keyword")
+    return sampling.merge_sources({"math": maths, "code": code})
 
 
 @query

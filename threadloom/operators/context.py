@@ -88,7 +88,7 @@ def bounded_history(
     )
     oldest = F.greatest(F.col("_before") - F.col("_budget"), F.lit(0))
     bins = F.sequence(_bin(oldest, largest_budget), _bin(F.col("_before"), largest_budget))
-    asked = users.where("_budget > 0").withColumn("_bin", F.explode(bins))
+    asked = users.withColumn("_bin", F.explode_outer(F.when(F.col("_budget") > 0, bins)))
     lines = rows.select(
         "conv_id",
         F.col("turn").alias("line_turn"),
@@ -96,16 +96,15 @@ def bounded_history(
         _bin(F.col("_start"), largest_budget).alias("_bin"),
         _line(newline).alias("line"),
     )
-    fits = (F.col("line_turn") < F.col("turn")) & (
-        F.col("_before") - F.col("_start") <= F.col("_budget")
-    )
-    found = asked.join(lines, ["conv_id", "_bin"]).where(fits)
-    ctx = found.groupBy("conv_id", "turn").agg(
-        _join_lines("" if newline else "\n").alias("ctx")
-    )
-    return users.select("conv_id", "turn").join(ctx, ["conv_id", "turn"], "left").select(
-        "conv_id", "turn", F.coalesce("ctx", F.lit("")).alias("ctx")
+    a, b = asked.alias("a"), lines.alias("b")
+    fits = (
+        (F.col("a.conv_id") == F.col("b.conv_id"))
+        & (F.col("a._bin") == F.col("b._bin"))
+        & (F.col("b.line_turn") < F.col("a.turn"))
+        & (F.col("a._before") - F.col("b._start") <= F.col("a._budget"))
     )
+    found = a.join(b, fits, "left").groupBy("a.conv_id", "a.turn")
+    return found.agg(_join_lines("" if newline else "\n").alias("ctx"))
 
 
 def _bin(c: Column, width: int) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from threadloom import constants as K
 from threadloom.functions import porter
 from threadloom.functions import text as X
+from threadloom.session import broadcast_if_small, materialise
 
 
 def word_column(text, spaced: bool = False, stem: bool = False, stop_words=K.STOP_WORDS) -> Column:
@@ -38,6 +39,49 @@ def top_terms(df: DataFrame, terms: str, n: int) -> DataFrame:
     return term_counts(df, terms).orderBy(F.desc("tf"), "term").limit(n)
 
 
+def top_ngrams(
+    df: DataFrame,
+    words: str,
+    n: int,
+    ngram_range=K.NGRAM_RANGE,
+    broadcast_rows: int = 1_000_000,
+) -> DataFrame:
+    """The ``n`` most frequent n-grams of a word array column; ties by name.
+
+    The same rows as ``top_terms`` over all n-grams, without shuffling all of them: almost
+    every long n-gram of a corpus is unique. Once ``n`` terms are known, a further term must
+    reach the lowest of their frequencies, and a longer n-gram is never more frequent than
+    its head and tail. So each length counts only n-grams whose head and tail are frequent
+    enough. The set of those is broadcast when its counted size allows it; otherwise that
+    length is counted without the filter, which gives the same result.
+    """
+    shortest, longest = ngram_range
+    best, frequent = None, None
+    for length in range(shortest, longest + 1):
+        found = df.select(F.explode_outer(X.ngrams(words, length)).alias("term"))
+        found = found.where(F.col("term").isNotNull())
+        if frequent is not None:
+            for part in (r" [^ ]+\z", r"\A[^ ]+ "):
+                shorter = F.regexp_replace("term", part, "")
+                found = found.withColumn("part", shorter).join(F.broadcast(frequent), "part", "left_semi")
+        counts = found.groupBy("term").agg(F.count("*").alias("tf"))
+        # Written once: used for the best terms and for the next filter.
+        counts = materialise(counts.where(F.col("tf") >= _lowest(best, n)))
+        merged = counts.select("term", "tf") if best is None else best.unionByName(counts)
+        best = materialise(merged.orderBy(F.desc("tf"), "term").limit(n))
+        enough = counts.where(F.col("tf") >= _lowest(best, n)).select(F.col("term").alias("part"))
+        frequent = enough if length < longest and enough.count() <= broadcast_rows else None
+    return best.orderBy(F.desc("tf"), "term").limit(n)
+
+
+def _lowest(best: DataFrame | None, n: int) -> int:
+    """The frequency a further term must reach: 1 until ``n`` terms are known."""
+    if best is None:
+        return 1
+    row = best.agg(F.count("*").alias("terms"), F.min("tf").alias("tf")).first()
+    return row["tf"] if row["terms"] >= n else 1
+
+
 def vocabulary(df: DataFrame, terms: str, size: int = K.MAX_VOCABULARY) -> DataFrame:
     """(term, idx, tf) with the reserved pad and unknown entries in front.
 
@@ -82,7 +126,8 @@ def label_codes(df: DataFrame, label: str) -> DataFrame:
 
 
 def encode_labels(df: DataFrame, label: str) -> DataFrame:
-    return df.join(label_codes(df, label), label)
+    """Add the code of each label; the few distinct labels are counted, then broadcast."""
+    return df.join(broadcast_if_small(label_codes(df, label)), label)
 
 
 def idf_weight(rows, df) -> Column:
@@ -116,15 +161,16 @@ class Tfidf:
         return rows.select(key, "e.i", "e.w").join(F.broadcast(names), "i").select(key, "term", "w")
 
 
-def fit_tfidf(df: DataFrame, terms: str, size: int = K.MAX_VOCABULARY) -> Tfidf:
-    """TF-IDF over an array column: capped vocabulary, smooth idf + 1, unit row length.
+def fit_tfidf(df: DataFrame, words: str, terms: str, size: int = K.MAX_VOCABULARY) -> Tfidf:
+    """TF-IDF over the n-grams (column ``terms``) of a word array column ``words``:
+    capped vocabulary, smooth idf + 1, unit row length.
 
     The driver holds the vocabulary and one weight per entry, both capped by ``size``.
     Document frequencies come from a tree-aggregated count of non-zero features, so after
     the vocabulary is known nothing is shuffled.
     """
-    words = [r["term"] for r in top_terms(df, terms, size).collect()]
-    counter = CountVectorizerModel.from_vocabulary(words, inputCol=terms, outputCol="tf")
+    vocab = [r["term"] for r in top_ngrams(df, words, size).collect()]
+    counter = CountVectorizerModel.from_vocabulary(vocab, inputCol=terms, outputCol="tf")
     summary = counter.transform(df).select(
         Summarizer.metrics("count", "numNonZeros").summary(F.col("tf")).alias("s")
     )
@@ -133,4 +179,4 @@ def fit_tfidf(df: DataFrame, terms: str, size: int = K.MAX_VOCABULARY) -> Tfidf:
     idf = np.log((1.0 + rows) / (1.0 + found)) + 1.0
     scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="tf", outputCol="tfidf")
     unit = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
-    return Tfidf(words, PipelineModel([counter, scale, unit]))
+    return Tfidf(vocab, PipelineModel([counter, scale, unit]))

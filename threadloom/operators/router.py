@@ -13,10 +13,11 @@ from threadloom.operators import features
 
 
 def prepare(df: DataFrame, text: str, spaced: bool = False, stem: bool = True) -> DataFrame:
-    """Add the word and term columns; one normaliser serves training and scoring."""
+    """Add the columns ``words``, ``term_words`` (two or more word characters) and ``terms``
+    (their n-grams); one normaliser serves training and scoring."""
     words = df.withColumn("words", features.word_column(text, spaced, stem))
-    joined = words.withColumn("_words", X.word_terms(F.array_join("words", " ")))
-    return joined.withColumn("terms", X.ngram_terms("_words")).drop("_words")
+    joined = words.withColumn("term_words", X.word_terms(F.array_join("words", " ")))
+    return joined.withColumn("terms", X.ngram_terms("term_words"))
 
 
 def train(
@@ -27,7 +28,7 @@ def train(
     Default is multinomial logistic regression; ``network`` selects a feed-forward net with
     the hidden layers 64 and 32. Both aggregate gradients by tree, without a shuffle.
     """
-    tfidf = features.fit_tfidf(df, "terms", size)
+    tfidf = features.fit_tfidf(df, "term_words", "terms", size)
     indexer = StringIndexer(inputCol=label, outputCol="code", stringOrderType="alphabetAsc").fit(df)
     if network:
         layers = [len(tfidf.terms), *K.HIDDEN_LAYERS, len(indexer.labels)]

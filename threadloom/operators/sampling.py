@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from threadloom import constants as K
 from threadloom.functions import draws
 from threadloom.operators.ranks import hash_rank, position_rank
+from threadloom.session import broadcast_if_small
 
 SEED = "42"
 
@@ -50,7 +51,7 @@ def balance_classes(
     draws are generated in two steps so that no single row expands to a whole class.
     """
     df = df.where(F.col(label).isNotNull())
-    sizes = df.groupBy(label).agg(F.count("*").alias("_size"))
+    sizes = broadcast_if_small(df.groupBy(label).agg(F.count("*").alias("_size")))
     step = 4096
     small = sizes.where(F.col("_size") < target)
     draws_of = (
@@ -64,10 +65,10 @@ def balance_classes(
         .withColumn("rank", draws.draw(f"{seed}-up", label, "draw") % F.col("_size") + 1)
         .drop("_size")
     )
-    ranked = hash_rank(df, key, seed, by=(label,), at_most=target)
-    kept = ranked.join(small, label, "left_anti").withColumn("draw", F.col("rank") - 1)
-    drawn = ranked.join(draws_of, [label, "rank"])
-    return kept.unionByName(drawn).drop("rank")
+    ranked = hash_rank(df, key, seed, by=(label,), at_most=target).join(sizes, label)
+    kept = ranked.where(F.col("_size") >= target).withColumn("draw", F.col("rank") - 1)
+    drawn = ranked.where(F.col("_size") < target).join(draws_of, [label, "rank"])
+    return kept.unionByName(drawn).drop("rank", "_size")
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:

@@ -34,6 +34,17 @@ def arithmetic(
     return df.select(key, _fill(template, {"a": a, "op": op, "b": b}).alias("input"))
 
 
+def arithmetic_forms(
+    df: DataFrame, key: str, largest: int = 1000, operators=K.SEQUENCE_OPERATORS, seed: str = "forms"
+) -> DataFrame:
+    """Per key the same question unspaced and spaced."""
+    forms = [
+        arithmetic(df, key, largest, operators, (template,), seed).withColumn("form", F.lit(i))
+        for i, template in enumerate(K.SEQUENCE_TEMPLATES)
+    ]
+    return reduce(DataFrame.unionByName, forms)
+
+
 def keyword_sentences(
     df: DataFrame,
     keyword: str,

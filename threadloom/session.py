@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -47,6 +48,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` written once and counted; marked for broadcast only within the bound."""
+    written = materialise(df)
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to a table in the shared folder and read it from there.
 
