@@ -1,6 +1,7 @@
 """Vocabularies, padded id sequences, TF-IDF features and label codes."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -56,30 +57,40 @@ def top_ngrams(
     length is counted without the filter, which gives the same result.
     """
     shortest, longest = ngram_range
-    best, frequent = None, None
+    floor, frequent, tables = 1, None, []
     for length in range(shortest, longest + 1):
-        found = df.select(F.explode_outer(X.ngrams(words, length)).alias("term"))
-        found = found.where(F.col("term").isNotNull())
+        found = _grams_with_parts(df, words, length)
         if frequent is not None:
-            for part in (r" [^ ]+\z", r"\A[^ ]+ "):
-                shorter = F.regexp_replace("term", part, "")
-                found = found.withColumn("part", shorter).join(F.broadcast(frequent), "part", "left_semi")
-        counts = found.groupBy("term").agg(F.count("*").alias("tf"))
-        # Written once: used for the best terms and for the next filter.
-        counts = materialise(counts.where(F.col("tf") >= _lowest(best, n)))
-        merged = counts.select("term", "tf") if best is None else best.unionByName(counts)
-        best = materialise(merged.orderBy(F.desc("tf"), "term").limit(n))
-        enough = counts.where(F.col("tf") >= _lowest(best, n)).select(F.col("term").alias("part"))
-        frequent = enough if length < longest and enough.count() <= broadcast_rows else None
-    return best.orderBy(F.desc("tf"), "term").limit(n)
-
-
-def _lowest(best: DataFrame | None, n: int) -> int:
-    """The frequency a further term must reach: 1 until ``n`` terms are known."""
-    if best is None:
-        return 1
-    row = best.agg(F.count("*").alias("terms"), F.min("tf").alias("tf")).first()
-    return row["tf"] if row["terms"] >= n else 1
+            for part in ("head", "tail"):
+                known = F.broadcast(frequent.withColumnRenamed("term", part))
+                found = found.join(known, part, "left_semi")
+        counts = found.groupBy("term").agg(F.count("*").alias("tf")).where(F.col("tf") >= floor)
+        tables.append(materialise(counts))
+        best = reduce(DataFrame.unionByName, tables).orderBy(F.desc("tf"), "term").limit(n)
+        if length < longest:
+            lowest = best.agg(F.count("*").alias("terms"), F.min("tf").alias("tf")).first()
+            floor = lowest["tf"] if lowest["terms"] >= n else 1
+            enough = tables[-1].where(F.col("tf") >= floor).select("term")
+            frequent = enough if floor > 1 and enough.count() <= broadcast_rows else None
+    return best
+
+
+def _grams_with_parts(df: DataFrame, words: str, length: int) -> DataFrame:
+    """One row per n-gram with the n-gram that lacks its last word and its first word."""
+    if length == 1:
+        return exploded(df, F.col(words))
+    shorter = df.select(words, X.ngrams(words, length - 1).alias("_short"))
+    heads = F.slice("_short", F.lit(1), F.greatest(F.size("_short") - F.lit(1), F.lit(0)))
+    grams = F.transform(
+        heads,
+        lambda head, i: F.struct(
+            head.alias("head"),
+            F.get(F.col("_short"), i + F.lit(1)).alias("tail"),
+            F.concat_ws(" ", head, F.get(F.col(words), i + F.lit(length - 1))).alias("term"),
+        ),
+    )
+    rows = shorter.select(F.explode_outer(grams).alias("gram")).select("gram.*")
+    return rows.where(F.col("term").isNotNull())
 
 
 def vocabulary(df: DataFrame, terms: str, size: int = K.MAX_VOCABULARY) -> DataFrame:
