@@ -105,23 +105,19 @@ def test_keep_english(spark, sf):
 
 # --- pairs --------------------------------------------------------------------
 def brute_pairs(comments, submissions):
-    com = {c["id"]: c for c in comments}
-    sub = {s["id"]: s for s in submissions}
+    """Every comment against every possible parent and every possible thread."""
     out = []
-    for c in com.values():
-        parent = c["parent_id"] or ""
+    for c in comments:
         head = f"You are a user in r/{c['subreddit']}, Reply to the given comment"
-        if parent.startswith("t1_") and parent.split("_")[1] in com:
-            link = c["link_id"] or ""
-            title = sub.get(link.split("_")[1], {}).get("title") if link.startswith("t3_") else None
-            text = f"{head}." if title is None else f"{head} in context: {title}."
-            out.append((c["id"], text, com[parent.split("_")[1]]["body"], c["body"]))
-        elif parent.startswith("t3_") and parent.split("_")[1] in sub:
-            p = sub[parent.split("_")[1]]
-            if p["selftext"]:
-                out.append((c["id"], f"{head} in context: {p['title']}.", p["selftext"], c["body"]))
-            else:
-                out.append((c["id"], f"{head}.", p["title"], c["body"]))
+        threads = [s for s in submissions if c["link_id"] == f"t3_{s['id']}"]
+        for p in comments:
+            if c["parent_id"] == f"t1_{p['id']}":
+                tail = f" in context: {threads[0]['title']}." if threads else "."
+                out.append((c["id"], head + tail, p["body"], c["body"]))
+        for s in submissions:
+            if c["parent_id"] == f"t3_{s['id']}":
+                tail = f" in context: {s['title']}." if s["selftext"] else "."
+                out.append((c["id"], head + tail, s["selftext"] or s["title"], c["body"]))
     return sorted(out)
 
 
@@ -144,6 +140,42 @@ def test_pairs_with_a_hot_parent(spark):
     assert counts["all"] == len(got) == counts["comment"] + counts["submission"]
 
 
+def test_hot_parent_is_split_by_the_skew_join(spark):
+    """A third of all replies answer one submission; the join splits them over tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        n = 30000
+        rows = spark.range(0, n, 1, 8)
+        parent = F.when(F.col("id") % 3 == 0, F.lit("t3_s0")).otherwise(F.concat(F.lit("t3_s"), F.col("id") % 997))
+        replies = rows.select(
+            F.concat(F.lit("c"), "id").alias("id"), parent.alias("parent_id"), parent.alias("link_id"),
+            F.lit("f").alias("subreddit"), F.sha2(F.col("id").cast("string"), 512).alias("body"),
+        )
+        posts = spark.range(997).select(F.concat(F.lit("s"), "id").alias("id"), F.lit("t").alias("title"), F.lit("x").alias("selftext"))
+        found = pairs.submission_pairs(replies, posts)
+        assert len(found.collect()) == n
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_duplicate_ids_keep_the_last_row(spark):
+    rows = [{**GOOD, "body": f"the body of version {v}", "pos": v} for v in (1, 3, 2)]
+    df = spark.createDataFrame(rows, schemas.T.StructType([*schemas.RAW_COMMENTS, schemas.T.StructField("pos", schemas.T.LongType())]))
+    assert rows_of(corpus.clean_comments(df, position="pos"), "body") == [("the body of version 3",)]
+
+
 def test_latest_by_id(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "z"), ("b", 2, "y"), (None, 9, "n")], "id string, pos int, v string")
     assert rows_of(pairs.latest_by_id(df, "id", "pos"), "id", "v") == [("a", "z"), ("b", "y")]
@@ -269,22 +301,15 @@ def chat(spark, turns=400):
     return data, spark.createDataFrame(data, schemas.MESSAGES)
 
 
-def greedy(data, system_cost):
-    out, history = [], {}
+def longest_suffixes(data, system_cost):
+    """For each user message the longest run of earlier lines that fits its budget."""
+    out = []
     for conv, turn, role, text in data:
-        if role == "system":
-            continue
-        lines = history.setdefault(conv, [])
         if role == "user":
-            budget = 2048 - (system_cost + len(text) + 512)
-            kept, cost = [], 0
-            for line in reversed(lines):
-                if cost + len(line) > budget:
-                    break
-                kept.append(line)
-                cost += len(line)
-            out.append((conv, turn, "".join(reversed(kept)) if budget > 0 else ""))
-        lines.append(f"{role.title()}: {text}\n")
+            earlier = [f"{r.title()}: {t}\n" for c, n, r, t in data if c == conv and n < turn and r != "system"]
+            room = 2048 - 512 - system_cost - len(text)
+            fitting = [k for k in range(len(earlier) + 1) if len("".join(earlier[k:])) <= max(room, 0)]
+            out.append((conv, turn, "".join(earlier[min(fitting) :])))
     return sorted(out)
 
 
@@ -292,7 +317,7 @@ def greedy(data, system_cost):
 def test_history_equals_greedy(spark, system_cost):
     data, df = chat(spark)
     got = context.history_context(context.dialogue(df), system_cost)
-    assert rows_of(got, "conv_id", "turn", "ctx") == greedy(data, system_cost)
+    assert rows_of(got, "conv_id", "turn", "ctx") == longest_suffixes(data, system_cost)
 
 
 def test_last_n_history(spark):

@@ -465,7 +465,7 @@ ORACLES["field_discovery"] = """select field, min(event_id) as first_line,
 ORACLES["field_overlap"] = with_ctes(
     FORUM_VIEWS,
     "a as (select distinct unnest(json_keys(to_json(v))) as f from (select * exclude (pos) from comments_v) v)",
-    "b as (select distinct unnest(json_keys(to_json(v))) as f from submissions_v v)",
+    "b as (select distinct unnest(json_keys(to_json(v))) as f from (select * exclude (pos) from submissions_v) v)",
     """select (select count(*) from a) as left_fields, (select count(*) from b) as right_fields,
        (select count(*) from a join b on a.f = b.f) as common""",
 )

@@ -258,14 +258,10 @@ def keyword_flag(spark, sf):
 
 
 # --- pairs --------------------------------------------------------------------
-def _cleaned_forum(spark, sf, model=None):
-    """Cleaned tables; written once because pairing reads the comments three times."""
-    if model is None:
-        replies = admit.comment_candidates(V.comments(spark, sf))
-        posts = admit.submission_candidates(V.submissions(spark, sf))
-    else:
-        replies = admit.admit_comments(V.comments(spark, sf), model)
-        posts = admit.admit_submissions(V.submissions(spark, sf), model)
+def _cleaned_forum(spark, sf):
+    """Cleaned tables without the language test."""
+    replies = admit.comment_candidates(V.comments(spark, sf))
+    posts = admit.submission_candidates(V.submissions(spark, sf))
     cleaned = clean.polish_comments(clean.clean_comments(replies))
     return materialise(cleaned), materialise(clean.clean_submissions(posts))
 
@@ -282,7 +278,8 @@ def pair_submission_reply(spark, sf):
 
 @query
 def reply_pairs(spark, sf):
-    return pairs.reply_pairs(*_cleaned_forum(spark, sf, _language_model(spark, sf)))
+    model = _language_model(spark, sf)
+    return corpus.forum_pairs(V.comments(spark, sf), V.submissions(spark, sf), model, "pos")
 
 
 @query
@@ -313,8 +310,7 @@ def field_overlap(spark, sf):
         json = df.select("pos", F.to_json(F.struct(*[c for c in df.columns if c != "pos"])).alias("json"))
         return profile.discover_fields(json, "json", "pos")
 
-    posts = V.submissions(spark, sf).withColumn("pos", F.col("id"))
-    return profile.field_overlap(fields(V.comments(spark, sf)), fields(posts))
+    return profile.field_overlap(fields(V.comments(spark, sf)), fields(V.submissions(spark, sf)))
 
 
 @query

@@ -81,7 +81,8 @@ SUBMISSION_SELECT = """
         case when h % 3 = 0 then ' A &amp; B &lt;i&gt;x&lt;/i&gt; &amp;lt;&nbsp;' else '' end,
         case when h % 19 = 0 then ' ![gif](abc)' else '' end,
         case when h % 11 = 0 then ' see https://ex.org' else '' end,
-        case when h % 7 = 0 then concat(chr(10), '  EDIT: fixed typo') else '' end) end as selftext
+        case when h % 7 = 0 then concat(chr(10), '  EDIT: fixed typo') else '' end) end as selftext,
+    doc_id as pos
 """
 
 SOURCED_SELECT = f"""

@@ -1,6 +1,6 @@
 """Cleaning stages over admitted rows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom import constants as K
@@ -8,11 +8,10 @@ from threadloom.functions import predicates as P
 from threadloom.functions import text as X
 
 COMMENT_KEYS = ("id", "parent_id", "link_id", "subreddit", "body", "score")
-SUBMISSION_KEYS = ("id", "subreddit", "title", "selftext", "score")
 
 
-def clean_comments(comments: DataFrame) -> DataFrame:
-    return comments.withColumn("body", X.clean_comment("body")).select(*COMMENT_KEYS)
+def clean_comments(comments: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return comments.withColumn("body", X.clean_comment("body")).select(*COMMENT_KEYS, *keep)
 
 
 def polish_comments(comments: DataFrame) -> DataFrame:
@@ -22,7 +21,7 @@ def polish_comments(comments: DataFrame) -> DataFrame:
     )
 
 
-def clean_submissions(submissions: DataFrame) -> DataFrame:
+def clean_submissions(submissions: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Clean title and selftext; the title is checked again before it is stripped."""
     return submissions.where(P.survives_title_recheck("title")).select(
         "id",
@@ -30,8 +29,9 @@ def clean_submissions(submissions: DataFrame) -> DataFrame:
         X.clean_title("title").alias("title"),
         X.clean_selftext("selftext").alias("selftext"),
         "score",
+        *keep,
     )
 
 
-def default_forum(c: str):
+def default_forum(c: str) -> Column:
     return F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(K.DEFAULT_FORUM))

@@ -6,20 +6,35 @@ from pyspark.sql import functions as F
 from threadloom import constants as K
 from threadloom import schemas
 from threadloom.operators import admit, clean, instruct, pairs, sampling
+from threadloom.session import materialise
 from threadloom.sources import readers
 
 
-def clean_comments(comments: DataFrame, model=None) -> DataFrame:
-    return clean.polish_comments(clean.clean_comments(admit.admit_comments(comments, model)))
+def clean_comments(comments: DataFrame, model=None, position: str | None = None) -> DataFrame:
+    """Admit, clean and polish; with a position column the last row per id wins."""
+    admitted = admit.admit_comments(comments, model)
+    if position is None:
+        return clean.polish_comments(clean.clean_comments(admitted))
+    polished = clean.polish_comments(clean.clean_comments(admitted, (position,)))
+    return pairs.latest_by_id(polished, "id", position).drop(position)
 
 
-def clean_submissions(submissions: DataFrame, model=None) -> DataFrame:
-    return clean.clean_submissions(admit.admit_submissions(submissions, model))
+def clean_submissions(submissions: DataFrame, model=None, position: str | None = None) -> DataFrame:
+    admitted = admit.admit_submissions(submissions, model)
+    if position is None:
+        return clean.clean_submissions(admitted)
+    cleaned = clean.clean_submissions(admitted, (position,))
+    return pairs.latest_by_id(cleaned, "id", position).drop(position)
 
 
-def forum_pairs(comments: DataFrame, submissions: DataFrame, model=None) -> DataFrame:
-    """Admit, clean, polish and pair. For repeated use write the cleaned tables first."""
-    return pairs.reply_pairs(clean_comments(comments, model), clean_submissions(submissions, model))
+def forum_pairs(
+    comments: DataFrame, submissions: DataFrame, model=None, position: str | None = None
+) -> DataFrame:
+    """Reply pairs of raw rows. The cleaned tables are written once: pairing reads the
+    comments three times."""
+    replies = materialise(clean_comments(comments, model, position))
+    posts = materialise(clean_submissions(submissions, model, position))
+    return pairs.reply_pairs(replies, posts)
 
 
 def training_text(
@@ -27,9 +42,10 @@ def training_text(
 ) -> DataFrame:
     """Sample the forum pairs, merge all sources, shuffle and render.
 
-    Every table needs a unique ``id``. ``rank`` gives the shuffled order.
+    Every table needs a unique ``id``. ``rank`` gives the shuffled order. ``forum`` should be
+    a written stage, because a sample reads its input twice.
     """
-    sampled = sampling.sample_exact(forum, "id", n, seed).drop("rank")
+    sampled = materialise(sampling.sample_exact(forum, "id", n, seed).drop("rank"))
     parts = {
         name: df.withColumn("id", F.col("id").cast("string"))
         for name, df in {"forum": sampled, **others}.items()
@@ -42,19 +58,24 @@ def training_text(
 def build_stages(
     spark: SparkSession, comment_paths, submission_paths, folder: str, model=None, spread: int = 200
 ) -> DataFrame:
-    """Dumps to reply pairs with Parquet stages in a shared folder.
+    """Dumps to reply pairs, with Parquet stages ``comments``, ``submissions`` and ``pairs``.
 
     Compressed dumps give one task per file; the admitted rows are spread before the
     cleaning expressions run and before the stage is written.
     """
-    comments = readers.good_rows(readers.read_dump(spark, comment_paths, schemas.RAW_COMMENTS))
-    submissions = readers.good_rows(
-        readers.read_dump(spark, submission_paths, schemas.RAW_SUBMISSIONS)
-    )
-    kept = admit.comment_candidates(comments).repartition(spread)
-    clean_comments(kept, model).write.mode("overwrite").parquet(f"{folder}/comments")
-    kept = admit.submission_candidates(submissions).repartition(spread)
-    clean_submissions(kept, model).write.mode("overwrite").parquet(f"{folder}/submissions")
-    return pairs.reply_pairs(
-        spark.read.parquet(f"{folder}/comments"), spark.read.parquet(f"{folder}/submissions")
-    )
+    dumps = {
+        "comments": (comment_paths, schemas.RAW_COMMENTS, admit.comment_candidates, clean_comments),
+        "submissions": (
+            submission_paths,
+            schemas.RAW_SUBMISSIONS,
+            admit.submission_candidates,
+            clean_submissions,
+        ),
+    }
+    for name, (paths, schema, candidates, cleaned) in dumps.items():
+        rows = readers.good_rows(readers.read_dump(spark, paths, schema, "position"))
+        kept = candidates(rows).repartition(spread, "id")
+        cleaned(kept, model, "position").write.mode("overwrite").parquet(f"{folder}/{name}")
+    replies, posts = (spark.read.parquet(f"{folder}/{name}") for name in dumps)
+    pairs.reply_pairs(replies, posts).write.mode("overwrite").parquet(f"{folder}/pairs")
+    return spark.read.parquet(f"{folder}/pairs")

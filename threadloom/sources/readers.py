@@ -12,17 +12,19 @@ from threadloom import schemas
 TEXT_CANDIDATES = ("input", "question", "body")
 
 
-def read_dump(spark: SparkSession, paths, schema: T.StructType) -> DataFrame:
+def read_dump(
+    spark: SparkSession, paths, schema: T.StructType, position: str | None = None
+) -> DataFrame:
     """Read NDJSON files (also ``.zst``, ``.gz``) with an explicit schema.
 
     The result has the extra column ``_corrupt_record``; see ``good_rows`` and
     ``rejected_rows`` (a bare count of either must name a data column). A compressed file is one task, so spread the rows after admission.
-    zstd frames with a window above 2**27 must be recompressed first.
+    zstd frames with a window above 2**27 must be recompressed first. ``position`` names a
+    column with the order of the scan, for "the last row per id wins".
     """
-    reader = spark.read.schema(schemas.with_corrupt(schema))
-    return reader.option("mode", "PERMISSIVE").option(
-        "columnNameOfCorruptRecord", schemas.CORRUPT
-    ).json(paths)
+    reader = spark.read.schema(schemas.with_corrupt(schema)).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", schemas.CORRUPT).json(paths)
+    return rows.withColumn(position, F.monotonically_increasing_id()) if position else rows
 
 
 def good_rows(df: DataFrame) -> DataFrame:
@@ -37,10 +39,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hand the rows of a scan with few tasks to all cores.
 
     A compressed dump or a Parquet file with one row group cannot be split, so per-row work
-    on it would run in one task. A scan that already has a task per core is left alone.
+    on it would run in one task. A scan that keeps a quarter of the cores busy is left alone,
+    because moving whole texts costs more. Call it on a plain scan, not behind a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() * 4 > cores:
         return df
     return df.repartition(cores, *keys)
 
