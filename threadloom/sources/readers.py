@@ -39,11 +39,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hand the rows of a scan with few tasks to all cores.
 
     A compressed dump or a Parquet file with one row group cannot be split, so per-row work
-    on it would run in one task. A scan that keeps a quarter of the cores busy is left alone,
-    because moving whole texts costs more. Call it on a plain scan, not behind a shuffle.
+    on it would run in one task (the byte ranges of such a file count as partitions, but all
+    rows come out of one). A scan of many files or of more partitions than cores is left
+    alone, because moving whole texts costs more. For plain scans, not behind a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 > cores:
+    if len(df.inputFiles()) * 4 > cores or df.rdd.getNumPartitions() > cores:
         return df
     return df.repartition(cores, *keys)
 
