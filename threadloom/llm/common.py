@@ -30,13 +30,14 @@ def with_row_id(df: DataFrame, **columns: Column) -> DataFrame:
     into other splits. A frame that is not a plain scan of files is written and read again.
     The struct keeps names of extra columns apart from those an operator adds.
     """
-    if "_metadata" in df.columns or not _plain_scan(df):
-        df = materialise(df.withColumnRenamed("_metadata", "_metadata_"))
+    names = df.columns
+    if any(c.lower() == "_metadata" for c in names) or not _plain_scan(df):
+        df = materialise(df.toDF(*[f"{c}_" if c.lower() == "_metadata" else c for c in names]))
     place = F.struct(
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("index"),
     )
-    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    whole = F.struct(*[F.col(f"`{own}`").alias(c) for own, c in zip(df.columns, names, strict=True)])
     return df.select(whole.alias("doc"), place.alias("row"), *[c.alias(n) for n, c in columns.items()])
 
 
