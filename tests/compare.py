@@ -44,7 +44,7 @@ def duck_rows(con, sql: str) -> pd.DataFrame:
 
 
 def main(sf_dir: str, names: list[str]) -> None:
-    from threadloom.session import local_session
+    from threadloom.session import drop_stages, local_session
 
     spark = local_session("compare", 8)
     con = duck(sf_dir)
@@ -75,6 +75,7 @@ def main(sf_dir: str, names: list[str]) -> None:
             bad.append(name)
             print(f"FAIL {name}: {str(error)[:1500]}", flush=True)
     print("bad:", bad)
+    drop_stages(spark)
 
 
 if __name__ == "__main__":

@@ -1,6 +1,6 @@
 import pytest
 
-from threadloom.session import local_session
+from threadloom.session import drop_stages, local_session
 
 
 @pytest.fixture(scope="session")
@@ -11,6 +11,7 @@ def spark():
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     yield session
+    drop_stages(session)
     session.stop()
 
 

@@ -80,16 +80,12 @@ def test_clean_submission_defaults(spark):
     assert row["subreddit"] == "AskReddit" and row["selftext"] is None
 
 
-def test_language_model_paths_agree(spark, sf):
+def test_language_model(spark, sf):
     documents = spark.read.parquet(f"{sf}/documents.parquet")
     model = language.fit(documents, "text", "lang", ["de", "en", "es", "fr"])
-    small = model.predict(documents, "doc_id", F.col("text"))
-    import dataclasses
-
-    large = dataclasses.replace(model, size=10**9).predict(documents, "doc_id", F.col("text"))
-    assert rows_of(small, "doc_id", "lang") == rows_of(large, "doc_id", "lang")
+    found = model.predict(documents, "doc_id", F.col("text"))
     truth = dict(rows_of(documents, "doc_id", "lang"))
-    hits = [truth[i] == lang for i, lang in rows_of(small, "doc_id", "lang")]
+    hits = [truth[i] == lang for i, lang in rows_of(found, "doc_id", "lang")]
     assert sum(hits) / len(hits) > 0.95
 
 
@@ -99,8 +95,10 @@ def test_keep_english(spark, sf):
         [("1", "plain ascii text"), ("2", "the thing and the other thing with the naïve one"), ("3", "der König und die Straße nicht für"), ("4", "é")],
         "id string, body string",
     )
-    assert rows_of(admit.keep_english(df, "id", F.col("body"), model), "id") == [("1",), ("2",)]
-    assert rows_of(admit.keep_english(df, "id", F.col("body"), None), "id") == [("1",)]
+    assert rows_of(admit.keep_english(df, F.col("body"), model), "id") == [("1",), ("2",)]
+    assert rows_of(admit.keep_ascii(df, F.col("body")), "id") == [("1",)]
+    same = df.where("id in ('2', '3')").withColumn("id", F.lit("x"))
+    assert rows_of(admit.keep_english(same, F.col("body"), model), "body") == rows_of(df.where("id = '2'"), "body")
 
 
 # --- pairs --------------------------------------------------------------------
@@ -140,8 +138,9 @@ def test_pairs_with_a_hot_parent(spark):
     assert counts["all"] == len(got) == counts["comment"] + counts["submission"]
 
 
-def test_hot_parent_is_split_by_the_skew_join(spark):
-    """A third of all replies answer one submission; the join splits them over tasks."""
+@pytest.fixture
+def skewed(spark):
+    """Settings under which a small hot key counts as skewed."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -154,26 +153,48 @@ def test_hot_parent_is_split_by_the_skew_join(spark):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        n = 30000
-        rows = spark.range(0, n, 1, 8)
-        parent = F.when(F.col("id") % 3 == 0, F.lit("t3_s0")).otherwise(F.concat(F.lit("t3_s"), F.col("id") % 997))
-        replies = rows.select(
-            F.concat(F.lit("c"), "id").alias("id"), parent.alias("parent_id"), parent.alias("link_id"),
-            F.lit("f").alias("subreddit"), F.sha2(F.col("id").cast("string"), 512).alias("body"),
-        )
-        posts = spark.range(997).select(F.concat(F.lit("s"), "id").alias("id"), F.lit("t").alias("title"), F.lit("x").alias("selftext"))
-        found = pairs.submission_pairs(replies, posts)
-        assert len(found.collect()) == n
-        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+        yield
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def hot_replies(spark, n, parent, link):
+    return spark.range(0, n, 1, 8).select(
+        F.concat(F.lit("c"), "id").alias("id"), parent.alias("parent_id"), link.alias("link_id"),
+        F.lit("f").alias("subreddit"), F.sha2(F.col("id").cast("string"), 512).alias("body"),
+    )
+
+
+def posts(spark):
+    return spark.range(997).select(F.concat(F.lit("s"), "id").alias("id"), F.lit("t").alias("title"), F.lit("x").alias("selftext"))
+
+
+def test_hot_parent_is_split_by_the_skew_join(spark, skewed):
+    """A third of all replies answer one submission; the join splits them over tasks."""
+    n = 30000
+    parent = F.when(F.col("id") % 3 == 0, F.lit("t3_s0")).otherwise(F.concat(F.lit("t3_s"), F.col("id") % 997))
+    found = pairs.submission_pairs(hot_replies(spark, n, parent, parent), posts(spark))
+    assert len(found.collect()) == n
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_thread_is_split_by_the_title_join(spark, skewed):
+    """A third of all replies lie in one thread, a third name no thread."""
+    n = 30000
+    parent = F.concat(F.lit("t1_c"), (F.col("id") * 7) % n)
+    link = F.when(F.col("id") % 3 == 0, F.lit("t3_s0")).when(F.col("id") % 3 == 1, F.concat(F.lit("t3_s"), F.col("id") % 997))
+    found = pairs.comment_pairs(hot_replies(spark, n, parent, link), posts(spark))
+    rows = found.collect()
+    assert len(rows) == n and sum(" in context: t." in r["instruction"] for r in rows) == 20000
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_duplicate_ids_keep_the_last_row(spark):
     rows = [{**GOOD, "body": f"the body of version {v}", "pos": v} for v in (1, 3, 2)]
     df = spark.createDataFrame(rows, schemas.T.StructType([*schemas.RAW_COMMENTS, schemas.T.StructField("pos", schemas.T.LongType())]))
-    assert rows_of(corpus.clean_comments(df, position="pos"), "body") == [("the body of version 3",)]
+    model = language.fit(spark.createDataFrame([("the", "en"), ("der", "de")], "t string, l string"), "t", "l", ["de", "en"])
+    assert rows_of(corpus.clean_comments(df, model, "pos"), "body") == [("the body of version 3",)]
 
 
 def test_latest_by_id(spark):
@@ -221,8 +242,18 @@ def test_caps(spark):
     sizes = Counter(r["g"] for r in df.collect())
     assert capped == {g: min(150, n) for g, n in sizes.items()}
     odd = df.where("id % 2 = 1")
-    got = ranks.position_rank(odd, "id", 500, span=64)
+    got = ranks.position_rank(odd, "id", 500, cells=64)
     assert rows_of(got, "id", "rank") == [(2 * i + 1, i + 1) for i in range(500)]
+    sparse = odd.withColumn("id", F.col("id") * 86_400_000 + 1_600_000_000_000)
+    got = ranks.position_rank(sparse, "id", 500, cells=16)
+    assert rows_of(got, "id", "rank") == [((2 * i + 1) * 86_400_000 + 1_600_000_000_000, i + 1) for i in range(500)]
+
+
+def test_cells_are_even_for_sparse_positions(spark):
+    """Timestamps with large gaps, most of them in one hot group."""
+    rows = spark.range(20_000).select((F.pow("id", F.lit(3)) * 1000).cast("long").alias("at"), (F.col("id") % 3).alias("g"))
+    sizes = [r["count"] for r in ranks.even_cells(rows, "at", 16, "cell").groupBy("cell").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 20_000 / 16
 
 
 def test_balance_classes(spark):
@@ -279,7 +310,7 @@ def test_running_totals(spark):
     rng = random.Random(2)
     data = [(rng.choice([1, 1, 1, 2, None]), i, rng.randrange(50)) for i in range(500)]
     df = spark.createDataFrame(data, "k int, pos int, v int")
-    got = ranks.running_totals(df, ("k",), "pos", {"total": F.col("v")}, chunk=16)
+    got = ranks.running_totals(df, ("k",), "pos", {"total": F.col("v")}, cells=16)
     seen, want = Counter(), []
     for k, pos, v in data:
         seen[k] += v
@@ -334,6 +365,14 @@ def test_last_n_history(spark):
     assert rows_of(got, "conv_id", "turn", "ctx") == sorted(want)
 
 
+def test_histories_keep_a_null_conversation(spark):
+    data = [(None, t, "user", "hi") for t in (1, 50, 7000)] + [(2, 1, "user", "a")]
+    df = spark.createDataFrame(data, schemas.MESSAGES)
+    assert context.budget_history(df, 100, F.length("text")).count() == 4
+    ctx = {(r["conv_id"], r["turn"]): r["ctx"] for r in context.last_n_history(df).collect()}
+    assert ctx[(None, 7000)] == "User: hi\nUser: hi" and ctx[(2, 1)] == ""
+
+
 def test_budget_history(spark):
     data, df = chat(spark)
     got = context.budget_history(context.dialogue(df), 2000, F.length("text"))
@@ -368,6 +407,10 @@ def test_request_profiles(spark):
     assert out["v1"][2] == (0.1, K.PYTHON_BARE_TEXT, "2+2")
     assert out["v2"][2] == (0.2, K.PLAIN_TEXT, "2+2")
     assert out["reasoning"][2] == (0.4, K.PLAIN_TEXT + "\n\nCONTEXT:\nUser: hi\nAssistant: yo\n", "2+2")
+    forum = context.request_rows(df, F.lit("General"), F.lit("x"), 10, "reasoning").where("turn = 2").first()
+    assert forum["messages"][0]["content"] == (
+        "You are a user in r/x.Reply to given comment.\n\nCONTEXT:\nUser: hi\nAssistant: yo\n"
+    )
     assert out["v2"][0] == (0.8, "You are a user in r/x.Reply to given comment.", "hi")
 
 
@@ -434,7 +477,7 @@ def test_sequences(spark):
 
 def test_tfidf_rows_have_unit_length(spark, sf):
     documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    rows = router.prepare(documents, "text")
+    rows = router.prepare(documents, "text", key="doc_id")
     weights = features.fit_tfidf(rows, "term_words", "terms", 500).weights(rows, "doc_id")
     norms = weights.groupBy("doc_id").agg(F.sum(F.col("w") * F.col("w")).alias("n")).collect()
     assert norms and all(abs(r["n"] - 1) < 1e-9 for r in norms)
@@ -448,8 +491,10 @@ def test_router_learns_and_persists(spark, network):
 
     kinds = {"math": "solve integral of x plus {}", "code": "import numpy pandas loop {}", "general": "tell nice story friend {}"}
     data = [(f"{k}{i}", k, t.format(i)) for k, t in kinds.items() for i in range(40)]
-    df = router.prepare(spark.createDataFrame(data, "id string, category string, text string"), "text")
-    model = router.train(df, "category", 60, network)
+    df = router.prepare(spark.createDataFrame(data, "id string, category string, text string"), "text", key="id")
+    fitted = router.train(df, "category", 60, network)
+    model = fitted.model
+    assert 0 < fitted.iterations <= 50 and fitted.converged == (fitted.iterations < 50)
     scored = router.score(model, df)
     assert router.accuracy(scored, "label", "category").first()["accuracy"] == "100.0"
     assert all(1 / 3 <= r["confidence"] <= 1 for r in scored.collect())
@@ -459,11 +504,11 @@ def test_router_learns_and_persists(spark, network):
     assert rows_of(again, "id", "label") == rows_of(scored, "id", "label")
 
 
-@pytest.mark.parametrize("n,broadcast_rows", [(5, 1000), (300, 1000), (300, 0), (10**6, 1000)])
-def test_top_ngrams_equal_a_full_count(spark, sf, n, broadcast_rows):
+@pytest.mark.parametrize("n", [5, 300, 10**6])
+def test_top_ngrams_equal_a_full_count(spark, sf, n):
     documents = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
     rows = router.prepare(documents, "text", stem=False)
-    got = features.top_ngrams(rows, "term_words", n, broadcast_rows=broadcast_rows)
+    got = features.top_ngrams(rows, "term_words", n)
     assert rows_of(got, "tf", "term") == rows_of(features.top_terms(rows, "terms", n), "tf", "term")
 
 

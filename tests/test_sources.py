@@ -7,7 +7,8 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from threadloom import schemas
+from threadloom import schemas, session
+from threadloom.operators import features, language, pairs, profile
 from threadloom.plans import corpus
 from threadloom.sources import readers, writers
 
@@ -75,8 +76,78 @@ def test_labelled_text_picks_first_column(spark, folder):
     with open(f"{folder}/b.jsonl", "w") as f:
         f.write('{"other": 1}\n')
     paths = {"math": [f"{folder}/a.jsonl", f"{folder}/missing.jsonl"], "code": [f"{folder}/b.jsonl"]}
-    rows = readers.read_labelled_text(spark, paths).collect()
+    rows = readers.read_labelled_text(spark, paths, skip_missing=True).collect()
     assert [(r["text"], r["category"]) for r in rows] == [("q", "math")]
+    with pytest.raises(FileNotFoundError):
+        readers.read_labelled_text(spark, paths)
+
+
+def test_labelled_text_takes_patterns(spark, folder):
+    for name in "xy":
+        with open(f"{folder}/{name}.jsonl", "w") as f:
+            f.write(f'{{"input": "{name}", "n": 1}}\n{{broken\n')
+    rows = readers.read_labelled_text(spark, {"code": [f"{folder}/*.jsonl"]}).collect()
+    assert sorted((r["text"], r["category"]) for r in rows) == [("x", "code"), ("y", "code")]
+
+
+def test_last_row_wins_over_files_of_any_size(spark, folder):
+    """The later file by name wins, whichever is larger; within a file the later line."""
+    for sizes in ((5, 4000), (4000, 5)):
+        paths = []
+        for month, n in zip(("2020-01", "2020-02"), sizes, strict=True):
+            path = f"{folder}/RC_{month}_{n}.zst"
+            rows = [comment(i % 3, body=f"{month} {i}", pad="x" * 50) for i in range(n)]
+            write_zst(path, rows)
+            paths.append(path)
+        rows = readers.read_dump(spark, paths, schemas.RAW_COMMENTS, "position")
+        last = pairs.latest_by_id(readers.good_rows(rows), "id", "position")
+        want = {f"c{i % 3}": f"2020-02 {i}" for i in range(sizes[1])}
+        assert {r["id"]: r["body"] for r in last.collect()} == want
+
+
+def test_counts_of_a_dump(spark, folder):
+    write_zst(f"{folder}/RC.zst", [comment(1), "{broken", "", "  ", comment(2), "17"])
+    rows = readers.read_dump(spark, f"{folder}/RC.zst", schemas.RAW_COMMENTS)
+    assert rows.count() == 4
+    assert readers.good_rows(rows).count() == 2 and readers.rejected_rows(rows).count() == 2
+    assert tuple(profile.dump_counts(rows).first()) == (4, 2, 2)
+    assert profile.row_counts({"dump": rows}).first()["rows"] == 4
+
+
+def test_only_the_output_itself_is_left_out(spark, folder):
+    line = '{"instruction": "x", "input": "y", "output": "z"}\n'
+    for name in ("a.jsonl", "final.jsonl", "final.jsonl.part2.jsonl"):
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(line)
+    rows = readers.read_instruction_tables(spark, f"{folder}/*.jsonl", "final.jsonl")
+    counts = {r["origin"]: r["count"] for r in rows.groupBy("origin").count().collect()}
+    assert counts == {"a.jsonl": 1, "final.jsonl.part2.jsonl": 1}
+
+
+def test_header_scan(spark, folder):
+    write_zst(f"{folder}/RC.zst", ['{"b": 1, "a": 2}', "{broken", '{"c": {"deep": 1}}', '{"late": 1}'])
+    found = profile.scan_header(spark, f"{folder}/RC.zst", 3).collect()
+    assert sorted(r["field"] for r in found) == ["a", "b", "c"]
+
+
+def test_models_come_back(spark, folder, sf):
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    model = language.fit(documents, "text", "lang", ["de", "en"])
+    language.save(model, f"{folder}/language")
+    again = language.load(spark, f"{folder}/language")
+    predict = lambda m: sorted(map(tuple, m.predict(documents, "doc_id", F.col("text")).collect()))
+    assert predict(model) == predict(again)
+    vocab = features.vocabulary(documents.select(F.split("text", " ").alias("w")), "w", 50)
+    writers.save_vocabulary(vocab, f"{folder}/vocab")
+    assert sorted(map(tuple, writers.load_vocabulary(spark, f"{folder}/vocab").collect())) == sorted(map(tuple, vocab.collect()))
+
+
+def test_stages_are_deleted(spark):
+    other = session.new_stage(spark)
+    spark.range(3).write.parquet(other)
+    kept = session.materialise(spark.range(5))
+    assert kept.count() == 5 and readers.path_exists(spark, other)
+    assert other.startswith(session.stage_folder(spark))
 
 
 def test_write_by_kind(spark, folder):
@@ -94,20 +165,14 @@ def test_rewrite_stage(spark, folder):
     assert not readers.path_exists(spark, f"{path}.next") and not readers.path_exists(spark, f"{path}.old")
 
 
-def test_spread(spark):
-    one = spark.range(100).coalesce(1)
-    assert readers.spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 64)
-    assert readers.spread(many) is many
-
-
-def test_build_stages(spark, folder):
+def test_build_stages(spark, folder, sf):
+    model = language.fit(spark.read.parquet(f"{sf}/documents.parquet"), "text", "lang", ["de", "en"])
     replies = [comment(1), comment(2, parent_id="t1_c1"), comment(3, score=3), comment(4, author="x_Bot")]
     post = {"id": "s1", "subreddit": "", "title": "A title that is long enough to pass on its own", "selftext": "", "score": 99, "author": "z"}
     write_zst(f"{folder}/RC.zst", replies)
     write_zst(f"{folder}/RS.zst", [json.dumps(post)])
-    pairs = corpus.build_stages(spark, f"{folder}/RC.zst", f"{folder}/RS.zst", folder, spread=3)
-    got = {r["id"]: r for r in pairs.collect()}
+    found = corpus.build_stages(spark, f"{folder}/RC.zst", f"{folder}/RS.zst", folder, model)
+    got = {r["id"]: r for r in found.collect()}
     assert set(got) == {"c1", "c2"}
     assert got["c1"]["pair_type"] == "submission" and got["c1"]["input"] == post["title"]
     assert got["c1"]["instruction"] == "You are a user in r/a, Reply to the given comment."

@@ -41,8 +41,8 @@ def rows_of(df):
 def test_stream_clean(spark, sf):
     comments = V.comments(spark, sf)
     path, folder = as_files(comments, ["pos % 3 = 0", "pos % 3 = 1", "pos % 3 = 2"])
-    out = run_to_table(streams.clean_stream(stream_of(spark, path, comments.schema)), folder)
-    batch = clean.clean_comments(admit.admit_comments(comments))
+    out = run_to_table(streams.clean_ascii_stream(stream_of(spark, path, comments.schema)), folder)
+    batch = clean.clean_comments(admit.admit_ascii_comments(comments))
     assert rows_of(spark.read.parquet(out)) == rows_of(batch)
 
 
@@ -75,6 +75,14 @@ def test_stream_history(spark, sf):
     assert rows_of(spark.read.parquet(out)) == rows_of(batch.select("conv_id", "turn", "history"))
 
 
+def test_frames_are_put_in_order_one_at_a_time():
+    import pandas as pd
+
+    frames = [pd.DataFrame({"turn": t}) for t in ([0, 1], [3, 2], [9, 5], [7, 8], [10])]
+    held = [f["turn"].tolist() for f in streams.in_turn_order(iter(frames))]
+    assert held == [[0, 1], [2, 3], [5, 7, 8, 9], [10]]
+
+
 def test_views_are_whole(spark, sf):
     documents = V.table(spark, sf, "documents")
     lines = documents.select(F.sum(F.size(F.split("text", "\n"))).alias("n")).first()["n"]

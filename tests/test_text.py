@@ -11,6 +11,7 @@ from threadloom import constants as K
 from threadloom.functions import porter
 from threadloom.functions import predicates as P
 from threadloom.functions import text as X
+from threadloom.operators import features
 
 CASES = [
     "", " ", "plain text", "> quote\nrest", "> q\r\nrest\r\n> again", "a > not a line", "a\n>\n>b\n\n>c",
@@ -173,6 +174,8 @@ def test_stems(word, want):
 
 
 def test_stem_columns(spark):
-    df = spark.createDataFrame([(["running", "cats"], "flies"), (None, None)], "w array<string>, c string")
-    rows = df.select(porter.stem_tokens("w").alias("w"), porter.stem_token("c").alias("c")).collect()
-    assert [(r["w"], r["c"]) for r in rows] == [(["run", "cat"], "fli"), (None, None)]
+    df = spark.createDataFrame([(1, ["running", "cats", "cats"], "flies"), (2, [], None), (3, None, "x")], "k int, w array<string>, c string")
+    stems = df.select("k", porter.stem_token("c").alias("c")).collect()
+    assert sorted((r["k"], r["c"]) for r in stems) == [(1, "fli"), (2, None), (3, "x")]
+    rows = features.stemmed(df, "k", "w").collect()
+    assert sorted((r["k"], r["w"]) for r in rows) == [(1, ["run", "cat", "cat"]), (2, []), (3, [])]

@@ -199,12 +199,16 @@ def grams(source: str, key: str, text: str) -> str:
             select {key}, regexp_extract_all(lower({text}), '(?s).') as a from {source})))"""
 
 
-MODEL = f"""
-    prof as materialized (select lang, gram, count(*) as n from {grams('documents', 'lang', 'text')} group by all),
+def model(source: str) -> str:
+    return f"""
+    prof as materialized (select lang, gram, count(*) as n from {grams(source, 'lang', 'text')} group by all),
     class_total as (select lang, sum(n) as total from prof group by lang),
     gram_total as (select count(distinct gram) as v from prof)"""
 
 
+MODEL = model("documents")
+
+
 def predict(name: str, source: str, key: str, text: str) -> str:
     """CTEs that end in ``name(key, lang, score)``."""
     return f"""
@@ -220,13 +224,13 @@ def predict(name: str, source: str, key: str, text: str) -> str:
              qualify row_number() over (partition by {key} order by score desc, lang) = 1)"""
 
 
-def english(name: str, source: str, text: str) -> str:
+def english(name: str, source: str, text: str, key: str = "id") -> str:
     """CTEs that end in ``name``: the rows of ``source`` that are ASCII or predicted English."""
     return f"""
-    {name}_o as (select id, {text} as scored from {source} where not {is_ascii(text)}),
-    {predict(name + '_l', name + '_o', 'id', 'scored').strip()},
+    {name}_o as (select {key}, {text} as scored from {source} where not {is_ascii(text)}),
+    {predict(name + '_l', name + '_o', key, 'scored').strip()},
     {name} as materialized (select * from {source} where {is_ascii(text)}
-        or id in (select id from {name}_l where lang = 'en'))"""
+        or {key} in (select {key} from {name}_l where lang = 'en'))"""
 
 
 ORACLES["lang_profile"] = (
@@ -245,6 +249,18 @@ ORACLES["router_accuracy"] = (
 ORACLES["english_filter"] = with_ctes(
     "comments_v", MODEL, english("kept", "comments_v", "body"), "select id from kept"
 )
+ORACLES["english_filter_repeated_ids"] = with_ctes(
+    "comments_v",
+    MODEL,
+    english("kept", "comments_v", "body", "pos"),
+    "select 'r' || (pos % 97) as id, body from kept",
+)
+_PART = f"case when {draw('42-split', 'doc_id')} % 100 < 20 then 'test' else 'train' end"
+ORACLES["lang_holdout"] = f"""with train as (select * from documents where {_PART} = 'train'),
+    test as (select * from documents where {_PART} = 'test'),
+    {model('train')}, {predict('found', 'test', 'doc_id', 'text')}
+    select t.lang as expected, f.lang as predicted, count(*) as rows
+    from test t join found f on f.doc_id = t.doc_id group by all"""
 ORACLES["admit_comments"] = with_ctes(
     "comments_v", MODEL, KEPT_COMMENTS, english("kept", "kept_c", "body"), "select id, score from kept"
 )
@@ -353,6 +369,17 @@ ORACLES["parse_ndjson"] = with_views(
        from (select *, json_valid(line) and coalesce(json_type(case when json_valid(line) then line else '{}' end, '$.k'), 'NULL')
              in ('UBIGINT', 'BIGINT', 'NULL') as ok from props_v)""",
 )
+_DUMPED = f"""select pos, line, case when json_valid(line) then line end as j
+    from (select pos, {V.DUCK_DUMP_LINE} as line from comments_v)"""
+ORACLES["read_dump"] = with_views(
+    "comments_v",
+    f"""select json_extract_string(j, '$.id') as id, cast(json_extract_string(j, '$.score') as bigint) as score,
+        json_extract_string(j, '$.subreddit') as subreddit from ({_DUMPED}) where j is not null
+        qualify row_number() over (partition by json_extract_string(j, '$.id') order by pos desc) = 1""",
+)
+ORACLES["dump_row_counts"] = with_views(
+    "comments_v", f"select count(*) as lines, count(j) as good, count(*) - count(j) as rejected from ({_DUMPED})"
+)
 _ORIGINS = ("documents", "benchmark", "conversations")
 ORACLES["multi_source_scan"] = " union all ".join(
     f"select '{t}' as origin, '{t}.parquet' as file, count(*) as rows, cast(sum(length(text)) as bigint) as chars from {t}"
@@ -384,6 +411,21 @@ MATH = f"""
              else s.output end as output
         from sourced_v s join known k on k.src = {strip('lower(s.source)')})"""
 ORACLES["instruct_by_source"] = with_ctes("sourced_v", MATH, "select * from maths")
+ORACLES["read_tables"] = with_ctes(
+    "sourced_v",
+    MATH,
+    """select kind || '.jsonl' as origin, count(*) as rows, cast(sum(length(output)) as bigint) as chars
+       from maths group by 1
+       union all select 'final.jsonl.part2.jsonl', 2 * count(*), cast(2 * sum(length(output)) as bigint) from maths""",
+)
+ORACLES["write_by_kind"] = with_ctes(
+    "sourced_v", MATH, "select kind, count(*) as rows, cast(sum(id) as bigint) as ids from maths group by kind"
+)
+ORACLES["rewrite_stage"] = with_views(
+    "comments_v", f"select id, {polish('body')} as body from comments_v where length({polish('body')}) >= 15"
+)
+ORACLES["head_lines"] = f"""select '{{"item_id":' || item_id || '}}' as value from benchmark
+    order by item_id limit {K.HEAD_SAMPLE_LINES}"""
 ORACLES["instruct_source_counts"] = with_ctes(
     "sourced_v",
     MATH,
@@ -420,40 +462,32 @@ PAIRS = f"""
         case when s.selftext <> '' then s.selftext else s.title end as input, c.body as output, c.subreddit
         from com c join cs s on c.parent_id = 't3_' || s.id),
     pairs as materialized (select * from pair_c union all select * from pair_s)"""
-PLAIN_FORUM = (
+FORUM = (
+    MODEL,
     KEPT_COMMENTS,
     KEPT_SUBMISSIONS,
-    cleaned_comments("cc", "kept_c"),
-    cleaned_submissions("cs", "kept_s"),
+    english("en_c", "kept_c", "body"),
+    english("en_s", "kept_s", COMBINED),
+    cleaned_comments("cc", "en_c"),
+    cleaned_submissions("cs", "en_s"),
     PAIRS,
 )
 FORUM_VIEWS = "comments_v submissions_v"
-ORACLES["pair_comment_reply"] = with_ctes(FORUM_VIEWS, *PLAIN_FORUM, "select * from pair_c")
-ORACLES["pair_submission_reply"] = with_ctes(FORUM_VIEWS, *PLAIN_FORUM, "select * from pair_s")
+ORACLES["pair_comment_reply"] = with_ctes(FORUM_VIEWS, *FORUM, "select * from pair_c")
+ORACLES["pair_submission_reply"] = with_ctes(FORUM_VIEWS, *FORUM, "select * from pair_s")
 ORACLES["pair_counts"] = with_ctes(
     FORUM_VIEWS,
-    *PLAIN_FORUM,
+    *FORUM,
     "select coalesce(pair_type, 'all') as pair_type, count(*) as pairs from pairs group by rollup (pair_type)",
 )
 ORACLES["top_sources"] = with_ctes(
     FORUM_VIEWS,
-    *PLAIN_FORUM,
+    *FORUM,
     """select subreddit, rows, row_number() over (order by rows desc, subreddit) as rank from (
        select subreddit, count(*) as rows from pairs where subreddit is not null group by 1
        order by rows desc, subreddit limit 100)""",
 )
-ORACLES["reply_pairs"] = with_ctes(
-    FORUM_VIEWS,
-    MODEL,
-    KEPT_COMMENTS,
-    KEPT_SUBMISSIONS,
-    english("en_c", "kept_c", "body"),
-    english("en_s", "kept_s", COMBINED),
-    cleaned_comments("cc", "en_c"),
-    cleaned_submissions("cs", "en_s"),
-    PAIRS,
-    "select * from pairs",
-)
+ORACLES["reply_pairs"] = with_ctes(FORUM_VIEWS, *FORUM, "select * from pairs")
 ORACLES["latest_by_id"] = """select user_id, event_id, event_type, value from events
     qualify row_number() over (partition by user_id order by event_id desc) = 1"""
 
@@ -462,6 +496,12 @@ ORACLES["field_discovery"] = """select field, min(event_id) as first_line,
     arg_min(place, event_id * 1000 + place) as first_place, count(*) as rows from (
     select event_id, unnest(json_keys(props)) as field,
            generate_subscripts(json_keys(props), 1) - 1 as place from events) group by field"""
+ORACLES["field_discovery_many"] = with_views(
+    "fields_v",
+    """select field, min(event_id) as first_line, arg_min(place, event_id * 1000 + place) as first_place,
+       count(*) as rows from (select event_id, unnest(json_keys(line)) as field,
+           generate_subscripts(json_keys(line), 1) - 1 as place from fields_v) group by field""",
+)
 ORACLES["field_overlap"] = with_ctes(
     FORUM_VIEWS,
     "a as (select distinct unnest(json_keys(to_json(v))) as f from (select * exclude (pos) from comments_v) v)",
@@ -514,6 +554,12 @@ ORACLES["mixture_sample"] = f"""with s as (select event_id, case event_type when
     r as (select *, {hash_rank('event_id', by='partition by stratum')} as rank from s where stratum is not null)
     select event_id, stratum, rank from r
     where rank <= case stratum when 'forum' then 900 when 'code' then 300 else 150 end"""
+_CAPS = {"maths": ("click", K.MATH_CAP), "code": ("view", K.CODE_CAP), "word_problems": ("purchase", K.WORD_PROBLEM_CAP)}
+ORACLES["capped_sources"] = " union all ".join(
+    f"""select '{n}' as origin, count(*) as rows, max(event_id) as last from (
+        select event_id from events where event_type = '{t}' order by event_id limit {cap})"""
+    for n, (t, cap) in _CAPS.items()
+)
 ORACLES["merge_sources"] = """select text, lang, null::bigint as item_id, null::varchar as role, 'documents' as origin from documents
     union all select text, null, item_id, null, 'benchmark' from benchmark
     union all select text, null, null, role, 'conversations' from conversations"""
@@ -548,6 +594,9 @@ NGRAMS = f"""
         list_transform(range(1, len(u) - 1), lambda i: u[i] || ' ' || u[i + 1] || ' ' || u[i + 2])) as t from unigrams)"""
 TOP_TERMS = f"""vocab as materialized (select term, count(*) as tf from (select unnest(t) as term from terms)
     group by term order by tf desc, term limit {K.MAX_VOCABULARY})"""
+ORACLES["stemmed_words"] = """select c_custkey, stem || ' custom buy' as stems from customer
+    join (values ('MACHINERY', 'machineri'), ('BUILDING', 'build'), ('AUTOMOBILE', 'automobil'),
+          ('FURNITURE', 'furnitur'), ('HOUSEHOLD', 'household')) t(segment, stem) on segment = c_mktsegment"""
 ORACLES["idf_table"] = f"""with {PLAIN_WORDS},
     d as (select term, count(distinct doc_id) as df from (select doc_id, unnest(w) as term from words) group by term),
     n as (select count(*) as n from documents)
@@ -571,6 +620,11 @@ ORACLES["router_confusion"] = with_views(
     "labelled_v",
     "select upper(trim(label)) as expected, upper(trim(predicted)) as predicted, count(*) as rows from labelled_v group by 1, 2",
 )
+_ROUTER_PART = f"case when {draw('42-split', 'row_id')} % 100 < 20 then 'test' else 'train' end"
+ORACLES["router_split"] = f"""select category, {_ROUTER_PART} as part, count(*) as rows from (
+    select 'documents|' || doc_id as row_id, 'general' as category from documents
+    union all select 'benchmark|' || item_id, 'math' from benchmark
+    union all select 'conversations|' || conv_id || '|' || turn, 'code' from conversations) group by all"""
 ORACLES["eval_rows"] = with_views(
     "labelled_v",
     """select conv_id, turn, case when p = e then '[PASS] ' || pre || ' -> ' || p
@@ -674,15 +728,49 @@ ORACLES["math_prompt"] = f"""select *, case
     else {q(K.DEFAULT_MATH_TEXT)} end as prompt
     from (select doc_id, {", ".join(f"(h >> {i}) % 2 = 1 as {n}" for i, n in enumerate(_FLAGS))}
           from (select doc_id, {draw('flags', 'doc_id')} as h from documents))"""
-ORACLES["build_messages"] = with_ctes(
-    "labelled_v",
+
+
+def last_lines(source: str, n: int) -> str:
+    """CTEs that end in ``ctx(conv_id, turn, ctx)``: the last ``n`` lines before user messages."""
+    return f"""
+    {DIALOGUE.format(source=source)},
+    m as (select *, {LINE} as line, row_number() over (partition by conv_id order by turn) as rn from dlg),
+    ctx as (select u.conv_id, u.turn, coalesce(string_agg(h.line, chr(10) order by h.turn), '') as ctx
+        from m u left join m h on h.conv_id = u.conv_id and h.rn < u.rn and h.rn >= u.rn - {n}
+        where u.role = 'user' group by u.conv_id, u.turn)"""
+
+
+def requests(profile: str, history: str, system: str) -> str:
+    return with_ctes(
+        "labelled_v",
+        history,
+        """req as (select l.conv_id, l.turn, upper(trim(l.label)) as route, l.forum, l.text, c.ctx
+            from labelled_v l join ctx c on c.conv_id = l.conv_id and c.turn = l.turn)""",
+        f"""select conv_id, turn, route, {temperature('route', profile)} as temperature, 0 as place, 'system' as role,
+            {system} as content from req
+            union all
+            select conv_id, turn, route, {temperature('route', profile)}, 1, 'user', text from req""",
+    )
+
+
+ORACLES["build_messages"] = requests(
+    "v2", context("labelled_v"), f"coalesce({technical('route', 'v2')}, {forum_prompt('forum', 'ctx')})"
+)
+ORACLES["build_messages_v1"] = requests(
+    "v1", last_lines("labelled_v", 2 * K.MAX_TURNS), f"coalesce({technical('route', 'v1')}, {forum_prompt('forum', 'ctx')})"
+)
+ORACLES["build_messages_reasoning"] = requests(
+    "reasoning",
     context("labelled_v"),
-    f"""req as (select l.conv_id, l.turn, upper(trim(l.label)) as route, l.forum, l.text, c.ctx
-        from labelled_v l join ctx c on c.conv_id = l.conv_id and c.turn = l.turn)""",
-    f"""select conv_id, turn, route, {temperature('route', 'v2')} as temperature, 0 as place, 'system' as role,
-        coalesce({technical('route', 'v2')}, {forum_prompt('forum', 'ctx')}) as content from req
-        union all
-        select conv_id, turn, route, {temperature('route', 'v2')}, 1, 'user', text from req""",
+    f"""coalesce({technical('route', 'reasoning')}, {forum_prompt('forum', "''")})
+        || coalesce(chr(10) || chr(10) || 'CONTEXT:' || chr(10) || nullif(ctx, ''), '')""",
+)
+ORACLES["cleaned_history"] = with_ctes(
+    "thinking_v",
+    f"""stored as (select conv_id, turn, role, case when role = 'assistant'
+        then {strip("regexp_replace(text, '(?s)<think>.*?</think>', '', 'g')")} else text end as text from thinking_v)""",
+    context("stored"),
+    "select * from ctx",
 )
 
 # --- generated rows -----------------------------------------------------------
@@ -759,7 +847,7 @@ TEST_SET = f"""rows as (
 ORACLES["build_test_set"] = f"with {TEST_SET} select *, {hash_rank('row_id')} as rank from rows"
 ORACLES["training_text"] = with_ctes(
     FORUM_VIEWS + " sourced_v",
-    *PLAIN_FORUM,
+    *FORUM,
     MATH,
     f"""merged as (select 'forum|' || id as row_key, instruction, input, output from (
             select *, {hash_rank('id')} as r from pairs) where r <= 300

@@ -25,8 +25,8 @@ from threadloom.operators import (
     synth,
 )
 from threadloom.plans import corpus
-from threadloom.session import materialise
-from threadloom.sources import readers
+from threadloom.session import materialise, new_stage
+from threadloom.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,8 +39,24 @@ def query(fn: Query) -> Query:
     return fn
 
 
+_models: dict[tuple[str, ...], str] = {}
+
+
+def _saved(spark, sf, name: str, save: Callable[[str], None]) -> str:
+    """The path of a model that is fitted once per application and table folder."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    path = _models.get(key)
+    if path is None or not readers.path_exists(spark, path):
+        path = _models[key] = new_stage(spark)
+        save(path)
+    return path
+
+
 def _language_model(spark, sf) -> language.LanguageModel:
-    return language.fit(V.table(spark, sf, "documents"), "text", "lang", LANGUAGES)
+    def save(path):
+        language.save(language.fit(V.table(spark, sf, "documents"), "text", "lang", LANGUAGES), path)
+
+    return language.load(spark, _saved(spark, sf, "language", save))
 
 
 # --- sources ------------------------------------------------------------------
@@ -51,6 +67,66 @@ def parse_ndjson(spark, sf):
     return parsed.select("event_id", "is_valid", F.when(F.col("is_valid"), F.col("parsed.k")).alias("k"))
 
 
+DUMP_SCHEMA = "id string, score bigint, subreddit string"
+
+
+def _dump(spark, sf):
+    schema = schemas.T.StructType.fromDDL(DUMP_SCHEMA)
+    return readers.read_dump(spark, V.dump(spark, sf), schema, "position")
+
+
+@query
+def read_dump(spark, sf):
+    """The last good line of each id of a dump of several files."""
+    return pairs.latest_by_id(readers.good_rows(_dump(spark, sf)), "id", "position").drop("position")
+
+
+@query
+def dump_row_counts(spark, sf):
+    return profile.dump_counts(_dump(spark, sf))
+
+
+@query
+def read_tables(spark, sf):
+    """Instruction tables of a folder, without the output that lies among them."""
+    maths = instruct.math_rows(V.sourced(spark, sf))
+    folder = new_stage(spark)
+    for kind in ("CoT", "PoT"):
+        writers.write_jsonl(maths.where(F.col("kind") == kind).drop("kind", "id"), f"{folder}/{kind}.jsonl")
+    writers.write_jsonl(maths.drop("kind", "id"), f"{folder}/final.jsonl")
+    writers.write_jsonl(maths.drop("kind", "id"), f"{folder}/final.jsonl.part2.jsonl")
+    writers.write_jsonl(maths.drop("kind", "id"), f"{folder}/final.jsonl.part2.jsonl", mode="append")
+    rows = readers.read_instruction_tables(spark, f"{folder}/*.jsonl", "final.jsonl")
+    return rows.groupBy("origin").agg(F.count("*").alias("rows"), F.sum(F.length("output")).alias("chars"))
+
+
+@query
+def write_by_kind(spark, sf):
+    """A table written in one folder per kind, and read again as one."""
+    folder = new_stage(spark)
+    writers.write_by_kind(instruct.math_rows(V.sourced(spark, sf)), folder, "kind")
+    rows = spark.read.schema("id bigint, output string, kind string").json(folder)
+    return rows.groupBy("kind").agg(F.count("*").alias("rows"), F.sum("id").alias("ids"))
+
+
+@query
+def rewrite_stage(spark, sf):
+    """A stage polished in place."""
+    path = new_stage(spark)
+    V.comments(spark, sf).select("id", "body").write.parquet(path)
+    writers.rewrite_stage(spark, path, clean.polish_comments)
+    return spark.read.parquet(path)
+
+
+@query
+def head_lines(spark, sf):
+    """The first lines of one text file, as they are."""
+    folder = new_stage(spark)
+    lines = V.table(spark, sf, "benchmark").orderBy("item_id").limit(2 * K.HEAD_SAMPLE_LINES)
+    lines.select(F.to_json(F.struct("item_id")).alias("value")).coalesce(1).write.text(folder)
+    return readers.head_lines(spark, folder)
+
+
 @query
 def multi_source_scan(spark, sf):
     parts = {
@@ -152,7 +228,14 @@ def all_caps(spark, sf):
 @query
 def english_filter(spark, sf):
     rows = V.comments(spark, sf).select("id", "body")
-    return admit.keep_english(rows, "id", F.col("body"), _language_model(spark, sf)).select("id")
+    return admit.keep_english(rows, F.col("body"), _language_model(spark, sf)).select("id")
+
+
+@query
+def english_filter_repeated_ids(spark, sf):
+    """Every row is judged by its own text, also where many rows share an id."""
+    rows = V.comments(spark, sf).select(F.expr("concat('r', pos % 97)").alias("id"), "body")
+    return admit.keep_english(rows, F.col("body"), _language_model(spark, sf))
 
 
 @query
@@ -259,11 +342,13 @@ def keyword_flag(spark, sf):
 
 # --- pairs --------------------------------------------------------------------
 def _cleaned_forum(spark, sf):
-    """Cleaned tables without the language test."""
-    replies = admit.comment_candidates(V.comments(spark, sf))
-    posts = admit.submission_candidates(V.submissions(spark, sf))
-    cleaned = clean.polish_comments(clean.clean_comments(replies))
-    return materialise(cleaned), materialise(clean.clean_submissions(posts))
+    """Both tables admitted (with the language test), cleaned and polished, last row per id."""
+    tables = {"comments": corpus.clean_comments, "submissions": corpus.clean_submissions}
+    model = _language_model(spark, sf)
+    return tuple(
+        V.staged(spark, sf, f"clean {name}", lambda v=getattr(V, name), f=f: f(v(spark, sf), model, "pos"))
+        for name, f in tables.items()
+    )
 
 
 @query
@@ -304,6 +389,12 @@ def field_discovery(spark, sf):
     return profile.discover_fields(V.table(spark, sf, "events"), "props", "event_id")
 
 
+@query
+def field_discovery_many(spark, sf):
+    """Fields that come and go; the first line and place of each."""
+    return profile.discover_fields(V.many_fields(spark, sf), "line", "event_id")
+
+
 @query
 def field_overlap(spark, sf):
     def fields(df):
@@ -382,6 +473,15 @@ def mixture_sample(spark, sf):
     return sampling.mixture_sample(events, "stratum", "event_id", sampling.percent_quotas(1500))
 
 
+@query
+def capped_sources(spark, sf):
+    """The caps of the public sources, and how many rows each keeps."""
+    events = V.table(spark, sf, "events").select("event_id", "event_type")
+    parts = {name: events.where(F.col("event_type") == t) for name, t in zip(("maths", "code", "word_problems"), ("click", "view", "purchase"))}
+    kept = sampling.merge_sources(corpus.capped_sources(**parts, position="event_id"))
+    return kept.groupBy("origin").agg(F.count("*").alias("rows"), F.max("event_id").alias("last"))
+
+
 @query
 def merge_sources(spark, sf):
     return sampling.merge_sources(
@@ -399,6 +499,13 @@ def _words(spark, sf, spaced=True):
     return router.prepare(documents, "text", spaced=spaced, stem=False)
 
 
+def _saved_vocabulary(spark, sf, rows):
+    def save(path):
+        writers.save_vocabulary(features.vocabulary(rows, "words"), path)
+
+    return writers.load_vocabulary(spark, _saved(spark, sf, "vocabulary", save))
+
+
 @query
 def vocab_counts(spark, sf):
     return features.term_counts(_words(spark, sf), "words")
@@ -412,7 +519,7 @@ def vocab_index(spark, sf):
 @query
 def encode_sequences(spark, sf):
     rows = _words(spark, sf)
-    encoded = features.encode_sequences(rows, "doc_id", "words", features.vocabulary(rows, "words"))
+    encoded = features.encode_sequences(rows, "doc_id", "words", _saved_vocabulary(spark, sf, rows))
     return encoded.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
 
 
@@ -422,6 +529,14 @@ def stem_tokens(spark, sf):
     return counts.select("term", porter.stem_token("term").alias("stem"), "tf")
 
 
+@query
+def stemmed_words(spark, sf):
+    """Rows with their words stemmed by way of the distinct words."""
+    segment = F.split(F.concat(F.lower("c_mktsegment"), F.lit(" customers buying")), " ")
+    rows = V.table(spark, sf, "customer").select("c_custkey", segment.alias("words"))
+    return features.stemmed(rows, "c_custkey", "words").select("c_custkey", F.array_join("words", " ").alias("stems"))
+
+
 @query
 def idf_table(spark, sf):
     table = features.idf_table(_words(spark, sf, spaced=False), "words")
@@ -470,6 +585,21 @@ def lang_predict(spark, sf):
     return found.select("doc_id", "lang", F.round("score", 2).alias("score"))
 
 
+@query
+def lang_holdout(spark, sf):
+    """The count-based classifier fitted on four fifths of the documents, judged on the rest."""
+    documents = V.table(spark, sf, "documents").select("doc_id", "text", F.col("lang").alias("expected"))
+    split = sampling.train_test_split(documents, "doc_id", 20)
+
+    def save(path):
+        language.save(language.fit(split.where("part = 'train'"), "text", "expected", LANGUAGES), path)
+
+    model = language.load(spark, _saved(spark, sf, "language of the training part", save))
+    test = split.where("part = 'test'")
+    found = test.select("doc_id", "expected").join(model.predict(test, "doc_id", F.col("text")), "doc_id")
+    return found.groupBy("expected", F.col("lang").alias("predicted")).agg(F.count("*").alias("rows"))
+
+
 @query
 def router_accuracy(spark, sf):
     return router.accuracy(_predictions(spark, sf), "lang", "expected")
@@ -492,23 +622,52 @@ def normaliser_skew(spark, sf):
 
 
 def _router_rows(spark, sf):
-    return router.prepare(_labelled_text(spark, sf), "text")
+    """Labelled texts with a key, their stemmed words and their part of the split."""
+
+    def rows():
+        parts = [
+            df.select(F.concat(F.lit(f"{name}|"), *key).alias("row_id"), "text", F.lit(label).alias("category"))
+            for name, label, key, df in (
+                ("documents", "general", [F.col("doc_id").cast("string")], V.table(spark, sf, "documents")),
+                ("benchmark", "math", [F.col("item_id").cast("string")], V.table(spark, sf, "benchmark")),
+                ("conversations", "code", [F.concat_ws("|", "conv_id", "turn")], V.table(spark, sf, "conversations")),
+            )
+        ]
+        merged = materialise(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+        prepared = router.prepare(merged, "text", key="row_id")
+        return sampling.train_test_split(prepared, "row_id", 20).select("row_id", "category", "part", "term_words")
+
+    written = V.staged(spark, sf, "router rows", rows)
+    return written.withColumn("terms", X.ngram_terms("term_words"))
+
+
+def _router(spark, sf):
+    """The router fitted on the training part, saved and loaded."""
+
+    def save(path):
+        rows = _router_rows(spark, sf).where("part = 'train'")
+        writers.save_model(router.train(rows, "category").model, path)
+
+    return writers.load_model(_saved(spark, sf, "router", save))
 
 
 @query
 def train_router(spark, sf):
-    rows = materialise(_router_rows(spark, sf).select("category", "term_words"))
-    rows = rows.withColumn("terms", X.ngram_terms("term_words"))
-    scored = router.score(router.train(rows, "category"), rows)
+    """The confusion table of the held-out part."""
+    scored = router.score(_router(spark, sf), _router_rows(spark, sf).where("part = 'test'"))
     return router.confusion(scored, "label", "category")
 
 
 @query
 def score_router(spark, sf):
-    rows = materialise(_router_rows(spark, sf).select("category", "term_words"))
-    rows = rows.withColumn("terms", X.ngram_terms("term_words"))
-    model = router.train(rows, "category")
-    return router.score(model, rows).select("category", "label", F.round("confidence", 6).alias("confidence"))
+    scored = router.score(_router(spark, sf), _router_rows(spark, sf).where("part = 'test'"))
+    return scored.select("row_id", "category", "label", F.round("confidence", 6).alias("confidence"))
+
+
+@query
+def router_split(spark, sf):
+    """Rows of each class in the two parts of the split."""
+    return _router_rows(spark, sf).groupBy("category", "part").agg(F.count("*").alias("rows"))
 
 
 # --- conversations ------------------------------------------------------------
@@ -578,16 +737,36 @@ def math_prompt(spark, sf):
     return flags.withColumn("prompt", prompts.math_prompt(*names))
 
 
-@query
-def build_messages(spark, sf):
-    rows = context.dialogue(V.labelled(spark, sf))
-    requests = context.request_rows(rows, F.col("label"), F.col("forum"), SYSTEM_COST)
+def _requests(rows, profile="v2"):
+    requests = context.request_rows(rows, F.col("label"), F.col("forum"), SYSTEM_COST, profile)
     parts = requests.select("conv_id", "turn", "route", "temperature", F.posexplode("messages"))
     return parts.select(
         "conv_id", "turn", "route", "temperature", F.col("pos").alias("place"), "col.role", "col.content"
     )
 
 
+@query
+def build_messages(spark, sf):
+    return _requests(context.dialogue(V.labelled(spark, sf)))
+
+
+@query
+def build_messages_v1(spark, sf):
+    return _requests(context.dialogue(V.labelled(spark, sf)), "v1")
+
+
+@query
+def build_messages_reasoning(spark, sf):
+    return _requests(context.dialogue(V.labelled(spark, sf)), "reasoning")
+
+
+@query
+def cleaned_history(spark, sf):
+    """The budgeted history over turns that were stored without their reasoning."""
+    stored = context.store_answers(context.dialogue(V.thinking(spark, sf)))
+    return context.history_context(stored, SYSTEM_COST)
+
+
 # --- generated rows -----------------------------------------------------------
 @query
 def synth_arithmetic(spark, sf):

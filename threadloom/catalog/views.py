@@ -6,11 +6,14 @@ whole; marks such as quotes, tags, entities, links and edit notes are added by d
 the plain test text holds almost none.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom import constants as K
-from threadloom.sources.readers import spread
+from threadloom.session import new_stage
+from threadloom.sources.readers import path_exists
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -116,6 +119,21 @@ LABELLED_SELECT = f"""
     case when p % 5 = 0 then null when p % 5 = 1 then '' else text end as context
 """
 
+# A line of the dump: every eleventh is broken, and ids come again.
+DUMP_LINE = """case when pos % 11 = 0 then concat('{"id": "r', pos % 997, '", "score": ')
+    else concat('{"id": "r', pos % 997, '", "score": ', coalesce(cast(score as string), 'null'),
+         ', "subreddit": "', coalesce(subreddit, ''), '", "unread": [1, {"a": ', pos, '}]}') end"""
+DUCK_DUMP_LINE = DUMP_LINE.replace("as string", "as varchar")
+
+# JSON with fields that come and go, a null value and a nested object.
+FIELDS_SELECT = """
+    event_id,
+    concat('{', case when h % 3 > 0 then '"b": 1, ' else '' end,
+        case when h % 5 = 0 then '"c": null, ' else '' end,
+        case when h % 7 = 0 then concat('"d', h % 3, '": {"x": 1}, ') else '' end,
+        '"a": "', event_type, '"}') as line
+"""
+
 PROPS_SELECT = """
     event_id,
     case when h % 13 = 0 then '{"k": ' when h % 17 = 0 then '{"k": "12"}'
@@ -123,13 +141,31 @@ PROPS_SELECT = """
 """
 
 
-# Tables with long texts, and the key by which their rows are spread over the cores.
+# Tables with long texts, and the key by which their rows are dealt out on request.
 TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+#: Set by a caller whose tables are single files with one row group, which one task would
+#: read: the number of partitions for their rows. Unset, a scan is left as it is.
+SCAN_PARTITIONS = "threadloom.scan.partitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
+    asked = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(asked), TEXT_TABLES[name]) if asked and name in TEXT_TABLES else df
+
+
+_staged: dict[tuple[str, str, str], str] = {}
+
+
+def staged(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    """Rows written once per application and table folder, and read from there, as a raw dump
+    brought to Parquet would be: filters and columns reach the scan."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = _staged.get(key)
+    if path is None or not path_exists(spark, path):
+        path = _staged[key] = new_stage(spark)
+        rows().write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _documents(spark: SparkSession, sf_dir: str, tag: str) -> DataFrame:
@@ -142,15 +178,15 @@ def _documents(spark: SparkSession, sf_dir: str, tag: str) -> DataFrame:
 
 
 def _project(df: DataFrame, body: str) -> DataFrame:
-    """Apply a shared select body.
-
-    The generator keeps the view opaque, as a scan would be: filters on a column are not
-    rewritten into many copies of the expression that makes it.
-    """
+    """Apply a shared select body."""
     return df.selectExpr(f"inline_outer(array(struct({body})))")
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(spark, sf_dir, "comments", lambda: _comments(spark, sf_dir))
+
+
+def _comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "documents").select(
         "doc_id", "source", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     )
@@ -160,7 +196,8 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _project(_documents(spark, sf_dir, "post"), SUBMISSION_SELECT)
+    rows = lambda: _project(_documents(spark, sf_dir, "post"), SUBMISSION_SELECT)
+    return staged(spark, sf_dir, "submissions", rows)
 
 
 def sourced(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +223,27 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(_messages(spark, sf_dir), LABELLED_SELECT)
 
 
+def dump(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a comment dump: NDJSON files in the order of ``pos``, ids that come again,
+    and broken lines."""
+
+    def rows() -> DataFrame:
+        lines = comments(spark, sf_dir).selectExpr("pos", f"{DUMP_LINE} as line")
+        return lines.repartitionByRange("pos").sortWithinPartitions("pos").select("line")
+
+    key = (spark.sparkContext.applicationId, sf_dir, "dump")
+    path = _staged.get(key)
+    if path is None or not path_exists(spark, path):
+        path = _staged[key] = new_stage(spark)
+        rows().write.option("compression", "gzip").text(path)
+    return path
+
+
+def many_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return _project(events.withColumn("h", F.expr(spark_draw("fields", "event_id"))), FIELDS_SELECT)
+
+
 def props(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return _project(events.withColumn("h", F.expr(spark_draw("props", "event_id"))), PROPS_SELECT)
@@ -219,6 +277,7 @@ DUCK_VIEWS = {
     "tool_v": f"select {TOOL_SELECT} from {_duck_documents('tool')}",
     "thinking_v": f"select {THINK_SELECT} from {_DUCK_MESSAGES}",
     "labelled_v": f"select {LABELLED_SELECT} from {_DUCK_MESSAGES}",
+    "fields_v": f"select {FIELDS_SELECT} from (select *, {duck_draw('fields', 'event_id')} as h from events)",
     "props_v": f"select {PROPS_SELECT} from (select *, {duck_draw('props', 'event_id')} as h from events)",
 }
 DUCK_NEEDS = {"comments_v": ("lines_v",)}

@@ -1,7 +1,7 @@
 """Porter stemmer (published algorithm with the usual later extensions) for Arrow batches.
 
-``stem_tokens`` maps token arrays. It runs inside the scan stage, without a shuffle: a
-join against a table of distinct tokens would move every token of the corpus.
+``stem_token`` maps a column of words; ``operators.features.stemmed`` gives it the distinct
+words of a corpus and joins their stems.
 """
 
 import re
@@ -123,11 +123,6 @@ def stem(word: str) -> str:
     return _final(_step_4(_swap(_step_2(w), STEP_3)))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def stem_tokens(words: pd.Series) -> pd.Series:
-    return words.map(lambda ws: None if ws is None else [stem(w) for w in ws])
-
-
 @F.pandas_udf(T.StringType())
 def stem_token(words: pd.Series) -> pd.Series:
     return words.map(lambda w: None if w is None else stem(w))

@@ -18,7 +18,11 @@ def is_tombstone(c) -> Column:
 
 
 def has_score(c, minimum: int = K.MIN_SCORE) -> Column:
-    return F.coalesce(_col(c), F.lit(0)) >= F.lit(minimum)
+    """A missing score counts as 0; written so that the scan can apply it."""
+    score = _col(c)
+    if minimum <= 0:
+        return F.coalesce(score, F.lit(0)) >= F.lit(minimum)
+    return score.isNotNull() & (score >= F.lit(minimum))
 
 
 def is_bot(c, names=K.BOT_AUTHORS) -> Column:

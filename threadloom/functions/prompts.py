@@ -81,6 +81,12 @@ def forum_prompt(forum, context, template: ForumTemplate = ForumTemplate()) -> C
     return F.concat(persona, F.coalesce(with_context, F.lit(template.tail)))
 
 
+def context_section(context) -> Column:
+    """The history as a section behind a prompt; nothing without a history."""
+    ctx = F.nullif(_col(context), F.lit(""))
+    return F.coalesce(F.concat(F.lit("\n\nCONTEXT:\n"), ctx), F.lit(""))
+
+
 def math_prompt(latex, mcq, code, explain, comments, asymptote) -> Column:
     """Decision list over six boolean columns; the first rule that holds wins."""
     latex, mcq, code = _col(latex), _col(mcq), _col(code)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from threadloom.functions import predicates as P
 from threadloom.functions import text as X
 from threadloom.operators import language
-from threadloom.session import materialise
+from threadloom.session import materialise, place
 
 
 def comment_candidates(comments: DataFrame) -> DataFrame:
@@ -18,32 +18,36 @@ def submission_candidates(submissions: DataFrame) -> DataFrame:
     return submissions.where(P.passes(P.submission_rejections()))
 
 
-def keep_english(
-    df: DataFrame, key: str, text: Column, model: "language.LanguageModel | None"
-) -> DataFrame:
+def keep_ascii(df: DataFrame, text: Column) -> DataFrame:
+    """The language test for English without a model: only ASCII rows pass."""
+    return df.where(P.is_ascii(text))
+
+
+def keep_english(df: DataFrame, text: Column, model: language.LanguageModel) -> DataFrame:
     """ASCII rows pass at once; only the others are scored by the language model.
 
-    Without a model the ASCII shortcut is the whole test. With one, the rows are written
-    first, because they are used three times and come out of a selective filter.
+    Every row is tested on its own, whatever its id. The rows are written first, because
+    they are used three times and come out of a selective filter.
     """
-    ascii_text = P.is_ascii(text)
-    if model is None:
-        return df.where(ascii_text)
     columns = df.columns
-    df = materialise(df)
-    ascii_rows = df.where(ascii_text)
-    other = df.where(~ascii_text)
-    found = model.predict(other, key, text).where(F.col("lang") == "en").select(key)
-    return ascii_rows.unionByName(other.join(found, key, "left_semi").select(*columns))
+    written = materialise(df)
+    other = written.where(~P.is_ascii(text)).select(*columns, place().alias("_place"))
+    found = model.predict(other, "_place", text).where(F.col("lang") == "en").select("_place")
+    english = other.join(found, "_place", "left_semi").select(*columns)
+    return keep_ascii(written, text).select(*columns).unionByName(english)
+
+
+def admit_comments(comments: DataFrame, model: language.LanguageModel) -> DataFrame:
+    return keep_english(comment_candidates(comments), F.col("body"), model)
 
 
-def admit_comments(comments: DataFrame, model=None) -> DataFrame:
-    return keep_english(comment_candidates(comments), "id", F.col("body"), model)
+def admit_submissions(submissions: DataFrame, model: language.LanguageModel) -> DataFrame:
+    return keep_english(submission_candidates(submissions), P.title_and_body("title", "selftext"), model)
 
 
-def admit_submissions(submissions: DataFrame, model=None) -> DataFrame:
-    text = P.title_and_body("title", "selftext")
-    return keep_english(submission_candidates(submissions), "id", text, model)
+def admit_ascii_comments(comments: DataFrame) -> DataFrame:
+    """Admission where only ASCII texts count as English."""
+    return keep_ascii(comment_candidates(comments), F.col("body"))
 
 
 def with_comment_reason(comments: DataFrame) -> DataFrame:

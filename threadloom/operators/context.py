@@ -61,13 +61,12 @@ def budget_history(messages: DataFrame, budget: int, cost: Column) -> DataFrame:
     """Newest messages of each conversation whose summed cost stays within the budget.
 
     Costs are not negative, so stopping at the first message that does not fit is the same
-    as keeping those whose cost sum, counted from the newest, is within the budget.
+    as keeping those whose cost sum, counted from the newest, is within the budget: running
+    totals over the turns in reverse.
     """
-    spent = running_totals(messages.withColumn("_cost", cost), CONV, "turn", {"_spent": F.col("_cost")})
-    total = messages.groupBy("conv_id").agg(F.sum(cost).alias("_total"))
-    before = F.col("_spent") - F.col("_cost")
-    kept = spent.join(total, "conv_id").withColumn("from_newest", F.col("_total") - before)
-    return kept.where(F.col("from_newest") <= budget).drop("_cost", "_spent", "_total")
+    reverse = messages.withColumn("_reverse", -F.col("turn"))
+    spent = running_totals(reverse, CONV, "_reverse", {"from_newest": cost})
+    return spent.where(F.col("from_newest") <= budget).drop("_reverse")
 
 
 def bounded_history(
@@ -98,7 +97,7 @@ def bounded_history(
     )
     a, b = asked.alias("a"), lines.alias("b")
     fits = (
-        (F.col("a.conv_id") == F.col("b.conv_id"))
+        F.col("a.conv_id").eqNullSafe(F.col("b.conv_id"))
         & (F.col("a._bin") == F.col("b._bin"))
         & (F.col("b.line_turn") < F.col("a.turn"))
         & (F.col("a._before") - F.col("b._start") <= F.col("a._budget"))
@@ -127,7 +126,7 @@ def history_context(messages: DataFrame, system_cost: int, cost=F.length) -> Dat
     )
 
 
-def _technical_prompt(route: Column, profile: str) -> Column:
+def technical_prompt(route: Column, profile: str) -> Column:
     """The prompt of a maths or code message, null for the forum route."""
     return F.when(route == "MATH", F.lit(K.MATH_PROMPTS[profile])).when(
         route == "CODE", F.lit(K.CODE_PROMPT_TEXT)
@@ -140,7 +139,7 @@ def route_prompt(df: DataFrame, label: str, template=prompts.ForumTemplate()) ->
     forum = prompts.forum_prompt(F.lit(""), F.lit(""), template)
     columns = [route.alias("route")]
     for profile in K.TEMPERATURES:
-        prompt = F.coalesce(_technical_prompt(route, profile), forum)
+        prompt = F.coalesce(technical_prompt(route, profile), forum)
         columns.append(prompts.temperature(label, profile).alias(f"temperature_{profile}"))
         columns.append(prompt.alias(f"prompt_{profile}"))
     return df.select("*", *columns)
@@ -157,7 +156,8 @@ def request_rows(
     """Requests for each user message: ``[{system}, {user}]`` with the history it may see.
 
     ``v1``: last messages, forum prompt only. ``v2``: budgeted history, forum prompt only.
-    ``reasoning``: budgeted history under every prompt.
+    ``reasoning``: budgeted history, which follows the prompt of every route as a section of
+    its own.
     """
     if profile == "v1":
         history = last_n_history(messages)
@@ -165,12 +165,12 @@ def request_rows(
         history = history_context(messages, system_cost)
     users = messages.where(F.col("role") == "user").join(history, ["conv_id", "turn"])
     route = prompts.canonical_label(label)
-    technical = _technical_prompt(route, profile)
+    technical = technical_prompt(route, profile)
     if profile == "reasoning":
-        ctx = F.nullif(F.col("ctx"), F.lit(""))
-        section = F.coalesce(F.concat(F.lit("\n\nCONTEXT:\n"), ctx), F.lit(""))
-        technical = F.concat(technical, section)
-    system = F.coalesce(technical, prompts.forum_prompt(forum, F.col("ctx"), template))
+        base = F.coalesce(technical, prompts.forum_prompt(forum, F.lit(""), template))
+        system = F.concat(base, prompts.context_section("ctx"))
+    else:
+        system = F.coalesce(technical, prompts.forum_prompt(forum, F.col("ctx"), template))
     return users.select(
         "conv_id",
         "turn",

@@ -7,21 +7,41 @@ import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom import constants as K
 from threadloom.functions import porter
 from threadloom.functions import text as X
-from threadloom.session import broadcast_if_small, materialise
+from threadloom.session import materialise
 
 
-def word_column(text, spaced: bool = False, stem: bool = False, stop_words=K.STOP_WORDS) -> Column:
-    """Words of the normalised text without stop words, stemmed on request."""
+def word_column(text, spaced: bool = False, stop_words=K.STOP_WORDS) -> Column:
+    """Words of the normalised text without stop words."""
     found = X.spaced_tokens(text) if spaced else X.tokens(text)
-    words = X.remove_stopwords(found, stop_words)
-    return porter.stem_tokens(words) if stem else words
+    return X.remove_stopwords(found, stop_words)
+
+
+def stem_table(df: DataFrame, words: str) -> DataFrame:
+    """(term, stem) of the distinct words of an array column: only those are stemmed."""
+    terms = exploded(df, F.array_distinct(words)).distinct()
+    return materialise(terms.select("term", porter.stem_token("term").alias("stem")))
+
+
+def stemmed(df: DataFrame, key: str, words: str) -> DataFrame:
+    """``df`` with the words of an array column replaced by their stems; ``key`` is unique.
+
+    Words meet their stems in a join against the table of distinct words. Small, it is
+    broadcast by the adaptive plan; large, a frequent word is split by the skew join.
+    """
+    table = stem_table(df, words).withColumnRenamed("term", "_term")
+    each = df.select(key, F.posexplode(words).alias("_pos", "_term")).join(table, "_term")
+    entry = F.struct("_pos", "stem")
+    lists = each.groupBy(key).agg(F.collect_list(entry).alias("_list"))
+    stems = F.transform(F.array_sort("_list"), lambda e: e["stem"])
+    none = F.array().cast("array<string>")
+    joined = df.join(lists, key, "left").withColumn(words, F.coalesce(stems, none))
+    return joined.select(*df.columns)
 
 
 def exploded(df: DataFrame, terms: Column) -> DataFrame:
@@ -40,21 +60,14 @@ def top_terms(df: DataFrame, terms: str, n: int) -> DataFrame:
     return term_counts(df, terms).orderBy(F.desc("tf"), "term").limit(n)
 
 
-def top_ngrams(
-    df: DataFrame,
-    words: str,
-    n: int,
-    ngram_range=K.NGRAM_RANGE,
-    broadcast_rows: int = 1_000_000,
-) -> DataFrame:
+def top_ngrams(df: DataFrame, words: str, n: int, ngram_range=K.NGRAM_RANGE) -> DataFrame:
     """The ``n`` most frequent n-grams of a word array column; ties by name.
 
     The same rows as ``top_terms`` over all n-grams, without shuffling all of them: almost
     every long n-gram of a corpus is unique. Once ``n`` terms are known, a further term must
     reach the lowest of their frequencies, and a longer n-gram is never more frequent than
     its head and tail. So each length counts only n-grams whose head and tail are frequent
-    enough. The set of those is broadcast when its counted size allows it; otherwise that
-    length is counted without the filter, which gives the same result.
+    enough. The set of those is a written table, and the plan picks the semi-joins by its size.
     """
     shortest, longest = ngram_range
     floor, frequent, tables = 1, None, []
@@ -62,7 +75,7 @@ def top_ngrams(
         found = _grams_with_parts(df, words, length)
         if frequent is not None:
             for part in ("head", "tail"):
-                known = F.broadcast(frequent.withColumnRenamed("term", part))
+                known = frequent.withColumnRenamed("term", part)
                 found = found.join(known, part, "left_semi")
         counts = found.groupBy("term").agg(F.count("*").alias("tf")).where(F.col("tf") >= floor)
         tables.append(materialise(counts))
@@ -70,8 +83,7 @@ def top_ngrams(
         if length < longest:
             lowest = best.agg(F.count("*").alias("terms"), F.min("tf").alias("tf")).first()
             floor = lowest["tf"] if lowest["terms"] >= n else 1
-            enough = tables[-1].where(F.col("tf") >= floor).select("term")
-            frequent = enough if floor > 1 and enough.count() <= broadcast_rows else None
+            frequent = materialise(tables[-1].where(F.col("tf") >= floor).select("term"))
     return best
 
 
@@ -114,12 +126,11 @@ def encode_sequences(
 ) -> DataFrame:
     """The first ``length`` words of each row as ids, unknown as 1, padded with 0.
 
-    ``vocab`` has at most the vocabulary size, so it is broadcast; what is shuffled is one
-    list of at most ``length`` ids per row.
+    At most ``length`` words of a row are looked up and gathered again.
     """
     head = df.select(key, F.slice(terms, 1, length).alias("_head"))
     words = head.select(key, F.posexplode_outer("_head").alias("_pos", "_term"))
-    lookup = F.broadcast(vocab.select(F.col("term").alias("_term"), "idx"))
+    lookup = vocab.select(F.col("term").alias("_term"), "idx")
     entry = F.when(
         F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("idx", F.lit(K.UNKNOWN_ID)).alias("idx"))
     )
@@ -137,8 +148,8 @@ def label_codes(df: DataFrame, label: str) -> DataFrame:
 
 
 def encode_labels(df: DataFrame, label: str) -> DataFrame:
-    """Add the code of each label; the few distinct labels are counted, then broadcast."""
-    return df.join(broadcast_if_small(label_codes(df, label)), label)
+    """Add the code of each label."""
+    return df.join(materialise(label_codes(df, label)), label)
 
 
 def idf_weight(rows, df) -> Column:
@@ -177,17 +188,16 @@ def fit_tfidf(df: DataFrame, words: str, terms: str, size: int = K.MAX_VOCABULAR
     capped vocabulary, smooth idf + 1, unit row length.
 
     The driver holds the vocabulary and one weight per entry, both capped by ``size``.
-    Document frequencies come from a tree-aggregated count of non-zero features, so after
-    the vocabulary is known nothing is shuffled.
+    Document frequencies are counted per term, for the terms of the vocabulary only.
     """
     vocab = [r["term"] for r in top_ngrams(df, words, size).collect()]
+    known = df.sparkSession.createDataFrame([(t,) for t in vocab], "term string")
+    rows = df.count()
+    holders = exploded(df, F.array_distinct(terms)).join(F.broadcast(known), "term")  # ``size`` rows
+    found = dict(holders.groupBy("term").count().collect())
     counter = CountVectorizerModel.from_vocabulary(vocab, inputCol=terms, outputCol="tf")
-    summary = counter.transform(df).select(
-        Summarizer.metrics("count", "numNonZeros").summary(F.col("tf")).alias("s")
-    )
-    row = summary.select("s.count", "s.numNonZeros").first()
-    rows, found = row[0], row[1].toArray()
-    idf = np.log((1.0 + rows) / (1.0 + found)) + 1.0
+    holding = np.array([found[t] for t in vocab])
+    idf = np.log((1.0 + rows) / (1.0 + holding)) + 1.0
     scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="tf", outputCol="tfidf")
     unit = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
     return Tfidf(vocab, PipelineModel([counter, scale, unit]))

@@ -11,14 +11,13 @@ so grams that a class has never seen add nothing, and ``K`` follows from the tex
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as X
 from threadloom.session import materialise
 
 GRAM = 3
-BROADCAST_GRAMS = 1_000_000
 
 
 def grams(df: DataFrame, text: Column, *keep: str) -> DataFrame:
@@ -43,23 +42,17 @@ class LanguageModel:
     weights: DataFrame
     classes: list[str]
     offsets: dict[str, float]
-    size: int
 
     def score(self, df: DataFrame, key: str, text: Column) -> DataFrame:
         """Class scores per key; texts shorter than one gram give no row.
 
-        The weight table is broadcast only when its counted size is within the bound, so
-        that the partial sums stay in the scan stage. A larger table is joined by shuffle
-        on (key, gram) counts, where one frequent gram is split by the skew join.
+        Texts are dealt out by key once. Grams are then counted, joined to the weights and
+        summed by that key, so with weights small enough for a broadcast (the adaptive plan
+        knows their size) nothing else moves; otherwise the counts of grams do.
         """
-        occurrences = grams(df, text, key)
-        if self.size <= BROADCAST_GRAMS:
-            counted = occurrences.withColumn("k", F.lit(1))
-            weights = F.broadcast(self.weights)
-        else:
-            counted = occurrences.groupBy(key, "gram").agg(F.count("*").alias("k"))
-            weights = self.weights
-        joined = counted.join(weights, "gram", "left")
+        dealt = df.select(key, text.alias("_text")).repartition(key)
+        counted = grams(dealt, F.col("_text"), key).groupBy(key, "gram").agg(F.count("*").alias("k"))
+        joined = counted.join(self.weights, "gram", "left")
         sums = [
             F.sum(F.col("k") * F.coalesce(F.col(f"w_{c}"), F.lit(0.0))).alias(f"s_{c}")
             for c in self.classes
@@ -94,5 +87,18 @@ def fit(df: DataFrame, text: str, label: str, classes: list[str]) -> LanguageMod
     )
     weights = materialise(weights)
     size = weights.count()
-    offsets = {c: math.log(totals.get(c, 0) + size) for c in classes}
-    return LanguageModel(weights, classes, offsets, size)
+    return LanguageModel(weights, classes, {c: math.log(totals.get(c, 0) + size) for c in classes})
+
+
+def save(model: LanguageModel, path: str) -> None:
+    """The weights as Parquet, the classes and their offsets as one JSON line each."""
+    spark = model.weights.sparkSession
+    model.weights.write.mode("overwrite").parquet(f"{path}/weights")
+    rows = [(c, model.offsets[c]) for c in model.classes]
+    spark.createDataFrame(rows, "class string, offset double").write.mode("overwrite").json(f"{path}/classes")
+
+
+def load(spark: SparkSession, path: str) -> LanguageModel:
+    rows = spark.read.schema("class string, offset double").json(f"{path}/classes").collect()
+    offsets = {r["class"]: r["offset"] for r in rows}
+    return LanguageModel(spark.read.parquet(f"{path}/weights"), sorted(offsets), offsets)

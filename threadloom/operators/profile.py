@@ -2,9 +2,13 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from threadloom import constants as K
+from threadloom.schemas import CORRUPT
+from threadloom.sources.readers import read_lines
+
 
 def top_groups(df: DataFrame, column: str, n: int = 100) -> DataFrame:
     """The ``n`` most frequent values with their rank; ties by name.
@@ -32,6 +36,23 @@ def discover_fields(df: DataFrame, json: str, position: str) -> DataFrame:
     )
 
 
+def scan_header(
+    spark: SparkSession, path: str, n: int = K.HEADER_SCAN_LINES
+) -> DataFrame:
+    """The fields in the first ``n`` lines of an NDJSON file."""
+    head = read_lines(spark, path, "position").orderBy("position").limit(n)
+    return discover_fields(head, "value", "position")
+
+
+def dump_counts(rows: DataFrame) -> DataFrame:
+    """Lines of a dump that were read, that could be parsed, and that could not."""
+    return rows.agg(
+        F.count("*").alias("lines"),
+        F.count_if(F.col(CORRUPT).isNull()).alias("good"),
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("rejected"),
+    )
+
+
 def field_overlap(left: DataFrame, right: DataFrame) -> DataFrame:
     """Field counts of both sides and the number of common names."""
     a, b = left.select("field").distinct(), right.select("field").distinct()

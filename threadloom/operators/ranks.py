@@ -1,5 +1,6 @@
 """Ranks and running totals that never put one whole group into one task."""
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +40,11 @@ def hash_rank(
     ``16**digits`` even buckets. Only bucket sizes are summed up centrally; rows are sorted
     bucket by bucket. With ``at_most`` (a number, or a column over ``by``) the buckets past
     the limit are dropped before the shuffle, so a sample of n rows moves about n rows.
-    ``df`` is read twice, the first time for the key only.
+    ``df`` is read twice, the first time for the key only. ``digits`` is 4 at most, so the
+    bucket sizes of a whole table (the only thing broadcast) stay within 65,536 rows.
     """
+    if not 1 <= digits <= 4:
+        raise ValueError("digits must be 1 to 4")
     cell = _cell(by, F.substring(draws.digest(seed, key), 1, digits))
     offsets = _offsets(df, cell, by)
     if at_most is not None:
@@ -64,19 +68,35 @@ def hash_rank(
     return ranked.select(*df.columns, name)
 
 
+def even_cells(df: DataFrame, position: str, cells: int, name: str) -> DataFrame:
+    """Add a number that cuts the rows by position into ``cells`` ranges of about equal size.
+
+    The cuts are quantiles of the data (a sketch of bounded size), so positions with large
+    gaps, such as timestamps, are cut as evenly as dense ones. Equal positions share a cell.
+    """
+    # doubles keep the order of integers, and only equal cells must agree
+    at = df.withColumn("_at", F.col(position).cast("double"))
+    marks = at.approxQuantile("_at", [k / cells for k in range(1, cells)], 0.5 / cells)
+    splits = [float("-inf"), *sorted(set(marks)), float("inf")]
+    if len(splits) == 2:
+        return df.withColumn(name, F.lit(0.0))
+    cut = Bucketizer(splits=splits, inputCol="_at", outputCol=name, handleInvalid="keep")
+    return cut.transform(at).drop("_at")
+
+
 def position_rank(
-    df: DataFrame, position: str, at_most: int, span: int = 1 << 16, name: str = "rank"
+    df: DataFrame, position: str, at_most: int, cells: int = 1024, name: str = "rank"
 ) -> DataFrame:
     """The first ``at_most`` rows by a unique integer position, with their rank.
 
-    Positions are cut into spans; whole spans past the limit are dropped before the sort.
+    Whole cells past the limit are dropped before the sort; only the ``cells`` sizes are
+    summed up in one place.
     """
-    cell = _cell((), F.floor(F.col(position) / F.lit(span)))
-    offsets = _offsets(df, cell, ()).where(F.col("_before") < at_most)
+    part = even_cells(df, position, cells, "_part").withColumn("_cell", _cell((), F.col("_part")))
+    offsets = _offsets(part, F.col("_cell"), ()).where(F.col("_before") < at_most)
     order = Window.partitionBy("_cell").orderBy(position)
     return (
-        df.withColumn("_cell", cell)
-        .join(offsets, "_cell")
+        part.join(offsets, "_cell")
         .withColumn(name, F.col("_before") + F.row_number().over(order))
         .where(F.col(name) <= at_most)
         .select(*df.columns, name)
@@ -84,15 +104,15 @@ def position_rank(
 
 
 def running_totals(
-    df: DataFrame, by: tuple[str, ...], position: str, totals: dict[str, Column], chunk: int = 4096
+    df: DataFrame, by: tuple[str, ...], position: str, totals: dict[str, Column], cells: int = 1024
 ) -> DataFrame:
     """Running sums per group in the order of an integer position, unique within the group.
 
-    A group is cut into chunks of positions, so no task holds more than ``chunk`` rows of
-    one group; the sums of earlier chunks are added from a table ``chunk`` times smaller.
+    Rows are cut into cells by position, so no task sorts a whole large group; the sums of
+    earlier cells, at most ``cells`` per group, are added to those inside a cell.
     """
-    cell = _cell(by, F.floor(F.col(position) / F.lit(chunk)))
-    chunked = df.withColumn("_cell", cell)
+    parted = even_cells(df, position, cells, "_part")
+    chunked = parted.withColumn("_cell", _cell(by, F.col("_part"))).drop("_part")
     sums = chunked.groupBy("_cell").agg(*[F.sum(e).alias(f"_sum_{n}") for n, e in totals.items()])
     before = _earlier(by)
     base = sums.select(

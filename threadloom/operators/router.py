@@ -1,8 +1,10 @@
 """Intent router on Spark ML, and its evaluation."""
 
-from pyspark.ml import Pipeline, PipelineModel
+from dataclasses import dataclass
+
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
+from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,35 +12,62 @@ from pyspark.sql import functions as F
 from threadloom import constants as K
 from threadloom.functions import text as X
 from threadloom.operators import features
+from threadloom.session import materialise
+
 
+MAX_LABELS = 1000
 
-def prepare(df: DataFrame, text: str, spaced: bool = False, stem: bool = True) -> DataFrame:
+
+def prepare(
+    df: DataFrame, text: str, key: str | None = None, spaced: bool = False, stem: bool = True
+) -> DataFrame:
     """Add the columns ``words``, ``term_words`` (two or more word characters) and ``terms``
-    (their n-grams); one normaliser serves training and scoring."""
-    words = df.withColumn("words", features.word_column(text, spaced, stem))
+    (their n-grams); one normaliser serves training and scoring. Stemming needs a unique key."""
+    words = df.withColumn("words", features.word_column(text, spaced))
+    if stem:
+        words = features.stemmed(words, key, "words")
     joined = words.withColumn("term_words", X.word_terms(F.array_join("words", " ")))
     return joined.withColumn("terms", X.ngram_terms("term_words"))
 
 
+@dataclass(frozen=True)
+class Router:
+    """A fitted model, the iterations it took, and whether it stopped by itself."""
+
+    model: PipelineModel
+    iterations: int
+    converged: bool
+
+
 def train(
-    df: DataFrame, label: str, size: int = K.MAX_VOCABULARY, network: bool = False
-) -> PipelineModel:
+    df: DataFrame,
+    label: str,
+    size: int = K.MAX_VOCABULARY,
+    network: bool = False,
+    max_iter: int = 50,
+) -> Router:
     """Fit features and classifier on prepared rows with a label column.
 
     Default is multinomial logistic regression; ``network`` selects a feed-forward net with
     the hidden layers 64 and 32. Both aggregate gradients by tree, without a shuffle.
+    ``max_iter`` bounds the iterations and so changes a fit that did not converge before.
+    More than ``MAX_LABELS`` labels are an error, as the driver holds them.
     """
+    if df.select(label).distinct().limit(MAX_LABELS + 1).count() > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
     tfidf = features.fit_tfidf(df, "term_words", "terms", size)
     indexer = StringIndexer(inputCol=label, outputCol="code", stringOrderType="alphabetAsc").fit(df)
     if network:
         layers = [len(tfidf.terms), *K.HIDDEN_LAYERS, len(indexer.labels)]
-        classifier = MultilayerPerceptronClassifier(layers=layers, labelCol="code", seed=42)
+        classifier = MultilayerPerceptronClassifier(layers=layers, labelCol="code", seed=42, maxIter=max_iter)
     else:
-        classifier = LogisticRegression(family="multinomial", labelCol="code", maxIter=20)
-    rows = tfidf.transform(indexer.transform(df)).select("features", "code")
-    fitted = Pipeline(stages=[classifier]).fit(rows)
+        classifier = LogisticRegression(family="multinomial", labelCol="code", maxIter=max_iter)
+    rows = materialise(tfidf.transform(indexer.transform(df)).select("features", "code"))
+    fitted = classifier.fit(rows)
+    iterations = fitted.summary().totalIterations if network else fitted.summary.totalIterations
     back = IndexToString(inputCol="prediction", outputCol="label", labels=indexer.labels)
-    return PipelineModel([*tfidf.pipeline.stages, *fitted.stages, back])
+    model = PipelineModel([*tfidf.pipeline.stages, fitted, back])
+    return Router(model, iterations, iterations < max_iter)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -48,10 +77,6 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored.select(*df.columns, "label", "confidence")
 
 
-def labels_of(model: PipelineModel) -> list[str]:
-    return next(s for s in model.stages if isinstance(s, (IndexToString, StringIndexerModel))).getLabels()
-
-
 def accuracy(df: DataFrame, predicted: str, expected: str) -> DataFrame:
     """Correct and total rows; labels are compared without case."""
     hit = F.upper(predicted) == F.upper(expected)

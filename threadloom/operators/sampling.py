@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from threadloom import constants as K
 from threadloom.functions import draws
 from threadloom.operators.ranks import hash_rank, position_rank
-from threadloom.session import broadcast_if_small
+from threadloom.session import materialise
 
 SEED = "42"
 
@@ -44,14 +44,15 @@ def train_test_split(df: DataFrame, key: str, test_percent: int, seed: str = SEE
 def balance_classes(
     df: DataFrame, label: str, key: str, target: int = K.BALANCED_CLASS_SIZE, seed: str = SEED
 ) -> DataFrame:
-    """Exactly ``target`` rows per class: a sample, or draws with replacement.
+    """Exactly ``target`` rows per class: a sample, or draws with replacement. Rows without a
+    label belong to no class and are left out.
 
     A class with enough rows takes its first ``target`` rows by rank. A smaller class makes
     ``target`` draws; draw ``i`` hits the row with rank ``hash(class, i) mod size``. The
     draws are generated in two steps so that no single row expands to a whole class.
     """
     df = df.where(F.col(label).isNotNull())
-    sizes = broadcast_if_small(df.groupBy(label).agg(F.count("*").alias("_size")))
+    sizes = materialise(df.groupBy(label).agg(F.count("*").alias("_size")))
     step = 4096
     small = sizes.where(F.col("_size") < target)
     draws_of = (

@@ -17,11 +17,8 @@ RAW_SUBMISSIONS = T.StructType(
     _strings("id", "subreddit", "author", "title", "selftext")
     + [T.StructField("score", T.LongType())]
 )
-COMMENTS = T.StructType([f for f in RAW_COMMENTS if f.name != "author"])
-SUBMISSIONS = T.StructType([f for f in RAW_SUBMISSIONS if f.name != "author"])
 INSTRUCTION_ROWS = T.StructType(_strings("instruction", "input", "output", "subreddit"))
 SOURCED_ROWS = T.StructType(_strings("instruction", "output", "source"))
-LABELLED_ROWS = T.StructType(_strings("category", "input"))
 MESSAGES = T.StructType(
     [
         T.StructField("conv_id", T.LongType()),

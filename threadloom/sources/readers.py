@@ -12,19 +12,40 @@ from threadloom import schemas
 TEXT_CANDIDATES = ("input", "question", "body")
 
 
+def read_lines(spark: SparkSession, paths, position: str | None = None) -> DataFrame:
+    """The lines of text files (also ``.zst``, ``.gz``) that are not blank, as ``value``.
+
+    ``position`` names a column with the order of the lines: the file by its path, the block
+    in the file, the line in the block. Spark deals files out by size, so the order of the
+    rows alone would not be that of the files.
+    """
+    lines = spark.read.text(paths)
+    if position:
+        block = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        order = F.struct(*block, F.monotonically_increasing_id().alias("line"))
+        lines = lines.select("value", order.alias(position))
+    return lines.where(F.trim("value") != "")
+
+
 def read_dump(
     spark: SparkSession, paths, schema: T.StructType, position: str | None = None
 ) -> DataFrame:
-    """Read NDJSON files (also ``.zst``, ``.gz``) with an explicit schema.
+    """Read NDJSON files with an explicit schema.
 
     The result has the extra column ``_corrupt_record``; see ``good_rows`` and
-    ``rejected_rows`` (a bare count of either must name a data column). A compressed file is one task, so spread the rows after admission.
+    ``rejected_rows``. A compressed file is one task, so spread the rows after admission.
     zstd frames with a window above 2**27 must be recompressed first. ``position`` names a
     column with the order of the scan, for "the last row per id wins".
     """
-    reader = spark.read.schema(schemas.with_corrupt(schema)).option("mode", "PERMISSIVE")
-    rows = reader.option("columnNameOfCorruptRecord", schemas.CORRUPT).json(paths)
-    return rows.withColumn(position, F.monotonically_increasing_id()) if position else rows
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+    row = F.from_json("value", schemas.with_corrupt(schema), options)
+    parsed = read_lines(spark, paths, position).withColumn("_row", row)
+    corrupt = F.when(F.col("_row").isNull(), F.col("value")).otherwise(F.col(f"_row.{schemas.CORRUPT}"))
+    return parsed.select(
+        *[F.col(f"_row.{f.name}") for f in schema],
+        corrupt.alias(schemas.CORRUPT),
+        *([position] if position else []),
+    )
 
 
 def good_rows(df: DataFrame) -> DataFrame:
@@ -35,20 +56,6 @@ def rejected_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col(schemas.CORRUPT).isNotNull())
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hand the rows of a scan with few tasks to all cores.
-
-    A compressed dump or a Parquet file with one row group cannot be split, so per-row work
-    on it would run in one task (the byte ranges of such a file count as partitions, but all
-    rows come out of one). A scan of many files or of more partitions than cores is left
-    alone, because moving whole texts costs more. For plain scans, not behind a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) * 4 > cores or df.rdd.getNumPartitions() > cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def parse_lines(df: DataFrame, json: str, schema: T.StructType) -> DataFrame:
     """Parse a JSON text column that was read elsewhere; adds ``parsed`` and ``is_valid``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
@@ -62,15 +69,14 @@ def parse_lines(df: DataFrame, json: str, schema: T.StructType) -> DataFrame:
 def read_instruction_tables(spark: SparkSession, pattern: str, output_name: str) -> DataFrame:
     """Read every table that matches ``dir/*.jsonl`` except the merged output itself.
 
-    Adds the file each row came from as ``origin``.
+    Tables and output may be files or folders of part files. Adds the name of the table each
+    row came from as ``origin``.
     """
-    rows = spark.read.schema(schemas.with_corrupt(schemas.INSTRUCTION_ROWS)).option(
-        "columnNameOfCorruptRecord", schemas.CORRUPT
-    ).json(pattern)
-    path = F.col("_metadata.file_path")
-    inputs = rows.where(~path.contains(f"/{output_name}"))
-    origin = F.regexp_extract(path, r"/([^/]+\.jsonl)", 1)
-    return good_rows(inputs.withColumn("origin", origin))
+    names = F.split(F.col("_position.file"), "/")
+    last = F.element_at(names, -1)
+    table = F.when(last.endswith(".jsonl"), last).otherwise(F.element_at(names, -2))
+    rows = read_dump(spark, pattern, schemas.INSTRUCTION_ROWS, "_position").withColumn("origin", table)
+    return good_rows(rows.where(F.col("origin") != output_name)).drop("_position")
 
 
 def labelled_text(
@@ -87,19 +93,42 @@ def labelled_text(
 
 
 def read_labelled_text(
-    spark: SparkSession, paths: dict[str, list[str]], candidates=TEXT_CANDIDATES
+    spark: SparkSession,
+    paths: dict[str, list[str]],
+    candidates=TEXT_CANDIDATES,
+    skip_missing: bool = False,
 ) -> DataFrame:
-    """``labelled_text`` over JSONL paths; missing paths are skipped."""
-    tables = {
-        category: [spark.read.json(p) for p in found if path_exists(spark, p)]
-        for category, found in paths.items()
-    }
+    """``labelled_text`` over JSONL paths, which may be patterns.
+
+    A path that matches nothing is an error, or left out with ``skip_missing``. The columns of
+    a table are those of its first line; only the one that is used is parsed.
+    """
+    tables: dict[str, list[DataFrame]] = {}
+    for category, found in paths.items():
+        for path in found:
+            if path_exists(spark, path):
+                tables.setdefault(category, []).append(_text_table(spark, path, candidates))
+            elif not skip_missing:
+                raise FileNotFoundError(path)
     return labelled_text(tables, candidates)
 
 
+def _text_table(spark: SparkSession, path: str, candidates) -> DataFrame:
+    """The first candidate column that the first line of a table has (none: no column)."""
+    head = read_lines(spark, path).select(F.json_object_keys("value").alias("keys")).first()
+    keys = (head and head["keys"]) or []
+    column = next((c for c in candidates if c in keys), None)
+    schema = T.StructType([T.StructField(column, T.StringType())] if column else [])
+    if not column:
+        return spark.createDataFrame([], schema)
+    return good_rows(read_dump(spark, path, schema))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or a pattern matches anything."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return found is not None and len(found) > 0
 
 
 def head_lines(spark: SparkSession, path: str, n: int = K.HEAD_SAMPLE_LINES) -> DataFrame:

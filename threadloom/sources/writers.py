@@ -45,3 +45,7 @@ def load_model(path: str) -> PipelineModel:
 
 def save_vocabulary(vocab: DataFrame, path: str) -> None:
     vocab.write.mode("overwrite").parquet(path)
+
+
+def load_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

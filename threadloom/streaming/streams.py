@@ -13,9 +13,9 @@ from threadloom.operators import admit, clean, context
 HISTORY_OUTPUT = "conv_id long, turn long, history string"
 
 
-def clean_stream(comments: DataFrame) -> DataFrame:
-    """Admission (ASCII test only) and cleaning; the same functions as in batch."""
-    return clean.clean_comments(admit.admit_comments(comments))
+def clean_ascii_stream(comments: DataFrame) -> DataFrame:
+    """Admission of ASCII texts and cleaning; the same functions as in batch."""
+    return clean.clean_comments(admit.admit_ascii_comments(comments))
 
 
 def clean_each_batch(
@@ -37,10 +37,25 @@ def route_stream(messages: DataFrame, label: str) -> DataFrame:
     return context.route_prompt(messages, label)
 
 
+def in_turn_order(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Frames sorted by turn; a frame is held back until the next one starts after it."""
+    held = None
+    for frame in frames:
+        if held is not None and frame["turn"].min() > held["turn"].iloc[-1]:
+            yield held
+            held = None
+        held = pd.concat([held, frame] if held is not None else [frame]).sort_values("turn")
+    if held is not None:
+        yield held
+
+
 class RollingHistory(StatefulProcessor):
     """Keeps the last messages of a conversation and emits the history at each user message.
 
     The state is a list of at most ``2 * MAX_TURNS`` lines, however long a conversation is.
+    The rows of a key come in frames of bounded size. They are put in the order of turns
+    frame by frame; only when a frame begins before the end of the one before it, the two
+    are merged. So messages that arrive in order, as a log does, are held one frame at a time.
     """
 
     def __init__(self, limit: int = 2 * K.MAX_TURNS):
@@ -50,15 +65,15 @@ class RollingHistory(StatefulProcessor):
         self.lines = handle.getListState("lines", "line string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        messages = pd.concat(list(rows)).sort_values("turn")
         lines = [line for (line,) in self.lines.get()]
-        out = []
-        for turn, role, line in zip(messages["turn"], messages["role"], messages["line"]):
-            if role == "user":
-                out.append((key[0], turn, "\n".join(lines)))
-            lines = [*lines, line][-self.limit :]
+        for messages in in_turn_order(rows):
+            out = []
+            for turn, role, line in zip(messages["turn"], messages["role"], messages["line"]):
+                if role == "user":
+                    out.append((key[0], turn, "\n".join(lines)))
+                lines = [*lines, line][-self.limit :]
+            yield pd.DataFrame(out, columns=["conv_id", "turn", "history"])
         self.lines.put([(line,) for line in lines])
-        yield pd.DataFrame(out, columns=["conv_id", "turn", "history"])
 
     def close(self) -> None:
         pass
