@@ -42,7 +42,7 @@ def odd(spark):
         "row doc key digest shard slot n_words kept n_lines spans items lang_pred score tokens_before "
         "sequence_id offset licenses class_id _text _metadata hash number places"
     )
-    return df.withColumns({c: F.lit(f"own {c}") for c in clashing.split()})
+    return df.withColumns({c: F.lit(f"own {c}") for c in [*clashing.split(), "a b", "0", "x:y"]})
 
 
 def empty(spark):

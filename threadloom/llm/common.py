@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.session import materialise
 
@@ -41,6 +42,17 @@ def with_row_id(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(whole.alias("doc"), place.alias("row"), *[c.alias(n) for n, c in columns.items()])
 
 
+def schema_of(df: DataFrame, columns: list[str], added: str) -> T.StructType:
+    """The types of some columns of ``df``, and the columns that the DDL text ``added`` names."""
+    return T.StructType([*[df.schema[c] for c in columns], *T.StructType.fromDDL(added).fields])
+
+
+def rest_of(columns: list[str], text: str, of: str = "") -> Column:
+    """A struct of all columns but the text, which travels beside it, so it is moved once."""
+    others = [F.col(f"{of}`{c}`") for c in columns if c != text]
+    return F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column."""
     return column.cast(pa.binary()).to_pylist()

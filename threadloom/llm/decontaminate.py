@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import _WORD_BYTES, plain_words
+from threadloom.llm.common import _WORD_BYTES, plain_words, rest_of, schema_of
 from threadloom.llm.fm_index import FMIndex
 from threadloom.session import materialise
 
@@ -187,16 +187,16 @@ def decontaminate(
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
     out = docs.select(
         F.col(text).alias("text"),
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"),
+        rest_of(kept, text).alias("doc"),
         F.lit(None).cast(FOUND.split(", ")[1].removeprefix("spans ")).alias("spans"),
         F.lit(None).cast("array<string>").alias("items"),
     )
-    schema = f"text string, doc {out.schema['doc'].dataType.simpleString()}, {FOUND}"
+    schema = schema_of(out, ["text", "doc"], FOUND)
     for k, known in enumerate(blocks_of(items, item, item_text, block_bytes)):
         if k:
             out = materialise(out)
         out = out.select("text", "doc", "spans", "items").mapInArrow(_searcher(known, remove), schema)
-    columns = [F.col("text").alias(c) if remove and c == text else F.col(f"doc.`{c}`").alias(c) for c in kept]
+    columns = [F.col("text").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in kept]
     return out.select(*columns, *added)
 
 

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import as_bytes, with_row_id
+from threadloom.llm.common import as_bytes, schema_of, with_row_id
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -214,5 +214,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep=None) -> Da
             columns = [batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc", *added])
 
-    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double"
-    return rows.mapInArrow(judge, schema).select("doc.*", *added)
+    return rows.mapInArrow(judge, schema_of(rows, ["doc"], "lang_pred string, score double")).select("doc.*", *added)

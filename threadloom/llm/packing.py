@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm import tokens as T
-from threadloom.llm.common import as_bytes
+from threadloom.llm.common import as_bytes, schema_of
 
 END = 0
 POOL = 1024
@@ -234,5 +234,5 @@ def pack(
             del owners[owner]
         return pa.RecordBatch.from_arrays(columns, ["doc", *added])
 
-    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, {PIECES}" + ", ids array<int>" * with_ids
+    schema = schema_of(rows, ["doc"], PIECES + ", ids array<int>" * with_ids)
     return rows.mapInArrow(pieces, schema).select("doc.*", *added)

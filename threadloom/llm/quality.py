@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import as_bytes, plain_words
+from threadloom.llm.common import as_bytes, plain_words, rest_of, schema_of
 from threadloom.session import materialise
 
 MIN_WORDS = 50
@@ -226,16 +226,19 @@ def assess(docs: DataFrame, refs: list[Reference] | None = None, text: str = "te
     refs = references(docs, text, lang) if refs is None else refs
     added = [f.split()[0] for f in VERDICTS.split(", ")]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    rows = docs.select(F.col(text).alias("_judged_text"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"))
+    rows = docs.select(F.col(text).alias("text"), rest_of(kept, text).alias("doc"))
+    texts = ["text"] if text in kept else []  # a text goes through Python once
 
     def verdicts(batches):
         for batch in batches:
             found = judge(as_bytes(batch.column(0)), refs)
-            columns = [batch.column(1), *[pa.array(found[n], _ARROW[t]) for n, t in map(str.split, VERDICTS.split(", "))]]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", *found])
+            columns = [batch.column(c) for c in [*texts, "doc"]]
+            columns += [pa.array(found[n], _ARROW[t]) for n, t in map(str.split, VERDICTS.split(", "))]
+            yield pa.RecordBatch.from_arrays(columns, [*texts, "doc", *found])
 
-    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, {VERDICTS}"
-    return rows.mapInArrow(verdicts, schema).select("doc.*", *added)
+    schema = schema_of(rows, [*texts, "doc"], VERDICTS)
+    columns = [F.col("text").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in kept]
+    return rows.mapInArrow(verdicts, schema).select(*columns, *added)
 
 
 _ARROW = {"long": pa.int64(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm import tokens as T
-from threadloom.llm.common import as_bytes
+from threadloom.llm.common import as_bytes, schema_of
 
 Edit = tuple[int, int, bytes]
 ADDED = "n_edits long, tokens_before long, tokens_after long, bytes_after long, reencoded_bytes long"
@@ -158,5 +158,4 @@ def recount(
             columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(len(added))]
             yield pa.RecordBatch.from_arrays([batch.column(1), *columns], ["doc", *added])
 
-    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, {ADDED}"
-    return rows.mapInArrow(counts, schema).select("doc.*", *added)
+    return rows.mapInArrow(counts, schema_of(rows, ["doc"], ADDED)).select("doc.*", *added)
