@@ -13,6 +13,11 @@
    at the threshold is found with that probability.
 4. A pair is looked at in the first tree and at the first depth where it shares a prefix, so
    once. Its exact Jaccard similarity is computed from the shingle sets.
+5. What leaves a group is one row per member: its number of links and a parent in a spanning
+   forest of them. So the links of a large group of near copies are all counted and their
+   connections kept, but never written out one by one; ``pairs`` does that on request.
+
+Joins ask for a merge join, so the plan is the same at every size and AQE splits hot keys.
 
 Null texts belong to no class and have no links; texts without a word have no shingles and no
 links, but equal ones are a class. Ids may repeat or be null: the class id is the smallest id
@@ -20,10 +25,11 @@ of its rows (null if none). An empty table gives an empty result.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm.common import _WORD_BYTES, groups, scramble, with_row_id
@@ -34,7 +40,7 @@ THRESHOLD = 0.8
 TREES = 16
 DEPTH = 8
 TARGET = 0.9995
-BLOCK = 256
+BLOCK = 128
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = scramble(np.arange(1, 257, dtype=np.uint64) * _STEP)
@@ -193,45 +199,108 @@ def _wanted(depth: int, before: int | None):
     return run
 
 
-def _verified(depth: int, before: int | None, threshold: float):
-    """Exact similarities of the new pairs of each group."""
+def _similar(table: pa.Table, depth: int, before: int | None, threshold: float):
+    """The digests of a group, and its new pairs at the threshold with their similarities."""
+    tree, digests, signatures, side = _group_arrays(table)
+    sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+    out = []
+    left, right = new_pairs(signatures, side, tree, depth, before)
+    for i, j in zip(left.tolist(), right.tolist(), strict=True):
+        a, b = sets[i], sets[j]
+        if min(len(a), len(b)) < threshold * max(len(a), len(b)):
+            continue
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        similarity = both / (len(a) + len(b) - both)
+        if similarity >= threshold:
+            out.append((i, j, similarity))
+    return digests, out
+
+
+def forest(n: int, edges: list[tuple[int, int, float]]) -> list[int]:
+    """The smallest member each of ``n`` members is connected to."""
+    parent = list(range(n))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    for i, j, _ in edges:
+        a, b = root(i), root(j)
+        parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(n)]
+
+
+def _rows(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, kind) for c, (_, kind) in zip(columns, fields, strict=True)], [n for n, _ in fields]
+    )
+
+
+_COUNTED = [("digest", pa.binary()), ("n_links", pa.int64()), ("found", pa.float64()), ("all", pa.float64()), ("parent", pa.binary())]
+_COUNTED_DDL = "digest binary, n_links bigint, found double, all double, parent binary"
+
+
+def _counted(depth: int, before: int | None, threshold: float):
+    """One row per member of a group that has links in it: how many, the pairs found and
+    estimated (each at its left member), and a member it is connected to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple[bytes, bytes, float]] = []
+        rows: list[tuple] = []
         for table in groups(batches, "group"):
-            tree, digests, signatures, side = _group_arrays(table)
-            sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
-            left, right = new_pairs(signatures, side, tree, depth, before)
-            for i, j in zip(left.tolist(), right.tolist(), strict=True):
-                a, b = sets[i], sets[j]
-                if min(len(a), len(b)) < threshold * max(len(a), len(b)):
-                    continue
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                similarity = both / (len(a) + len(b) - both)
-                if similarity >= threshold:
-                    rows.append((*sorted((digests[i], digests[j])), similarity))
+            digests, pairs_ = _similar(table, depth, before, threshold)
+            n = len(digests)
+            count, found, all_ = [0] * n, [0.0] * n, [0.0] * n
+            for i, j, similarity in pairs_:
+                count[i] += 1
+                count[j] += 1
+                found[i] += 1
+                all_[i] += 1 / recall(similarity, depth)
+            roots = forest(n, pairs_)
+            rows += [
+                (digests[i], count[i], found[i], all_[i], None if roots[i] == i else digests[roots[i]])
+                for i in range(n)
+                if count[i]
+            ]
             if len(rows) >= 10_000:
-                yield batch_of(rows)
+                yield _rows(rows, _COUNTED)
                 rows = []
         if rows:
-            yield batch_of(rows)
+            yield _rows(rows, _COUNTED)
+
+    return run
+
+
+_PAIRS = [("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())]
+_PAIRS_DDL = "a binary, b binary, similarity double"
+
 
-    def batch_of(rows):
-        a, b, s = zip(*rows, strict=True)
-        columns = [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(s, pa.float64())]
-        return pa.RecordBatch.from_arrays(columns, ["a", "b", "similarity"])
+def _paired(depth: int, before: int | None, threshold: float):
+    """The new pairs of each group, ``a`` < ``b``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, "group"):
+            digests, pairs_ = _similar(table, depth, before, threshold)
+            for at in range(0, len(pairs_), 10_000):
+                yield _rows([(*sorted((digests[i], digests[j])), x) for i, j, x in pairs_[at : at + 10_000]], _PAIRS)
 
     return run
 
 
-def _buckets(classes: DataFrame, depth: int) -> DataFrame:
-    """Members of buckets of two classes or more: ``tree``, ``prefix``, ``size``, digest, signature."""
+def _prefixed(classes: DataFrame, depth: int, *keep: str) -> DataFrame:
+    """One row per class and tree, with its prefix."""
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     each = classes.select("digest", "signature", tree.alias("tree"))
     prefix = F.expr(f"substring(signature, tree * {2 * DEPTH} + 1, {2 * depth})")
-    each = each.select("tree", prefix.alias("prefix"), "digest", "signature")
-    sizes = each.groupBy("tree", "prefix").agg(F.count("*").alias("size")).where("size > 1")
-    return each.join(materialise(sizes), ["tree", "prefix"])
+    return each.select("tree", prefix.alias("prefix"), "digest", *keep)
+
+
+def _buckets(classes: DataFrame, depth: int, *keep: str) -> DataFrame:
+    """Members of buckets of two classes or more: ``tree``, ``prefix``, ``digest``, ``size``."""
+    sizes = _prefixed(classes, depth).groupBy("tree", "prefix").agg(F.count("*").alias("size"))
+    several = materialise(sizes.where("size > 1"))
+    return _prefixed(classes, depth, *keep).join(several.hint("merge"), ["tree", "prefix"])
 
 
 def _in_groups(members: DataFrame) -> DataFrame:
@@ -253,21 +322,14 @@ def _sorted_by_group(df: DataFrame) -> DataFrame:
 _MEMBER = "group string, tree int, side int, digest binary, signature binary"
 
 
-def links(
-    docs: DataFrame,
-    text: str = "text",
-    key: str = "doc_id",
-    threshold: float = THRESHOLD,
-    target: float = TARGET,
-    size: int = SHINGLE,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The rows (``doc``, ``row``, ``key``, ``text``, ``digest``), the classes and their links.
+def _classes(docs: DataFrame, text: str, key: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (``doc``, ``row``, ``key``, ``text``, ``digest``) and the classes.
 
     Classes: ``digest``, ``first`` (the smallest key, null last, and row), ``class_id``,
-    ``n`` (shingles), ``signature``. Links: ``a`` < ``b`` (digests), ``similarity``; each once.
+    ``n`` (shingles), ``signature``.
     """
     body = F.col(text)
-    named = with_row_id(docs, key=F.col(key), text=body, digest=F.unhex(F.sha2(body, 256)))
+    named = with_row_id(docs, key=F.col(key), text=body, digest=F.unhex(F.md5(body)))
     there = named.where(F.col("text").isNotNull())
     signed = there.select("text", "key", "row", "digest").mapInArrow(
         _signatures(size),
@@ -275,67 +337,86 @@ def links(
         "digest binary, n bigint, signature binary",
     )
     order = F.struct(F.col("key").isNull().alias("none"), "key", "row")
-    classes = materialise(
-        signed.groupBy("digest")
-        .agg(F.min(order).alias("first"), F.max("n").alias("n"), F.max("signature").alias("signature"))
-        .withColumn("class_id", F.col("first.key"))
+    classes = signed.groupBy("digest").agg(
+        F.min(order).alias("first"), F.max("n").alias("n"), F.max("signature").alias("signature")
     )
-    several = classes.where(F.col("signature").isNotNull())
+    return named, materialise(classes.withColumn("class_id", F.col("first.key")))
+
+
+def _search(named: DataFrame, classes: DataFrame, threshold: float, target: float, size: int, look, schema: str) -> DataFrame:
+    """What ``look`` (``_counted`` or ``_paired``) makes of the groups, from depth to depth."""
+    steps = depths(threshold, target)
+    every = classes.where(F.col("signature").isNotNull())
+    # classes that share no prefix at the last depth are never compared: they go at once
+    shared = _buckets(every, steps[-1]).select("digest").distinct()
+    several = materialise(every.join(shared.hint("merge"), "digest").select("digest", "signature", F.col("first.row").alias("row")))
+    texts = named.select("row", "text").join(several.select("row", "digest").hint("merge"), "row")
+    sets = materialise(texts.select("text", "digest").mapInArrow(_sets(size), "digest binary, shingles binary"))
     found: list[DataFrame] = []
-    sets, last, before = None, depths(threshold, target)[-1], None
-    for depth in depths(threshold, target):
-        if sets is None:  # only classes that share some prefix at the last depth are ever compared
-            shared = _buckets(several, last).select("digest").distinct()
-            rows = several.join(shared, "digest").select("digest", F.col("first.row").alias("row"))
-            rows = materialise(rows)
-            sets = materialise(
-                there.select("row", "text").join(rows, "row").select("text", "digest").mapInArrow(
-                    _sets(size), "digest binary, shingles binary"
-                )
-            )
-        dealt = _sorted_by_group(_in_groups(_buckets(several, depth)))
+    before = None
+    for depth in steps:
+        dealt = _sorted_by_group(_in_groups(_buckets(several, depth, "signature")))
         wanted = materialise(dealt.mapInArrow(_wanted(depth, before), _MEMBER))
-        full = _sorted_by_group(wanted.join(sets, "digest"))
-        checked = full.mapInArrow(_verified(depth, before, threshold), "a binary, b binary, similarity double")
-        found.append(materialise(checked))
+        full = _sorted_by_group(wanted.join(sets.hint("merge"), "digest"))
+        found.append(materialise(full.mapInArrow(look(depth, before, threshold), schema)))
         before = depth
-        if depth != last and _estimated_recall(found, depth) >= target:
+        if depth != steps[-1] and _estimated_recall(found, depth) >= target:
             break
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    return named, classes, every
+    return reduce(DataFrame.unionByName, found)
 
 
 def _estimated_recall(found: list[DataFrame], depth: int) -> float:
     """Found pairs over found and missing ones, each found pair standing for 1 / its chance."""
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    chance = 1 - F.pow(1 - F.pow("similarity", F.lit(depth)), F.lit(TREES))
-    seen, all_ = every.agg(F.count("*"), F.sum(1 / chance)).first()
+    every = reduce(DataFrame.unionByName, found)
+    if "similarity" in every.columns:
+        chance = 1 - F.pow(1 - F.pow("similarity", F.lit(depth)), F.lit(TREES))
+        every = every.select(F.lit(1.0).alias("found"), (1 / chance).alias("all"))
+    seen, all_ = every.agg(F.sum("found"), F.sum("all")).first()
     return seen / all_ if seen else 0.0
 
 
-def join(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: its key, ``class_id``, ``n_links`` (other texts at the threshold
-    or above) and, on the row that stands for the class, their class ids as ``links``."""
-    named, classes, found = links(docs, **options)
-    ids = classes.select("digest", "class_id")
-    either = found.select("a", "b").union(found.select("b", "a"))
-    either = either.join(ids.withColumnRenamed("digest", "b"), "b").select(F.col("a").alias("digest"), "class_id")
-    linked = either.groupBy("digest").agg(
-        F.count("*").alias("n_links"), F.sort_array(F.collect_list("class_id")).alias("links")
+def pairs(
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    threshold: float = THRESHOLD,
+    target: float = TARGET,
+    size: int = SHINGLE,
+) -> DataFrame:
+    """The links between classes as ``class_a``, ``class_b`` and ``similarity``, each once.
+
+    Their number may grow with the square of a group of near copies; see ``join``.
+    """
+    named, classes = _classes(docs, text, key, size)
+    found = _search(named, classes, threshold, target, size, _paired, _PAIRS_DDL)
+    for side in ("a", "b"):
+        ids = classes.select(F.col("digest").alias(side), F.col("class_id").alias(f"class_{side}"))
+        found = found.join(ids.hint("merge"), side)
+    low, high = F.least("class_a", "class_b"), F.greatest("class_a", "class_b")
+    return found.select(low.alias("class_a"), high.alias("class_b"), "similarity")
+
+
+def join(
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    threshold: float = THRESHOLD,
+    target: float = TARGET,
+    size: int = SHINGLE,
+) -> DataFrame:
+    """One row per document: its key, ``class_id`` and ``n_links`` (other texts at the
+    threshold or above)."""
+    named, classes = _classes(docs, text, key, size)
+    found = _search(named, classes, threshold, target, size, _counted, _COUNTED_DDL)
+    linked = found.groupBy("digest").agg(F.sum("n_links").alias("n_links"))
+    known = materialise(
+        classes.select("digest", "class_id").join(linked.hint("merge"), "digest", "left")
     )
-    known = materialise(classes.join(linked, "digest", "left").select("digest", "first", "class_id", "n_links", "links"))
-    key = options.get("key", "doc_id")
-    rows = named.select("key", "row", "digest").join(known, "digest", "left")
-    stands: Column = F.col("row") == F.col("first.row")
+    rows = named.select("key", "digest").join(known.hint("merge"), "digest", "left")
     return rows.select(
         F.col("key").alias(key),
         F.when(F.col("digest").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(stands, F.col("links")).alias("links"),
     )
 
 
@@ -348,31 +429,39 @@ def components(edges: DataFrame) -> DataFrame:
     both = materialise(edges.select("a", "b").union(edges.select("b", "a")))
     labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")))
     while True:
-        heard = (
-            both.join(labels, both.b == labels.node).select(F.col("a").alias("node"), "label")
-            .groupBy("node").agg(F.min("label").alias("heard"))
+        told = labels.withColumnRenamed("node", "b").hint("merge")
+        heard = both.join(told, "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard"))
+        lower = materialise(
+            labels.join(heard.hint("merge"), "node").select(
+                "node", F.least("label", "heard").alias("label"), F.col("label").alias("old")
+            )
         )
-        lower = materialise(labels.join(heard, "node").select("node", F.least("label", "heard").alias("label"), F.col("label").alias("old")))
         up = lower.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        new = materialise(lower.join(up, "label").select("node", F.col("above").alias("label"), "old"))
+        new = materialise(lower.join(up.hint("merge"), "label").select("node", F.col("above").alias("label"), "old"))
         if new.where("label <> old").isEmpty():
             return new.select("node", "label")
         labels = new.select("node", "label")
 
 
-def one_per_group(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+def one_per_group(
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    threshold: float = THRESHOLD,
+    target: float = TARGET,
+    size: int = SHINGLE,
+) -> DataFrame:
     """``docs`` with one document of each group of linked texts, the one with the smallest id.
 
-    Documents with a null text stay.
+    Groups are connected components of the links. Documents with a null text stay.
     """
-    named, classes, found = links(docs, text=text, key=key, **options)
-    firsts = classes.select("digest", "first")
-    ends = found.select("a", "b")
-    for side in ("a", "b"):  # nodes are the rows that stand for the classes, in the order of ids
-        ends = ends.join(firsts.select(F.col("digest").alias(side), F.col("first").alias(f"first_{side}")), side)
-    groups_ = components(ends.select(F.col("first_a").alias("a"), F.col("first_b").alias("b")))
-    gone = groups_.where("node <> label").select(F.col("node.row").alias("row"))
-    stay = materialise(classes.select(F.col("first.row").alias("row")).join(gone, "row", "left_anti"))
+    named, classes = _classes(docs, text, key, size)
+    found = _search(named, classes, threshold, target, size, _counted, _COUNTED_DDL)
+    edges = found.where("parent is not null").select(F.col("digest").alias("a"), F.col("parent").alias("b"))
+    labels = components(edges).withColumnRenamed("node", "digest")
+    grouped = classes.join(labels.hint("merge"), "digest", "left")
+    group = F.coalesce("label", "digest")
+    stay = materialise(grouped.groupBy(group.alias("group")).agg(F.min("first").alias("first")).select("first.row"))
     whole = named.select("doc", "row", F.col("text").isNull().alias("none"))
-    kept = whole.join(stay, "row", "left_semi").where("not none").unionByName(whole.where("none"))
-    return kept.select("doc.*")
+    kept = whole.where("not none").join(stay.hint("merge"), "row", "left_semi")
+    return kept.unionByName(whole.where("none")).select("doc.*")

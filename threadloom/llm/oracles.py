@@ -38,12 +38,11 @@ with w as (
 ), pairs as (
     select a.class_id as a, b.class_id as b, count(*) as c from sh a join sh b on a.s = b.s and a.class_id <> b.class_id group by 1, 2
 ), links as (
-    select a, count(*) as n_links, string_agg(b::varchar, ',' order by b) as links
+    select a, count(*) as n_links
     from pairs join n x on x.class_id = a join n y on y.class_id = b
     where c::double / (x.n + y.n - c) >= {THRESHOLD} group by 1
 )
-select d.doc_id, coalesce(w.class_id, d.doc_id) as class_id, coalesce(n_links, 0)::BIGINT as n_links,
-       case when d.doc_id = w.class_id then links else null end as links
+select d.doc_id, coalesce(w.class_id, d.doc_id) as class_id, coalesce(n_links, 0)::BIGINT as n_links
 from documents d left join w on w.text = d.text left join links on links.a = w.class_id
 """
 

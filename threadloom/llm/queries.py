@@ -65,8 +65,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = lsh_forest.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return linked.withColumn("links", F.array_join("links", ","))
+    return lsh_forest.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
