@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import with_row_id
+from threadloom.llm.common import rest_of, schema_of, with_row_id
 from threadloom.session import materialise
 
 MIN_WORDS = 25
@@ -175,9 +175,8 @@ def deletions(docs: DataFrame, text: str = "text", key: str = "doc_id", min_word
         .where("n > 1")
         .select("hash", F.col("first.row").alias("holder"))
     )
-    each = lines.select("row", F.posexplode("hashes").alias("at", "hash"), "words").select(
-        "row", "at", "hash", F.col("words")[F.col("at")].alias("words")
-    )
+    zipped = F.arrays_zip(F.col("hashes").alias("hash"), F.col("words").alias("words"))
+    each = lines.select("row", F.posexplode(zipped).alias("at", "line")).select("row", "at", "line.*")
     shared = each.join(holders, "hash").where(F.col("row") != F.col("holder"))
     line = F.struct("at", "words", F.col("holder.file").alias("file"), F.col("holder.index").alias("index"))
     by_doc = shared.groupBy("row").agg(F.collect_list(line).alias("lines"))  # at most the lines of a text
@@ -229,8 +228,11 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: i
     and ``removed_lines`` (numbers of lines from 0)."""
     added = [f.split()[0] for f in ADDED.split(", ")]
     named, gone = deletions(docs, text, key, min_words)
-    joined = named.join(gone, "row", "left").select("doc", F.col("text"), "places")
-    schema = f"doc {named.schema['doc'].dataType.simpleString()}, text string, {ADDED}"
     kept = [c for c in docs.columns if c not in added]
+    rest = rest_of(kept, text, "doc.")
+    # always by a merge join: the plan is the same for every number of deletions
+    joined = named.select("row", "text", rest.alias("doc")).join(gone.hint("merge"), "row", "left")
+    joined = joined.select("doc", "text", "places")
+    schema = schema_of(joined, ["doc", "text"], ADDED)
     columns = [F.col("text").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in kept]
     return joined.mapInArrow(_rebuild, schema).select(*columns, *added)
