@@ -121,7 +121,7 @@ with d as (
 )
 select b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and not coalesce(n_words >= {quality.CHAR_MIN_WORDS} and c > {quality.CHAR_LIMIT}, false)
-       and not (n_words >= {quality.WORD_MIN_WORDS} and w > least(0.5, 0.2 + 2.2 / sqrt(n_words))) as kept
+       and not (n_words >= {quality.WORD_MIN_WORDS} and w > least({quality.WORD_MOST}e0, {quality.WORD_FLOOR}e0 + {quality.WORD_NOISE}e0 / sqrt(n_words))) as kept
 from b join best using (doc_id)
 """
 

@@ -32,9 +32,13 @@ MAX_REPEAT_PERCENT = 50
 WORD_SHARE = 0.001
 #: A language is a reference if it holds this share of all words; so there are at most 200.
 LANGUAGE_SHARE = 0.005
-CHAR_LIMIT = 0.3
+CHAR_LIMIT = 0.33
 CHAR_MIN_WORDS = 50
 WORD_MIN_WORDS = 100
+#: The limit on the word distance is WORD_FLOOR + WORD_NOISE / sqrt(words), WORD_MOST at most.
+WORD_FLOOR = 0.215
+WORD_NOISE = 2.2
+WORD_MOST = 0.5
 _FLUSH = 200_000
 _SYMBOLS = b"#*$%&|<>"
 
@@ -59,7 +63,7 @@ COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 
 def word_limit(n_words: int) -> float:
     """The largest word distance of a clean text: a floor plus the noise of its length."""
-    return min(0.5, 0.2 + 2.2 / math.sqrt(n_words))
+    return min(WORD_MOST, WORD_FLOOR + WORD_NOISE / math.sqrt(n_words))
 
 
 def class_counts(text: bytes) -> np.ndarray:
