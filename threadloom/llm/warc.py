@@ -215,13 +215,18 @@ def normalise(archives: DataFrame, folder: str, drop: bool = False) -> DataFrame
                 done.append((name, n))
             yield _archives(done)
 
-    spread = archives.select("path").repartition(F.col("path"))
-    made = materialise(spread.mapInArrow(run, "path string, records long"))
+    made = materialise(_one_per_task(archives).mapInArrow(run, "path string, records long"))
     if drop:
         archives.select("path").mapInArrow(_delete(folder), "path string").count()
     return made
 
 
+def _one_per_task(archives: DataFrame) -> DataFrame:
+    """The paths dealt to as many tasks as there are archives: rows of a few bytes stand for
+    files of many, so partitions must not be chosen by the size of the rows."""
+    return archives.select("path").repartition(max(1, min(archives.count(), 1 << 17)))
+
+
 def _delete(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, _ = open_folder(folder)
@@ -267,7 +272,7 @@ def read(archives: DataFrame, folder: str) -> DataFrame:
         columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    return archives.select("path").repartition(F.col("path")).mapInArrow(run, RECORDS)
+    return _one_per_task(archives).mapInArrow(run, RECORDS)
 
 
 def _page(urn: str) -> int | None:
