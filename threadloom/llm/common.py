@@ -53,6 +53,13 @@ def rest_of(columns: list[str], text: str, of: str = "") -> Column:
     return F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of a few rows, so that what Python holds beside a batch stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column."""
     return column.cast(pa.binary()).to_pylist()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import as_bytes, plain_words, rest_of, schema_of
+from threadloom.llm.common import as_bytes, plain_words, rest_of, schema_of, slices
 from threadloom.session import materialise
 
 MIN_WORDS = 50
@@ -39,7 +39,7 @@ WORD_MIN_WORDS = 100
 WORD_FLOOR = 0.215
 WORD_NOISE = 2.2
 WORD_MOST = 0.5
-_FLUSH = 200_000
+_FLUSH = 100_000
 _SYMBOLS = b"#*$%&|<>"
 
 #: Character classes as byte sets; the rest are bytes outside ASCII.
@@ -109,16 +109,24 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     classes: dict[str, np.ndarray] = {}
 
     def flush():
-        rows = [(lang, "w", w.decode(), n) for lang, c in found.items() for w, n in c.items()]
-        rows += [(lang, "c", str(i), int(n)) for lang, c in classes.items() for i, n in enumerate(c)]
+        langs, kinds, items, numbers = [], [], [], []
+        for lang, counter in found.items():
+            langs += [lang] * len(counter)
+            kinds += ["w"] * len(counter)
+            items += counter
+            numbers += counter.values()
+        for lang, counts in classes.items():
+            langs += [lang] * len(counts)
+            kinds += ["c"] * len(counts)
+            items += [b"%d" % i for i in range(len(counts))]
+            numbers += counts.tolist()
         found.clear()
         classes.clear()
-        names = ["lang", "kind", "item", "n"]
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-        kinds = [pa.string(), pa.string(), pa.string(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+        columns = [pa.array(langs, pa.string()), pa.array(kinds, pa.string())]
+        columns += [pa.array(items, pa.binary()).cast(pa.string()), pa.array(numbers, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "kind", "item", "n"])
 
-    for batch in batches:
+    for batch in slices(batches):
         for text, lang in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
             words = (text or b"").split()
             if base_failed(len(words), repeated_words(words)):
@@ -234,7 +242,7 @@ def assess(docs: DataFrame, refs: list[Reference] | None = None, text: str = "te
     texts = ["text"] if text in kept else []  # a text goes through Python once
 
     def verdicts(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = judge(as_bytes(batch.column(0)), refs)
             columns = [batch.column(c) for c in [*texts, "doc"]]
             columns += [pa.array(found[n], _ARROW[t]) for n, t in map(str.split, VERDICTS.split(", "))]
