@@ -93,6 +93,15 @@ def test_large_buckets_are_cut_into_blocks(spark, monkeypatch):
     check(spark, family(random.Random(9), 60, edits=3))
 
 
+def test_a_large_group_of_near_copies_does_not_end_the_search(spark):
+    base = [f"b{i}" for i in range(600)]
+    texts = [" ".join([*base[: 4 * i], f"e{i}", *base[4 * i + 1 :]]) for i in range(150)]
+    for k in range(60):  # 80 of 100 shingles in common: at the threshold
+        own = [f"y{k}x{i}" for i in range(94)]
+        texts += [" ".join(own), " ".join([*own[:84], *(f"q{k}x{i}" for i in range(10))])]
+    check(spark, texts)
+
+
 def test_query_equals_brute_force_at_the_smallest_scale(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
     want = brute([d.text for d in docs])

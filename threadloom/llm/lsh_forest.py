@@ -7,10 +7,10 @@
    grouping prefixes; large ones are cut into blocks, and pairs of blocks compared, so no task
    ever holds a whole bucket.
 3. The search starts with the longest prefixes and shortens them (halves, then the depth that
-   the threshold needs). After each depth the pairs found so far tell how many are still
-   missing: a pair of similarity s is found with probability 1 - (1 - s**k) ** TREES. It ends
-   when the estimated recall reaches the target, at the latest at the depth where a pair just
-   at the threshold is found with that probability.
+   the threshold needs). A pair of similarity s is found with probability
+   1 - (1 - s**k) ** TREES. The search always goes down to the depth where a pair just at the
+   threshold is found with the target probability; closer pairs are found more likely. What
+   was found on the way does not end it: many close pairs say nothing of the others.
 4. A pair is looked at in the first tree and at the first depth where it shares a prefix, so
    once. Its exact Jaccard similarity is computed from the shingle sets.
 5. What leaves a group is one row per member: its number of links and a parent in a spanning
@@ -238,28 +238,26 @@ def _rows(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.Record
     )
 
 
-_COUNTED = [("digest", pa.binary()), ("n_links", pa.int64()), ("found", pa.float64()), ("all", pa.float64()), ("parent", pa.binary())]
-_COUNTED_DDL = "digest binary, n_links bigint, found double, all double, parent binary"
+_COUNTED = [("digest", pa.binary()), ("n_links", pa.int64()), ("parent", pa.binary())]
+_COUNTED_DDL = "digest binary, n_links bigint, parent binary"
 
 
 def _counted(depth: int, before: int | None, threshold: float):
-    """One row per member of a group that has links in it: how many, the pairs found and
-    estimated (each at its left member), and a member it is connected to."""
+    """One row per member of a group that has links in it: how many, and a member it is
+    connected to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for table in groups(batches, "group"):
             digests, pairs_ = _similar(table, depth, before, threshold)
             n = len(digests)
-            count, found, all_ = [0] * n, [0.0] * n, [0.0] * n
-            for i, j, similarity in pairs_:
+            count = [0] * n
+            for i, j, _ in pairs_:
                 count[i] += 1
                 count[j] += 1
-                found[i] += 1
-                all_[i] += 1 / recall(similarity, depth)
             roots = forest(n, pairs_)
             rows += [
-                (digests[i], count[i], found[i], all_[i], None if roots[i] == i else digests[roots[i]])
+                (digests[i], count[i], None if roots[i] == i else digests[roots[i]])
                 for i in range(n)
                 if count[i]
             ]
@@ -360,21 +358,9 @@ def _search(named: DataFrame, classes: DataFrame, threshold: float, target: floa
         full = _sorted_by_group(wanted.join(sets.hint("merge"), "digest"))
         found.append(materialise(full.mapInArrow(look(depth, before, threshold), schema)))
         before = depth
-        if depth != steps[-1] and _estimated_recall(found, depth) >= target:
-            break
     return reduce(DataFrame.unionByName, found)
 
 
-def _estimated_recall(found: list[DataFrame], depth: int) -> float:
-    """Found pairs over found and missing ones, each found pair standing for 1 / its chance."""
-    every = reduce(DataFrame.unionByName, found)
-    if "similarity" in every.columns:
-        chance = 1 - F.pow(1 - F.pow("similarity", F.lit(depth)), F.lit(TREES))
-        every = every.select(F.lit(1.0).alias("found"), (1 / chance).alias("all"))
-    seen, all_ = every.agg(F.sum("found"), F.sum("all")).first()
-    return seen / all_ if seen else 0.0
-
-
 def pairs(
     docs: DataFrame,
     text: str = "text",
