@@ -1,4 +1,5 @@
 import difflib
+import itertools
 import random
 
 from tests.llm import helpers
@@ -77,6 +78,33 @@ def clean(spark, texts, **options):
     return [r.text for r in rows]
 
 
+def test_repeated_and_moved_passages_go():
+    p, q = list("pqr"), list("stu")
+    cases = [
+        (["a1", *p, "a2", *p, "a3"], ["c1", *p, "c2"], p),
+        (["a1", *p, "a2"], ["c1", *p, "c2", *p, "c3"], p + p),
+        (["a1", *p, "a2", *q], [*q, "c1", *p, "p", "c2"], q + p),
+    ]
+    for earlier, later, gone in cases:
+        places = ld.long_blocks(earlier, later, [10] * len(later), 25)
+        assert [later[j] for j in places] == gone
+
+
+def test_long_blocks_are_all_common_runs():
+    rng = random.Random(2)
+    for _ in range(300):
+        size = [rng.randrange(1, 20) for _ in range(8)]
+        a, b = ([rng.randrange(8) for _ in range(rng.randrange(40))] for _ in range(2))
+        want = set()
+        for i, j in itertools.product(range(len(a)), range(len(b))):
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                n += 1
+            if sum(size[x] for x in b[j : j + n]) >= 25:
+                want |= set(range(j, j + n))
+        assert ld.long_blocks(a, b, [size[x] for x in b], 25) == sorted(want)
+
+
 def test_later_copies_of_a_passage_go(spark):
     block = "\n".join(PASSAGE)
     texts = ["own start\n" + block, "other\n\n" + block.replace("\n", "\n\n") + "\nend", block, "short\nown start\n" + "short"]

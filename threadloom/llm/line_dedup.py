@@ -9,7 +9,9 @@
 3. The document is aligned with each first holder by a patience diff of the line hashes: lines
    that occur once in both and lie in the longest increasing order are anchors, and blocks
    grow from them over equal neighbours. Between anchors the diff is repeated on what is left.
-4. Aligned blocks of ``MIN_WORDS`` words or more are deleted from the later document.
+   Where a shared line is left over (repeated or moved passages), every run of lines that just
+   reaches ``MIN_WORDS`` words is looked up among the runs of the whole first holder.
+4. Common blocks of ``MIN_WORDS`` words or more are deleted from the later document.
 
 The first holder of a line keeps it, so every line stays somewhere. Alignments read hashes,
 never texts; a document's links and deletions are at most as many as its lines.
@@ -100,14 +102,37 @@ def cut_hashes(joined: bytes) -> list[bytes]:
     return [joined[i : i + HASH] for i in range(0, len(joined), HASH)]
 
 
+def windows(words: list[int], min_words: int) -> set[tuple[int, int]]:
+    """The shortest runs of lines (start, stop) of ``min_words`` words from each line on, and up
+    to each line. Those inside a block of so many words cover it."""
+    sums = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    n = len(words)
+    stops = np.searchsorted(sums, sums[:-1] + min_words)
+    starts = np.searchsorted(sums, sums[1:] - min_words, side="right") - 1
+    onward = {(i, j) for i, j in enumerate(stops.tolist()) if j <= n}
+    return onward | {(i, j) for j, i in enumerate(starts.tolist(), 1) if i >= 0}
+
+
 def long_blocks(earlier: list, later: list, words: list[int], min_words: int) -> list[int]:
-    """Places in ``later`` inside an aligned block of ``min_words`` words or more."""
-    return [
+    """Places in ``later`` inside a block of ``min_words`` words or more that ``earlier`` has."""
+    gone = {
         j
         for _, b, n in blocks(earlier, later)
         if sum(words[b : b + n]) >= min_words
         for j in range(b, b + n)
-    ]
+    }
+    known = set(earlier)
+    if all(j in gone or h not in known for j, h in enumerate(later)):
+        return sorted(gone)
+    by_length: dict[int, list[int]] = {}
+    for start, stop in windows(words, min_words):
+        by_length.setdefault(stop - start, []).append(start)
+    for n, starts in by_length.items():
+        runs = {tuple(earlier[i : i + n]) for i in range(len(earlier) - n + 1)}
+        for j in starts:
+            if tuple(later[j : j + n]) in runs:
+                gone.update(range(j, j + n))
+    return sorted(gone)
 
 
 def _holders_of_runs(min_words: int):
