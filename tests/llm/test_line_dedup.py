@@ -113,6 +113,21 @@ def test_later_copies_of_a_passage_go(spark):
     assert [s for s in got[1].split("\n") if s] == ["other", "end"]
 
 
+def test_a_passage_whose_lines_have_several_first_holders(spark):
+    firsts = [f"start {i}\n{line}\nend {i}" for i, line in enumerate(PASSAGE)]
+    texts = firsts + [f"open {i}\n" + "\n".join(PASSAGE) + f"\nclose {i}" for i in range(4)]
+    got = clean(spark, texts)
+    assert got[:4] == texts[:4]
+    assert got[4:] == [f"open {i}\nclose {i}" for i in range(1, 4)]
+
+
+def test_the_last_short_line_of_a_block_goes_too(spark):
+    first = "\n".join(["start one", *PASSAGE, "start two"])
+    longer = [*PASSAGE, "short tail"]
+    texts = [first, "\n".join(["a", *longer, "b"]), "\n".join(["c", *longer, "d"])]
+    assert clean(spark, texts)[1:] == ["a\nshort tail\nb", "c\nd"]
+
+
 def test_many_copies_and_a_common_line(spark):
     long = " ".join(f"t{i}" for i in range(60))
     texts = [f"common line\n{long}" for _ in range(200)] + [f"common line\nown words {i}" for i in range(200)]

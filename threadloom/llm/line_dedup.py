@@ -1,12 +1,12 @@
 """Line dedup: documents that share lines are aligned, and common blocks leave the later one.
 
-1. Lines are hashed (md5 of the stripped line; blank lines count as nothing). The first holder
-   of a line is the earliest document with it, in the order of the id (null last) and then of
-   the place in the files. So a line that any number of documents share gives one link from
-   each of them, never all pairs.
-2. Of each later document only runs of neighbouring shared lines with ``MIN_WORDS`` words or
-   more count, as no shorter block is deleted; this leaves lines that everybody uses alone.
-3. The document is aligned with each first holder by a patience diff of the line hashes: lines
+1. Lines are hashed (md5 of the stripped line; blank lines count as nothing). So are the runs of
+   neighbouring lines that just reach ``MIN_WORDS`` words, from each line on and up to each
+   line: a common block of so many words holds such a run at each of its lines.
+2. The first holder of a run is the earliest document with it, in the order of the id (null
+   last) and then of the place in the files. So a run that any number of documents share gives
+   one link from each of them, never all pairs. Lines that everybody uses alone give none.
+3. Each later document is aligned with the first holders of its runs by a patience diff of the line hashes: lines
    that occur once in both and lie in the longest increasing order are anchors, and blocks
    grow from them over equal neighbours. Between anchors the diff is repeated on what is left.
    Where a shared line is left over (repeated or moved passages), every run of lines that just
@@ -14,7 +14,7 @@
 4. Common blocks of ``MIN_WORDS`` words or more are deleted from the later document.
 
 The first holder of a line keeps it, so every line stays somewhere. Alignments read hashes,
-never texts; a document's links and deletions are at most as many as its lines.
+never texts; a document's links are at most twice its lines, its deletions as many as them.
 
 A null text has no lines and stays null; an empty one stays empty. Repeated rows with one id
 are documents of their own, in the order of the files. Extra columns are kept; added columns
@@ -22,6 +22,7 @@ replace columns of the same name. An empty table gives an empty result.
 """
 
 import bisect
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import rest_of, schema_of, with_row_id
+from threadloom.llm.common import rest_of, schema_of, slices, with_row_id
 from threadloom.session import materialise
 
 MIN_WORDS = 25
@@ -135,27 +136,17 @@ def long_blocks(earlier: list, later: list, words: list[int], min_words: int) ->
     return sorted(gone)
 
 
-def _holders_of_runs(min_words: int):
-    """For each later document: the first holders of lines in runs that are long enough."""
+def _runs(min_words: int):
+    """For each document: the hashes of its runs of lines that just reach ``min_words`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            later, holders = [], []
-            for row, lines in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                lines.sort(key=lambda line: line["at"])
-                seen, start = set(), 0
-                for k in range(1, len(lines) + 1):
-                    if k == len(lines) or lines[k]["at"] != lines[k - 1]["at"] + 1:
-                        part = lines[start:k]
-                        start = k
-                        if sum(line["words"] for line in part) >= min_words:
-                            seen |= {(line["file"], line["index"]) for line in part}
-                for holder in sorted(seen):
-                    later.append(row)
-                    holders.append({"file": holder[0], "index": holder[1]})
-            kind = batch.schema.field(0).type
+        for batch in slices(batches):
+            runs = []
+            for joined, words in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                parts = {joined[i * HASH : j * HASH] for i, j in windows(words, min_words)}
+                runs.append([hashlib.md5(part).digest() for part in parts])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r.as_py() for r in later], kind), pa.array(holders, kind)], ["row", "holder"]
+                [batch.column(0), batch.column(1), pa.array(runs, pa.list_(pa.binary()))], ["row", "key", "runs"]
             )
 
     return run
@@ -192,28 +183,27 @@ def deletions(docs: DataFrame, text: str = "text", key: str = "doc_id", min_word
             F.transform("lines", lambda s: F.size(F.split(s, " "))).alias("words"),
         ).where(F.size("hashes") > 0)
     )
+    whole = F.array_join(F.transform("hashes", F.hex), "")
+    packed = lines.select("row", "key", F.unhex(whole).alias("hashes"), "words")
+    schema = schema_of(packed, ["row", "key"], "runs array<binary>")
+    runs = materialise(packed.mapInArrow(_runs(min_words), schema).where(F.size("runs") > 0))
     order = F.struct(F.col("key").isNull().alias("none"), "key", "row")
-    distinct = lines.select(order.alias("doc"), F.explode(F.array_distinct("hashes")).alias("hash"))
     holders = materialise(
-        distinct.groupBy("hash")
+        runs.select(order.alias("doc"), F.explode("runs").alias("run"))
+        .groupBy("run")
         .agg(F.min("doc").alias("first"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("hash", F.col("first.row").alias("holder"))
+        .select("run", F.col("first.row").alias("holder"))
     )
-    zipped = F.arrays_zip(F.col("hashes").alias("hash"), F.col("words").alias("words"))
-    each = lines.select("row", F.posexplode(zipped).alias("at", "line")).select("row", "at", "line.*")
-    shared = each.join(holders, "hash").where(F.col("row") != F.col("holder"))
-    line = F.struct("at", "words", F.col("holder.file").alias("file"), F.col("holder.index").alias("index"))
-    by_doc = shared.groupBy("row").agg(F.collect_list(line).alias("lines"))  # at most the lines of a text
-    place = "struct<file:bigint,index:bigint>"
-    pairs = materialise(by_doc.mapInArrow(_holders_of_runs(min_words), f"row {place}, holder {place}"))
-    whole = F.array_join(F.transform("hashes", F.hex), "")
-    packed = lines.select("row", F.unhex(whole).alias("hashes"), "words")
+    shared = runs.select("row", F.explode("runs").alias("run")).join(holders, "run")
+    pairs = materialise(shared.where(F.col("row") != F.col("holder")).select("row", "holder").distinct())
+    packed = packed.drop("key")
     both = (
         pairs.join(packed.select(F.col("row").alias("holder"), F.col("hashes").alias("earlier")), "holder")
         .join(packed.withColumnRenamed("hashes", "later"), "row")
         .select("row", "later", "words", "earlier")
     )
+    place = "struct<file:bigint,index:bigint>"
     cut = both.mapInArrow(_deletions(min_words), f"row {place}, places array<int>")
     gone = cut.select("row", F.explode("places").alias("place")).distinct()
     return named, materialise(gone.groupBy("row").agg(F.collect_list("place").alias("places")))
