@@ -82,6 +82,16 @@ def test_labelled_text_picks_first_column(spark, folder):
         readers.read_labelled_text(spark, paths)
 
 
+def test_labelled_text_looks_at_all_lines_of_each_table(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"input": \n{"other": 1}\n{"question": "qa", "body": "no"}\n{"input": "ia"}\n')
+    (tmp_path / "b.jsonl").write_text('{"body": "bb"}\n{"question": "qb"}\n')
+    (tmp_path / "c.jsonl").write_text('{"body": "bc"}\n')
+    (tmp_path / "d.jsonl").write_text('{"other": "no"}\n')
+    rows = readers.read_labelled_text(spark, {"code": [f"{tmp_path}/*.jsonl"]}).collect()
+    assert sorted(r.text for r in rows if r.text) == ["bc", "ia", "qb"]
+    assert len(rows) == 6 and {r.category for r in rows} == {"code"}
+
+
 def test_labelled_text_takes_patterns(spark, folder):
     for name in "xy":
         with open(f"{folder}/{name}.jsonl", "w") as f:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from threadloom import constants as K
 from threadloom import schemas
+from threadloom.session import materialise
 
 TEXT_CANDIDATES = ("input", "question", "body")
 
@@ -101,7 +102,7 @@ def read_labelled_text(
     """``labelled_text`` over JSONL paths, which may be patterns.
 
     A path that matches nothing is an error, or left out with ``skip_missing``. The columns of
-    a table are those of its first line; only the one that is used is parsed.
+    a table are those of all its good lines; a pattern may match tables with different ones.
     """
     tables: dict[str, list[DataFrame]] = {}
     for category, found in paths.items():
@@ -114,14 +115,24 @@ def read_labelled_text(
 
 
 def _text_table(spark: SparkSession, path: str, candidates) -> DataFrame:
-    """The first candidate column that the first line of a table has (none: no column)."""
-    head = read_lines(spark, path).select(F.json_object_keys("value").alias("keys")).first()
-    keys = (head and head["keys"]) or []
-    column = next((c for c in candidates if c in keys), None)
-    schema = T.StructType([T.StructField(column, T.StringType())] if column else [])
-    if not column:
-        return spark.createDataFrame([], schema)
-    return good_rows(read_dump(spark, path, schema))
+    """The texts of the tables of a path, under the name of the first candidate.
+
+    A table is a file, or a folder of part files. Its text is the first candidate that any of
+    its good lines has; tables without one are left out.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in candidates])
+    lines = parse_lines(read_lines(spark, path, "_position"), "value", schema).where("is_valid")
+    file = F.col("_position.file")
+    part = F.element_at(F.split(file, "/"), -1).startswith("part-")
+    keys = F.json_object_keys("value")
+    rows = lines.select(
+        F.when(part, F.regexp_replace(file, "/[^/]*$", "")).otherwise(file).alias("table"),
+        F.coalesce(*[F.when(F.array_contains(keys, c), F.lit(i)) for i, c in enumerate(candidates, 1)]).alias("place"),
+        F.array(*[F.col(f"parsed.`{c}`") for c in candidates]).alias("texts"),
+    )
+    chosen = materialise(rows.groupBy("table").agg(F.min("place").alias("chosen")).where("chosen is not null"))
+    text = F.element_at("texts", F.col("chosen")).alias(candidates[0])
+    return rows.select("table", "texts").join(chosen, "table").select(text)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
