@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -81,3 +82,21 @@ def test_same_references_for_any_partitioning(spark, sf):
     a, b = quality.references(docs), quality.references(docs.repartition(6))
     assert [(r.lang, r.words) for r in a] == [(r.lang, r.words) for r in b]
     assert all((x.shares == y.shares).all() for x, y in zip(a, b, strict=True))
+
+
+def test_rare_languages_are_not_judged_by_others(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LANGUAGE_SHARE", 0.25)
+    monkeypatch.setattr(quality, "LANGUAGE_WORDS", 500)
+    rng = random.Random(1)
+
+    def write(letters, n=200, size=40):
+        vocabulary = ["".join(rng.choices(letters, k=6)) for _ in range(size)]
+        return lambda: " ".join(rng.choices(vocabulary, k=n))
+
+    common, rare, single = write("abcdefgh"), write("абвгдежз"), write("αβγδεζηθ")
+    texts = [common() for _ in range(60)] + [rare() for _ in range(15)] + [single()]
+    langs = ["en"] * 60 + ["xx"] * 15 + ["yy"]
+    spam = write("0123456789#", size=200)()
+    rows = quality.assess(helpers.docs(spark, [*texts, spam], [*langs, "xx"])).orderBy("doc_id").collect()
+    assert [r.kept for r in rows] == [True] * 76 + [False], [(r.char_distance, r.word_distance) for r in rows[60:]]
+    assert [r.nearest for r in rows[59:76]] == ["en"] + ["xx"] * 15 + [None]

@@ -6,6 +6,10 @@ other word". The nearest reference counts. References are sums over all document
 the base rules, by their ``lang`` (null is a group of its own); a word is common if it makes
 up at least ``WORD_SHARE`` of a language's words, which bounds every list by 1 / WORD_SHARE.
 
+Languages with ``LANGUAGE_SHARE`` of all words are references for every document. One below
+that, with ``LANGUAGE_WORDS`` words or more, is a reference for its own documents, joined to
+them by ``lang``. Documents whose language has no reference are left to the base rules.
+
 Histograms of short texts are noise, so texts below ``CHAR_MIN_WORDS`` or ``WORD_MIN_WORDS``
 words are not judged by them, and the limit on words falls with the length.
 
@@ -14,6 +18,7 @@ Rows are judged one by one: ids may repeat or be null, other columns are not loo
 columns replace columns of the same name. An empty table gives an empty result.
 """
 
+import json
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -30,8 +35,10 @@ from threadloom.session import materialise
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WORD_SHARE = 0.001
-#: A language is a reference if it holds this share of all words; so there are at most 200.
+#: A language is a reference for all documents if it holds this share of all words; so there are at most 200.
 LANGUAGE_SHARE = 0.005
+#: A smaller language is a reference for its own documents if it has so many words.
+LANGUAGE_WORDS = 20_000
 CHAR_LIMIT = 0.33
 CHAR_MIN_WORDS = 50
 WORD_MIN_WORDS = 100
@@ -149,7 +156,12 @@ class Reference:
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[Reference]:
-    """The references of all languages that hold ``LANGUAGE_SHARE`` of the words.
+    """The references of all languages that hold ``LANGUAGE_SHARE`` of the words."""
+    return _references(docs, text, lang)[0]
+
+
+def _references(docs: DataFrame, text: str, lang: str) -> tuple[list[Reference], DataFrame]:
+    """The references for all documents, and a table of those for their own (``code``, ``own``).
 
     What reaches the driver is bounded: 1 / LANGUAGE_SHARE languages of 1 / WORD_SHARE words.
     """
@@ -172,11 +184,29 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[
         (words if row.kind == "w" else classes)[row.item] = row.n
     out = []
     for name, (total, words, classes) in sorted(by_lang.items()):
-        chars = np.array([classes.get(str(i), 0) for i in range(CLASSES)], float)
-        listed = sorted(words)
-        shares = np.array([*(words[w] for w in listed), total - sum(words.values())], float)
-        out.append(Reference(name, chars / chars.sum(), [w.encode() for w in listed], shares / total))
-    return out
+        out.append(_reference(name, total, words, classes))
+    small = totals.where((F.col("total") < LANGUAGE_SHARE * whole) & (F.col("total") >= LANGUAGE_WORDS))
+    rest = counts.where(~F.col("lang").isin(sorted(by_lang)))  # so no language is a hot key
+    listed = rest.join(small.hint("merge"), "lang").where(
+        (F.col("kind") == "c") | (F.col("n") >= WORD_SHARE * F.col("total"))
+    )
+    items = F.collect_list(F.struct("kind", "item", "n"))  # at most 1 / WORD_SHARE words
+    own = listed.groupBy("lang", "total").agg(items.alias("items"))
+    packed = F.to_json(F.struct("total", "items"))
+    return out, materialise(own.select(F.col("lang").alias("code"), packed.alias("own")))
+
+
+def _reference(name: str, total: int, words: dict[str, int], classes: dict[str, int]) -> Reference:
+    chars = np.array([classes.get(str(i), 0) for i in range(CLASSES)], float)
+    listed = sorted(words)
+    shares = np.array([*(words[w] for w in listed), total - sum(words.values())], float)
+    return Reference(name, chars / chars.sum(), [w.encode() for w in listed], shares / total)
+
+
+def _own_reference(name: str, packed: str) -> Reference:
+    found = json.loads(packed)
+    kinds = ({x["item"]: x["n"] for x in found["items"] if x["kind"] == k} for k in "wc")
+    return _reference(name, found["total"], *kinds)
 
 
 def distance(rows: np.ndarray, reference: np.ndarray) -> np.ndarray:
@@ -235,22 +265,46 @@ def judge(texts: list[bytes | None], refs: list[Reference]) -> dict[str, list]:
 
 def assess(docs: DataFrame, refs: list[Reference] | None = None, text: str = "text", lang: str = "lang", keep=None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the columns of ``VERDICTS``, row by row."""
-    refs = references(docs, text, lang) if refs is None else refs
+    own = None
+    if refs is None:
+        refs, own = _references(docs, text, lang)
     added = [f.split()[0] for f in VERDICTS.split(", ")]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    rows = docs.select(F.col(text).alias("text"), rest_of(kept, text).alias("doc"))
+    code = F.coalesce(F.col(lang).cast("string"), F.lit(""))
+    rows = docs.select(F.col(text).alias("text"), rest_of(kept, text).alias("doc"), code.alias("code"))
     texts = ["text"] if text in kept else []  # a text goes through Python once
 
+    def judged(batch, by):
+        found = judge(as_bytes(batch.column("text")), by)
+        columns = [batch.column(c) for c in [*texts, "doc"]]
+        columns += [pa.array(found[n], _ARROW[t]) for n, t in map(str.split, VERDICTS.split(", "))]
+        return pa.RecordBatch.from_arrays(columns, [*texts, "doc", *found])
+
     def verdicts(batches):
         for batch in slices(batches):
-            found = judge(as_bytes(batch.column(0)), refs)
-            columns = [batch.column(c) for c in [*texts, "doc"]]
-            columns += [pa.array(found[n], _ARROW[t]) for n, t in map(str.split, VERDICTS.split(", "))]
-            yield pa.RecordBatch.from_arrays(columns, [*texts, "doc", *found])
+            yield judged(batch, refs)
+
+    def own_verdicts(batches):
+        name, by = None, []
+        for batch in slices(batches):
+            codes, start = batch.column("code").to_pylist(), 0
+            for k in range(1, len(codes) + 1):  # rows of one language are neighbours
+                if k < len(codes) and codes[k] == codes[start]:
+                    continue
+                if codes[start] != name:
+                    name, packed = codes[start], batch.column("own")[start].as_py()
+                    by = [] if packed is None else [*refs, _own_reference(name, packed)]
+                yield judged(batch.slice(start, k - start), by)
+                start = k
 
     schema = schema_of(rows, [*texts, "doc"], VERDICTS)
     columns = [F.col("text").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in kept]
-    return rows.mapInArrow(verdicts, schema).select(*columns, *added)
+    common = F.col("code").isin([r.lang for r in refs])
+    rare = rows.where(~common)
+    rare = rare.withColumn("own", F.lit(None).cast("string")) if own is None else rare.join(own.hint("merge"), "code", "left")
+    by_all = rows.where(common).select("text", "doc").mapInArrow(verdicts, schema)
+    by_own = rare.select("text", "doc", "code", "own").mapInArrow(own_verdicts, schema)
+    return by_all.unionByName(by_own).select(*columns, *added)
 
 
 _ARROW = {"long": pa.int64(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}
