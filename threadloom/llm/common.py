@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,7 +85,7 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         if not batch.num_rows:
             continue
         keys = batch.column(key)
-        change = pa.compute.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1))
+        change = pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1))
         cuts = [0, *(np.flatnonzero(change.to_numpy(zero_copy_only=False)) + 1).tolist(), len(keys)]
         if rest and rest[-1].column(key)[-1].as_py() != keys[0].as_py():
             yield pa.Table.from_batches(rest)
