@@ -186,10 +186,68 @@ select d.doc_id, len(words)::BIGINT as n_words, coalesce(n_hit, 0)::BIGINT as n_
 from d left join places using (doc_id) left join found using (doc_id)
 """
 
+OP11 = """
+with v as (
+    select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           [floor(256 * x::DOUBLE) for x in embedding] as e
+    from embeddings
+    where label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), s as (
+    select a.r as ar, a.vec_id as anchor_id, b.r, b.vec_id, a.label = b.label as same, list_inner_product(a.e, b.e)::BIGINT as score
+    from v a join v b on a.r <> b.r where a.vec_id % 100 = 0
+), p as (
+    select * from (
+        select *, row_number() over (partition by ar order by score desc, vec_id nulls last, r) as k from s where same
+    ) where k <= 5
+), n as (
+    select p.anchor_id, p.vec_id as positive_id, p.score as positive_score, s.vec_id as negative_id, s.score as negative_score,
+           row_number() over (partition by p.ar, p.r order by s.score desc, s.vec_id nulls last) as rank
+    from p join s on s.ar = p.ar and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score
+)
+select anchor_id, positive_id, rank::INTEGER as rank, negative_id, positive_score, negative_score from n where rank <= 5
+"""
+
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT for c in string_split(conv_id::VARCHAR, '')]),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+                               lambda x, i: case when x % 2 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)))"""
+
+OP13 = rf"""
+with own as (
+    select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                         order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+    from conversations where conv_id is not null group by 1
+), heads as (
+    select conv_id, turns, {_CRC32} % 4 as h from own
+), built as (
+    select c.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, h), list_slice(c.turns, h + 1, len(c.turns))) as turns
+    from heads c left join own b on b.conv_id = c.conv_id - c.conv_id % 20
+), nodes as (
+    select d, p, min(conv_id) as conv_id, count(*) as n_convs,
+           case when d = 0 then 0 else (count(*) - 1) * len(regexp_extract_all(p[d].text, '[^ 	-]+')) end as saved
+    from (select conv_id, d, list_slice(turns, 1, d) as p from (select *, unnest(range(len(turns) + 1)) as d from built)) group by 1, 2
+), kids as (
+    select d - 1 as d, list_slice(p, 1, d - 1) as p, count(*) as n from nodes where d > 0 group by 1, 2
+), counted as (
+    select nodes.*, coalesce(n, 0) as n_children from nodes left join kids using (d, p)
+), below as (
+    select e as d, list_slice(p, 1, e) as p, sum((n_children = 0)::INT) as n_leaves, sum(saved) as saved_tokens
+    from (select *, unnest(range(d + 1)) as e from counted) group by 1, 2
+), ends as (
+    select turns as p, string_agg(conv_id, ',' order by conv_id) as ids from built group by 1
+)
+select c.conv_id, c.d::BIGINT as depth, f.conv_id as parent_conv_id, c.n_convs::BIGINT as n_convs, c.n_children::BIGINT as n_children,
+       n_leaves::BIGINT as n_leaves, saved_tokens::BIGINT as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+from counted c join below using (d, p) left join ends on ends.p = c.p
+left join nodes f on f.d = c.d - 1 and f.p = list_slice(c.p, 1, c.d - 1)
+"""
+
 ORACLES = {
     "op3_warc": OP3,
     "op6_ngram_jaccard": OP6,
     "op8_quality_rules": OP8,
     "op9_license_scan": OP9,
     "op10_decontamination": OP10,
+    "op11_hard_negatives": OP11,
+    "op13_prefix_trie": OP13,
 }

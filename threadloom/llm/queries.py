@@ -5,16 +5,20 @@ from pyspark.sql import functions as F
 
 from threadloom.llm import (
     decontaminate,
+    hard_negatives,
     language_cnn,
     licenses,
     line_dedup,
     lsh_forest,
     packing,
+    prefix_trie,
     quality,
     sharding,
     token_counts,
+    token_files,
     warc,
 )
+from threadloom.session import materialise
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +104,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False)), (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.checksums(token_files.round_trip(_table(spark, sf_dir, "documents")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = materialise(prefix_trie.turns(_table(spark, sf_dir, "conversations")))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    return prefix_trie.trie(*prefix_trie.with_shared_heads(own, 20, head))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -113,5 +133,8 @@ QUERIES = {
         op8_quality_rules,
         op9_license_scan,
         op10_decontamination,
+        op11_hard_negatives,
+        op12_token_files,
+        op13_prefix_trie,
     )
 }
