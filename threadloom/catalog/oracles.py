@@ -377,6 +377,7 @@ ORACLES["read_dump"] = with_views(
         json_extract_string(j, '$.subreddit') as subreddit from ({_DUMPED}) where j is not null
         qualify row_number() over (partition by json_extract_string(j, '$.id') order by pos desc) = 1""",
 )
+ORACLES["read_dump_zstd_splits"] = ORACLES["read_dump_gzip_splits"] = ORACLES["read_dump"]
 ORACLES["dump_row_counts"] = with_views(
     "comments_v", f"select count(*) as lines, count(j) as good, count(*) - count(j) as rejected from ({_DUMPED})"
 )

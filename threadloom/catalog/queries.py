@@ -81,6 +81,24 @@ def read_dump(spark, sf):
     return pairs.latest_by_id(readers.good_rows(_dump(spark, sf)), "id", "position").drop("position")
 
 
+def _split_dump(spark, sf, codec):
+    schema = schemas.T.StructType.fromDDL(DUMP_SCHEMA)
+    rows = readers.read_dump(spark, V.split_dump(spark, sf, codec), schema, "position", split_bytes=1 << 16)
+    return pairs.latest_by_id(readers.good_rows(rows), "id", "position").drop("position")
+
+
+@query
+def read_dump_zstd_splits(spark, sf):
+    """``read_dump`` over zstd files whose frames are read by different tasks."""
+    return _split_dump(spark, sf, "zstd")
+
+
+@query
+def read_dump_gzip_splits(spark, sf):
+    """``read_dump`` over gzip files whose members are read by different tasks."""
+    return _split_dump(spark, sf, "gzip")
+
+
 @query
 def dump_row_counts(spark, sf):
     return profile.dump_counts(_dump(spark, sf))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from threadloom import constants as K
 from threadloom.session import new_stage
+from threadloom.sources import dumps
 from threadloom.sources.readers import path_exists
 
 TABLES = (
@@ -239,6 +240,15 @@ def dump(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def split_dump(spark: SparkSession, sf_dir: str, codec: str = "zstd", frame_bytes: int = 1 << 16) -> str:
+    """The same dump in a few files of many small frames each, which end at any byte."""
+    folder = f"{new_stage(spark)}.{codec}"
+    lines = comments(spark, sf_dir).selectExpr("pos", f"{DUMP_LINE} as value")
+    ordered = lines.repartitionByRange(2, "pos").sortWithinPartitions("pos")
+    dumps.write_frames(ordered, folder, codec, frame_bytes).write.format("noop").mode("overwrite").save()
+    return folder
+
+
 def many_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return _project(events.withColumn("h", F.expr(spark_draw("fields", "event_id"))), FIELDS_SELECT)

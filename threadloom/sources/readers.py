@@ -8,39 +8,47 @@ from pyspark.sql import types as T
 
 from threadloom import constants as K
 from threadloom import schemas
+from threadloom.functions import text as X
 from threadloom.session import materialise
+from threadloom.sources import dumps
 
 TEXT_CANDIDATES = ("input", "question", "body")
 
 
-def read_lines(spark: SparkSession, paths, position: str | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, paths, position: str | None = None, split_bytes: int | None = None) -> DataFrame:
     """The lines of text files (also ``.zst``, ``.gz``) that are not blank, as ``value``.
 
-    ``position`` names a column with the order of the lines: the file by its path, the block
-    in the file, the line in the block. Spark deals files out by size, so the order of the
-    rows alone would not be that of the files.
+    A line of white space only (as Python's ``strip`` takes it) is blank. ``position`` names
+    a column with the order of the lines: the file by its path, the block in the file, the
+    line in the block. Spark deals files out by size, so the order of the rows alone would
+    not be that of the files. With ``split_bytes`` compressed files are read in splits of
+    that size, see ``sources.dumps``.
     """
-    lines = spark.read.text(paths)
-    if position:
+    if split_bytes:
+        lines = dumps.read_splits(spark, paths, split_bytes)
+        order = F.struct("file", "block", "line")
+    else:
+        lines = spark.read.text(paths)
         block = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
         order = F.struct(*block, F.monotonically_increasing_id().alias("line"))
-        lines = lines.select("value", order.alias(position))
-    return lines.where(F.trim("value") != "")
+    lines = lines.select("value", *([order.alias(position)] if position else []))
+    return lines.where(X.strip_ws("value") != "")
 
 
 def read_dump(
-    spark: SparkSession, paths, schema: T.StructType, position: str | None = None
+    spark: SparkSession, paths, schema: T.StructType, position: str | None = None, split_bytes: int | None = None
 ) -> DataFrame:
     """Read NDJSON files with an explicit schema.
 
     The result has the extra column ``_corrupt_record``; see ``good_rows`` and
-    ``rejected_rows``. A compressed file is one task, so spread the rows after admission.
-    zstd frames with a window above 2**27 must be recompressed first. ``position`` names a
-    column with the order of the scan, for "the last row per id wins".
+    ``rejected_rows``. ``position`` names a column with the order of the scan, for "the last
+    row per id wins". Without ``split_bytes`` a compressed file is one task, so spread the
+    rows after admission, and zstd frames may have a window of 2**27 at most; with it the frames
+    of a file are dealt out in splits and windows reach 2**31.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
     row = F.from_json("value", schemas.with_corrupt(schema), options)
-    parsed = read_lines(spark, paths, position).withColumn("_row", row)
+    parsed = read_lines(spark, paths, position, split_bytes).withColumn("_row", row)
     corrupt = F.when(F.col("_row").isNull(), F.col("value")).otherwise(F.col(f"_row.{schemas.CORRUPT}"))
     return parsed.select(
         *[F.col(f"_row.{f.name}") for f in schema],
