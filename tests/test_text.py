@@ -177,5 +177,5 @@ def test_stem_columns(spark):
     df = spark.createDataFrame([(1, ["running", "cats", "cats"], "flies"), (2, [], None), (3, None, "x")], "k int, w array<string>, c string")
     stems = df.select("k", porter.stem_token("c").alias("c")).collect()
     assert sorted((r["k"], r["c"]) for r in stems) == [(1, "fli"), (2, None), (3, "x")]
-    rows = features.stemmed(df, "k", "w").collect()
+    rows = features.stemmed(df, "w").collect()
     assert sorted((r["k"], r["w"]) for r in rows) == [(1, ["run", "cat", "cat"]), (2, []), (3, [])]

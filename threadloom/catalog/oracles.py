@@ -856,3 +856,24 @@ ORACLES["training_text"] = with_ctes(
     f"""select row_key, {hash_rank('row_key')} as rank, {chatml('instruction', 'input', 'output')} as text
         from merged""",
 )
+
+
+def _layer(layer: int, source: str, units: list[str]) -> str:
+    """The next layer's values as columns."""
+    sizes = V.FIXED_SIZES
+    sums = [
+        " + ".join(f"{u} * ({V.fixed_weight(layer, i, j)})" for i, u in enumerate(units)) + f" + ({V.fixed_weight(layer, -1, j)})"
+        for j in range(sizes[layer + 1])
+    ]
+    last = layer == len(sizes) - 2
+    columns = [f"{s} as z{j}" if last else f"greatest({s}, 0) as h{layer}{j}" for j, s in enumerate(sums)]
+    return f"select doc_id, {', '.join(columns)} from {source}"
+
+
+_SHARES = ", ".join(f"len(regexp_extract_all(lower(coalesce(text, '')), '{c}')) / greatest(length(lower(coalesce(text, ''))), 1) as x{i}" for i, c in enumerate(V.LETTERS))
+ORACLES["score_network"] = f"""with x as (select doc_id, {_SHARES} from documents),
+    one as ({_layer(0, 'x', [f'x{i}' for i in range(6)])}),
+    two as ({_layer(1, 'one', [f'h0{i}' for i in range(4)])}),
+    out as ({_layer(2, 'two', [f'h1{i}' for i in range(3)])})
+    select doc_id, case when z0 >= z1 and z0 >= z2 then 'a' when z1 >= z2 then 'b' else 'c' end as label,
+        round(exp(greatest(z0, z1, z2)) / (exp(z0) + exp(z1) + exp(z2)), 6) as confidence from out"""

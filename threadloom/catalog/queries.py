@@ -2,6 +2,8 @@
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from threadloom.operators import (
     features,
     instruct,
     language,
+    network,
     pairs,
     profile,
     router,
@@ -552,7 +555,7 @@ def stemmed_words(spark, sf):
     """Rows with their words stemmed by way of the distinct words."""
     segment = F.split(F.concat(F.lower("c_mktsegment"), F.lit(" customers buying")), " ")
     rows = V.table(spark, sf, "customer").select("c_custkey", segment.alias("words"))
-    return features.stemmed(rows, "c_custkey", "words").select("c_custkey", F.array_join("words", " ").alias("stems"))
+    return features.stemmed(rows, "words").select("c_custkey", F.array_join("words", " ").alias("stems"))
 
 
 @query
@@ -652,7 +655,7 @@ def _router_rows(spark, sf):
             )
         ]
         merged = materialise(parts[0].unionByName(parts[1]).unionByName(parts[2]))
-        prepared = router.prepare(merged, "text", key="row_id")
+        prepared = router.prepare(merged, "text")
         return sampling.train_test_split(prepared, "row_id", 20).select("row_id", "category", "part", "term_words")
 
     written = V.staged(spark, sf, "router rows", rows)
@@ -682,6 +685,47 @@ def score_router(spark, sf):
     return scored.select("row_id", "category", "label", F.round("confidence", 6).alias("confidence"))
 
 
+def _features(spark, sf, part):
+    """TF-IDF vectors and class codes of a part, by the feature stages of the saved router."""
+    stages = _router(spark, sf).stages
+    labels = stages[-1].getLabels()
+    code = F.array_position(F.array(*map(F.lit, labels)), F.col("category")) - 1
+    rows = _router_rows(spark, sf).where(F.col("part") == part).withColumn("code", code)
+    return PipelineModel(stages[:3]).transform(rows).select("row_id", "category", "code", "features"), labels
+
+
+def _network(spark, sf) -> str:
+    """The path of the network fitted on the training part."""
+
+    def save(path):
+        rows, labels = _features(spark, sf, "train")
+        width = len(_router(spark, sf).stages[0].vocabulary)
+        settings = network.Settings(rate=1e-2, batch_rows=2048)
+        network.save(network.fit(rows, "row_id", "features", "code", width, len(labels), settings)[0], path)
+
+    return _saved(spark, sf, "network", save)
+
+
+@query
+def train_network(spark, sf):
+    """The confusion table of the held-out part under the feed-forward network."""
+    rows, labels = _features(spark, sf, "test")
+    scored = network.score(spark, _network(spark, sf), rows, "features", labels)
+    return router.confusion(scored, "label", "category")
+
+
+@query
+def score_network(spark, sf):
+    """Scores of a network with given weights over counts of letters in every document."""
+    path = f"{new_stage(spark)}/fixed"
+    network.save(V.fixed_network(), path)
+    text = F.lower(F.coalesce("text", F.lit("")))
+    shares = [F.regexp_count(text, F.lit(c)) / F.greatest(F.length(text), F.lit(1)) for c in V.LETTERS]
+    rows = V.table(spark, sf, "documents").select("doc_id", array_to_vector(F.array(*shares)).alias("features"))
+    scored = network.score(spark, path, rows, "features", ["a", "b", "c"])
+    return scored.select("doc_id", "label", F.round("confidence", 6).alias("confidence"))
+
+
 @query
 def router_split(spark, sf):
     """Rows of each class in the two parts of the split."""

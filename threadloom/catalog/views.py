@@ -8,10 +8,12 @@ the plain test text holds almost none.
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom import constants as K
+from threadloom.operators.network import Network
 from threadloom.session import new_stage
 from threadloom.sources import dumps
 from threadloom.sources.readers import path_exists
@@ -142,6 +144,23 @@ PROPS_SELECT = """
 """
 
 
+#: What the inputs of the fixed network count, and its layers.
+LETTERS = "aeinst"
+FIXED_SIZES = (6, 4, 3, 3)
+
+
+def fixed_weight(layer: int, i: int, j: int) -> float:
+    """Weight from unit i to unit j of the next layer; i = -1 is the bias."""
+    return ((layer * 5 + i * 7 + j * 3) % 11 - 5) / (2 if i >= 0 else 20)
+
+
+def fixed_network() -> Network:
+    parts = []
+    for layer, (a, b) in enumerate(zip(FIXED_SIZES[:-1], FIXED_SIZES[1:], strict=True)):
+        parts += [fixed_weight(layer, i, j) for i in [*range(a), -1] for j in range(b)]
+    return Network(FIXED_SIZES, np.array(parts))
+
+
 # Tables with long texts, and the key by which their rows are dealt out on request.
 TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 #: Set by a caller whose tables are single files with one row group, which one task would

@@ -1,13 +1,15 @@
 """Porter stemmer (published algorithm with the usual later extensions) for Arrow batches.
 
-``stem_token`` maps a column of words; ``operators.features.stemmed`` gives it the distinct
-words of a corpus and joins their stems.
+``stem_token`` maps a column of words, ``stem_words`` a column of word lists. Both stem each
+distinct word of a batch once and map the others by their dictionary codes; nothing is shuffled.
 """
 
 import re
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,6 +125,19 @@ def stem(word: str) -> str:
     return _final(_step_4(_swap(_step_2(w), STEP_3)))
 
 
-@F.pandas_udf(T.StringType())
-def stem_token(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: None if w is None else stem(w))
+def _stems(words: pa.Array) -> pa.Array:
+    codes = words.dictionary_encode()
+    stems = pa.array([stem(w) for w in codes.dictionary.to_pylist()], pa.string())
+    return stems.take(codes.indices)
+
+
+@F.arrow_udf(T.StringType())
+def stem_token(words: pa.Array) -> pa.Array:
+    return _stems(words)
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def stem_words(lists: pa.Array) -> pa.Array:
+    sizes = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    return pa.ListArray.from_arrays(ends, _stems(lists.flatten()), mask=pc.is_null(lists))

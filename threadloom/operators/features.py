@@ -22,26 +22,13 @@ def word_column(text, spaced: bool = False, stop_words=K.STOP_WORDS) -> Column:
     return X.remove_stopwords(found, stop_words)
 
 
-def stem_table(df: DataFrame, words: str) -> DataFrame:
-    """(term, stem) of the distinct words of an array column: only those are stemmed."""
-    terms = exploded(df, F.array_distinct(words)).distinct()
-    return materialise(terms.select("term", porter.stem_token("term").alias("stem")))
+def stemmed(df: DataFrame, words: str) -> DataFrame:
+    """``df`` with the words of an array column replaced by their stems; null becomes empty.
 
-
-def stemmed(df: DataFrame, key: str, words: str) -> DataFrame:
-    """``df`` with the words of an array column replaced by their stems; ``key`` is unique.
-
-    Words meet their stems in a join against the table of distinct words. Small, it is
-    broadcast by the adaptive plan; large, a frequent word is split by the skew join.
+    Rows stay where they are: an Arrow batch stems each of its distinct words once.
     """
-    table = stem_table(df, words).withColumnRenamed("term", "_term")
-    each = df.select(key, F.posexplode(words).alias("_pos", "_term")).join(table, "_term")
-    entry = F.struct("_pos", "stem")
-    lists = each.groupBy(key).agg(F.collect_list(entry).alias("_list"))
-    stems = F.transform(F.array_sort("_list"), lambda e: e["stem"])
     none = F.array().cast("array<string>")
-    joined = df.join(lists, key, "left").withColumn(words, F.coalesce(stems, none))
-    return joined.select(*df.columns)
+    return df.withColumn(words, F.coalesce(porter.stem_words(words), none))
 
 
 def exploded(df: DataFrame, terms: Column) -> DataFrame:

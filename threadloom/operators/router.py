@@ -18,14 +18,12 @@ from threadloom.session import materialise
 MAX_LABELS = 1000
 
 
-def prepare(
-    df: DataFrame, text: str, key: str | None = None, spaced: bool = False, stem: bool = True
-) -> DataFrame:
+def prepare(df: DataFrame, text: str, spaced: bool = False, stem: bool = True) -> DataFrame:
     """Add the columns ``words``, ``term_words`` (two or more word characters) and ``terms``
-    (their n-grams); one normaliser serves training and scoring. Stemming needs a unique key."""
+    (their n-grams); one normaliser serves training and scoring."""
     words = df.withColumn("words", features.word_column(text, spaced))
     if stem:
-        words = features.stemmed(words, key, "words")
+        words = features.stemmed(words, "words")
     joined = words.withColumn("term_words", X.word_terms(F.array_join("words", " ")))
     return joined.withColumn("terms", X.ngram_terms("term_words"))
 

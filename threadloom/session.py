@@ -4,6 +4,7 @@ import atexit
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,3 +101,9 @@ def materialise(df: DataFrame) -> DataFrame:
 def place() -> Column:
     """An id of each row of a table read from files: its file and its index there."""
     return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("index"))
+
+
+def open_uri(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI (or of an absolute local path), and the path in it, for files
+    that tasks write or read themselves in the shared folder."""
+    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")

@@ -23,12 +23,13 @@ from dataclasses import dataclass
 from functools import partial
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from threadloom.session import open_uri
+
 SPLIT_BYTES = 64 << 20
 LARGEST_WINDOW = 1 << 31
 LINES = "file string, block long, line long, value string"
@@ -286,7 +287,7 @@ class DumpReader(DataSourceReader):
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
         if not partition.size:
             return
-        system, path = fs.FileSystem.from_uri(partition.uri)
+        system, path = open_uri(partition.uri)
         with system.open_input_file(path) as file:
             pieces = contents(file, partition.start, partition.stop, partition.size)
             rows: list[tuple[int, str]] = []
@@ -352,7 +353,7 @@ def write_frames(df: DataFrame, folder: str, codec: str = "zstd", frame_bytes: i
     suffix = {"zstd": "zst", "gzip": "gz"}[codec]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        system, root = open_uri(folder)
         system.create_dir(root, recursive=True)
         path = f"{root}/part-{TaskContext.get().partitionId():05d}.{suffix}"
         draft, n, held = f"{root}/_draft-{uuid.uuid4().hex}", 0, bytearray()
