@@ -45,7 +45,15 @@ def test_the_table_of_words_is_bounded(reference, monkeypatch):
     for at in range(0, 200, 20):
         got = own(texts[at : at + 20])
         assert [np.frombuffer(b, "<u4").tolist() for b in got] == [reference(t) for t in texts[at : at + 20]]
-        assert len(own.known) <= 50 + 22 and not any(len(w) > token_files.LONG_WORD for w in own.known)
+        assert len(own.lately) <= 50 + 60 and not any(len(w) > token_files.LONG_WORD for w in own.lately)
+
+
+def test_other_vocabularies_encode_whole_texts():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    want = Tokenizer.from_file(path).encode("a  b <|endoftext|> c\n", add_special_tokens=False).ids
+    assert np.frombuffer(Encoder(path)(["a  b <|endoftext|> c\n"])[0], "<u4").tolist() == want
 
 
 def expected(docs, reference):

@@ -7,9 +7,9 @@ deltas, the size of row groups and pages; the writer adds page indexes, so a rea
 for a few documents by key touches only their pages. ``read`` adds ``start``, the number of ids of
 all documents before; a reader that leaves out ``ids`` reads just the small columns.
 
-Ids are those of a ``tokenizers`` file (a parameter) without added special tokens, and an end id. The
-vocabulary drops white space and none of its pieces crosses it, so each word is encoded once and its ids kept in a
-bounded table.
+Ids are those of a ``tokenizers`` file (a parameter) without added special tokens, and an end id. Where its
+form is the known one, which drops white space and lets no piece cross it, pieces are encoded once and their
+ids kept in bounded tables; other files encode whole texts.
 
 Documents are ordered by the key (null last), those of equal keys by their place in the files; so
 one key may hold any share of the rows. A null or empty text is the end id alone. Added columns
@@ -17,6 +17,9 @@ replace kept columns of the same name. An empty table gives an empty result. Mem
 of words.
 """
 
+import json
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +35,8 @@ from threadloom.llm.common import schema_of, slices, with_row_id
 from threadloom.session import new_stage
 
 END = 2
-#: Words a process keeps the ids of (longer ones than LONG_WORD are encoded each time), then it starts anew.
+#: Words or pieces in each of two tables of a process: the ids of those seen lately, and before. Longer
+#: ones than LONG_WORD are encoded each time.
 KEPT_WORDS = 1 << 18
 LONG_WORD = 64
 ADDED = "part int, first long, n_tokens long, ids array<int>"
@@ -68,34 +72,116 @@ def default_vocabulary() -> str:
 
 
 class Encoder:
-    """Ids of texts, as bytes of little-endian unsigned 32-bit numbers."""
+    """Ids of texts, as bytes of little-endian unsigned 32-bit numbers.
+
+    Texts of Latin letters are cut into the vocabulary's pieces here, and its model gives the ids of each
+    piece it has not seen lately. Of other texts each word (what ASCII white space separates; it joins with no
+    other character) that is not of such letters goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.model = self.tokenizer.model
+        with open(path, encoding="utf-8") as file:
+            config = json.load(file)
+        self.known_form = (config["normalizer"], config["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER)
+        self.added = [t["content"] for t in config["added_tokens"]]
+        self.lately: dict[bytes | str, bytes] = {}
+        self.before: dict[bytes | str, bytes] = {}
+
+    def _simple(self, text: str) -> bytes | None:
+        """The text in lower case as Latin-1, if it has no characters but those of ``_SIMPLE``."""
+        try:
+            data = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        if data.translate(None, _SIMPLE) or any(t in text for t in self.added):
+            return None
+        return data.translate(_LOWER)
+
+    def _keys(self, text: str) -> list[bytes | str]:
+        data = self._simple(text)
+        if data is not None:
+            return _PIECES.findall(data)
+        words = [(w, self._simple(w)) for w in text.translate(_WHITE).split(" ")]
+        return [k for w, data in words for k in ([w] if data is None else _PIECES.findall(data))]
+
+    def _encode(self, keys: list[bytes | str]) -> list[bytes]:
+        words = [k for k in keys if isinstance(k, str)]
+        found = dict(zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True))
+        out = []
+        for k in keys:
+            if isinstance(k, str):
+                ids = found[k].ids
+            else:
+                named = k if k.isascii() else k.decode("latin-1").encode()
+                ids = [t.id for t in self.model.tokenize(named.decode("latin-1").translate(_BYTE_NAMES))]
+            out.append(_packed(ids))
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. Words are what ASCII white space separates: it joins with no other character."""
-        split = [t.translate(_WHITE).split(" ") for t in texts]
-        words = set().union(*split)
-        if len(self.known) + len(words) > KEPT_WORDS:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, self._encode(new), strict=True))
-        found = [b"".join(map(self.known.__getitem__, words)) for words in split]
-        for w in new:
-            if len(w) > LONG_WORD:
-                del self.known[w]
-        return found
+        """The ids of each text."""
+        if not self.known_form:
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [_packed(e.ids) for e in found]
+        split = [self._keys(t) for t in texts]
+        keys = set().union(*split)
+        if len(self.lately) + len(keys) > KEPT_WORDS:
+            self.before, self.lately = self.lately, {}
+        new = []
+        for k in keys:
+            if k not in self.lately:
+                ids = self.before.get(k)
+                if ids is None:
+                    new.append(k)
+                else:
+                    self.lately[k] = ids
+        self.lately.update(zip(new, self._encode(new), strict=True))
+        out = [b"".join(map(self.lately.__getitem__, keys)) for keys in split]
+        for k in new:
+            if len(k) > LONG_WORD:
+                del self.lately[k]
+        return out
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes() if len(ids) > 64 else struct.pack(f"<{len(ids)}I", *ids)
 
 
 _WHITE = str.maketrans("\t\n\x0b\x0c\r", " " * 5)
+#: Printable ASCII, usual white space and the letters of Latin-1 that composition leaves alone.
+_LETTERS = bytes([*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])
+_SIMPLE = b"\t\n\r" + bytes(range(0x20, 0x7F)) + _LETTERS
+_LOWER = bytes(c + 32 if 65 <= c <= 90 or (0xC0 <= c <= 0xDE and c != 0xD7) else c for c in range(256))
+_LATIN = rb"a-z\xdf-\xf6\xf8-\xff"
+#: The pattern of the vocabulary for such texts.
+_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[" + _LATIN + rb"]+|[0-9]|[^\s0-9" + _LATIN + rb"]+")
+#: Byte-level vocabularies name a byte by its Latin-1 character if that is printable, and the others from 256 on.
+_NAMED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_NAMES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _NAMED)}
+#: The form of the vocabulary that the pieces above follow.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 @lru_cache(maxsize=2)
