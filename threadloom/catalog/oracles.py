@@ -858,6 +858,22 @@ ORACLES["training_text"] = with_ctes(
 )
 
 
+# --- streams give what the batch gives ------------------------------------------
+ORACLES["stream_clean"] = with_ctes(
+    "comments_v",
+    f"asc_c as (select * from comments_v where {COMMENT_REASON} is null and {is_ascii('body')})",
+    cleaned_comments("cc", "asc_c"),
+    "select * from cc",
+)
+ORACLES["stream_route"] = ORACLES["route_prompt"]
+ORACLES["stream_latest_by_id"] = ORACLES["latest_by_id"]
+ORACLES["stream_late_history"] = f"""with {DIALOGUE.format(source='conversations')},
+    m as (select *, {LINE} as line, row_number() over (partition by conv_id order by turn) as rn from dlg)
+    select u.conv_id, u.turn, coalesce(string_agg(h.line, chr(10) order by h.turn), '') as history
+    from m u left join m h on h.conv_id = u.conv_id and h.rn < u.rn and h.rn >= u.rn - {2 * K.MAX_TURNS}
+    where u.role = 'user' group by u.conv_id, u.turn"""
+
+
 def _layer(layer: int, source: str, units: list[str]) -> str:
     """The next layer's values as columns."""
     sizes = V.FIXED_SIZES

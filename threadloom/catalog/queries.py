@@ -30,6 +30,7 @@ from threadloom.operators import (
 from threadloom.plans import corpus
 from threadloom.session import materialise, new_stage
 from threadloom.sources import readers, writers
+from threadloom.streaming import late, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -829,6 +830,57 @@ def cleaned_history(spark, sf):
     return context.history_context(stored, SYSTEM_COST)
 
 
+# --- streams ------------------------------------------------------------------
+def _arriving(spark, rows, *by):
+    """Rows as a stream that takes two of six files at a time, dealt by a hash of ``by``; and a folder for its results."""
+    folder = new_stage(spark)
+    rows.repartition(6, F.xxhash64(*by)).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    return stream, folder
+
+
+def _appended(spark, stream, folder):
+    writer = stream.writeStream.format("parquet").option("path", f"{folder}/out")
+    streams.run_available(writer, f"{folder}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
+@query
+def stream_clean(spark, sf):
+    """ASCII comments admitted and cleaned as they arrive."""
+    stream, folder = _arriving(spark, V.comments(spark, sf), "id")
+    return _appended(spark, streams.clean_ascii_stream(stream), folder)
+
+
+@query
+def stream_route(spark, sf):
+    rows = V.labelled(spark, sf).select("conv_id", "turn", "label")
+    stream, folder = _arriving(spark, rows, "conv_id", "turn")
+    return _appended(spark, streams.route_stream(stream, "label").drop("label"), folder)
+
+
+@query
+def stream_late_history(spark, sf):
+    """The rolling history of messages whose turns arrive in any order."""
+    streams.keep_state_in_rocksdb(spark)
+    rows = V.table(spark, sf, "conversations").withColumn("sent", F.timestamp_seconds(F.col("turn") * 60 + 86_400))
+    stream, folder = _arriving(spark, rows, "conv_id", "turn")
+    found = late.late_history_stream(stream, "sent", "3650 days", 86_400)
+    streams.run_available(late.write_batches(found, f"{folder}/out"), f"{folder}/checkpoint")
+    return late.latest(spark, f"{folder}/out", "conv_id", "turn", version="revision").drop("revision")
+
+
+@query
+def stream_latest_by_id(spark, sf):
+    """The last event of each user, of events that arrive in any order."""
+    streams.keep_state_in_rocksdb(spark)
+    events = V.table(spark, sf, "events").select("user_id", "event_id", "event_type", "value")
+    stream, folder = _arriving(spark, events.withColumn("seen", F.timestamp_seconds(F.col("event_id") + 86_400)), "event_id")
+    found = late.latest_rows_stream(stream, "user_id", "event_id", "seen", "36500 days", 86_400).drop("seen")
+    streams.run_available(late.write_batches(found, f"{folder}/out"), f"{folder}/checkpoint")
+    return late.latest(spark, f"{folder}/out", "user_id", version="event_id")
+
+
 # --- generated rows -----------------------------------------------------------
 @query
 def synth_arithmetic(spark, sf):

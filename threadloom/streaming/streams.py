@@ -3,9 +3,9 @@
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from threadloom import constants as K
 from threadloom.operators import admit, clean, context
@@ -13,6 +13,18 @@ from threadloom.operators import admit, clean, context
 HISTORY_OUTPUT = "conv_id long, turn long, history string"
 
 
+def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
+    """Run a stream over what its source holds now, and wait for it."""
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def keep_state_in_rocksdb(spark: SparkSession) -> None:
+    """Keyed state with timers and maps needs this store."""
+    store = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", store)
+
+
 def clean_ascii_stream(comments: DataFrame) -> DataFrame:
     """Admission of ASCII texts and cleaning; the same functions as in batch."""
     return clean.clean_comments(admit.admit_ascii_comments(comments))
