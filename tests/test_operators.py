@@ -282,6 +282,32 @@ def test_mixture(spark):
     assert sampling.percent_quotas(1_000_000) == {"forum": 600_000, "code": 200_000, "PoT": 100_000, "CoT": 100_000}
 
 
+@pytest.mark.parametrize("total", [0, 1, 7, 99, 1000, 12_345])
+def test_quotas_add_up(total):
+    shares = {"a": 60, "b": 20, "c": 10, "d": 10, "none": 0}
+    got = sampling.apportion(total, shares)
+    assert sum(got.values()) == total and got["none"] == 0
+    assert all(abs(got[n] - total * s / 100) < 1 for n, s in shares.items())
+    rng = random.Random(total)
+    for _ in range(50):
+        rows = {n: rng.choice([0, 3, 50, 900, 20_000]) for n in shares if rng.random() < 0.9}
+        quotas = sampling.filled_quotas(total, shares, rows)
+        assert sum(quotas.values()) == min(total, sum(n for s, n in rows.items() if shares[s]))
+        assert all(q <= rows.get(n, 0) for n, q in quotas.items())
+        open_ = [n for n, q in quotas.items() if q < rows.get(n, 0) and shares[n]]
+        levels = [quotas[n] / shares[n] for n in open_]  # sources with rows left are filled to one level
+        assert not levels or max(levels) - min(levels) <= 2 / 10
+        assert all(quotas[n] / s <= max(levels, default=float("inf")) + 0.2 for n, s in shares.items() if s)
+    assert sampling.apportion(5, {}) == {}
+
+
+def test_exact_mixture_fills_up_short_sources(spark):
+    df = numbered(spark, 3000)
+    have = Counter(r["g"] for r in df.collect())
+    got = Counter(r["g"] for r in sampling.exact_mixture(df, "g", "id", 1000, {"hot": 1, "g1": 8, "none": 3}).collect())
+    assert sum(got.values()) == 1000 and got["g1"] == have["g1"] and set(got) == {"hot", "g1"}
+
+
 @pytest.mark.parametrize("name", ["shuffle", "sample", "cap", "first", "balance", "split", "arith", "words", "drop"])
 def test_independent_of_partitioning(spark, shuffle_partitions, name):
     def run(df):

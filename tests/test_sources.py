@@ -1,5 +1,6 @@
 """Readers and writers on small files of our own."""
 
+import glob
 import json
 import tempfile
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from threadloom import schemas, session
 from threadloom.operators import features, language, pairs, profile
 from threadloom.plans import corpus
-from threadloom.sources import readers, writers
+from threadloom.sources import readers, stages, writers
 
 
 @pytest.fixture
@@ -168,11 +169,57 @@ def test_write_by_kind(spark, folder):
 
 def test_rewrite_stage(spark, folder):
     path = f"{folder}/stage"
-    spark.range(10).write.parquet(path)
+    assert stages.write_stage(spark.range(10), path) == 0
+    first = stages.read_stage(spark, path)
     for _ in range(2):
-        writers.rewrite_stage(spark, path, lambda df: df.where("id % 2 = 0 or id < 5"))
-    assert spark.read.parquet(path).count() == 7
-    assert not readers.path_exists(spark, f"{path}.next") and not readers.path_exists(spark, f"{path}.old")
+        stages.rewrite_stage(spark, path, lambda df: df.where("id % 2 = 0 or id < 5"))
+    assert stages.read_stage(spark, path).count() == 7 and first.count() == 10
+    assert stages.read_stage(spark, path, 0).count() == 10
+    stages.drop_versions(spark, path)
+    assert list(stages.versions(spark, path)) == [2] and stages.read_stage(spark, path).count() == 7
+    with pytest.raises(FileNotFoundError):
+        stages.read_stage(spark, path, 0)
+    with pytest.raises(FileNotFoundError):
+        stages.rewrite_stage(spark, f"{folder}/none", lambda df: df)
+
+
+@pytest.mark.parametrize("at", ["while the rows are written", "before the version is named", "after it is named"])
+def test_a_crash_leaves_a_whole_stage(spark, folder, monkeypatch, at):
+    path = f"{folder}/stage"
+    stages.write_stage(spark.range(10), path)
+    change = lambda df: df.where("id < 4")
+    if at == "while the rows are written":
+        change = lambda df: df.select(F.when(F.col("id") == 9, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    else:
+        publish = stages._publish
+
+        def crash(*args):
+            if at == "after it is named":
+                publish(*args)
+            raise KeyboardInterrupt  # nothing is cleaned up, as when the process dies
+
+        monkeypatch.setattr(stages, "_publish", crash)
+    with pytest.raises(BaseException):
+        stages.rewrite_stage(spark, path, change)
+    monkeypatch.undo()
+    assert stages.read_stage(spark, path).count() == (4 if at == "after it is named" else 10)
+    stages.rewrite_stage(spark, path, lambda df: df.where("id < 3"))
+    stages.drop_versions(spark, path)
+    assert stages.read_stage(spark, path).count() == 3
+    assert len(glob.glob(f"{path}/version-*")) == 1 and len(glob.glob(f"{path}/versions/*")) == 1
+
+
+def test_two_writers_from_one_version(spark, folder):
+    path = f"{folder}/stage"
+    stages.write_stage(spark.range(10), path)
+
+    def change(df):
+        stages.rewrite_stage(spark, path, lambda other: other.where("id < 6"))
+        return df.where("id < 2")
+
+    with pytest.raises(FileExistsError):
+        stages.rewrite_stage(spark, path, change)
+    assert stages.read_stage(spark, path).count() == 6 and len(glob.glob(f"{path}/version-*")) == 2
 
 
 def test_build_stages(spark, folder, sf):

@@ -555,6 +555,29 @@ ORACLES["mixture_sample"] = f"""with s as (select event_id, case event_type when
     r as (select *, {hash_rank('event_id', by='partition by stratum')} as rank from s where stratum is not null)
     select event_id, stratum, rank from r
     where rank <= case stratum when 'forum' then 900 when 'code' then 300 else 150 end"""
+
+
+def _filled(rounds: int) -> str:
+    """CTEs ``q0 .. q<rounds>``: quotas by share, where sources with no more rows than that are closed in turn."""
+    out = ["q0 as (select ord, stratum, share, have, null::bigint as taken, null::bigint as quota from base)"]
+    for k in range(rounds):
+        out.append(f"""a{k} as (select *, (select n from total) - coalesce(sum(taken) over (), 0) as room,
+                sum(share) filter (taken is null) over () as whole from q{k}),
+            b{k} as (select *, room * share // whole as part, room * share % whole as rest from a{k} where taken is null),
+            c{k} as (select *, part + (row_number() over (order by rest desc, ord) <= room - sum(part) over ())::int as given from b{k}),
+            q{k + 1} as (select ord, stratum, share, have, case when given >= have then have end as taken, given as quota from c{k}
+                union all select ord, stratum, share, have, taken, taken from a{k} where taken is not null)""")
+    return ",\n".join(out)
+
+
+_STRATA = ", ".join(f"({i}, '{n}', {s})" for i, (n, s) in enumerate(K.MIX_PERCENT))
+ORACLES["mixture_with_short_sources"] = f"""with total as (select count(*) // 2 as n from documents),
+    shares(ord, stratum, share) as (values {_STRATA}),
+    s as (select doc_id, stratum from documents join shares on ord = doc_id * 7 % 10 % 4 where doc_id % 11 > 0),
+    base as (select ord, stratum, share, (select count(*) from s where s.stratum = shares.stratum) as have from shares),
+    {_filled(5)},
+    r as (select *, {hash_rank('doc_id', by='partition by stratum')} as rank from s)
+    select doc_id, r.stratum, rank from r join q5 on q5.stratum = r.stratum where rank <= quota"""
 _CAPS = {"maths": ("click", K.MATH_CAP), "code": ("view", K.CODE_CAP), "word_problems": ("purchase", K.WORD_PROBLEM_CAP)}
 ORACLES["capped_sources"] = " union all ".join(
     f"""select '{n}' as origin, count(*) as rows, max(event_id) as last from (

@@ -29,7 +29,7 @@ from threadloom.operators import (
 )
 from threadloom.plans import corpus
 from threadloom.session import materialise, new_stage
-from threadloom.sources import readers, writers
+from threadloom.sources import readers, stages, writers
 from threadloom.streaming import late, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,9 +135,9 @@ def write_by_kind(spark, sf):
 def rewrite_stage(spark, sf):
     """A stage polished in place."""
     path = new_stage(spark)
-    V.comments(spark, sf).select("id", "body").write.parquet(path)
-    writers.rewrite_stage(spark, path, clean.polish_comments)
-    return spark.read.parquet(path)
+    stages.write_stage(V.comments(spark, sf).select("id", "body"), path)
+    stages.rewrite_stage(spark, path, clean.polish_comments)
+    return stages.read_stage(spark, path)
 
 
 @query
@@ -495,6 +495,15 @@ def mixture_sample(spark, sf):
     return sampling.mixture_sample(events, "stratum", "event_id", sampling.percent_quotas(1500))
 
 
+@query
+def mixture_with_short_sources(spark, sf):
+    """A mix of exactly half of all rows, though most sources hold less than their share."""
+    stratum = F.element_at(F.array(*map(F.lit, dict(K.MIX_PERCENT))), (F.col("doc_id") * 7 % 10 % 4 + 1).cast("int"))
+    rows = V.table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 11 > 0, stratum).alias("stratum"))
+    total = rows.count() // 2
+    return sampling.exact_mixture(rows, "stratum", "doc_id", total, dict(K.MIX_PERCENT))
+
+
 @query
 def capped_sources(spark, sf):
     """The caps of the public sources, and how many rows each keeps."""
@@ -688,11 +697,11 @@ def score_router(spark, sf):
 
 def _features(spark, sf, part):
     """TF-IDF vectors and class codes of a part, by the feature stages of the saved router."""
-    stages = _router(spark, sf).stages
-    labels = stages[-1].getLabels()
+    steps = _router(spark, sf).stages
+    labels = steps[-1].getLabels()
     code = F.array_position(F.array(*map(F.lit, labels)), F.col("category")) - 1
     rows = _router_rows(spark, sf).where(F.col("part") == part).withColumn("code", code)
-    return PipelineModel(stages[:3]).transform(rows).select("row_id", "category", "code", "features"), labels
+    return PipelineModel(steps[:3]).transform(rows).select("row_id", "category", "code", "features"), labels
 
 
 def _network(spark, sf) -> str:

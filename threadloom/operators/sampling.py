@@ -100,5 +100,43 @@ def mixture_sample(
     return hash_rank(named, key, seed, by=(source,), at_most=quota)
 
 
+def apportion(total: int, shares: dict[str, int]) -> dict[str, int]:
+    """Whole numbers in proportion to ``shares`` that add up to ``total``: each gets its share
+    rounded down, and the largest remainders (of equal ones the first named) one more."""
+    whole = sum(shares.values())
+    if whole <= 0:
+        return dict.fromkeys(shares, 0)
+    parts = {name: total * share // whole for name, share in shares.items()}
+    by_rest = sorted(shares, key=lambda name: -(total * shares[name] % whole))
+    for name in by_rest[: total - sum(parts.values())]:
+        parts[name] += 1
+    return parts
+
+
+def filled_quotas(total: int, shares: dict[str, int], rows: dict[str, int]) -> dict[str, int]:
+    """Quotas by ``shares`` where no source gives more than it has: what a short source lacks
+    is shared out among the others. They add up to ``total``, or to all rows if there are fewer."""
+    taken: dict[str, int] = {}
+    while True:
+        open_shares = {name: share for name, share in shares.items() if name not in taken}
+        quotas = apportion(total - sum(taken.values()), open_shares)
+        short = {name: rows.get(name, 0) for name, n in quotas.items() if n >= rows.get(name, 0)}
+        if not short:
+            return {name: {**quotas, **taken}[name] for name in shares}
+        taken |= short
+
+
 def percent_quotas(total: int, shares=K.MIX_PERCENT) -> dict[str, int]:
-    return {name: total * share // 100 for name, share in shares}
+    """The quotas of the published mix; they add up to ``total``."""
+    return apportion(total, dict(shares))
+
+
+def exact_mixture(
+    df: DataFrame, source: str, key: str, total: int, shares: dict[str, int], seed: str = SEED
+) -> DataFrame:
+    """A mixture of ``total`` random rows by shares, whatever single sources lack.
+
+    Only the rows per named source are counted before the sample.
+    """
+    counts = df.where(F.col(source).isin(*shares)).groupBy(source).count().collect()  # a row per share
+    return mixture_sample(df, source, key, filled_quotas(total, shares, dict(map(tuple, counts))), seed)

@@ -1,6 +1,4 @@
-"""Writers for stage tables, JSONL output and fitted models."""
-
-from collections.abc import Callable
+"""Writers for JSONL output and fitted models; for stages see ``sources.stages``."""
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,25 +14,6 @@ def write_by_kind(df: DataFrame, path: str, kind: str, mode: str = "overwrite")
     df.write.mode(mode).partitionBy(kind).json(path)
 
 
-def rewrite_stage(
-    spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame]
-) -> None:
-    """Replace a Parquet stage by ``change(stage)``.
-
-    The new rows go to a folder beside it; only when they are complete is the old folder
-    set aside, the new one put in its place and the old one deleted.
-    """
-    fresh, old = f"{path}.next", f"{path}.old"
-    change(spark.read.parquet(path)).write.mode("overwrite").parquet(fresh)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    system = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    system.delete(hadoop(old), True)
-    for source, target in ((path, old), (fresh, path)):
-        if not system.rename(hadoop(source), hadoop(target)):
-            raise OSError(f"cannot rename {source} to {target}")
-    system.delete(hadoop(old), True)
-
-
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
