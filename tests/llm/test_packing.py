@@ -17,7 +17,6 @@ from threadloom.llm.queries import op7_packing
 @pytest.fixture(scope="module")
 def reference():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -28,18 +27,23 @@ def test_ids_are_those_of_the_public_tokenizer(reference, monkeypatch):
         monkeypatch.setattr(tokens, "BLOCK", size)
         for text in texts:
             assert "".join(map(bytes.decode, tokens.blocks(text.encode(), size))) == text
-            parts = [tokens.encoder(path).encode_ordinary(b.decode()) for b in tokens.blocks(text.encode(), size)]
-            assert [i for p in parts for i in p] == reference(text)
+            assert tokens.encode(text.encode(), path).tolist() == reference(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|", "endoftext", "|>", " ", "  ", "\n", "a", "é", "5", "'s"]), max_size=12).map("".join))
+def test_the_special_token_is_read_as_the_tokenizer_reads_it(reference, text):
+    assert tokens.encode(text.encode(), tokens.default_vocabulary()).tolist() == reference(text)
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab1' \n\t\r  é漢\x1c.!", max_size=40))
 def test_text_can_be_cut_at_every_safe_offset(text):
-    enc = tokens.encoder(tokens.default_vocabulary())
+    path = tokens.default_vocabulary()
     data = text.encode()
     bounds = [0, *tokens.cuts(data).tolist(), len(data)]
-    parts = [enc.encode_ordinary(data[a:b].decode()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    assert [i for p in parts for i in p] == enc.encode_ordinary(text)
+    parts = [tokens.ids_of(data[a:b].decode(), path) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert [i for p in parts for i in p] == tokens.ids_of(text, path)
 
 
 def check(pieces, ids_of):

@@ -1,7 +1,7 @@
 """Tokens of a byte-level vocabulary, and places where a text may be cut without changing them.
 
 The vocabulary's rank file is a parameter. Ids are those of the public 50k byte-level
-vocabulary; a special token's string in a text is ordinary text.
+vocabulary, whose one special token is an id of its own also where its string stands in a text.
 """
 
 import base64
@@ -12,6 +12,9 @@ import numpy as np
 
 #: Texts are encoded in blocks of at least this many bytes, so memory follows the block.
 BLOCK = 1 << 16
+#: The special token of the vocabulary. Its string holds no white space, so no cut splits it.
+SPECIAL = "<|endoftext|>"
+SPECIAL_ID = 50256
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 13, 32]] = True
 #: A byte that may end a white-space character: ASCII ones, and all continuation bytes.
@@ -35,7 +38,7 @@ def encoder(path: str):
     with open(path, "rb") as file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
     return tiktoken.Encoding(
-        os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: SPECIAL_ID}
     )
 
 
@@ -47,9 +50,15 @@ def token_sizes(path: str) -> np.ndarray:
     sizes = np.zeros(enc.n_vocab, np.int64)
     for value in values:
         sizes[enc.encode_single_token(value)] = len(value)
+    sizes[SPECIAL_ID] = len(SPECIAL)
     return sizes
 
 
+def ids_of(text: str, path: str) -> list[int]:
+    """The ids of a piece of text, with the special token where its string stands."""
+    return encoder(path).encode(text, allowed_special={SPECIAL}, disallowed_special=())
+
+
 def cuts(text: bytes) -> np.ndarray:
     """Offsets where a run of white space begins: no token crosses them, whatever stands around.
 
@@ -68,6 +77,11 @@ def cuts(text: bytes) -> np.ndarray:
     return at[safe | (two & (lead >= 0xC3) & (lead <= 0xDF))]
 
 
+def begins_white(left: bytes) -> bool:
+    """Whether ``cuts`` has the end of ``left`` when white space follows."""
+    return not _MAY_END_WHITE[left[-1]] or (left[-1] >= 128 and len(left) > 1 and 0xC3 <= left[-2] <= 0xDF)
+
+
 def blocks(text: bytes, size: int = BLOCK) -> list[bytes]:
     """The text in pieces of ``size`` bytes or more (until the next safe offset)."""
     if len(text) <= size:
@@ -85,6 +99,5 @@ def blocks(text: bytes, size: int = BLOCK) -> list[bytes]:
 
 def encode(text: bytes, path: str) -> np.ndarray:
     """The ids of a text."""
-    enc = encoder(path)
-    parts = [np.array(enc.encode_ordinary(b.decode()), np.uint32) for b in blocks(text)]
+    parts = [np.array(ids_of(b.decode(), path), np.uint32) for b in blocks(text)]
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
