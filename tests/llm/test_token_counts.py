@@ -1,3 +1,7 @@
+import time
+from unittest import mock
+
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -15,9 +19,16 @@ def full(text: bytes) -> int:
 @settings(max_examples=300, deadline=None)
 @given(
     st.text(alphabet="ab1 \n\t é漢'.", max_size=60),
-    st.lists(st.tuples(st.integers(0, 60), st.integers(0, 20), st.text(alphabet="x \n1é'", max_size=6)), max_size=6),
+    st.lists(st.tuples(st.integers(0, 60), st.integers(0, 20), st.text(alphabet="x \n1é'|<", max_size=6)), max_size=6),
+    st.sampled_from([0, 64]),
+    st.sampled_from([2, 4096]),
 )
-def test_any_edits_count_like_a_new_text(text, edits):
+def test_any_edits_count_like_a_new_text(text, edits, short, grown):
+    with mock.patch.object(token_counts, "SHORT", short), mock.patch.object(token_counts, "GROWN", grown):
+        edited_like_new(text, edits)
+
+
+def edited_like_new(text, edits):
     data = text.encode()
     tree = token_counts.TokenTree(data, PATH)
     for start, size, new in edits:
@@ -41,6 +52,36 @@ def test_only_the_neighbourhood_is_encoded_again():
     assert tree.tokens == full(text[:300_000] + b"edit" + text[300_010:])
 
 
+@pytest.mark.parametrize("unit", ["漢字かな文字12345678交り文。", "слово1234567,", "x12345678"])
+def test_texts_without_white_space_cost_in_proportion(unit):
+    """Every number of a long text without spaces is edited; what is encoded again grows with the text only."""
+    spent = []
+    for n in (500, 1000, 2000):
+        data = (unit * n).encode()
+        _, before, after, size, again = token_counts.count(data, token_counts.cleaning_edits, PATH)
+        assert (after, size) == (full(apply(data, token_counts.cleaning_edits(data))), len(apply(data, token_counts.cleaning_edits(data))))
+        spent.append(again)
+    assert spent[2] <= 4.2 * spent[0] and spent[2] < 3 * len((unit * 2000).encode())
+
+
+def test_ten_megabytes_without_white_space_and_many_edits():
+    data = ("漢字かな文字12345678交り文。" * 260_000).encode()[:10_000_000].decode(errors="ignore").encode()
+    edits = token_counts.cleaning_edits(data)[:100_000]
+    began = time.process_time()
+    found = token_counts.count(data, lambda _: edits, PATH)
+    assert found[0] == 100_000 and found[4] < 3 * len(data) and time.process_time() - began < 60
+
+
+def test_many_insertions_at_one_place():
+    tree = token_counts.TokenTree(b"start end", PATH)
+    data = b"start end"
+    for i in range(3000):
+        new = b" word%d" % i
+        tree.replace(5, 5, new)
+        data = data[:5] + new + data[5:]
+    assert tree.text == data and tree.tokens == full(data) and tree.reencoded < 3000 * token_counts.GROWN
+
+
 def apply(text: bytes, edits) -> bytes:
     for start, end, new in reversed(edits):
         text = text[:start] + new + text[end:]

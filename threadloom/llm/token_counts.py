@@ -1,10 +1,10 @@
 """Edit-aware token counts: a segment tree over the pre-token segments of each document.
 
-A leaf holds a segment of the text (white space and what follows it, a unit no token
-crosses) with its bytes and tokens; inner nodes hold sums. An edit re-encodes only the
-leaves it touches plus those neighbours whose boundary the edit may have undone, and
-updates the sums on the way to the root. The count after the edits equals that of encoding
-the edited text anew.
+A leaf holds a segment of the text that no token crosses (white space and what follows it; of a
+longer run of characters the letters, digits and marks apart) with its bytes and tokens; inner nodes hold sums. An edit re-encodes only the
+leaves it touches plus those neighbours whose boundary the edit may have undone, cuts the region into leaves
+again, and updates the sums on the way to the root. A tree whose leaves have grown by insertions is built anew.
+The count after the edits equals that of encoding the edited text anew.
 
 A null or empty text has 0 tokens and no edits. Documents are handled one by one, so ids may
 repeat or be null; added columns replace columns of the same name.
@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,32 +26,114 @@ Edit = tuple[int, int, bytes]
 ADDED = "n_edits long, tokens_before long, tokens_after long, bytes_after long, reencoded_bytes long"
 
 
+#: Segments up to this many bytes are not cut further.
+SHORT = 64
+#: A leaf beyond this many bytes that could be cut counts as grown.
+GROWN = 4096
+
+
+def _may_part(before: str, after: str) -> bool:
+    """Whether no token crosses from a character that is not white space to the next: they are of
+    different kinds (letter, digit, mark), and no contraction begins with the first."""
+    kinds = [_KINDS(c).lastgroup for c in (before, after)]
+    if "space" in kinds or kinds[0] == kinds[1]:
+        return False
+    return not (before == "'" and kinds[1] == "letter")
+
+
+_KINDS = regex.compile(r"(?P<space>\s)|(?P<letter>\p{L})|(?P<digit>\p{N})|(?P<mark>.)", regex.DOTALL).match
+#: Runs of one kind, with the white space before them.
+_RUNS = regex.compile(r"\s*(?:\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+|$)")
+_SPECIAL = T.SPECIAL.encode()
+
+
+def _in_special(left: bytes, right: bytes) -> bool:
+    """Whether a border may lie in the string of the special token."""
+    return any(
+        left.endswith(_SPECIAL[:k]) and _SPECIAL[k:].startswith(right[: len(_SPECIAL) - k]) for k in range(1, len(_SPECIAL))
+    )
+
+
+def bound(left: bytes, right: bytes) -> bool:
+    """Whether no token can cross from ``left`` to ``right``, whatever stands around them."""
+    if not (left and right) or _in_special(left, right):
+        return False
+    if right[0] in b"\t\n\r ":
+        return T.begins_white(left)
+    before = left[-4:].decode(errors="ignore")[-1:]
+    after = right[:4].decode(errors="ignore")[:1]
+    return bool(before and after) and _may_part(before, after)
+
+
+def segments(text: bytes) -> list[bytes]:
+    """The text in segments that no token crosses."""
+    bounds = [0, *T.cuts(text).tolist(), len(text)]
+    out = []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        if b - a <= SHORT:
+            out.append(text[a:b])
+            continue
+        start = a
+        for run in _RUNS.finditer(text[a:b].decode()):
+            piece = run.group().encode()
+            if not piece:
+                continue
+            if start > a and bound(out[-1], piece):
+                out.append(piece)
+            elif start > a:
+                out[-1] += piece
+            else:
+                out.append(piece)
+            start += len(piece)
+    return out
+
+
 class TokenTree:
     """Token count of one text under edits."""
 
     def __init__(self, text: bytes, path: str):
-        self.path, self.reencoded = path, 0
-        bounds = [0, *T.cuts(text).tolist(), len(text)]
-        self.leaves = [text[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        self.path, self.reencoded, self.grown = path, 0, 0
+        leaves = segments(text) or [b""]
         ends = np.cumsum(T.token_sizes(path)[T.encode(text, path)])
-        counts = np.diff(np.searchsorted(ends, bounds, side="right"))
-        self.size = 1 << max(0, len(self.leaves) - 1).bit_length()
-        self.sums = np.zeros((2 * self.size, 2), np.int64)
-        self.sums[self.size : self.size + len(counts), 0] = np.diff(bounds)
-        self.sums[self.size : self.size + len(counts), 1] = counts
+        bounds = np.cumsum([0, *map(len, leaves)])
+        self._build(leaves, np.diff(np.searchsorted(ends, bounds, side="right")))
+
+    def _build(self, leaves: list[bytes], counts: np.ndarray) -> None:
+        self.leaves = leaves
+        self.size = 1 << max(0, len(leaves) - 1).bit_length()
+        self.bytes, self.counts = (self._sums(values) for values in ([len(leaf) for leaf in leaves], counts))
+
+    def _sums(self, values) -> list[int]:
+        """The nodes of a tree over ``values``: the root at 1, the leaves from ``size`` on."""
+        sums = np.zeros(2 * self.size, np.int64)
+        sums[self.size : self.size + len(values)] = values
         level = self.size
         while level > 1:
-            below = self.sums[level : 2 * level]
-            self.sums[level // 2 : level] = below[0::2] + below[1::2]
+            sums[level // 2 : level] = sums[level : 2 * level].reshape(-1, 2).sum(1)
             level //= 2
+        return sums.tolist()
+
+    def _rebuild(self) -> None:
+        """Cut grown leaves; only those are encoded again."""
+        leaves, counts = [], []
+        for k, leaf in enumerate(self.leaves):
+            parts = segments(leaf) if len(leaf) > GROWN else [leaf] if leaf else []
+            leaves += parts
+            counts += [self.counts[self.size + k]] if len(parts) == 1 else [self._count(p) for p in parts]
+        self.grown = 0
+        self._build(leaves or [b""], np.array(counts or [0], np.int64))
+
+    def _count(self, text: bytes) -> int:
+        self.reencoded += len(text)
+        return len(T.encode(text, self.path)) if text else 0
 
     @property
     def tokens(self) -> int:
-        return int(self.sums[1, 1])
+        return self.counts[1]
 
     @property
     def length(self) -> int:
-        return int(self.sums[1, 0])
+        return self.bytes[1]
 
     @property
     def text(self) -> bytes:
@@ -64,17 +147,18 @@ class TokenTree:
             rest -= 1
         while node < self.size:
             node *= 2
-            if rest >= self.sums[node, 0]:
-                rest -= int(self.sums[node, 0])
+            if rest >= self.bytes[node]:
+                rest -= self.bytes[node]
                 node += 1
         return node - self.size, rest + at_end
 
     def _set(self, leaf: int, text: bytes, count: int) -> None:
         self.leaves[leaf] = text
         node = leaf + self.size
-        change = np.array([len(text), count]) - self.sums[node]
+        longer, more = len(text) - self.bytes[node], count - self.counts[node]
         while node:
-            self.sums[node] += change
+            self.bytes[node] += longer
+            self.counts[node] += more
             node //= 2
 
     def _neighbour(self, leaf: int, step: int) -> int | None:
@@ -94,21 +178,25 @@ class TokenTree:
             first, skip = self.locate(start)
             last, keep = self.locate(end)
             region = self.leaves[first][:skip] + new + self.leaves[last][keep:]
-            while (left := self._neighbour(first, -1)) is not None and not self._bound(self.leaves[left], region):
+            while (left := self._neighbour(first, -1)) is not None and not bound(self.leaves[left], region):
                 first, region = left, self.leaves[left] + region
-            while (right := self._neighbour(last, 1)) is not None and not self._bound(region, self.leaves[right]):
+            while (right := self._neighbour(last, 1)) is not None and not bound(region, self.leaves[right]):
                 last, region = right, region + self.leaves[right]
-        for leaf in range(first + 1, last + 1):
-            if self.leaves[leaf]:
-                self._set(leaf, b"", 0)
-        self._set(first, region, len(T.encode(region, self.path)))
-        self.reencoded += len(region)
-
-    @staticmethod
-    def _bound(left: bytes, right: bytes) -> bool:
-        """Whether no token can cross from ``left`` to ``right``."""
-        tail = left[-4:]
-        return bool(tail and right) and len(tail) in T.cuts(tail + right[:1]).tolist()
+        self._fill(first, last, segments(region))
+        if self.grown > max(GROWN, self.length // 8):
+            self._rebuild()
+
+    def _fill(self, first: int, last: int, parts: list[bytes]) -> None:
+        """Put segments into the leaves from ``first`` to ``last``; the last takes what is left over."""
+        slots = last - first + 1
+        rest = b"".join(parts[slots - 1 :])
+        if len(parts) > slots and len(rest) > GROWN:
+            self.grown += len(rest)
+        given = [*parts[: slots - 1], rest]
+        for leaf in range(first, last + 1):
+            part = given[leaf - first] if leaf - first < len(given) else b""
+            if part or self.leaves[leaf]:
+                self._set(leaf, part, self._count(part))
 
 
 def cleaning_edits(text: bytes) -> list[Edit]:
