@@ -66,7 +66,7 @@ def test_search_equals_brute_force(texts, bodies, shard):
 def test_nothing_is_left_after_removal(texts):
     items = [("1", "a b a"), ("2", "b b")]
     known = dc.phrases([(i, b.encode()) for i, b in items], window=3)
-    _, left = dc.cleaned([t.encode() for t in texts], known)
+    _, left = dc.cleaned([t.encode() for t in texts], [known])
     assert all(not brute(t.decode(), items, 3)[1] for t in left)
 
 
@@ -87,6 +87,47 @@ def test_blocks_of_items_give_the_same(spark, sf):
     assert a == b and any(r.spans for r in a)
 
 
+@settings(max_examples=150, deadline=None)
+@given(
+    st.lists(st.text(alphabet="aBc ,x", max_size=60), max_size=5),
+    st.lists(st.text(alphabet="abC -", max_size=20), min_size=1, max_size=6),
+    st.integers(1, 7),
+    st.randoms(),
+)
+def test_spans_and_cuts_do_not_depend_on_the_blocks(texts, bodies, n, random):
+    items = [(str(i), b.encode()) for i, b in enumerate(bodies)]
+    data = [t.encode() for t in texts]
+    found, left = dc.cleaned(data, [dc.phrases(items, window=3)])
+    random.shuffle(items)
+    parts = [dc.phrases([i for k, i in enumerate(items) if k % n == b], window=3) for b in range(n)]
+    again, rest = dc.cleaned(data, parts)
+    assert rest == left
+    assert [(f.n_words, f.spans, f.items) for f in again] == [(f.n_words, f.spans, f.items) for f in found]
+
+
+def test_phrases_of_two_blocks_are_merged_on_the_text_as_it_came(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(10)) for c in "ab")
+    text = f"x x x x x {one} y y y y y y {two}"
+    for ids in ((1, 2), (2, 1), (77, 3)):
+        items = spark.createDataFrame(list(zip(ids, (one, two))), "item_id long, text string")
+        for size in (10_000, 30, 5):
+            got = dc.decontaminate(helpers.docs(spark, [text]), items, remove=True, block_bytes=size).first()
+            assert got.n_words == 31 and [(s.start, s.end) for s in got.spans] == [(5, 15), (21, 31)]
+            assert words(got.text) == ["x"] * 5 + ["y"] * 6
+
+
+def test_long_items_are_cut_into_pieces_with_the_same_windows():
+    text = " ".join(f"w{i % 37}" for i in range(500)).encode()
+    whole = dc.phrases([("1", text)])
+    for most in (1, 40, 300, 4000):
+        parts = dc.pieces(text, most)
+        assert len(parts) > 1 or most == 4000
+        cut = dc.phrases([("1", p) for p in parts])
+        names = [{v: k for k, v in p.words.items()} for p in (whole, cut)]
+        sets = [{tuple(n[i] for i in row) for row in p.by_length[10][0].tolist()} for n, p in zip(names, (whole, cut))]
+        assert sets[0] == sets[1] and list(cut.by_length) == [10]
+
+
 def test_odd_rows(spark):
     items = spark.createDataFrame(
         [(1, "word5 of text5 word6 of text6 word7 of text7 word8 of text8"), (1, "same same"), (None, "A"), (2, None)],

@@ -12,36 +12,53 @@ ids may repeat or be null; an item's id is compared as text, and items with the
 once. Added columns replace columns of the same name. Empty tables give empty results, an
 empty benchmark no hits.
 
-The benchmark goes to every task. Items are searched in blocks of at most ``BLOCK_BYTES`` of
-text on average, one pass over the documents each, so what a task holds is bounded.
+The benchmark is a written table in blocks of about ``BLOCK_BYTES`` of text; a long item is cut into
+pieces that overlap by all but one word of a phrase. A task reads block after block and holds one; what all blocks find in the text as it came is merged
+once. With ``remove`` the spans are cut out, and a changed text is searched by all blocks again until none finds
+anything, so results depend neither on the number of blocks nor on the order of the items.
 """
 
 import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm.common import _WORD_BYTES, plain_words, rest_of, schema_of
 from threadloom.llm.fm_index import FMIndex
-from threadloom.session import materialise
+from threadloom.session import new_stage, open_uri
 
 WINDOW = 10
 SHARD_WORDS = 1 << 18
-BLOCK_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 22
+#: With several blocks, documents of this many bytes together go through all of them.
+TURN_BYTES = 1 << 25
 _WORD = re.compile(rb"\S+")
 
 
+class Owners:
+    """The items of each phrase, as numbers into a list of names."""
+
+    def __init__(self, names: list[str], starts: np.ndarray, numbers: np.ndarray):
+        self.names, self.starts, self.numbers = names, starts, numbers
+
+    def __getitem__(self, phrase: int) -> list[str]:
+        return [self.names[k] for k in self.numbers[self.starts[phrase] : self.starts[phrase + 1]].tolist()]
+
+
 @dataclass
 class Phrases:
     """Distinct phrases of a block of items, by length, and the items of each."""
 
     words: dict[bytes, int]
-    by_length: dict[int, tuple[np.ndarray, list[list[str]]]]
+    by_length: dict[int, tuple[np.ndarray, Owners]]
 
     @property
     def shortest(self) -> int:
@@ -54,15 +71,22 @@ class Phrases:
 
 def phrases(items: list[tuple[str | None, bytes | None]], window: int = WINDOW) -> Phrases:
     words: dict[bytes, int] = {}
-    found: dict[tuple[int, ...], set[str]] = {}
+    names: dict[str, int] = {}
+    rows: dict[int, list[np.ndarray]] = {}
+    owners: dict[int, list[np.ndarray]] = {}
     for item, text in items:
-        ids = [words.setdefault(w, len(words) + 1) for w in plain_words(text)]
-        for i in range(max(1, len(ids) - window + 1) if ids else 0):
-            found.setdefault(tuple(ids[i : i + window]), set()).add("" if item is None else item)
+        ids = np.array([words.setdefault(w, len(words) + 1) for w in plain_words(text)], np.int64)
+        if not len(ids):
+            continue
+        found = np.lib.stride_tricks.sliding_window_view(ids, min(window, len(ids)))
+        rows.setdefault(found.shape[1], []).append(found)
+        name = names.setdefault("" if item is None else item, len(names))
+        owners.setdefault(found.shape[1], []).append(np.full(len(found), name))
     by_length = {}
-    for n in sorted({len(p) for p in found}):
-        same = sorted(p for p in found if len(p) == n)
-        by_length[n] = np.array(same, np.int64), [sorted(found[p]) for p in same]
+    for n in sorted(rows):
+        distinct, phrase = np.unique(np.concatenate(rows[n]), axis=0, return_inverse=True)
+        pairs = np.unique(np.stack([phrase.ravel(), np.concatenate(owners[n])]), axis=1)
+        by_length[n] = distinct, Owners(list(names), np.searchsorted(pairs[0], np.arange(len(distinct) + 1)), pairs[1])
     return Phrases(words, by_length)
 
 
@@ -138,10 +162,23 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def cleaned(texts: list[bytes | None], known: Phrases) -> tuple[list[Found], list[bytes | None]]:
+def search_blocks(texts: list[bytes | None], blocks) -> list[Found]:
+    """What any of the blocks finds in each text; ``blocks`` are read one after the other."""
+    out: list[Found] | None = None
+    for known in blocks:
+        found = search(texts, known)
+        if out is None:
+            out = found
+            continue
+        for a, b in zip(out, found, strict=True):
+            a.spans, a.items = merged([*a.spans, *b.spans]), a.items | b.items
+    return out if out is not None else search(texts, phrases([]))
+
+
+def cleaned(texts: list[bytes | None], blocks) -> tuple[list[Found], list[bytes | None]]:
     """What was found, and the texts without it: searched again until no phrase is left,
     as a cut can bring the parts of another phrase together."""
-    first = found = search(texts, known)
+    first = found = search_blocks(texts, blocks)
     texts, open_ = list(texts), list(range(len(texts)))
     while True:
         open_ = [k for k, f in zip(open_, found, strict=True) if f.spans]
@@ -150,18 +187,59 @@ def cleaned(texts: list[bytes | None], known: Phrases) -> tuple[list[Found], lis
         spans = [f.spans for f in found if f.spans]
         for k, s in zip(open_, spans, strict=True):
             texts[k] = without(texts[k], s)
-        found = search([texts[k] for k in open_], known)
+        found = search_blocks([texts[k] for k in open_], blocks)
 
 
-def blocks_of(items: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[Phrases]:
-    """The benchmark's phrases in blocks of bounded size; only one block is held at a time."""
-    rows = items.select(F.col(item).cast("string").alias("item"), F.col(text).cast("binary").alias("text"))
+def pieces(text: bytes | None, most: int, window: int = WINDOW) -> list[bytes]:
+    """A text in pieces of about ``most`` bytes that have all its windows and no others."""
+    if text is None or len(text) <= most:
+        return [text or b""]
+    words = plain_words(text)
+    step = max(1, most * len(words) // len(text))
+    return [b" ".join(words[i : i + step + window - 1]) for i in range(0, max(1, len(words) - window + 1), step)]
+
+
+def write_blocks(items: DataFrame, item: str, text: str, block_bytes: int) -> tuple[str, int]:
+    """The folder of the benchmark's blocks, and their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(i, p) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for p in pieces(t, block_bytes)]
+            names, texts = zip(*rows, strict=True) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.binary())], ["item", "text"])
+
+    rows = items.select(F.col(item).cast("string").alias("item"), F.col(text).cast("binary").alias("text")).distinct()
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-size // block_bytes) or 1
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    for k in range(n):
-        distinct = rows.where(block == k).distinct()
-        yield phrases([(r.item, bytes(r.text) if r.text is not None else None) for r in distinct.collect()])
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(n)).alias("block")
+    folder = new_stage(items.sparkSession)
+    cut = rows.mapInArrow(run, "item string, text binary").select("item", "text", block)
+    cut.repartition(min(n, 1 << 12), "block").write.partitionBy("block").parquet(folder)
+    return folder, n
+
+
+@lru_cache(maxsize=1)
+def read_block(folder: str, block: int) -> Phrases:
+    """The phrases of one block; a process holds the last one read."""
+    system, root = open_uri(folder)
+    chosen = fs.FileSelector(f"{root}/block={block}", allow_not_found=True)
+    rows: list[tuple[str | None, bytes | None]] = []
+    for found in system.get_file_info(chosen):
+        if found.base_name.endswith(".parquet"):
+            with system.open_input_file(found.path) as file:
+                table = pq.ParquetFile(file).read(columns=["item", "text"])
+            rows += zip(table["item"].to_pylist(), table["text"].to_pylist(), strict=True)
+    return phrases(sorted(rows, key=str))
+
+
+class Blocks:
+    """All blocks, read as they are iterated over."""
+
+    def __init__(self, folder: str, n: int):
+        self.folder, self.n = folder, n
+
+    def __iter__(self) -> Iterator[Phrases]:
+        return (read_block(self.folder, k) for k in range(self.n))
 
 
 FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
@@ -181,41 +259,42 @@ def decontaminate(
     """``docs`` (or its columns ``keep``) with ``n_words``, merged ``spans`` of words and ``items``.
 
     With ``remove`` the text column loses the spans. Numbers and spans are those of the text
-    as it came; with several blocks and ``remove``, of the text as each block found it.
+    as it came.
     """
     added = ["n_words", "spans", "items"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    out = docs.select(
-        F.col(text).alias("text"),
-        rest_of(kept, text).alias("doc"),
-        F.lit(None).cast(FOUND.split(", ")[1].removeprefix("spans ")).alias("spans"),
-        F.lit(None).cast("array<string>").alias("items"),
-    )
-    schema = schema_of(out, ["text", "doc"], FOUND)
-    for k, known in enumerate(blocks_of(items, item, item_text, block_bytes)):
-        if k:
-            out = materialise(out)
-        out = out.select("text", "doc", "spans", "items").mapInArrow(_searcher(known, remove), schema)
+    rows = docs.select(F.col(text).alias("text"), rest_of(kept, text).alias("doc"))
+    blocks = Blocks(*write_blocks(items, item, item_text, block_bytes))
+    out = rows.mapInArrow(_searcher(blocks, remove), schema_of(rows, ["text", "doc"], FOUND))
     columns = [F.col("text").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in kept]
     return out.select(*columns, *added)
 
 
-def _searcher(known: Phrases, remove: bool):
+def _turns(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to about ``most`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.get_total_buffer_size()
+        if size >= most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _searcher(blocks: Blocks, remove: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _turns(batches, TURN_BYTES if blocks.n > 1 else 0):
             texts = batch.column(0).cast(pa.binary()).to_pylist()
-            found, left = cleaned(texts, known) if remove else (search(texts, known), texts)
-            spans, items = [], []
-            for f, s, i in zip(found, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                spans.append(merged([*f.spans, *((x["start"], x["end"]) for x in s or [])]))
-                items.append(sorted(f.items | set(i or [])))
+            found, left = cleaned(texts, blocks) if remove else (search_blocks(texts, blocks), texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(left, pa.binary()).cast(pa.string()) if remove else batch.column(0),
                     batch.column(1),
                     pa.array([f.n_words for f in found], pa.int64()),
-                    pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], _SPANS),
-                    pa.array(items, pa.list_(pa.string())),
+                    pa.array([[{"start": a, "end": b} for a, b in f.spans] for f in found], _SPANS),
+                    pa.array([sorted(f.items) for f in found], pa.list_(pa.string())),
                 ],
                 ["text", "doc", "n_words", "spans", "items"],
             )
