@@ -61,6 +61,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of batches whose texts, in the last column, have about ``most`` bytes together."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0)
+        group = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64)) // most
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column."""
     return column.cast(pa.binary()).to_pylist()

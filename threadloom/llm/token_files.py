@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import schema_of, slices, with_row_id
+from threadloom.llm.common import by_bytes, schema_of, with_row_id
 from threadloom.session import new_stage
 
 END = 2
@@ -39,6 +39,8 @@ END = 2
 #: ones than LONG_WORD are encoded each time.
 KEPT_WORDS = 1 << 18
 LONG_WORD = 64
+#: Bytes of text that are encoded together (or one longer text).
+TEXT_BYTES = 1 << 21
 ADDED = "part int, first long, n_tokens long, ids array<int>"
 
 
@@ -199,7 +201,7 @@ def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first = TaskContext.get().partitionId(), 0
-        for batch in slices(batches):
+        for batch in by_bytes(batches, TEXT_BYTES):
             body = batch.column(batch.num_columns - 1).fill_null("").to_pylist()
             ids = [b + tail for b in encoder(path)(body)]
             sizes = np.array([len(b) // 4 for b in ids], np.int64)
