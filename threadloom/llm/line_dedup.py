@@ -1,20 +1,23 @@
-"""Line dedup: documents that share lines are aligned, and common blocks leave the later one.
+"""Line dedup: documents that share rare lines are aligned, and common blocks leave the later one.
 
 1. Lines are hashed (md5 of the stripped line; blank lines count as nothing). So are the runs of
    neighbouring lines that just reach ``MIN_WORDS`` words, from each line on and up to each
    line: a common block of so many words holds such a run at each of its lines.
 2. The first holder of a run is the earliest document with it, in the order of the id (null
-   last) and then of the place in the files. So a run that any number of documents share gives
-   one link from each of them, never all pairs. Lines that everybody uses alone give none.
-3. Each later document is aligned with the first holders of its runs by a patience diff of the line hashes: lines
+   last) and then of the place in the files. A document is linked through its rarest runs (those in the
+   fewest documents) to their first holders, as many as cover every line that lies in a shared run. So a
+   passage that any number of documents share gives one link from each of them, never all
+   pairs, and a rare run beside it spares it. Lines that everybody uses alone give none.
+3. Each later document is aligned with its first holders by a patience diff of the line hashes: lines
    that occur once in both and lie in the longest increasing order are anchors, and blocks
    grow from them over equal neighbours. Between anchors the diff is repeated on what is left.
-   Where a shared line is left over (repeated or moved passages), every run of lines that just
+4. Aligned blocks of ``MIN_WORDS`` words or more are deleted from the later document, and with them
+   shorter aligned blocks beside them: those at most ``GAP`` changed lines away in both documents.
+5. A diff keeps one order, so passages that moved or repeat are left over. Every run of lines that just
    reaches ``MIN_WORDS`` words is looked up among the runs of the whole first holder.
-4. Common blocks of ``MIN_WORDS`` words or more are deleted from the later document.
 
 The first holder of a line keeps it, so every line stays somewhere. Alignments read hashes,
-never texts; a document's links are at most twice its lines, its deletions as many as them.
+never texts; a document's links are at most its lines, its deletions as many as them.
 
 A null text has no lines and stays null; an empty one stays empty. Repeated rows with one id
 are documents of their own, in the order of the files. Extra columns are kept; added columns
@@ -35,6 +38,7 @@ from threadloom.llm.common import rest_of, schema_of, slices, with_row_id
 from threadloom.session import materialise
 
 MIN_WORDS = 25
+GAP = 1
 HASH = 16
 
 
@@ -114,14 +118,25 @@ def windows(words: list[int], min_words: int) -> set[tuple[int, int]]:
     return onward | {(i, j) for j, i in enumerate(starts.tolist(), 1) if i >= 0}
 
 
+def chains(found: list[tuple[int, int, int]], words: list[int], min_words: int) -> list[tuple[int, int, int]]:
+    """Of aligned blocks those of ``min_words`` words, and shorter ones that a row of blocks, each
+    at most ``GAP`` lines from the next in both documents, joins to one of them."""
+    taken = [sum(words[b : b + n]) >= min_words for _, b, n in found]
+    near = [
+        a1 - a0 - n <= GAP and b1 - b0 - n <= GAP
+        for (a0, b0, n), (a1, b1, _) in zip(found[:-1], found[1:], strict=True)
+    ]
+    for order in (range(len(near)), reversed(range(len(near)))):
+        for k in order:
+            if near[k] and taken[k] != taken[k + 1]:
+                taken[k] = taken[k + 1] = True
+    return [block for block, take in zip(found, taken, strict=True) if take]
+
+
 def long_blocks(earlier: list, later: list, words: list[int], min_words: int) -> list[int]:
-    """Places in ``later`` inside a block of ``min_words`` words or more that ``earlier`` has."""
-    gone = {
-        j
-        for _, b, n in blocks(earlier, later)
-        if sum(words[b : b + n]) >= min_words
-        for j in range(b, b + n)
-    }
+    """Places in ``later`` to delete: in aligned blocks, and in further runs that ``earlier`` has."""
+    found = chains(blocks(earlier, later), words, min_words)
+    gone = {j for _, b, n in found for j in range(b, b + n)}
     known = set(earlier)
     if all(j in gone or h not in known for j, h in enumerate(later)):
         return sorted(gone)
@@ -136,22 +151,52 @@ def long_blocks(earlier: list, later: list, words: list[int], min_words: int) ->
     return sorted(gone)
 
 
+_RUN = "struct<run:binary,start:int,stop:int,again:boolean>"
+_RUN_TYPE = pa.struct([("run", pa.binary()), ("start", pa.int32()), ("stop", pa.int32()), ("again", pa.bool_())])
+
+
 def _runs(min_words: int):
-    """For each document: the hashes of its runs of lines that just reach ``min_words`` words."""
+    """For each document: its runs of lines that just reach ``min_words`` words, by their hashes;
+    ``again`` marks those that stood in the document before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             runs = []
             for joined, words in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                parts = {joined[i * HASH : j * HASH] for i, j in windows(words, min_words)}
-                runs.append([hashlib.md5(part).digest() for part in parts])
+                own, seen = [], set()
+                for i, j in sorted(windows(words, min_words)):
+                    digest = hashlib.md5(joined[i * HASH : j * HASH]).digest()
+                    own.append({"run": digest, "start": i, "stop": j, "again": digest in seen})
+                    seen.add(digest)
+                runs.append(own)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(runs, pa.list_(pa.binary()))], ["row", "key", "runs"]
+                [batch.column(0), batch.column(1), pa.array(runs, pa.list_(_RUN_TYPE))], ["row", "key", "runs"]
             )
 
     return run
 
 
+def rarest(shared: list[tuple[int, int, int]]) -> list[int]:
+    """Of shared runs (documents with it, start, stop), the places of the rarest that cover the lines of all."""
+    chosen, covered = [], set()
+    for k in sorted(range(len(shared)), key=lambda k: shared[k]):
+        _, start, stop = shared[k]
+        if not covered.issuperset(range(start, stop)):
+            covered.update(range(start, stop))
+            chosen.append(k)
+    return chosen
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first holders that each document is aligned with."""
+    for batch in slices(batches):
+        holders = []
+        for shared in batch.column(1).to_pylist():
+            own = [shared[k]["holder"] for k in rarest([(s["n"], s["start"], s["stop"]) for s in shared])]
+            holders.append(list({(h["file"], h["index"]): h for h in own}.values()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(holders, pa.list_(batch.schema.field(0).type))], ["row", "holders"])
+
+
 def _deletions(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,25 +230,27 @@ def deletions(docs: DataFrame, text: str = "text", key: str = "doc_id", min_word
     )
     whole = F.array_join(F.transform("hashes", F.hex), "")
     packed = lines.select("row", "key", F.unhex(whole).alias("hashes"), "words")
-    schema = schema_of(packed, ["row", "key"], "runs array<binary>")
+    schema = schema_of(packed, ["row", "key"], f"runs array<{_RUN}>")
     runs = materialise(packed.mapInArrow(_runs(min_words), schema).where(F.size("runs") > 0))
     order = F.struct(F.col("key").isNull().alias("none"), "key", "row")
+    each = runs.select("row", order.alias("doc"), F.inline("runs"))
     holders = materialise(
-        runs.select(order.alias("doc"), F.explode("runs").alias("run"))
-        .groupBy("run")
-        .agg(F.min("doc").alias("first"), F.count("*").alias("n"))
+        each.groupBy("run")
+        .agg(F.min("doc").alias("first"), F.count_if(~F.col("again")).alias("n"))
         .where("n > 1")
-        .select("run", F.col("first.row").alias("holder"))
+        .select("run", F.col("first.row").alias("holder"), "n")
     )
-    shared = runs.select("row", F.explode("runs").alias("run")).join(holders, "run")
-    pairs = materialise(shared.where(F.col("row") != F.col("holder")).select("row", "holder").distinct())
+    shared = runs.select("row", F.inline("runs")).join(holders, "run").where(F.col("row") != F.col("holder"))
+    place = "struct<file:bigint,index:bigint>"
+    linked = shared.groupBy("row").agg(F.collect_list(F.struct("n", "start", "stop", "holder")).alias("shared"))
+    holding = linked.mapInArrow(_links, f"row {place}, holders array<{place}>")
+    pairs = materialise(holding.select("row", F.explode("holders").alias("holder")))
     packed = packed.drop("key")
     both = (
         pairs.join(packed.select(F.col("row").alias("holder"), F.col("hashes").alias("earlier")), "holder")
         .join(packed.withColumnRenamed("hashes", "later"), "row")
         .select("row", "later", "words", "earlier")
     )
-    place = "struct<file:bigint,index:bigint>"
     cut = both.mapInArrow(_deletions(min_words), f"row {place}, places array<int>")
     gone = cut.select("row", F.explode("places").alias("place")).distinct()
     return named, materialise(gone.groupBy("row").agg(F.collect_list("place").alias("places")))
