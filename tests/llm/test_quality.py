@@ -60,8 +60,15 @@ def test_keeps_good_and_drops_bad_documents(spark):
     assert len(bad) and bad.kept.mean() < 0.3
 
 
-def test_references_are_bounded_shares(spark, sf):
-    for ref in quality.references(spark.read.parquet(f"{sf}/documents.parquet")):
+def all_references(spark, folder):
+    names = sorted(r.lang for r in spark.read.parquet(folder).select("lang").collect())
+    return [quality.reference(folder, n) for n in names]
+
+
+def test_references_are_bounded_shares(spark):
+    refs = all_references(spark, quality.references(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
+    assert len(refs) >= 3
+    for ref in refs:
         assert abs(ref.shares.sum() - 1) < 1e-9 and len(ref.words) <= 1 / quality.WORD_SHARE
         assert abs(ref.classes.sum() - 1) < 1e-9
 
@@ -77,26 +84,56 @@ def test_odd_rows(spark):
     assert quality.assess(helpers.empty(spark)).count() == 0
 
 
-def test_same_references_for_any_partitioning(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    a, b = quality.references(docs), quality.references(docs.repartition(6))
+def test_same_references_for_any_partitioning(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    a, b = (all_references(spark, quality.references(d)) for d in (docs, docs.repartition(6)))
     assert [(r.lang, r.words) for r in a] == [(r.lang, r.words) for r in b]
     assert all((x.shares == y.shares).all() for x, y in zip(a, b, strict=True))
 
 
-def test_rare_languages_are_not_judged_by_others(spark, monkeypatch):
-    monkeypatch.setattr(quality, "LANGUAGE_SHARE", 0.25)
-    monkeypatch.setattr(quality, "LANGUAGE_WORDS", 500)
-    rng = random.Random(1)
-
-    def write(letters, n=200, size=40):
-        vocabulary = ["".join(rng.choices(letters, k=6)) for _ in range(size)]
-        return lambda: " ".join(rng.choices(vocabulary, k=n))
-
-    common, rare, single = write("abcdefgh"), write("абвгдежз"), write("αβγδεζηθ")
-    texts = [common() for _ in range(60)] + [rare() for _ in range(15)] + [single()]
-    langs = ["en"] * 60 + ["xx"] * 15 + ["yy"]
-    spam = write("0123456789#", size=200)()
-    rows = quality.assess(helpers.docs(spark, [*texts, spam], [*langs, "xx"])).orderBy("doc_id").collect()
-    assert [r.kept for r in rows] == [True] * 76 + [False], [(r.char_distance, r.word_distance) for r in rows[60:]]
-    assert [r.nearest for r in rows[59:76]] == ["en"] + ["xx"] * 15 + [None]
+def writer(letters, n=200, size=40, seed=1):
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices(letters, k=6)) for _ in range(size)]
+    return lambda: " ".join(rng.choices(vocabulary, k=n))
+
+
+def verdicts(spark, texts, langs):
+    rows = quality.assess(helpers.docs(spark, texts, langs)).orderBy("doc_id").collect()
+    return [(r.kept, r.judged_by, r.char_distance, r.word_distance) for r in rows]
+
+
+def test_texts_are_judged_by_their_own_language_only(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LANGUAGE_WORDS", 2500)
+    common, rare, single = writer("abcdefgh"), writer("абвгдежз"), writer("αβγδεζηθ")
+    texts = [common() for _ in range(60)] + [rare() for _ in range(15)] + [single(), single()]
+    langs = ["en"] * 60 + ["xx"] * 15 + ["yy", None]
+    spam = [writer("0123456789#", size=200)() for _ in range(3)]
+    got = verdicts(spark, texts + spam, [*langs, "xx", "zz", None])
+    assert [g[0] for g in got] == [True] * 77 + [False, True, True]
+    assert [g[1] for g in got[59:]] == ["en"] + ["xx"] * 15 + [None, None, "xx", None, None]
+    # many more texts of other languages change nothing
+    more = [writer("ijklmnop", seed=s)() for s in range(50)]
+    assert verdicts(spark, texts + spam + more, [*langs, "xx", "zz", None, *["vv"] * 50])[:80] == got
+
+
+def test_sql_says_the_same_with_rare_and_null_languages(spark, monkeypatch, tmp_path):
+    """The registered SQL on a table with a rare language, null languages and a language without reference."""
+    import duckdb
+
+    from tests.compare import canonical, duck_rows, spark_rows
+    from threadloom.llm.oracles import ORACLES
+    from threadloom.llm.queries import op8_quality_rules
+
+    words = writer("абвгдежз", n=400)
+    texts = [words() for _ in range(60)] + ["0#1% " * 200, *helpers.ODD_TEXTS[:7]]
+    rows = helpers.docs(spark, texts, ["xx"] * 61 + [None] * 7, ids=range(10_000, 10_068))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn(
+        "lang", quality.F.expr("case doc_id % 9 when 0 then null when 1 then 'few' else lang end")
+    )
+    docs.unionByName(rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = spark_rows(op8_quality_rules(spark, str(tmp_path)))
+    assert canonical(got) == canonical(duck_rows(con, ORACLES["op8_quality_rules"]))
+    kept = dict(zip(got.doc_id, got.kept))
+    assert all(kept[i] for i in range(10_000, 10_060)) and not kept[10_060]

@@ -61,7 +61,7 @@ _CLASSES = [
 
 OP8 = f"""
 with d as (
-    select doc_id, coalesce(text, '') as text, coalesce(lang, '') as lang from documents
+    select doc_id, coalesce(text, '') as text, lang from documents
 ), w as (
     select *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as words,
            [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\\x20\\x09-\\x0D]')] as lines
@@ -97,7 +97,7 @@ with d as (
 ), lt as (
     select lang, sum(n) as total from lw group by 1
 ), large as (
-    select * from lt where total >= {quality.LANGUAGE_SHARE} * (select sum(total) from lt)
+    select * from lt where total >= {quality.LANGUAGE_WORDS} and lang is not null
 ), ref as (
     select lang, word, n / total as q from lw join large using (lang) where n >= {quality.WORD_SHARE} * total
 ), refc as (
@@ -105,23 +105,22 @@ with d as (
 ), size as (
     select doc_id, sum(n) as n from ch group by 1
 ), cd as (
-    select doc_id, refc.lang, sqrt(greatest(0, sum({_distance('ch.n / size.n', 'refc.q')}))) as v
-    from ch join size using (doc_id) join refc using (k) where size.n > 0 group by 1, 2
+    select doc_id, sqrt(greatest(0, sum({_distance('ch.n / size.n', 'refc.q')}))) as v
+    from ch join size using (doc_id) join refc using (lang, k) where size.n > 0 group by 1
 ), pw as (
     select total.doc_id, ref.lang, q, coalesce(bag.n, 0) / total.n as p
-    from total cross join ref left join bag on bag.doc_id = total.doc_id and bag.word = ref.word
+    from total join b using (doc_id) join ref using (lang) left join bag on bag.doc_id = total.doc_id and bag.word = ref.word
 ), pr as (
     select * from pw union all select doc_id, lang, 1 - sum(q), 1 - sum(p) from pw group by 1, 2
 ), wd as (
-    select doc_id, lang, sqrt(greatest(0, sum({_distance('greatest(p, 0)', 'greatest(q, 0)')}))) as v from pr group by 1, 2
+    select doc_id, sqrt(greatest(0, sum({_distance('greatest(p, 0)', 'greatest(q, 0)')}))) as v from pr group by 1
 ), best as (
-    select b.doc_id, (select min(v) from cd where cd.doc_id = b.doc_id) as c,
-           coalesce((select min(v) from wd where wd.doc_id = b.doc_id), 1) as w
-    from b
+    select b.doc_id, cd.v as c, case when large.lang is not null and n_words > 0 then coalesce(wd.v, 1) end as w
+    from b left join cd using (doc_id) left join wd using (doc_id) left join large on large.lang = b.lang
 )
 select b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and not coalesce(n_words >= {quality.CHAR_MIN_WORDS} and c > {quality.CHAR_LIMIT}, false)
-       and not (n_words >= {quality.WORD_MIN_WORDS} and w > least({quality.WORD_MOST}e0, {quality.WORD_FLOOR}e0 + {quality.WORD_NOISE}e0 / sqrt(n_words))) as kept
+       and not coalesce(n_words >= {quality.WORD_MIN_WORDS} and w > least({quality.WORD_MOST}e0, {quality.WORD_FLOOR}e0 + {quality.WORD_NOISE}e0 / sqrt(n_words)), false) as kept
 from b join best using (doc_id)
 """
 
@@ -224,7 +223,8 @@ with own as (
     from heads c left join own b on b.conv_id = c.conv_id - c.conv_id % 20
 ), nodes as (
     select d, p, min(conv_id) as conv_id, count(*) as n_convs,
-           case when d = 0 then 0 else (count(*) - 1) * len(regexp_extract_all(p[d].text, '[^ 	-]+')) end as saved
+           case when d = 0 then 0 else (count(*) - 1) * len(regexp_extract_all(p[d].text, '[^ 	-
+]+')) end as saved
     from (select conv_id, d, list_slice(turns, 1, d) as p from (select *, unnest(range(len(turns) + 1)) as d from built)) group by 1, 2
 ), kids as (
     select d - 1 as d, list_slice(p, 1, d - 1) as p, count(*) as n from nodes where d > 0 group by 1, 2

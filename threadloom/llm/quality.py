@@ -1,14 +1,14 @@
 """Quality rules: base counts of a text, and its distance to the references of the languages.
 
-A document is compared with every language reference by two Jensen-Shannon distances (base
+A document is compared with the reference of its language by two Jensen-Shannon distances (base
 2, so 0 to 1): over character classes, and over the common words of the language plus "any
-other word". The nearest reference counts. References are sums over all documents that pass
-the base rules, by their ``lang`` (null is a group of its own); a word is common if it makes
+other word". References are sums over all documents of a language that pass
+the base rules; a word is common if it makes
 up at least ``WORD_SHARE`` of a language's words, which bounds every list by 1 / WORD_SHARE.
 
-Languages with ``LANGUAGE_SHARE`` of all words are references for every document. One below
-that, with ``LANGUAGE_WORDS`` words or more, is a reference for its own documents, joined to
-them by ``lang``. Documents whose language has no reference are left to the base rules.
+A language has a reference from ``LANGUAGE_WORDS`` words on, as shares of fewer are noise. Documents
+without a language (null), or whose language has no reference, are left to the base rules. So texts of one
+language never change the verdict on those of another. References are a written table; a task reads those it meets.
 
 Histograms of short texts are noise, so texts below ``CHAR_MIN_WORDS`` or ``WORD_MIN_WORDS``
 words are not judged by them, and the limit on words falls with the length.
@@ -18,27 +18,29 @@ Rows are judged one by one: ids may repeat or be null, other columns are not loo
 columns replace columns of the same name. An empty table gives an empty result.
 """
 
-import json
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm.common import as_bytes, plain_words, rest_of, schema_of, slices
-from threadloom.session import materialise
+from threadloom.session import materialise, new_stage, open_uri
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WORD_SHARE = 0.001
-#: A language is a reference for all documents if it holds this share of all words; so there are at most 200.
-LANGUAGE_SHARE = 0.005
-#: A smaller language is a reference for its own documents if it has so many words.
 LANGUAGE_WORDS = 20_000
+#: Folders of the table of references.
+BUCKETS = 64
 CHAR_LIMIT = 0.33
 CHAR_MIN_WORDS = 50
 WORD_MIN_WORDS = 100
@@ -136,7 +138,7 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in slices(batches):
         for text, lang in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
             words = (text or b"").split()
-            if base_failed(len(words), repeated_words(words)):
+            if lang is None or base_failed(len(words), repeated_words(words)):
                 continue
             found.setdefault(lang, Counter()).update(plain_words(text))
             classes[lang] = classes.get(lang, 0) + class_counts(text)
@@ -155,45 +157,40 @@ class Reference:
     shares: np.ndarray
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[Reference]:
-    """The references of all languages that hold ``LANGUAGE_SHARE`` of the words."""
-    return _references(docs, text, lang)[0]
-
-
-def _references(docs: DataFrame, text: str, lang: str) -> tuple[list[Reference], DataFrame]:
-    """The references for all documents, and a table of those for their own (``code``, ``own``).
-
-    What reaches the driver is bounded: 1 / LANGUAGE_SHARE languages of 1 / WORD_SHARE words.
-    """
-    columns = docs.select(F.col(text).alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"))
+def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> str:
+    """The folder of the table of references: ``lang``, ``total``, ``items``, by a hash of the language."""
+    columns = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     counts = (
         columns.mapInArrow(_partial_counts, "lang string, kind string, item string, n long")
         .groupBy("lang", "kind", "item")
         .agg(F.sum("n").alias("n"))
     )
     counts = materialise(counts)
-    totals = counts.where("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("total"))
-    whole = totals.agg(F.sum("total")).first()[0] or 0
-    large = totals.where(F.col("total") >= LANGUAGE_SHARE * whole)
-    common = counts.join(F.broadcast(large), "lang").where(  # at most 1 / LANGUAGE_SHARE rows
-        (F.col("kind") == "c") | (F.col("n") >= WORD_SHARE * F.col("total"))
-    )
-    by_lang: dict[str, tuple[int, dict[str, int], dict[str, int]]] = {}
-    for row in common.collect():
-        _, words, classes = by_lang.setdefault(row.lang, (row.total, {}, {}))
-        (words if row.kind == "w" else classes)[row.item] = row.n
-    out = []
-    for name, (total, words, classes) in sorted(by_lang.items()):
-        out.append(_reference(name, total, words, classes))
-    small = totals.where((F.col("total") < LANGUAGE_SHARE * whole) & (F.col("total") >= LANGUAGE_WORDS))
-    rest = counts.where(~F.col("lang").isin(sorted(by_lang)))  # so no language is a hot key
-    listed = rest.join(small.hint("merge"), "lang").where(
-        (F.col("kind") == "c") | (F.col("n") >= WORD_SHARE * F.col("total"))
-    )
+    totals = counts.where("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= LANGUAGE_WORDS)
+    # most words are rare whatever the language, and only common ones are joined and listed
+    often = counts.where((F.col("kind") == "c") | (F.col("n") >= WORD_SHARE * LANGUAGE_WORDS))
+    common = often.join(totals, "lang").where((F.col("kind") == "c") | (F.col("n") >= WORD_SHARE * F.col("total")))
     items = F.collect_list(F.struct("kind", "item", "n"))  # at most 1 / WORD_SHARE words
-    own = listed.groupBy("lang", "total").agg(items.alias("items"))
-    packed = F.to_json(F.struct("total", "items"))
-    return out, materialise(own.select(F.col("lang").alias("code"), packed.alias("own")))
+    bucket = F.crc32(F.col("lang").cast("binary")) % BUCKETS
+    folder = new_stage(docs.sparkSession)
+    common.groupBy("lang", "total").agg(items.alias("items")).withColumn("bucket", bucket).write.partitionBy("bucket").parquet(folder)
+    return folder
+
+
+@lru_cache(maxsize=256)
+def reference(folder: str, lang: str) -> Reference | None:
+    """The reference of a language, if it has one."""
+    system, root = open_uri(folder)
+    chosen = fs.FileSelector(f"{root}/bucket={zlib.crc32(lang.encode()) % BUCKETS}", allow_not_found=True)
+    for found in system.get_file_info(chosen):
+        if found.base_name.endswith(".parquet"):
+            with system.open_input_file(found.path) as file:
+                rows = pq.ParquetFile(file).read(columns=["lang", "total", "items"]).to_pylist()
+            for row in rows:
+                if row["lang"] == lang:
+                    words, classes = ({x["item"]: x["n"] for x in row["items"] if x["kind"] == k} for k in "wc")
+                    return _reference(lang, row["total"], words, classes)
+    return None
 
 
 def _reference(name: str, total: int, words: dict[str, int], classes: dict[str, int]) -> Reference:
@@ -203,12 +200,6 @@ def _reference(name: str, total: int, words: dict[str, int], classes: dict[str,
     return Reference(name, chars / chars.sum(), [w.encode() for w in listed], shares / total)
 
 
-def _own_reference(name: str, packed: str) -> Reference:
-    found = json.loads(packed)
-    kinds = ({x["item"]: x["n"] for x in found["items"] if x["kind"] == k} for k in "wc")
-    return _reference(name, found["total"], *kinds)
-
-
 def distance(rows: np.ndarray, reference: np.ndarray) -> np.ndarray:
     """The Jensen-Shannon distance of each row of shares to the reference, to 9 places."""
     middle = (rows + reference) / 2
@@ -222,89 +213,66 @@ def distance(rows: np.ndarray, reference: np.ndarray) -> np.ndarray:
 
 
 VERDICTS = (
-    f"{COUNTS}, char_distance double, word_distance double, nearest string, base_failed boolean, kept boolean"
+    f"{COUNTS}, char_distance double, word_distance double, judged_by string, base_failed boolean, kept boolean"
 )
 
 
-def judge(texts: list[bytes | None], refs: list[Reference]) -> dict[str, list]:
-    """The columns of ``VERDICTS`` for a batch of texts."""
+def judge(texts: list[bytes | None], ref: Reference | None) -> dict[str, list]:
+    """The columns of ``VERDICTS`` for texts of one language."""
     counts = [base_counts(t) for t in texts]
     failed = [base_failed(c[0], c[4]) for c in counts]
     names = [f.split()[0] for f in COUNTS.split(", ")]
     out: dict[str, list] = {n: [c[i] for c in counts] for i, n in enumerate(names)}
     n = len(texts)
-    chars, words, nearest = np.full(n, np.inf), np.full(n, np.inf), [None] * n
-    judged = [i for i in range(n) if counts[i][0] > 0] if refs else []
+    chars, words = np.full(n, np.nan), np.full(n, np.nan)
+    judged = [i for i in range(n) if counts[i][0] > 0] if ref is not None else []
     if judged:
         shares = np.array([class_counts(texts[i]) for i in judged], float)
-        shares /= shares.sum(axis=1, keepdims=True)
+        chars[judged] = distance(shares / shares.sum(axis=1, keepdims=True), ref.classes)
         bags = [Counter(plain_words(texts[i])) for i in judged]
         totals = np.array([max(1, b.total()) for b in bags], float)[:, None]
-        empty = np.array([b.total() == 0 for b in bags])
-        for ref in refs:
-            by_char = distance(shares, ref.classes)
-            known = np.array([[b[w] for w in ref.words] for b in bags], float).reshape(len(bags), -1)
-            known = np.hstack([known, totals - known.sum(axis=1, keepdims=True)]) / totals
-            by_word = np.where(empty, 1.0, distance(known, ref.shares))
-            for k, i in enumerate(judged):
-                chars[i] = min(chars[i], by_char[k])
-                if by_word[k] < words[i]:
-                    words[i], nearest[i] = by_word[k], ref.lang
-    out["char_distance"] = [float(c) if c <= 1 else None for c in chars]
-    out["word_distance"] = [float(c) if c <= 1 else None for c in words]
-    out["nearest"] = nearest
+        known = np.array([[b[w] for w in ref.words] for b in bags], float).reshape(len(bags), -1)
+        known = np.hstack([known, totals - known.sum(axis=1, keepdims=True)]) / totals
+        words[judged] = np.where([b.total() == 0 for b in bags], 1.0, distance(known, ref.shares))
+    out["char_distance"] = [None if np.isnan(c) else float(c) for c in chars]
+    out["word_distance"] = [None if np.isnan(c) else float(c) for c in words]
+    out["judged_by"] = [ref.lang if ref is not None and not np.isnan(c) else None for c in chars]
     out["base_failed"] = failed
     out["kept"] = [
         not failed[i]
-        and not (n_words >= CHAR_MIN_WORDS and 1 >= chars[i] > CHAR_LIMIT)
-        and not (n_words >= WORD_MIN_WORDS and 1 >= words[i] > word_limit(n_words))
+        and not (n_words >= CHAR_MIN_WORDS and chars[i] > CHAR_LIMIT)
+        and not (n_words >= WORD_MIN_WORDS and words[i] > word_limit(n_words))
         for i, n_words in enumerate(out["n_words"])
     ]
     return out
 
 
-def assess(docs: DataFrame, refs: list[Reference] | None = None, text: str = "text", lang: str = "lang", keep=None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with the columns of ``VERDICTS``, row by row."""
-    own = None
-    if refs is None:
-        refs, own = _references(docs, text, lang)
+def assess(docs: DataFrame, folder: str | None = None, text: str = "text", lang: str = "lang", keep=None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with the columns of ``VERDICTS``, row by row. ``folder``:
+    references of other documents, instead of their own."""
+    folder = folder or references(docs, text, lang)
     added = [f.split()[0] for f in VERDICTS.split(", ")]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    code = F.coalesce(F.col(lang).cast("string"), F.lit(""))
-    rows = docs.select(F.col(text).alias("text"), rest_of(kept, text).alias("doc"), code.alias("code"))
+    code = F.col(lang).cast("string").alias("code")
+    rows = docs.select(F.col(text).alias("text"), rest_of(kept, text).alias("doc"), code)
     texts = ["text"] if text in kept else []  # a text goes through Python once
 
-    def judged(batch, by):
-        found = judge(as_bytes(batch.column("text")), by)
-        columns = [batch.column(c) for c in [*texts, "doc"]]
-        columns += [pa.array(found[n], _ARROW[t]) for n, t in map(str.split, VERDICTS.split(", "))]
-        return pa.RecordBatch.from_arrays(columns, [*texts, "doc", *found])
-
-    def verdicts(batches):
+    def verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield judged(batch, refs)
+            data, codes = as_bytes(batch.column(0)), batch.column(2).to_pylist()
+            found: dict[str, list] = {n: [None] * len(data) for n in added}
+            for name in dict.fromkeys(codes):
+                own = [i for i, c in enumerate(codes) if c == name]
+                judged = judge([data[i] for i in own], None if name is None else reference(folder, name))
+                for n, values in judged.items():
+                    for i, value in zip(own, values, strict=True):
+                        found[n][i] = value
+            columns = [batch.column(c) for c in [*texts, "doc"]]
+            columns += [pa.array(found[n], _ARROW[t]) for n, t in map(str.split, VERDICTS.split(", "))]
+            yield pa.RecordBatch.from_arrays(columns, [*texts, "doc", *added])
 
-    def own_verdicts(batches):
-        name, by = None, []
-        for batch in slices(batches):
-            codes, start = batch.column("code").to_pylist(), 0
-            for k in range(1, len(codes) + 1):  # rows of one language are neighbours
-                if k < len(codes) and codes[k] == codes[start]:
-                    continue
-                if codes[start] != name:
-                    name, packed = codes[start], batch.column("own")[start].as_py()
-                    by = [] if packed is None else [*refs, _own_reference(name, packed)]
-                yield judged(batch.slice(start, k - start), by)
-                start = k
-
-    schema = schema_of(rows, [*texts, "doc"], VERDICTS)
     columns = [F.col("text").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in kept]
-    common = F.col("code").isin([r.lang for r in refs])
-    rare = rows.where(~common)
-    rare = rare.withColumn("own", F.lit(None).cast("string")) if own is None else rare.join(own.hint("merge"), "code", "left")
-    by_all = rows.where(common).select("text", "doc").mapInArrow(verdicts, schema)
-    by_own = rare.select("text", "doc", "code", "own").mapInArrow(own_verdicts, schema)
-    return by_all.unionByName(by_own).select(*columns, *added)
+    return rows.mapInArrow(verdicts, schema_of(rows, [*texts, "doc"], VERDICTS)).select(*columns, *added)
 
 
 _ARROW = {"long": pa.int64(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}

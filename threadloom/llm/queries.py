@@ -78,7 +78,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality.assess(docs, keep=("doc_id",)).drop("char_distance", "word_distance", "nearest")
+    return quality.assess(docs, keep=("doc_id",)).drop("char_distance", "word_distance", "judged_by")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
