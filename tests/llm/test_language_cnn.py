@@ -73,3 +73,12 @@ def test_prediction_reads_text_only(spark, sf):
     a = cnn.identify(docs, model, keep=("doc_id",)).collect()
     blind = docs.select("doc_id", "text", F.lit("zz").alias("lang"), F.lit("s").alias("source"))
     assert sorted(map(tuple, a)) == sorted(map(tuple, cnn.identify(blind, model, keep=("doc_id",)).collect()))
+
+
+def test_the_sample_does_not_depend_on_the_files(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs.repartition(3, "source").write.parquet(f"{tmp_path}/copy")
+    copy = spark.read.parquet(f"{tmp_path}/copy")
+    drawn = lambda df: cnn.fit(df.unionByName(df.where("doc_id = 3")), F.lit(True))
+    a, b = drawn(docs), drawn(copy)
+    assert a.labels == b.labels and (a.dense == b.dense).all() and (a.first == b.first).all()

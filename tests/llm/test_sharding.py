@@ -1,3 +1,4 @@
+import math
 from collections import Counter
 
 import pytest
@@ -18,6 +19,45 @@ def test_permutation_is_one_and_can_be_undone(spark, n):
     assert all(r.x == r.id for r in got)
 
 
+def plain_position(x, n, seed):
+    """The position of a row number, by a Feistel network in plain numbers that walks until it is inside."""
+    import xxhash
+
+    def chained(*values):
+        at = 42
+        for value, size in values:
+            at = xxhash.xxh64_intdigest(value.to_bytes(size, "little", signed=True), at)
+        return at - (1 << 64) if at >= 1 << 63 else at
+
+    left = math.isqrt(n - 1) + 1 if n > 1 else 1
+    right = -(-n // left)
+    while True:
+        high, low = divmod(x, right)
+        for i in range(sharding.ROUNDS):
+            if i % 2 == 0:
+                high = (high + chained((low, 8), (i, 4), (seed, 4)) % left) % left
+            else:
+                low = (low + chained((high, 8), (i, 4), (seed, 4)) % right) % right
+        x = high * right + low
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100, 1003])
+def test_positions_equal_a_plain_network(spark, n):
+    rows = F.lit(n).cast("long")
+    got = spark.range(n).select("id", sharding.permute(F.col("id"), rows, 5).alias("y")).collect()
+    assert {r.id: r.y for r in got} == {x: plain_position(x, n, 5) for x in range(n)}
+
+
+def test_shards_and_slots_follow_from_row_numbers(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = sharding.shard(docs.select("doc_id", "text"), 8).collect()
+    for r in got:
+        at = plain_position(r.row_number, len(got), 0)
+        assert (r["shard"], r.slot) == (at % 8, at // 8)
+
+
 def test_shards_and_slots(spark, sf):
     got = op5_sharding(spark, sf).toPandas()
     n = spark.read.parquet(f"{sf}/documents.parquet").count()

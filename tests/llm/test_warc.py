@@ -34,6 +34,11 @@ def test_round_trip(spark, tmp_path):
     assert all(r.record_type == "response" for r in got if r.payload_bytes < 100)
 
 
+def test_ids_that_are_no_numbers_are_an_error(spark):
+    with pytest.raises(ValueError):
+        warc.plan(spark.createDataFrame([("a", "u", "h")], "page_id string, url string, html string"))
+
+
 def test_members_stand_alone_and_the_index_finds_them(spark, tmp_path):
     rows = [(i, f"http://h/{i}", f"<html>{i}</html>" * (i + 1)) for i in range(50)]
     streams, made, _ = round_trip(spark, rows, tmp_path, archive_bytes=4000)

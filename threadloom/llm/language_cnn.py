@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import as_bytes, schema_of, with_row_id
+from threadloom.llm.common import as_bytes, schema_of
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -177,9 +177,10 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang")
     if not labels:
         return untrained()
     share = F.create_map(*[F.lit(x) for n, k in sizes.items() for x in (n, min(1.0, PER_LANGUAGE / k))])
-    named = with_row_id(rows, text=F.col(text), lang=F.col(lang).cast("string"))
-    draw = F.pmod(F.xxhash64("row", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    sample = named.where(draw < share[F.col("lang")]).select("lang", "text")
+    # drawn by the text, so copies of a table in other files give the same model; equal texts count once
+    draw = F.pmod(F.xxhash64(text, F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    named = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), draw.alias("draw"))
+    sample = named.where(F.col("draw") < share[F.col("lang")]).select("lang", "text").distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -31,9 +31,10 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.llm.common import as_bytes, with_row_id
-from threadloom.session import materialise, shared_folder
+from threadloom.session import materialise, new_stage, shared_folder
 
 MIN_PAYLOAD = 100
 ARCHIVE_BYTES = 1 << 26
@@ -75,7 +76,10 @@ _URI = "!#$&'()*+,/:;=?@[]~%"
 
 
 def plan(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_payload: int = MIN_PAYLOAD) -> DataFrame:
-    """Per page what its record will be: id, url, payload, digest, whether it is a revisit, and of which page."""
+    """Per page what its record will be: id, url, payload, digest, whether it is a revisit, and of which page.
+    Page ids are whole numbers; other types are an error."""
+    if not isinstance(pages.schema[page_id].dataType, T.IntegralType):
+        raise ValueError("page ids must be whole numbers")
     body = F.coalesce(F.col(html), F.lit(""))
     named = with_row_id(pages, page_id=F.col(page_id), url=F.col(url), html=body, digest=F.sha2(body, 256)).drop("doc")
     long_enough = named.where(F.octet_length("html") >= min_payload)
@@ -296,6 +300,6 @@ def _row(data: bytes, path: str, entry: dict) -> tuple:
 
 def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write pages as monolithic archives, normalise them and return the new archives."""
-    folder = folder or f"{shared_folder(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
+    folder = folder or new_stage(pages.sparkSession)
     streams = write(plan(pages), f"{folder}/streams")
     return normalise(streams, f"{folder}/records", drop=True)
