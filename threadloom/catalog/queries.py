@@ -43,17 +43,9 @@ def query(fn: Query) -> Query:
     return fn
 
 
-_models: dict[tuple[str, ...], str] = {}
-
-
 def _saved(spark, sf, name: str, save: Callable[[str], None]) -> str:
-    """The path of a model that is fitted once per application and table folder."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    path = _models.get(key)
-    if path is None or not readers.path_exists(spark, path):
-        path = _models[key] = new_stage(spark)
-        save(path)
-    return path
+    """The path of a model that is fitted once per application and state of the tables."""
+    return V.kept_path(spark, sf, f"model {name}", save)
 
 
 def _language_model(spark, sf) -> language.LanguageModel:

@@ -6,6 +6,7 @@ whole; marks such as quotes, tags, entities, links and edit notes are added by d
 the plain test text holds almost none.
 """
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
@@ -174,18 +175,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartition(int(asked), TEXT_TABLES[name]) if asked and name in TEXT_TABLES else df
 
 
-_staged: dict[tuple[str, str, str], str] = {}
+def version_of(spark: SparkSession, folder: str) -> str:
+    """A hash of the files in a folder of tables: their names, lengths and times of change."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    waiting, found = list(system.listStatus(path)), []
+    while waiting:
+        status = waiting.pop()
+        if status.isDirectory():
+            waiting += system.listStatus(status.getPath())
+        else:
+            found.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
 
 
-def staged(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
-    """Rows written once per application and table folder, and read from there, as a raw dump
-    brought to Parquet would be: filters and columns reach the scan."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+_staged: dict[tuple[str, ...], str] = {}
+
+
+def kept_path(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The path of something made from the tables of a folder, once per application and state of the folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, version_of(spark, sf_dir), name)
     path = _staged.get(key)
     if path is None or not path_exists(spark, path):
-        path = _staged[key] = new_stage(spark)
-        rows().write.parquet(path)
-    return spark.read.parquet(path)
+        path = new_stage(spark)
+        write(path)
+        _staged[key] = path
+    return path
+
+
+def staged(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    """Rows written once and read from there, as a raw dump brought to Parquet would be: filters
+    and columns reach the scan."""
+    return spark.read.parquet(kept_path(spark, sf_dir, name, lambda path: rows().write.parquet(path)))
 
 
 def _documents(spark: SparkSession, sf_dir: str, tag: str) -> DataFrame:
@@ -251,12 +272,7 @@ def dump(spark: SparkSession, sf_dir: str) -> str:
         lines = comments(spark, sf_dir).selectExpr("pos", f"{DUMP_LINE} as line")
         return lines.repartitionByRange("pos").sortWithinPartitions("pos").select("line")
 
-    key = (spark.sparkContext.applicationId, sf_dir, "dump")
-    path = _staged.get(key)
-    if path is None or not path_exists(spark, path):
-        path = _staged[key] = new_stage(spark)
-        rows().write.option("compression", "gzip").text(path)
-    return path
+    return kept_path(spark, sf_dir, "dump", lambda path: rows().write.option("compression", "gzip").text(path))
 
 
 def split_dump(spark: SparkSession, sf_dir: str, codec: str = "zstd", frame_bytes: int = 1 << 16) -> str:
