@@ -129,34 +129,45 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-_KNOWN = ", ".join(f"({_text(t)}, {_text(n)})" for n, texts in licenses.SENTENCES.items() for t in texts)
-_RULES = ", ".join(
-    f"({_text(n)}, {_text(' .*'.join(f' {i}' for i in ids) + ' ')})" for n, ids in licenses.RULES
-)
+_KNOWN = ", ".join(f"({_text(t)}, {_text(n)})" for t, n in licenses.KNOWN.items())
+_RULES = ", ".join(f"({_text(n)}, {_text(licenses.pattern(ids))})" for n, ids in licenses.RULES)
 _REPLACES = ", ".join(f"({_text(a)}, {_text(b)})" for a, b in licenses.REPLACES.items())
 
 OP9 = rf"""
 with known(sentence, id) as (values {_KNOWN}), rules(name, pattern) as (values {_RULES}),
 replaces(long, short) as (values {_REPLACES}),
-cut as (
-    select doc_id, unnest(s) as sentence, generate_subscripts(s, 1) as place from (
-        select doc_id, [y for y in [trim(regexp_replace(lower(x), '[^a-z0-9.\-]+', ' ', 'g'))
-            for x in regexp_split_to_array(coalesce(text, ''), '[.!?;:][ \t\r\n]+|[.!?;:]$|\n+')] if y <> ''] as s from documents)
-), ids as (
-    select doc_id, count(*) as n_sentences, string_agg(id, ',' order by place) as sentence_ids,
-           ' ' || string_agg(id, '  ' order by place) || ' ' as line
-    from cut left join known using (sentence) group by 1
+low as (
+    select doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')), {_text(licenses.MARKS)}, '', 'g'),
+        {_text(licenses.OPENINGS)}, '. \\1', 'g') as low from documents
+), cuts as (
+    select doc_id, 1 as cut, regexp_split_to_array(low, {_text(licenses.PARAGRAPHS)}) as s from low
+    union all select doc_id, 2, regexp_split_to_array(low, {_text(licenses.LINES)}) from low
+), sentences as (
+    select doc_id, cut, unnest(s) as sentence, generate_subscripts(s, 1) as place from (
+        select doc_id, cut, [y for y in [trim(regexp_replace(x, {_text(licenses.SPACE)}, ' ', 'g')) for x in s] if y <> ''] as s from cuts)
+), sizes as (
+    select doc_id, count(*) as n_sentences from sentences where cut = 1 group by 1
+), found as (
+    select doc_id, cut, place, id from sentences join known using (sentence)
+), lists as (
+    select doc_id, cut, list(id order by place) as ids, ' ' || string_agg(id, '  ' order by place) || ' ' as line from found group by 1, 2
 ), names as (
-    select distinct doc_id, name from ids join rules on regexp_matches(line, pattern)
+    select distinct doc_id, name from lists join rules on regexp_matches(line, pattern)
 ), kept as (
     select * from names n where not exists (
         select 1 from names m join replaces r on m.name = r.long where m.doc_id = n.doc_id and r.short = n.name)
-), lists as (
+), licences as (
     select doc_id, string_agg(name, ',' order by name) as licenses from kept group by 1
+), later as (
+    select doc_id, id, min(place) as place from found f where cut = 2
+    and not exists (select 1 from found g where g.doc_id = f.doc_id and g.cut = 1 and g.id = f.id) group by 1, 2
+), ids as (
+    select doc_id, string_agg(id, ',' order by cut, place) as sentence_ids
+    from (select doc_id, cut, place, id from found where cut = 1 union all select doc_id, 2, place, id from later) group by 1
 )
 select d.doc_id, coalesce(n_sentences, 0)::BIGINT as n_sentences, coalesce(sentence_ids, '') as sentence_ids,
        coalesce(licenses, '') as licenses
-from documents d left join ids using (doc_id) left join lists using (doc_id)
+from documents d left join sizes using (doc_id) left join ids using (doc_id) left join licences using (doc_id)
 """
 
 OP10 = f"""
