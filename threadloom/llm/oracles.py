@@ -138,7 +138,7 @@ with known(sentence, id) as (values {_KNOWN}), rules(name, pattern) as (values {
 replaces(long, short) as (values {_REPLACES}),
 low as (
     select doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')), {_text(licenses.MARKS)}, '', 'g'),
-        {_text(licenses.OPENINGS)}, '. \\1', 'g') as low from documents
+        {_text(licenses.OPENINGS)}, '. \1', 'g') as low from documents
 ), cuts as (
     select doc_id, 1 as cut, regexp_split_to_array(low, {_text(licenses.PARAGRAPHS)}) as s from low
     union all select doc_id, 2, regexp_split_to_array(low, {_text(licenses.LINES)}) from low
