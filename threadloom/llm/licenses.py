@@ -1,7 +1,7 @@
 """Licence scans: known licence sentences, then ordered rules over their identifiers.
 
 A text loses the comment marks at the heads of its lines and is cut into sentences, twice: with the lines of
-a paragraph joined, as licence texts are wrapped, and with a cut at every line, as names of licences stand on lines
+a paragraph joined, as licence texts are wrapped, and with a cut at every line and semicolon, as names of licences stand on lines
 of their own. A sentence is normalised (lower case, runs of anything but
 letters, digits, dots and hyphens as one space) and looked up among the known
 sentences, which were cut and normalised alike. The identifiers of a text, in order, are matched against rules: a rule holds if
@@ -172,9 +172,10 @@ HINTS = "license|warranty|permission|redistribution|software|rights reserved|cc0
 MARKS = r"(?m)^[ \t]*(?:(?://+|#+|\*+|--+|;+)[ \t]*)?(?:\(?[0-9]+[.)][ \t]+)?"
 #: Words that begin a sentence wherever they stand, as a line of copyright before them has no stop.
 OPENINGS = r"(permission is hereby granted|permission to use, copy|redistribution and use in source)"
-#: A sentence ends at a stop, mark or colon before white space or the end, or with its paragraph or line.
-_END = r"[.!?:][ \t\r\n]+|[.!?:]\z|"
-PARAGRAPHS, LINES = _END + r"\n[ \t\r]*\n", _END + r"\n+"
+#: A sentence ends at a stop, mark or colon before white space or the end, or with its paragraph; in the
+#: second cut also at a semicolon and with its line.
+PARAGRAPHS = r"[.!?:][ \t\r\n]+|[.!?:]\z|\n[ \t\r]*\n"
+LINES = r"[.!?:;][ \t\r\n]+|[.!?:;]\z|\n+"
 SPACE = r"[^a-z0-9.\-]+"
 
 
