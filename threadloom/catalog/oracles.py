@@ -916,3 +916,4 @@ ORACLES["score_network"] = f"""with x as (select doc_id, {_SHARES} from document
     out as ({_layer(2, 'two', [f'h1{i}' for i in range(3)])})
     select doc_id, case when z0 >= z1 and z0 >= z2 then 'a' when z1 >= z2 then 'b' else 'c' end as label,
         round(exp(greatest(z0, z1, z2)) / (exp(z0) + exp(z1) + exp(z2)), 6) as confidence from out"""
+ORACLES["read_labelled_text"] = ORACLES["labelled_text"]

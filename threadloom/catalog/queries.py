@@ -171,6 +171,23 @@ def labelled_text(spark, sf):
     return _labelled_text(spark, sf)
 
 
+@query
+def read_labelled_text(spark, sf):
+    """``labelled_text`` over JSONL tables in a folder, whose columns differ and some of which are missing."""
+    folder = new_stage(spark)
+    doc, bench, chat = (V.table(spark, sf, name) for name in ("documents", "benchmark", "conversations"))
+    tables = {
+        "general": doc.select("doc_id", F.col("text").alias("body")),
+        "math": bench.select(F.col("text").alias("question"), F.col("text").alias("body")),
+        "code-a": chat.select(F.col("text").alias("input"), "role"),
+        "code-b": doc.select("source"),
+    }
+    for name, rows in tables.items():
+        writers.write_jsonl(rows, f"{folder}/{name}.jsonl")
+    paths = {"general": [f"{folder}/general.jsonl", f"{folder}/none.jsonl"], "math": [f"{folder}/math.jsonl"], "code": [f"{folder}/code-*.jsonl"]}
+    return readers.read_labelled_text(spark, paths, skip_missing=True)
+
+
 @query
 def head_sample(spark, sf):
     return readers.head_rows(V.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")

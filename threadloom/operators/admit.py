@@ -26,9 +26,18 @@ def keep_ascii(df: DataFrame, text: Column) -> DataFrame:
 def keep_english(df: DataFrame, text: Column, model: language.LanguageModel) -> DataFrame:
     """ASCII rows pass at once; only the others are scored by the language model.
 
-    Every row is tested on its own, whatever its id. The rows are written first, because
-    they are used three times and come out of a selective filter.
+    Every row is tested on its own, whatever its id, and stays where it is.
     """
+    if model.packed is None:
+        return _keep_english_by_joins(df, text, model)
+    ascii_text = P.is_ascii(text)
+    labelled = model.with_label(df, F.when(~ascii_text, text), "_lang")
+    return labelled.where(ascii_text | (F.col("_lang") == "en")).select(*df.columns)
+
+
+def _keep_english_by_joins(df: DataFrame, text: Column, model: language.LanguageModel) -> DataFrame:
+    """With a model too large for a task. The rows are written first, because they are used three
+    times and come out of a selective filter."""
     columns = df.columns
     written = materialise(df)
     other = written.where(~P.is_ascii(text)).select(*columns, place().alias("_place"))

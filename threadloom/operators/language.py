@@ -6,18 +6,30 @@ grams and ``N(c)`` the class total, the add-one score of a text with ``k(g)`` gr
     score(c) = sum_g k(g) * ln(n(c, g) + 1)  -  K * ln(N(c) + V),   K = sum_g k(g)
 
 so grams that a class has never seen add nothing, and ``K`` follows from the text length.
+
+A model of at most ``IN_TASK`` grams is one file of sorted arrays that each task loads; a row's score is computed where
+the row lies. A larger one is a table that counts of grams are joined to.
 """
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.functions import text as X
-from threadloom.session import materialise
+from threadloom.session import materialise, new_stage, open_uri
 
 GRAM = 3
+#: Grams that a task may hold: about 8 bytes each, and 8 for every class.
+IN_TASK = 1 << 20
+#: Characters that are looked up at once.
+_PIECE = 1 << 20
 
 
 def grams(df: DataFrame, text: Column, *keep: str) -> DataFrame:
@@ -35,6 +47,51 @@ def profile(df: DataFrame, text: str, label: str) -> DataFrame:
     return grams(df, F.col(text), label).groupBy(label, "gram").agg(F.count("*").alias("n"))
 
 
+def gram_keys(codes: np.ndarray) -> np.ndarray:
+    """One number per trigram of a row of code points, 21 bits a character."""
+    c = codes.astype(np.uint64)
+    return c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:]
+
+
+@lru_cache(maxsize=2)
+def _arrays(path: str, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted grams of a packed model and their weights; a row of zeros stands for all others."""
+    system, name = open_uri(path)
+    with system.open_input_stream(name, compression=None) as file:
+        data = file.read()
+    n = len(data) // (8 * (1 + classes))
+    weights = np.frombuffer(data, "<f8", offset=8 * n).reshape(n, classes)
+    return np.frombuffer(data, "<u8", n), np.vstack([weights, np.zeros((1, classes))])
+
+
+def summed_weights(text: str, keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The sum of the weights of all trigrams of a text, piece by piece."""
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+    total = np.zeros(weights.shape[1])
+    for at in range(0, len(codes) - GRAM + 1, _PIECE):
+        grams = gram_keys(codes[at : at + _PIECE + GRAM - 1])
+        place = np.searchsorted(keys, grams)
+        known = keys[np.minimum(place, len(keys) - 1)] == grams if len(keys) else np.zeros(len(grams), bool)
+        total += weights[np.where(known, place, len(keys))].sum(0)
+    return total
+
+
+def _scorer(path: str, classes: int) -> Callable:
+    """A column function: the number of grams of a text and its sums of weights; null for a null text."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        keys, weights = _arrays(path, classes)
+        grams, sums = [], []
+        for text in texts.to_pylist():
+            n = None if text is None else len(text) - GRAM + 1
+            grams.append(n)
+            sums.append(None if n is None or n < 1 else summed_weights(text, keys, weights).tolist())
+        return pa.StructArray.from_arrays([pa.array(grams, pa.int64()), pa.array(sums, pa.list_(pa.float64()))], ["grams", "sums"])
+
+    kind = T.StructType([T.StructField("grams", T.LongType()), T.StructField("sums", T.ArrayType(T.DoubleType()))])
+    return F.arrow_udf(run, kind)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """``weights`` has one row per gram and one ``ln(n + 1)`` column per class."""
@@ -43,13 +100,41 @@ class LanguageModel:
     classes: list[str]
     offsets: dict[str, float]
 
-    def score(self, df: DataFrame, key: str, text: Column) -> DataFrame:
-        """Class scores per key; texts shorter than one gram give no row.
+    @cached_property
+    def packed(self) -> str | None:
+        """The path of the model as one file; None if it has more than ``IN_TASK`` grams."""
+        if self.weights.count() > IN_TASK:
+            return None
+        rows = self.weights.select("gram", *[f"w_{c}" for c in self.classes]).toArrow()
+        grams = "".join(rows.column(0).to_pylist()).encode("utf-32-le", "replace")
+        keys = gram_keys(np.frombuffer(grams, "<u4"))[::GRAM] if grams else np.zeros(0, np.uint64)
+        order = np.argsort(keys)
+        columns = [rows.column(k + 1).to_numpy() for k in range(len(self.classes))]
+        path = new_stage(self.weights.sparkSession)
+        system, name = open_uri(path)
+        with system.open_output_stream(name, compression=None) as out:
+            out.write(keys[order].astype("<u8").tobytes() + np.stack(columns, 1)[order].astype("<f8").tobytes())
+        return path
+
+    def _scores(self, grams: Column, sums: list[Column]) -> list[Column]:
+        return [F.round(s - grams * F.lit(self.offsets[c]), 6).alias(f"s_{c}") for c, s in zip(self.classes, sums, strict=True)]
+
+    def _best(self, scores: list[Column]) -> tuple[Column, Column]:
+        """The class with the highest score, the first by name on a tie; and the score."""
+        best = F.greatest(*scores)
+        return F.coalesce(*[F.when(s == best, F.lit(c)) for c, s in zip(self.classes, scores, strict=True)]), best
 
-        Texts are dealt out by key once. Grams are then counted, joined to the weights and
-        summed by that key, so with weights small enough for a broadcast (the adaptive plan
-        knows their size) nothing else moves; otherwise the counts of grams do.
-        """
+    def score(self, df: DataFrame, key: str, text: Column) -> DataFrame:
+        """Class scores per key; texts shorter than one gram give no row."""
+        if self.packed is None:
+            return self._joined(df, key, text)
+        found = df.select(key, _scorer(self.packed, len(self.classes))(F.lower(text)).alias("_f")).where("_f.grams > 0")
+        sums = [F.col("_f.sums")[k] for k in range(len(self.classes))]
+        return found.select(key, F.col("_f.grams").alias("grams"), *self._scores(F.col("_f.grams"), sums))
+
+    def _joined(self, df: DataFrame, key: str, text: Column) -> DataFrame:
+        """The scores by joins: texts are dealt out by key once, grams are counted, joined to the
+        weights and summed by that key."""
         dealt = df.select(key, text.alias("_text")).repartition(key)
         counted = grams(dealt, F.col("_text"), key).groupBy(key, "gram").agg(F.count("*").alias("k"))
         joined = counted.join(self.weights, "gram", "left")
@@ -58,21 +143,21 @@ class LanguageModel:
             for c in self.classes
         ]
         totals = joined.groupBy(key).agg(F.sum("k").alias("grams"), *sums)
-        return totals.select(
-            key,
-            "grams",
-            *[
-                F.round(F.col(f"s_{c}") - F.col("grams") * F.lit(self.offsets[c]), 6).alias(f"s_{c}")
-                for c in self.classes
-            ],
-        )
+        return totals.select(key, "grams", *self._scores(F.col("grams"), [F.col(f"s_{c}") for c in self.classes]))
 
     def predict(self, df: DataFrame, key: str, text: Column) -> DataFrame:
-        """The class with the highest score per key, the first by name on a tie."""
-        best = F.greatest(*[F.col(f"s_{c}") for c in self.classes])
-        label = F.coalesce(*[F.when(F.col(f"s_{c}") == best, F.lit(c)) for c in self.classes])
+        """The class with the highest score per key, and the score."""
+        label, best = self._best([F.col(f"s_{c}") for c in self.classes])
         return self.score(df, key, text).select(key, label.alias("lang"), best.alias("score"))
 
+    def with_label(self, df: DataFrame, text: Column, name: str) -> DataFrame:
+        """``df`` with the class of each row's text (null where it is null or shorter than a gram); the model must be packed."""
+        if self.packed is None:
+            raise ValueError(f"a model of more than {IN_TASK} grams has no packed form")
+        found = df.withColumn("_f", _scorer(self.packed, len(self.classes))(F.lower(text)))
+        sums = [F.get("_f.sums", k) for k in range(len(self.classes))]
+        return found.withColumn(name, self._best(self._scores(F.col("_f.grams"), sums))[0]).drop("_f")
+
 
 def fit(df: DataFrame, text: str, label: str, classes: list[str]) -> LanguageModel:
     """Train on labelled texts; ``classes`` are the labels to tell apart (two or more)."""
@@ -87,7 +172,7 @@ def fit(df: DataFrame, text: str, label: str, classes: list[str]) -> LanguageMod
     )
     weights = materialise(weights)
     size = weights.count()
-    return LanguageModel(weights, classes, {c: math.log(totals.get(c, 0) + size) for c in classes})
+    return LanguageModel(weights, classes, {c: math.log(max(1, totals.get(c, 0) + size)) for c in classes})
 
 
 def save(model: LanguageModel, path: str) -> None:
