@@ -1,6 +1,7 @@
 """The trie of prefixes against a plain version, with long conversations and odd rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -46,7 +47,8 @@ def rebuilt(rows, group=20):
             own.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
     own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
     head = lambda c: zlib.crc32(str(c).encode()) % 4
-    return {c: [*own.get(c - c % group, [])[: head(c)], *turns[head(c) :]] for c, turns in own.items()}
+    base = lambda c: c - int(math.fmod(c, group))  # noqa: E731  (the remainder of SQL has the sign of c)
+    return {c: [*own.get(base(c), [])[: head(c)], *turns[head(c) :]] for c, turns in own.items()}
 
 
 def by_spark(spark, rows):

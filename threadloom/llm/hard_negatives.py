@@ -459,7 +459,8 @@ def mine(
     best = materialise(_first(near.drop("rank").unionByName(rest), positives))
     # the scores in their order, and last the lowest that any window of a positive score reaches
     tops = best.groupBy(at).agg(F.sort_array(F.collect_list("score"), asc=False).alias("tops"))
-    lowest = F.ceil(F.array_min(F.filter("tops", lambda s: s >= 0)) * share / 100)
+    least = F.array_min(F.filter("tops", lambda s: s >= 0)).cast("decimal(20,0)")
+    lowest = F.ceil(least * share / 100).cast("long")
     windows = tops.select("row", F.concat("tops", F.array(lowest)).alias("limits")).where(lowest.isNotNull())
     reached = asking.join(windows, place)
     found = _first(_search(index, reached, cells, "windows", negatives, share), negatives)
