@@ -91,6 +91,7 @@ def test_odd_rows(spark):
     rows = [(None, 1, "user", "gone"), (1, None, None, None), (1, None, None, None), (1, 5, "user", "b"), (1, 5, "assistant", "c")]
     rows += [(0, 0, "user", "w " * 50_000), (20, 3, "user", ""), (21, 1, "user", "only"), (22, 1, "x", "only"), (-3, 2, "user", "n"), (-40, 1, "user", "m")]
     rows += [(c, 0, "user", "hot") for c in range(100, 160)]
+    rows += [(c, 0, "user", "alone") for c in range(4001, 4009)]  # without a first conversation some lose their only turn
     want = rebuilt(rows)
     assert any(not turns for turns in want.values())
     assert by_spark(spark, rows) == brute(want)
