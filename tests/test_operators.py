@@ -538,6 +538,33 @@ def test_top_ngrams_equal_a_full_count(spark, sf, n):
     assert rows_of(got, "tf", "term") == rows_of(features.top_terms(rows, "terms", n), "tf", "term")
 
 
+@pytest.mark.parametrize("counters, proven", [(4000, True), (40, False)])
+def test_top_ngrams_by_summaries_of_any_size(spark, sf, monkeypatch, counters, proven):
+    """The exact top also where tasks drop rare n-grams, and where the bound proves nothing."""
+    documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    rows = router.prepare(documents, "text", stem=False).repartition(3)
+    want = rows_of(features.top_terms(rows, "terms", 50), "tf", "term")
+    called = []
+    by_parts = features._top_by_parts
+    monkeypatch.setattr(features, "COUNTERS", counters)
+    monkeypatch.setattr(features, "_top_by_parts", lambda *a: called.append(1) or by_parts(*a))
+    assert rows_of(features.top_ngrams(rows, "term_words", 50), "tf", "term") == want
+    assert bool(called) != proven
+
+
+def test_summaries_bound_counts():
+    rng = random.Random(7)
+    for size in (1, 3, 20):
+        summary, seen = features.Summary(size), Counter()
+        for _ in range(200):
+            terms = [f"t{int(rng.paretovariate(0.7))}" for _ in range(30)]
+            summary.add(terms)
+            seen.update(terms)
+        assert len(summary.counts) <= 2 * size and summary.error <= sum(seen.values()) / size
+        assert all(summary.counts[t] <= n <= summary.counts[t] + summary.error for t, n in seen.items())
+        assert set(summary.counts) <= set(seen)
+
+
 def test_label_codes(spark):
     df = spark.createDataFrame([("math",), ("code",), ("general",), ("code",)], "c string")
     assert rows_of(features.label_codes(df, "c")) == [("code", 0), ("general", 1), ("math", 2)]

@@ -1,9 +1,12 @@
 """Vocabularies, padded id sequences, TF-IDF features and label codes."""
 
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
@@ -15,6 +18,9 @@ from threadloom.functions import porter
 from threadloom.functions import text as X
 from threadloom.session import materialise
 
+#: Terms in a summary of frequent ones; tasks hold, and broadcasts are, at most twice as many.
+COUNTERS = 1 << 17
+
 
 def word_column(text, spaced: bool = False, stop_words=K.STOP_WORDS) -> Column:
     """Words of the normalised text without stop words."""
@@ -47,13 +53,78 @@ def top_terms(df: DataFrame, terms: str, n: int) -> DataFrame:
     return term_counts(df, terms).orderBy(F.desc("tf"), "term").limit(n)
 
 
+class Summary:
+    """Lower bounds of the counts of frequent terms, and how much any term's count may lack.
+
+    When more than twice ``size`` terms are held, the count of the next after the ``size`` most frequent is
+    taken from all, and terms without any left go. Each such step removes at least ``size`` times
+    what it adds to ``error``, so the error stays below the number of terms seen over ``size``.
+    Summaries merge by adding counts and errors.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.counts, self.error = size, Counter(), 0
+
+    def add(self, terms: Iterable[str]) -> None:
+        self.counts.update(terms)
+        if len(self.counts) > 2 * self.size:
+            cut = int(np.partition(np.fromiter(self.counts.values(), np.int64), -self.size - 1)[-self.size - 1])
+            self.counts = Counter({t: n - cut for t, n in self.counts.items() if n > cut})
+            self.error += cut
+
+
+def _summaries(df: DataFrame, words: str, ngram_range: tuple[int, int], size: int) -> DataFrame:
+    """(term, low) of each task's summary of n-grams; the row without a term holds its error."""
+    shortest, longest = ngram_range
+
+    def rows(summary: Summary) -> pa.RecordBatch:
+        terms, counts = [*summary.counts, None], [*summary.counts.values(), summary.error]
+        return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(counts, pa.int64())], ["term", "low"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        summary = Summary(size)
+        for batch in batches:
+            for found in batch.column(0).to_pylist():
+                for n in range(shortest, longest + 1):
+                    parts = [(found or [])[k:] for k in range(n)]
+                    summary.add(found or [] if n == 1 else map(" ".join, zip(*parts, strict=False)))
+        yield rows(summary)
+
+    return df.select(words).mapInArrow(run, "term string, low long")
+
+
 def top_ngrams(df: DataFrame, words: str, n: int, ngram_range=K.NGRAM_RANGE) -> DataFrame:
     """The ``n`` most frequent n-grams of a word array column; ties by name.
 
     The same rows as ``top_terms`` over all n-grams, without shuffling all of them: almost
-    every long n-gram of a corpus is unique. Once ``n`` terms are known, a further term must
-    reach the lowest of their frequencies, and a longer n-gram is never more frequent than
-    its head and tail. So each length counts only n-grams whose head and tail are frequent
+    every long n-gram of a corpus is unique. Each task keeps a summary of at most 2 * ``COUNTERS``
+    n-grams; the merged one bounds every count from both sides. The n-th largest lower bound is what a further
+    term must reach, so where it is above the error only terms that may reach it are counted, exactly, in a second pass. Where the bound proves
+    nothing, or too many terms are left, n-grams are counted length by length (``_top_by_parts``).
+    """
+    merged = materialise(_summaries(df, words, ngram_range, COUNTERS).groupBy("term").agg(F.sum("low").alias("low")))
+    error = merged.where("term is null").first()
+    error = error["low"] if error else 0
+    known = merged.where("term is not null")
+    if error == 0:  # no task left anything out
+        return known.select("term", F.col("low").alias("tf")).orderBy(F.desc("tf"), "term").limit(n)
+    least = known.orderBy(F.desc("low")).limit(n).agg(F.count("*").alias("terms"), F.min("low").alias("low")).first()
+    if least["terms"] < n or least["low"] <= error:
+        return _top_by_parts(df, words, n, ngram_range)
+    candidates = materialise(known.where(F.col("low") + error >= least["low"]).select("term"))
+    if candidates.count() > 2 * COUNTERS:
+        return _top_by_parts(df, words, n, ngram_range)
+    lengths = range(ngram_range[0], ngram_range[1] + 1)
+    grams = exploded(df, F.concat(*[X.ngrams(words, k) if k > 1 else F.col(words) for k in lengths]))
+    counted = grams.join(F.broadcast(candidates), "term").groupBy("term").agg(F.count("*").alias("tf"))  # 2 * COUNTERS rows
+    return counted.orderBy(F.desc("tf"), "term").limit(n)
+
+
+def _top_by_parts(df: DataFrame, words: str, n: int, ngram_range=K.NGRAM_RANGE) -> DataFrame:
+    """``top_ngrams`` without a summary.
+
+    Once ``n`` terms are known, a further term must reach the lowest of their frequencies, and a longer
+    n-gram is never more frequent than its head and tail. So each length counts only n-grams whose head and tail are frequent
     enough. The set of those is a written table, and the plan picks the semi-joins by its size.
     """
     shortest, longest = ngram_range
