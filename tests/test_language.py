@@ -1,5 +1,9 @@
 """The language model in tasks and by joins."""
 
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,3 +56,32 @@ def test_a_model_of_nothing(spark):
     model = language.fit(empty, "text", "lang", ["de", "en"])
     got = model.predict(spark.createDataFrame([(1, "some text")], "row long, t string"), "row", F.col("t")).first()
     assert got.lang == "de"
+
+
+def test_grams_are_counted_where_rows_lie(spark):
+    rows = [(t, lang) for t in ODD for lang in ("en", None)]
+    counted = language.profile(spark.createDataFrame(rows, "text string, lang string"), "text", "lang")
+    assert "Generate" not in counted._jdf.queryExecution().executedPlan().toString()
+    want = Counter()
+    for text, lang in rows:
+        low = "i\u0307i \u0131" if text == "İI ı" else (text or "").lower()
+        want.update((lang, low[k : k + 3]) for k in range(len(low) - 2))
+    assert {(r.lang, r.gram): r.n for r in counted.collect()} == want
+
+
+@pytest.mark.parametrize("piece", [1, 2, 5, 1 << 18])
+def test_pieces_of_texts(monkeypatch, piece):
+    monkeypatch.setattr(language, "_PIECE", piece)
+    texts = ["xyz", *ODD[:7], "aäa€a\U0001f600" * 4, "", "zz"]
+    found = Counter()
+    for first, rows, keys in language._text_grams(pa.array(texts)[1:]):
+        found.update(zip((first + rows).tolist(), language.gram_texts(keys).to_pylist(), strict=True))
+    want = Counter((k, t[at : at + 3]) for k, t in enumerate(texts[1:]) if t for at in range(len(t) - 2))
+    assert found == want
+
+
+def test_places_of_numbers():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000, np.uint64))
+    places = language._Places(keys[::2])
+    assert places.find(keys).tolist() == [k // 2 if k % 2 == 0 else len(keys[::2]) for k in range(len(keys))]
+    assert language._Places(keys[:0]).find(keys[:3]).tolist() == [0, 0, 0]

@@ -12,12 +12,13 @@ the row lies. A larger one is a table that counts of grams are joined to.
 """
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +29,12 @@ from threadloom.session import materialise, new_stage, open_uri
 GRAM = 3
 #: Grams that a task may hold: about 8 bytes each, and 8 for every class.
 IN_TASK = 1 << 20
-#: Characters that are looked up at once.
-_PIECE = 1 << 20
+#: Bytes of text, or characters of a longer text, that are looked up at once.
+_PIECE = 1 << 18
+#: Different grams that a task counts before it passes them on.
+_HELD = 1 << 20
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_NO_GRAM = np.uint64(2**64 - 1)
 
 
 def grams(df: DataFrame, text: Column, *keep: str) -> DataFrame:
@@ -42,37 +47,159 @@ def grams(df: DataFrame, text: Column, *keep: str) -> DataFrame:
     return df.select(*keep, found).where(F.col("gram").isNotNull())
 
 
-def profile(df: DataFrame, text: str, label: str) -> DataFrame:
-    """Gram counts per class; the map-side combine leaves few rows to shuffle."""
-    return grams(df, F.col(text), label).groupBy(label, "gram").agg(F.count("*").alias("n"))
-
-
 def gram_keys(codes: np.ndarray) -> np.ndarray:
     """One number per trigram of a row of code points, 21 bits a character."""
     c = codes.astype(np.uint64)
     return c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:]
 
 
+def _texts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Runs of rows: the first row, the lengths of the texts and their code points; null is empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    lengths = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    _, places, data = texts.buffers()
+    ends = np.frombuffer(places, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + _PIECE, "right")) - 1)
+        run = b"" if data is None else data.slice(ends[at], ends[to] - ends[at]).to_pybytes()
+        yield at, lengths[at:to], np.frombuffer(run.decode("utf-8").encode("utf-32-le"), "<u4")
+        at = to
+
+
+def _text_grams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The first row, rows per gram and numbers of the trigrams of runs of rows, piece by piece."""
+    for first, lengths, codes in _texts(texts):
+        rows, ends = np.repeat(np.arange(len(lengths)), lengths), np.cumsum(lengths)
+        whole = np.ones(len(codes), bool)  # a gram begins here and ends in the same text
+        for back in range(1, GRAM):
+            whole[np.maximum(ends - back, 0)[ends >= back]] = False
+        for at in range(0, len(codes) - GRAM + 1, _PIECE):
+            kept = whole[at : at + _PIECE][: len(codes) - GRAM + 1 - at]
+            yield first, rows[at : at + len(kept)][kept], gram_keys(codes[at : at + _PIECE + GRAM - 1])[kept]
+
+
+class _Counts:
+    """Counts of numbers, in sorted arrays that are merged when they hold too many."""
+
+    def __init__(self):
+        self.parts, self.held = [], 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
+        if counts is None:
+            keys, counts = np.unique(keys, return_counts=True)
+        self.parts.append((keys, counts))
+        self.held += len(keys)
+        if self.held > 2 * _HELD and len(self.parts) > 1:
+            self.merged()
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.parts) > 1:
+            keys, counts = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+            order = np.argsort(keys, kind="stable")
+            keys, counts = keys[order], counts[order]
+            new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            self.parts = [(keys[new], np.add.reduceat(counts, new))]
+        keys, counts = self.parts[0] if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        self.held = len(keys)
+        return keys, counts
+
+
+def gram_texts(keys: np.ndarray) -> pa.Array:
+    """The trigrams with the given numbers."""
+    codes = np.stack([keys >> np.uint64(42), keys >> np.uint64(21), keys], 1) & np.uint64((1 << 21) - 1)
+    text = codes.astype("<u4").tobytes().decode("utf-32-le")
+    return pa.array([text[k : k + GRAM] for k in range(0, len(text), GRAM)], pa.string())
+
+
+def profile(df: DataFrame, text: str, label: str) -> DataFrame:
+    """Gram counts per class, summed up where the rows lie; few rows are shuffled."""
+    kind = df.schema[label].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[object, _Counts] = {}
+
+        def rows(arrow: pa.DataType) -> Iterator[pa.RecordBatch]:
+            for name, held in counts.items():
+                keys, found = held.merged()
+                columns = [pa.array([name] * len(keys), arrow), gram_texts(keys), pa.array(found, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, [label, "gram", "n"])
+
+        arrow = None
+        for batch in batches:
+            arrow = batch.column(0).type
+            names = batch.column(0).dictionary_encode(null_encoding="encode")
+            codes, values = names.indices.to_numpy(zero_copy_only=False), names.dictionary.to_pylist()
+            for first, at, keys in _text_grams(batch.column(1)):
+                of = codes[first + at]
+                for code in np.unique(of).tolist():
+                    counts.setdefault(values[code], _Counts()).add(keys[of == code])
+            if sum(c.held for c in counts.values()) > _HELD:
+                for held in counts.values():
+                    held.merged()
+                if sum(c.held for c in counts.values()) > _HELD:
+                    yield from rows(arrow)
+                    counts.clear()
+        if arrow is not None:
+            yield from rows(arrow)
+
+    schema = T.StructType([T.StructField(label, kind), T.StructField("gram", T.StringType()), T.StructField("n", T.LongType())])
+    counted = df.select(label, F.lower(text).alias("_text")).mapInArrow(run, schema)
+    return counted.groupBy(label, "gram").agg(F.sum("n").alias("n"))
+
+
+class _Places:
+    """A hash table from numbers to their places in an array; a number that is not there has the place after the last."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(4, (2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
+        self.held, self.place = np.full(1 << bits, _NO_GRAM), np.full(1 << bits, len(keys), np.int32)
+        left, slot = np.arange(len(keys), dtype=np.int32), self._slot(keys)
+        while len(left):
+            free = self.held[slot] == _NO_GRAM
+            self.held[slot[free]] = keys[left[free]]  # of several one stays
+            own = self.held[slot] == keys[left]
+            self.place[slot[own]] = left[own]
+            left, slot = left[~own], (slot[~own] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _ODD) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        held, out = self.held[slot], self.place[slot]
+        left = np.flatnonzero((held != keys) & (held != _NO_GRAM))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.mask
+            held = self.held[slot[left]]
+            out[left] = self.place[slot[left]]
+            left = left[(held != keys[left]) & (held != _NO_GRAM)]
+        return out
+
+
 @lru_cache(maxsize=2)
-def _arrays(path: str, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted grams of a packed model and their weights; a row of zeros stands for all others."""
+def _arrays(path: str, classes: int) -> tuple[_Places, np.ndarray]:
+    """The places of the grams of a packed model and their weights class by class; a last zero stands for all others."""
     system, name = open_uri(path)
     with system.open_input_stream(name, compression=None) as file:
         data = file.read()
     n = len(data) // (8 * (1 + classes))
-    weights = np.frombuffer(data, "<f8", offset=8 * n).reshape(n, classes)
-    return np.frombuffer(data, "<u8", n), np.vstack([weights, np.zeros((1, classes))])
-
-
-def summed_weights(text: str, keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The sum of the weights of all trigrams of a text, piece by piece."""
-    codes = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
-    total = np.zeros(weights.shape[1])
-    for at in range(0, len(codes) - GRAM + 1, _PIECE):
-        grams = gram_keys(codes[at : at + _PIECE + GRAM - 1])
-        place = np.searchsorted(keys, grams)
-        known = keys[np.minimum(place, len(keys) - 1)] == grams if len(keys) else np.zeros(len(grams), bool)
-        total += weights[np.where(known, place, len(keys))].sum(0)
+    weights = np.zeros((classes, n + 1))
+    weights[:, :n] = np.frombuffer(data, "<f8", offset=8 * n).reshape(n, classes).T
+    return _Places(np.frombuffer(data, "<u8", n).astype(np.uint64)), weights
+
+
+def summed_weights(texts: pa.Array, places: _Places, weights: np.ndarray) -> np.ndarray:
+    """The sums of the weights of all trigrams of each text."""
+    total = np.zeros((len(texts), len(weights)))
+    for first, rows, keys in _text_grams(texts):
+        if not len(keys):
+            continue
+        new = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        place = places.find(keys)
+        for k, own in enumerate(weights):
+            total[first + rows[new], k] += np.add.reduceat(own[place], new)
     return total
 
 
@@ -80,13 +207,12 @@ def _scorer(path: str, classes: int) -> Callable:
     """A column function: the number of grams of a text and its sums of weights; null for a null text."""
 
     def run(texts: pa.Array) -> pa.Array:
-        keys, weights = _arrays(path, classes)
-        grams, sums = [], []
-        for text in texts.to_pylist():
-            n = None if text is None else len(text) - GRAM + 1
-            grams.append(n)
-            sums.append(None if n is None or n < 1 else summed_weights(text, keys, weights).tolist())
-        return pa.StructArray.from_arrays([pa.array(grams, pa.int64()), pa.array(sums, pa.list_(pa.float64()))], ["grams", "sums"])
+        grams = pc.subtract(pc.utf8_length(texts).cast(pa.int64()), GRAM - 1)
+        none = pc.fill_null(pc.less(grams, 1), True)
+        sums = summed_weights(texts, *_arrays(path, classes))
+        ends = pa.array(np.arange(len(texts) + 1) * classes, pa.int32())
+        lists = pa.ListArray.from_arrays(ends, pa.array(sums.ravel()), mask=none)
+        return pa.StructArray.from_arrays([grams, lists], ["grams", "sums"])
 
     kind = T.StructType([T.StructField("grams", T.LongType()), T.StructField("sums", T.ArrayType(T.DoubleType()))])
     return F.arrow_udf(run, kind)
