@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.catalog import views as V
+from threadloom.functions.arrays import Places
 from threadloom.operators import admit, language
 
 LANGUAGES = ["de", "en", "es", "fr"]
@@ -82,6 +83,6 @@ def test_pieces_of_texts(monkeypatch, piece):
 
 def test_places_of_numbers():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000, np.uint64))
-    places = language._Places(keys[::2])
+    places = Places(keys[::2])
     assert places.find(keys).tolist() == [k // 2 if k % 2 == 0 else len(keys[::2]) for k in range(len(keys))]
-    assert language._Places(keys[:0]).find(keys[:3]).tolist() == [0, 0, 0]
+    assert Places(keys[:0]).find(keys[:3]).tolist() == [0, 0, 0]

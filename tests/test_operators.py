@@ -10,6 +10,7 @@ from threadloom import constants as K
 from threadloom import schemas
 from threadloom.functions import predicates as P
 from threadloom.functions import prompts
+from threadloom.functions import text as X
 from threadloom.operators import (
     admit,
     clean,
@@ -552,6 +553,25 @@ def test_top_ngrams_by_summaries_of_any_size(spark, sf, monkeypatch, counters, p
     assert bool(called) != proven
 
 
+def test_top_ngrams_of_frequent_words_are_numbers(spark, sf, monkeypatch):
+    """Longer n-grams are counted without a row each, in parts of any size; also those in the vocabulary of a row."""
+    documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    rows = router.prepare(documents, "text", stem=False).repartition(3)
+    odd = spark.createDataFrame([([],), (None,), (["a", "b"] * 700 + ["c"],), (["a"],)], "term_words array<string>")
+    odd = odd.withColumn("terms", X.ngram_terms("term_words"))
+    monkeypatch.setattr(features, "_summaries", None)
+    for df in (rows.select("term_words"), odd.select("term_words")):
+        whole = df.withColumn("terms", X.ngram_terms("term_words"))
+        for lengths in ((1, 3), (2, 3), (2, 2), (1, 1)):
+            parts = [F.col("term_words") if k == 1 else X.ngrams("term_words", k) for k in range(lengths[0], lengths[1] + 1)]
+            want = whole.select(F.explode(F.concat(*parts)).alias("term")).groupBy("term").agg(F.count("*").alias("tf"))
+            want = want.orderBy(F.desc("tf"), "term").limit(60)
+            assert rows_of(features.top_ngrams(df, "term_words", 60, lengths), "tf", "term") == rows_of(want, "tf", "term")
+        vocab = [r["term"] for r in features.top_ngrams(df, "term_words", 60).collect()]
+        held = dict(whole.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").count().collect())
+        assert features._holders(df, "term_words", vocab).tolist() == [held[t] for t in vocab]
+
+
 def test_summaries_bound_counts():
     rng = random.Random(7)
     for size in (1, 3, 20):

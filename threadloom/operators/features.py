@@ -7,19 +7,24 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom import constants as K
 from threadloom.functions import porter
 from threadloom.functions import text as X
+from threadloom.functions.arrays import HELD, Counts, Places
 from threadloom.session import materialise
 
 #: Terms in a summary of frequent ones; tasks hold, and broadcasts are, at most twice as many.
 COUNTERS = 1 << 17
+#: Rows of a batch that are looked at together.
+_ROWS = 1 << 10
 
 
 def word_column(text, spaced: bool = False, stop_words=K.STOP_WORDS) -> Column:
@@ -93,11 +98,119 @@ def _summaries(df: DataFrame, words: str, ngram_range: tuple[int, int], size: in
     return df.select(words).mapInArrow(run, "term string, low long")
 
 
+def _word_ids(lists: pa.Array, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every word of some lists: its row, its place in ``words`` (-1: not there) and the words from it to the end of its list."""
+    lengths = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = pc.fill_null(pc.index_in(lists.flatten(), words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.repeat(np.arange(len(lengths)), lengths)
+    return rows, ids, np.cumsum(lengths)[rows] - np.arange(len(ids))
+
+
+def _gram_keys(ids: np.ndarray, left: np.ndarray, base: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where n-grams of known words begin, and their numbers: the words' places as digits."""
+    known = left >= length
+    for k in range(length):
+        known[: len(ids) - k] &= ids[k:] >= 0
+    at = np.flatnonzero(known)
+    keys = np.zeros(len(at), np.uint64)
+    for k in range(length):
+        keys = keys * np.uint64(base) + ids[at + k].astype(np.uint64)
+    return at, keys
+
+
+def _gram_texts(keys: np.ndarray, words: pa.Array, base: int, length: int) -> pa.Array:
+    """The n-grams with the given numbers."""
+    parts = []
+    for _ in range(length):
+        parts.append(words.take(pa.array((keys % np.uint64(base)).astype(np.int64))))
+        keys = keys // np.uint64(base)
+    return pc.binary_join_element_wise(*parts[::-1], " ")
+
+
+def _known_grams(df: DataFrame, words: str, known: pa.Array, length: int, parts: np.ndarray | None) -> DataFrame:
+    """(term, tf) of the n-grams of known words, whose head and tail are among ``parts``."""
+    base = max(2, len(known))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, frequent = Counts(), None if parts is None else Places(parts)
+
+        def rows() -> pa.RecordBatch:
+            keys, found = counts.merged()
+            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(found, pa.int64())], ["key", "tf"])
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS):
+                _, ids, left = _word_ids(batch.column(0).slice(start, _ROWS), known)
+                if frequent is None:
+                    keys = _gram_keys(ids, left, base, length)[1]
+                else:
+                    at, shorter = _gram_keys(ids, left, base, length - 1)
+                    both = np.zeros(len(ids) + 1, bool)
+                    both[at] = frequent.find(shorter) < len(parts)
+                    ends = both[:-1] & both[1:] & (left >= length)
+                    begin = np.flatnonzero(ends)
+                    keys = np.zeros(len(begin), np.uint64)
+                    for k in range(length):
+                        keys = keys * np.uint64(base) + ids[begin + k].astype(np.uint64)
+                counts.add(keys)
+                if counts.held > HELD and len(counts.parts) == 1:  # merged, and still many
+                    yield rows()
+                    counts = Counts()
+        yield rows()
+
+    return df.select(words).mapInArrow(run, "key long, tf long").groupBy("key").agg(F.sum("tf").alias("tf"))
+
+
 def top_ngrams(df: DataFrame, words: str, n: int, ngram_range=K.NGRAM_RANGE) -> DataFrame:
-    """The ``n`` most frequent n-grams of a word array column; ties by name.
+    """The ``n`` most frequent n-grams of a word array column (words without spaces); ties by name.
 
-    The same rows as ``top_terms`` over all n-grams, without shuffling all of them: almost
-    every long n-gram of a corpus is unique. Each task keeps a summary of at most 2 * ``COUNTERS``
+    The same rows as ``top_terms`` over all n-grams, without shuffling all of them. Once ``n`` terms are known, a further
+    term must reach the lowest of their frequencies, and neither must a part of it be rarer. So words are counted first; the frequent ones,
+    at most ``COUNTERS``, get numbers, and tasks count longer n-grams of them as numbers, with a frequent head and tail.
+    Where more words are frequent, ``_top_by_summaries`` counts.
+    """
+    return _top_ngrams(materialise(df.select(words)), words, n, ngram_range)
+
+
+def _top_ngrams(rows: DataFrame, words: str, n: int, ngram_range=K.NGRAM_RANGE) -> DataFrame:
+    """``top_ngrams`` of a written table."""
+    shortest, longest = ngram_range
+    counts = materialise(exploded(rows, F.col(words)).groupBy("term").agg(F.count("*").alias("tf")))
+    tables = [counts] if shortest == 1 else []
+
+    def lowest() -> int:
+        if not tables:
+            return 1
+        best = reduce(DataFrame.unionByName, tables).orderBy(F.desc("tf")).limit(n)
+        least = best.agg(F.count("*").alias("terms"), F.min("tf").alias("tf")).first()
+        return least["tf"] if least["terms"] >= n else 1
+
+    frequent = counts.where(F.col("tf") >= lowest()).select("term")
+    found = frequent.limit(COUNTERS + 1).toArrow().column("term").to_pylist()  # at most COUNTERS + 1 rows
+    if len(found) > COUNTERS or max(2, len(found)) ** longest >= 1 << 63:
+        return _top_by_summaries(rows, words, n, ngram_range)
+    known = pa.array(sorted(found), pa.string())
+    base, parts = max(2, len(known)), None
+    for length in range(2, longest + 1):
+        grams = materialise(_known_grams(rows, words, known, length, parts).where(F.col("tf") >= lowest()))
+
+        def named(batches: Iterator[pa.RecordBatch], length: int = length) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                terms = _gram_texts(batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64), known, base, length)
+                yield pa.RecordBatch.from_arrays([terms, batch.column(1)], ["term", "tf"])
+
+        if length >= shortest:
+            tables.append(materialise(grams.mapInArrow(named, "term string, tf long")))
+        if length < longest:
+            few = grams.where(F.col("tf") >= lowest()).select("key").limit(2 * COUNTERS + 1).toArrow().column("key")
+            parts = few.to_numpy().astype(np.uint64) if len(few) <= 2 * COUNTERS else None
+    return reduce(DataFrame.unionByName, tables).orderBy(F.desc("tf"), "term").limit(n)
+
+
+def _top_by_summaries(df: DataFrame, words: str, n: int, ngram_range=K.NGRAM_RANGE) -> DataFrame:
+    """``top_ngrams`` for any number of frequent words.
+
+    Each task keeps a summary of at most 2 * ``COUNTERS``
     n-grams; the merged one bounds every count from both sides. The n-th largest lower bound is what a further
     term must reach, so where it is above the error only terms that may reach it are counted, exactly, in a second pass. Where the bound proves
     nothing, or too many terms are left, n-grams are counted length by length (``_top_by_parts``).
@@ -228,17 +341,73 @@ class Tfidf:
 
     terms: list[str]
     pipeline: PipelineModel
+    words: str
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.pipeline.transform(df)
 
     def weights(self, df: DataFrame, key: str) -> DataFrame:
         """(key, term, weight) of the non-zero features; stays in the scan stage."""
-        vector = F.unwrap_udt("features")
-        entry = F.explode(F.arrays_zip(vector["indices"].alias("i"), vector["values"].alias("w")))
-        rows = self.transform(df).select(key, entry.alias("e"))
-        names = df.sparkSession.createDataFrame(list(enumerate(self.terms)), "i int, term string")
-        return rows.select(key, "e.i", "e.w").join(F.broadcast(names), "i").select(key, "term", "w")
+        terms, vocabulary, idf = self.terms, _Vocabulary(self.terms), self.pipeline.stages[1].getScalingVec().toArray()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = pa.array(terms, pa.string())
+            for batch in batches:
+                for start in range(0, batch.num_rows, _ROWS):
+                    part = batch.slice(start, _ROWS)
+                    rows, held, counts = vocabulary.counts(part.column(1))
+                    weight = counts * idf[held]
+                    norm = np.sqrt(np.bincount(rows, weight**2, part.num_rows))
+                    columns = [part.column(0).take(pa.array(rows)), names.take(pa.array(held)), pa.array(weight / norm[rows])]
+                    yield pa.RecordBatch.from_arrays(columns, [key, "term", "w"])
+
+        schema = T.StructType([df.schema[key], T.StructField("term", T.StringType()), T.StructField("w", T.DoubleType())])
+        return df.select(key, self.words).mapInArrow(run, schema)
+
+
+class _Vocabulary:
+    """The terms of a vocabulary as numbers, length by length."""
+
+    def __init__(self, terms: list[str]):
+        split = [t.split(" ") for t in terms]
+        self.size, words = len(terms), sorted({w for parts in split for w in parts})
+        self.words, self.base, self.by_length = pa.array(words, pa.string()), max(2, len(words)), {}
+        place = {w: k for k, w in enumerate(words)}
+        for length in sorted({len(parts) for parts in split}):
+            own = [k for k, parts in enumerate(split) if len(parts) == length]
+            keys = np.zeros(len(own), np.uint64)
+            for at in range(length):
+                keys = keys * np.uint64(self.base) + np.array([place[split[k][at]] for k in own], np.uint64)
+            self.by_length[length] = (Places(keys), np.array([*own, -1]))
+
+    def counts(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, term and number of the terms in lists of words."""
+        rows, ids, left = _word_ids(lists, self.words)
+        found = []
+        for length, (places, terms) in self.by_length.items():
+            at, keys = _gram_keys(ids, left, self.base, length)
+            term = terms[places.find(keys)]
+            found.append((rows[at] * self.size + term)[term >= 0])
+        entries, counts = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_counts=True)
+        return entries // max(1, self.size), entries % max(1, self.size), counts
+
+
+def _holders(df: DataFrame, words: str, terms: list[str]) -> np.ndarray:
+    """The number of rows that hold each term of a vocabulary."""
+    vocabulary = _Vocabulary(terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(terms), np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS):
+                total += np.bincount(vocabulary.counts(batch.column(0).slice(start, _ROWS))[1], minlength=len(terms))
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["i", "n"])
+
+    out = np.zeros(len(terms), np.int64)
+    for row in df.select(words).mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
+        out[row["i"]] = row["n"]
+    return out
 
 
 def fit_tfidf(df: DataFrame, words: str, terms: str, size: int = K.MAX_VOCABULARY) -> Tfidf:
@@ -248,14 +417,11 @@ def fit_tfidf(df: DataFrame, words: str, terms: str, size: int = K.MAX_VOCABULAR
     The driver holds the vocabulary and one weight per entry, both capped by ``size``.
     Document frequencies are counted per term, for the terms of the vocabulary only.
     """
-    vocab = [r["term"] for r in top_ngrams(df, words, size).collect()]
-    known = df.sparkSession.createDataFrame([(t,) for t in vocab], "term string")
-    rows = df.count()
-    holders = exploded(df, F.array_distinct(terms)).join(F.broadcast(known), "term")  # ``size`` rows
-    found = dict(holders.groupBy("term").count().collect())
+    written = materialise(df.select(words))
+    vocab = [r["term"] for r in _top_ngrams(written, words, size).collect()]
+    rows, holding = written.count(), _holders(written, words, vocab)
     counter = CountVectorizerModel.from_vocabulary(vocab, inputCol=terms, outputCol="tf")
-    holding = np.array([found[t] for t in vocab])
     idf = np.log((1.0 + rows) / (1.0 + holding)) + 1.0
     scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="tf", outputCol="tfidf")
     unit = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
-    return Tfidf(vocab, PipelineModel([counter, scale, unit]))
+    return Tfidf(vocab, PipelineModel([counter, scale, unit]), words)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadloom.functions import text as X
+from threadloom.functions.arrays import HELD, Counts, Places
 from threadloom.session import materialise, new_stage, open_uri
 
 GRAM = 3
@@ -31,11 +32,6 @@ GRAM = 3
 IN_TASK = 1 << 20
 #: Bytes of text, or characters of a longer text, that are looked up at once.
 _PIECE = 1 << 18
-#: Different grams that a task counts before it passes them on.
-_HELD = 1 << 20
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_NO_GRAM = np.uint64(2**64 - 1)
-
 
 def grams(df: DataFrame, text: Column, *keep: str) -> DataFrame:
     """One row per trigram occurrence of the lower-cased text.
@@ -79,32 +75,6 @@ def _text_grams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
             yield first, rows[at : at + len(kept)][kept], gram_keys(codes[at : at + _PIECE + GRAM - 1])[kept]
 
 
-class _Counts:
-    """Counts of numbers, in sorted arrays that are merged when they hold too many."""
-
-    def __init__(self):
-        self.parts, self.held = [], 0
-
-    def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
-        if counts is None:
-            keys, counts = np.unique(keys, return_counts=True)
-        self.parts.append((keys, counts))
-        self.held += len(keys)
-        if self.held > 2 * _HELD and len(self.parts) > 1:
-            self.merged()
-
-    def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.parts) > 1:
-            keys, counts = (np.concatenate(c) for c in zip(*self.parts, strict=True))
-            order = np.argsort(keys, kind="stable")
-            keys, counts = keys[order], counts[order]
-            new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            self.parts = [(keys[new], np.add.reduceat(counts, new))]
-        keys, counts = self.parts[0] if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        self.held = len(keys)
-        return keys, counts
-
-
 def gram_texts(keys: np.ndarray) -> pa.Array:
     """The trigrams with the given numbers."""
     codes = np.stack([keys >> np.uint64(42), keys >> np.uint64(21), keys], 1) & np.uint64((1 << 21) - 1)
@@ -117,7 +87,7 @@ def profile(df: DataFrame, text: str, label: str) -> DataFrame:
     kind = df.schema[label].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[object, _Counts] = {}
+        counts: dict[object, Counts] = {}
 
         def rows(arrow: pa.DataType) -> Iterator[pa.RecordBatch]:
             for name, held in counts.items():
@@ -133,11 +103,11 @@ def profile(df: DataFrame, text: str, label: str) -> DataFrame:
             for first, at, keys in _text_grams(batch.column(1)):
                 of = codes[first + at]
                 for code in np.unique(of).tolist():
-                    counts.setdefault(values[code], _Counts()).add(keys[of == code])
-            if sum(c.held for c in counts.values()) > _HELD:
+                    counts.setdefault(values[code], Counts()).add(keys[of == code])
+            if sum(c.held for c in counts.values()) > 2 * HELD:
                 for held in counts.values():
                     held.merged()
-                if sum(c.held for c in counts.values()) > _HELD:
+                if sum(c.held for c in counts.values()) > HELD:
                     yield from rows(arrow)
                     counts.clear()
         if arrow is not None:
@@ -148,38 +118,8 @@ def profile(df: DataFrame, text: str, label: str) -> DataFrame:
     return counted.groupBy(label, "gram").agg(F.sum("n").alias("n"))
 
 
-class _Places:
-    """A hash table from numbers to their places in an array; a number that is not there has the place after the last."""
-
-    def __init__(self, keys: np.ndarray):
-        bits = max(4, (2 * len(keys)).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
-        self.held, self.place = np.full(1 << bits, _NO_GRAM), np.full(1 << bits, len(keys), np.int32)
-        left, slot = np.arange(len(keys), dtype=np.int32), self._slot(keys)
-        while len(left):
-            free = self.held[slot] == _NO_GRAM
-            self.held[slot[free]] = keys[left[free]]  # of several one stays
-            own = self.held[slot] == keys[left]
-            self.place[slot[own]] = left[own]
-            left, slot = left[~own], (slot[~own] + 1) & self.mask
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * _ODD) >> self.shift).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        slot = self._slot(keys)
-        held, out = self.held[slot], self.place[slot]
-        left = np.flatnonzero((held != keys) & (held != _NO_GRAM))
-        while len(left):
-            slot[left] = (slot[left] + 1) & self.mask
-            held = self.held[slot[left]]
-            out[left] = self.place[slot[left]]
-            left = left[(held != keys[left]) & (held != _NO_GRAM)]
-        return out
-
-
 @lru_cache(maxsize=2)
-def _arrays(path: str, classes: int) -> tuple[_Places, np.ndarray]:
+def _arrays(path: str, classes: int) -> tuple[Places, np.ndarray]:
     """The places of the grams of a packed model and their weights class by class; a last zero stands for all others."""
     system, name = open_uri(path)
     with system.open_input_stream(name, compression=None) as file:
@@ -187,10 +127,10 @@ def _arrays(path: str, classes: int) -> tuple[_Places, np.ndarray]:
     n = len(data) // (8 * (1 + classes))
     weights = np.zeros((classes, n + 1))
     weights[:, :n] = np.frombuffer(data, "<f8", offset=8 * n).reshape(n, classes).T
-    return _Places(np.frombuffer(data, "<u8", n).astype(np.uint64)), weights
+    return Places(np.frombuffer(data, "<u8", n).astype(np.uint64)), weights
 
 
-def summed_weights(texts: pa.Array, places: _Places, weights: np.ndarray) -> np.ndarray:
+def summed_weights(texts: pa.Array, places: Places, weights: np.ndarray) -> np.ndarray:
     """The sums of the weights of all trigrams of each text."""
     total = np.zeros((len(texts), len(weights)))
     for first, rows, keys in _text_grams(texts):
