@@ -112,3 +112,92 @@ def test_a_repeated_batch_overwrites_itself(spark):
 def test_rocksdb_is_asked_for(spark):
     streams.keep_state_in_rocksdb(spark)
     assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+class Handle:
+    """A state store of one key that counts the calls to it."""
+
+    def __init__(self):
+        self.calls, self.value, self.timers, self.turns = 0, None, set(), {}
+
+    def called(self):
+        self.calls += 1
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getMapState(self, name, *schema):
+        return Turns(self)
+
+    def exists(self):
+        self.called()
+        return self.value is not None
+
+    def get(self):
+        self.called()
+        return self.value
+
+    def update(self, value):
+        self.called()
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.called()
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.called()
+        self.timers.remove(at)
+
+
+class Turns:
+    def __init__(self, handle):
+        self.handle = handle
+
+    def iterator(self):
+        self.handle.called()
+        return iter(self.handle.turns.items())
+
+    def updateValue(self, key, value):
+        self.handle.called()
+        self.handle.turns[key] = value
+
+    def clear(self):
+        self.handle.turns.clear()
+
+
+class Watermark:
+    def __init__(self, at):
+        self.at = at
+
+    def getCurrentWatermarkInMs(self):
+        return self.at
+
+
+def test_a_key_costs_few_state_calls_and_its_timer_moves_on():
+    frame = pd.DataFrame({"at": pd.to_datetime([3000, 5000], unit="ms"), "p": [7, 9]})
+    row, handle = late.LatestRow(100, "p"), Handle()
+    row.init(handle)
+    assert [r["p"].tolist() for r in row.handleInputRows((1,), iter([frame]), None)] == [[9]]
+    assert handle.calls <= 3 and handle.timers == {5100}
+    handle.calls, later = 0, frame.assign(p=[8, 9], at=pd.to_datetime([6000, 4000], unit="ms"))
+    assert not list(row.handleInputRows((1,), iter([later]), None)) and handle.calls <= 2
+    handle.timers.clear()
+    list(row.handleExpiredTimer((1,), Watermark(5100), None))
+    assert handle.timers == {6100} and handle.value is not None
+    list(row.handleExpiredTimer((1,), Watermark(6100), None))
+    assert handle.value is None
+
+
+def test_a_history_costs_few_state_calls():
+    frame = pd.DataFrame({"turn": [1, 2], "at": pd.to_datetime([3000, 5000], unit="ms"), "role": ["user", "user"], "line": ["a", "b"]})
+    history, handle = late.LateHistory(100, 4), Handle()
+    history.init(handle)
+    out = pd.concat(history.handleInputRows((1,), iter([frame]), Watermark(0)))
+    assert out["history"].tolist() == ["", "a"] and out["revision"].tolist() == [1, 1]
+    assert handle.calls <= 6 and handle.timers == {5100}
+    list(history.handleExpiredTimer((1,), Watermark(5100), None))
+    assert handle.value is None and not handle.turns

@@ -27,29 +27,36 @@ def millis(at: pd.Series) -> pd.Series:
 
 
 class _Idle(StatefulProcessor):
-    """A key is forgotten when the watermark passes its newest row by ``idle`` milliseconds."""
+    """A key is forgotten when the watermark passes its newest row by ``idle`` milliseconds.
+
+    The newest row's time and what else is known of a key are one value; the timer stays where the first row
+    set it, and moves on when it expires. So a key costs few calls to the state store.
+    """
 
     idle: int
+    known = "at long"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.newest = handle.getValueState("newest", "at long")
+        self.newest = handle.getValueState("newest", self.known)
 
-    def active(self, at: int) -> None:
-        """Move the timer to the newest row's time."""
-        known = self.newest.get()[0] if self.newest.exists() else None
-        if known is not None and known >= at:
-            return
-        if known is not None:
-            self.handle.deleteTimer(known + self.idle)
-        self.newest.update((at,))
-        self.handle.registerTimer(at + self.idle)
+    def active(self, held: tuple | None, at: int, *more: int) -> None:
+        """Keep the newest row's time, and ``more``."""
+        value = (at if held is None else max(held[0], at), *more)
+        if held is None or tuple(held) != value:
+            self.newest.update(value)
+        if held is None:
+            self.handle.registerTimer(value[0] + self.idle)
 
     def forget(self) -> None:
         self.newest.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.forget()
+        held = self.newest.get()
+        if held is not None and held[0] + self.idle > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(held[0] + self.idle)
+        else:
+            self.forget()
         return iter(())
 
     def close(self) -> None:
@@ -76,13 +83,14 @@ class LateHistory(_Idle):
     them. Turns must rise with event time. A turn that comes again replaces the first.
     """
 
+    known = "at long, revision long"
+
     def __init__(self, idle: int, limit: int = 2 * K.MAX_TURNS):
         self.idle, self.limit = idle, limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.messages = handle.getMapState("messages", "turn long", "at long, role string, line string")
-        self.revision = handle.getValueState("revision", "n long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         held = {turn: tuple(value) for (turn,), value in self.messages.iterator()}
@@ -95,8 +103,8 @@ class LateHistory(_Idle):
         if not changed:
             return
         ordered = sorted(held)
-        n = (self.revision.get()[0] if self.revision.exists() else 0) + 1
-        self.revision.update((n,))
+        known = self.newest.get()
+        n = 1 if known is None else known[1] + 1
         found = list(histories([(t, *held[t][1:]) for t in ordered], changed, self.limit))
         passed = [t for t in ordered if held[t][0] <= timerValues.getCurrentWatermarkInMs()]
         gone = set(passed[: max(0, len(passed) - self.limit)])
@@ -104,13 +112,12 @@ class LateHistory(_Idle):
             self.messages.updateValue((turn,), held[turn])
         for turn in gone & set(before):
             self.messages.removeKey((turn,))
-        self.active(max(held[t][0] for t in changed))
+        self.active(known, max(held[t][0] for t in changed), n)
         yield pd.DataFrame([(key[0], t, n, h) for t, h in found], columns=["conv_id", "turn", "revision", "history"])
 
     def forget(self) -> None:
         super().forget()
         self.messages.clear()
-        self.revision.clear()
 
 
 def late_history_stream(messages: DataFrame, at: str, delay: str, idle_seconds: int) -> DataFrame:
@@ -130,33 +137,26 @@ def late_history_stream(messages: DataFrame, at: str, delay: str, idle_seconds:
 class LatestRow(_Idle):
     """Passes a row on if its position is above all of its key before."""
 
+    known = "at long, position long"
+
     def __init__(self, idle: int, position: str):
         self.idle, self.position = idle, position
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.highest = handle.getValueState("highest", "position long")
-
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best, top = None, self.highest.get()[0] if self.highest.exists() else None
-        newest = None
+        held = self.newest.get()
+        best, newest, top = None, None, None if held is None else held[1]
         for frame in rows:
-            seen = int(millis(frame["at"]).max())
+            seen = int(frame["at"].to_numpy().max().astype("datetime64[ms]").astype("int64"))
             newest = seen if newest is None else max(newest, seen)
-            row = frame.loc[[frame[self.position].idxmax()]]
-            position = int(row[self.position].iloc[0])
-            if top is None or position > top:
-                best, top = row, position
+            positions = frame[self.position].to_numpy()
+            k = int(positions.argmax())
+            if top is None or positions[k] > top:
+                best, top = frame.iloc[k : k + 1], int(positions[k])
         if newest is not None:
-            self.active(newest)
+            self.active(held, newest, top)
         if best is not None:
-            self.highest.update((top,))
             yield best.drop(columns="at")
 
-    def forget(self) -> None:
-        super().forget()
-        self.highest.clear()
-
 
 def latest_rows_stream(rows: DataFrame, key: str, position: str, at: str, delay: str, idle_seconds: int) -> DataFrame:
     """The rows of a stream that are the last of their key so far, by an integer position.
