@@ -572,6 +572,13 @@ def test_top_ngrams_of_frequent_words_are_numbers(spark, sf, monkeypatch):
         assert features._holders(df, "term_words", vocab).tolist() == [held[t] for t in vocab]
 
 
+def test_known_terms_are_those_of_the_vocabulary(spark):
+    lists = [(1, ["a", "b", "a", "b", "c"]), (2, []), (3, None), (4, ["x"]), (5, ["b", "a", "b"])]
+    df = spark.createDataFrame(lists, "id int, words array<string>")
+    got = df.select("id", features.known_terms("words", ["b", "a b", "c", "q r s", "a b a"]).alias("t")).collect()
+    assert {r["id"]: sorted(r["t"]) for r in got} == {1: ["a b", "a b", "a b a", "b", "b", "c"], 2: [], 3: [], 4: [], 5: ["a b", "b", "b"]}
+
+
 def test_summaries_bound_counts():
     rng = random.Random(7)
     for size in (1, 3, 20):

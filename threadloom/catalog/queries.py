@@ -694,13 +694,13 @@ def _router(spark, sf):
 @query
 def train_router(spark, sf):
     """The confusion table of the held-out part."""
-    scored = router.score(_router(spark, sf), _router_rows(spark, sf).where("part = 'test'"))
+    scored = router.score(_router(spark, sf), _router_rows(spark, sf).where("part = 'test'"), "term_words")
     return router.confusion(scored, "label", "category")
 
 
 @query
 def score_router(spark, sf):
-    scored = router.score(_router(spark, sf), _router_rows(spark, sf).where("part = 'test'"))
+    scored = router.score(_router(spark, sf), _router_rows(spark, sf).where("part = 'test'"), "term_words")
     return scored.select("row_id", "category", "label", F.round("confidence", 6).alias("confidence"))
 
 
@@ -710,6 +710,7 @@ def _features(spark, sf, part):
     labels = steps[-1].getLabels()
     code = F.array_position(F.array(*map(F.lit, labels)), F.col("category")) - 1
     rows = _router_rows(spark, sf).where(F.col("part") == part).withColumn("code", code)
+    rows = features.with_known_terms(rows, "term_words", PipelineModel(steps[:3]))
     return PipelineModel(steps[:3]).transform(rows).select("row_id", "category", "code", "features"), labels
 
 

@@ -344,7 +344,7 @@ class Tfidf:
     words: str
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.pipeline.transform(df)
+        return self.pipeline.transform(with_known_terms(df, self.words, self.pipeline))
 
     def weights(self, df: DataFrame, key: str) -> DataFrame:
         """(key, term, weight) of the non-zero features; stays in the scan stage."""
@@ -380,18 +380,47 @@ class _Vocabulary:
                 keys = keys * np.uint64(self.base) + np.array([place[split[k][at]] for k in own], np.uint64)
             self.by_length[length] = (Places(keys), np.array([*own, -1]))
 
-    def counts(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, term and number of the terms in lists of words."""
+    def found(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Row and term of all terms in lists of words."""
         rows, ids, left = _word_ids(lists, self.words)
-        found = []
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for length, (places, terms) in self.by_length.items():
             at, keys = _gram_keys(ids, left, self.base, length)
             term = terms[places.find(keys)]
-            found.append((rows[at] * self.size + term)[term >= 0])
-        entries, counts = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_counts=True)
+            found.append((rows[at][term >= 0], term[term >= 0]))
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+    def counts(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, term and number of the terms in lists of words."""
+        rows, terms = self.found(lists)
+        entries, counts = np.unique(rows * self.size + terms, return_counts=True)
         return entries // max(1, self.size), entries % max(1, self.size), counts
 
 
+def known_terms(words: str, terms: list[str]) -> Column:
+    """The n-grams of a word array column that are in a vocabulary, each as often as it occurs; null becomes empty."""
+    vocabulary = _Vocabulary(terms)
+
+    def run(lists: pa.Array) -> pa.Array:
+        names, sizes, parts = pa.array(terms, pa.string()), [], []
+        for start in range(0, len(lists), _ROWS):
+            part = lists.slice(start, _ROWS)
+            rows, found = vocabulary.found(part)
+            sizes.append(np.bincount(rows, minlength=len(part)))
+            parts.append(found[np.argsort(rows, kind="stable")])
+        found = np.concatenate([*parts, np.zeros(0, np.int64)])
+        ends = np.concatenate([[0], np.cumsum(np.concatenate([*sizes, np.zeros(0, np.int64)]))])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names.take(pa.array(found, pa.int64())))
+
+    return F.arrow_udf(run, T.ArrayType(T.StringType()))(F.col(words))
+
+
+def with_known_terms(df: DataFrame, words: str, pipeline: PipelineModel) -> DataFrame:
+    """``df`` with the terms that the first stage of a feature pipeline counts, from a word array column, and no others."""
+    counter = pipeline.stages[0]
+    return df.withColumn(counter.getInputCol(), known_terms(words, counter.vocabulary))
+
+
 def _holders(df: DataFrame, words: str, terms: list[str]) -> np.ndarray:
     """The number of rows that hold each term of a vocabulary."""
     vocabulary = _Vocabulary(terms)

@@ -68,11 +68,19 @@ def train(
     return Router(model, iterations, iterations < max_iter)
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add the predicted label and its confidence (the highest class probability)."""
+def score(model: PipelineModel, df: DataFrame, words: str | None = None) -> DataFrame:
+    """Add the predicted label and its confidence (the highest class probability).
+
+    Where the word array column of prepared rows is named, only terms of the vocabulary are made of it.
+    """
+    kept, rows = [F.col(f"`{c}`") for c in df.columns], df
+    if words is not None:
+        terms = model.stages[0].getInputCol()
+        rows = features.with_known_terms(df.withColumn("_terms", F.col(terms)), words, model)
+        kept = [F.col("_terms").alias(c) if c == terms else F.col(f"`{c}`") for c in df.columns]
     confidence = F.array_max(vector_to_array("probability"))
-    scored = model.transform(df).withColumn("confidence", confidence)
-    return scored.select(*df.columns, "label", "confidence")
+    scored = model.transform(rows).withColumn("confidence", confidence)
+    return scored.select(*kept, "label", "confidence")
 
 
 def accuracy(df: DataFrame, predicted: str, expected: str) -> DataFrame:
