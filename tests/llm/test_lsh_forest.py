@@ -105,10 +105,89 @@ def test_a_large_group_of_near_copies_does_not_end_the_search(spark):
 def test_query_equals_brute_force_at_the_smallest_scale(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
     want = brute([d.text for d in docs])
-    got = op6_ngram_jaccard(spark, sf).where("doc_id = class_id").collect()
+    got = op6_ngram_jaccard(spark, sf).where("doc_id = copy_id").collect()
     assert want and sum(r.n_links for r in got) == 2 * len(want)
 
 
+def groups_of(pairs):
+    """The smallest member of each connected member's group."""
+    label = {x: x for pair in pairs for x in pair}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            low = min(label[a], label[b])
+            changed |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    return label
+
+
+def test_near_copies_share_a_class(spark, sf):
+    rng = random.Random(12)
+    texts = [None, *family(rng, 20), *family(rng, 20), "alone here", *[f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(3)]]
+    texts += [*texts[1:4], " , ", " , ", None]
+    ids = {}
+    for i, t in enumerate(texts):
+        ids.setdefault(t, i)
+    label = groups_of([(ids[a], ids[b]) for a, b in brute(texts)])
+    want = [i if t is None else label.get(ids[t], ids[t]) for i, t in enumerate(texts)]
+    assert len(set(want)) < len(ids)
+    got = {r.doc_id: r.group_id for r in lf.join(helpers.docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    # without ids a group has none, with some it has the smallest
+    none = lf.join(helpers.docs(spark, texts[1:21], ids=[None] * 20)).collect()
+    assert all(r.group_id is None for r in none)
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    first = {}
+    for d in sorted(docs, key=lambda d: d.doc_id):
+        first.setdefault(d.text, d.doc_id)
+    label = groups_of([(first[a], first[b]) for a, b in brute([d.text for d in docs])])
+    rows = {r.doc_id: r for r in op6_ngram_jaccard(spark, sf).collect()}
+    assert label and len(rows) == len(docs)
+    for d in docs:
+        copy = d.doc_id if d.text is None else first[d.text]
+        assert (rows[d.doc_id].copy_id, rows[d.doc_id].class_id) == (copy, label.get(copy, copy))
+
+
+def test_members_of_a_large_bucket_are_not_dealt_out_many_times(spark):
+    base = [f"b{i}" for i in range(400)]
+    texts = [" ".join([*base[:i], f"e{i}", *base[i + 1 :]]) for i in range(400)]
+    _, classes = lf._classes(helpers.docs(spark, texts), "text", "doc_id", 5)
+    buckets = lf._buckets(classes, 4, "signature")
+    assert buckets.agg({"size": "max"}).first()[0] > 256
+    assert lf._in_groups(buckets).count() == buckets.count() <= lf.TREES * len(texts)
+
+
+def test_blocks_without_a_member_count_no_pair_twice(spark, monkeypatch):
+    monkeypatch.setattr(lf, "BLOCK", 1)
+    check(spark, family(random.Random(9), 14, edits=2))
+
+
+def test_blocks_are_cut_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(lf, "BLOCK_BYTES", 4000)
+    check(spark, family(random.Random(8), 40, edits=3))
+
+
+def test_overlaps_of_many_pairs_are_those_of_each_pair():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 3000, rng.integers(1, 900)).astype(np.uint64)) for _ in range(90)]
+    want = [len(set(sets[i].tolist()) & set(sets[j].tolist())) for i, j in itertools.combinations(range(90), 2)]
+    left, right = np.triu_indices(90, 1)
+    assert lf.overlaps(sets, left, right).tolist() == want
+    assert lf.overlaps(sets, left[5:50], right[5:50]).tolist() == want[5:50]
+
+
+def test_forest_of_a_group():
+    rng = random.Random(6)
+    for _ in range(50):
+        n = rng.randrange(2, 60)
+        pairs = [tuple(sorted(rng.sample(range(n), 2))) for _ in range(rng.randrange(1, n))]
+        label = groups_of(pairs)
+        got = lf.forest(n, *np.array(pairs).T)
+        assert got.tolist() == [label.get(i, i) for i in range(n)]
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(40)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(30)]

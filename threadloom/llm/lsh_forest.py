@@ -4,8 +4,8 @@
    texts are one class; everything below works on classes.
 2. A class has one label of ``DEPTH`` MinHash values in each of ``TREES`` trees. Labels with a
    common prefix of k values are a bucket of the tree's trie at depth k. Buckets are found by
-   grouping prefixes; large ones are cut into blocks, and pairs of blocks compared, so no task
-   ever holds a whole bucket.
+   grouping prefixes; those beyond ``BLOCK`` classes or ``BLOCK_BYTES`` of shingles are cut into
+   blocks, and pairs of blocks compared, so no task ever holds more than two blocks.
 3. The search starts with the longest prefixes and shortens them (halves, then the depth that
    the threshold needs). A pair of similarity s is found with probability
    1 - (1 - s**k) ** TREES. The search always goes down to the depth where a pair just at the
@@ -16,6 +16,7 @@
 5. What leaves a group is one row per member: its number of links and a parent in a spanning
    forest of them. So the links of a large group of near copies are all counted and their
    connections kept, but never written out one by one; ``pairs`` does that on request.
+6. Classes connected by links are a group; its id is the smallest id of its rows.
 
 Joins ask for a merge join, so the plan is the same at every size and AQE splits hot keys.
 
@@ -40,7 +41,9 @@ THRESHOLD = 0.8
 TREES = 16
 DEPTH = 8
 TARGET = 0.9995
-BLOCK = 128
+BLOCK = 1024
+BLOCK_BYTES = 16 << 20
+WITHIN = -1  #: the side of members that meet those of their own block
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = scramble(np.arange(1, 257, dtype=np.uint64) * _STEP)
@@ -125,22 +128,23 @@ def _prefixes(signatures: np.ndarray, depth: int) -> np.ndarray:
 
 
 def new_pairs(signatures: np.ndarray, side: np.ndarray, tree: int, depth: int, before: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a group of a tree to look at: of both sides where there are two, and met neither
-    in an earlier tree nor at the depth before."""
-    n = len(signatures)
-    left, right = np.triu_indices(n, 1)
-    if (side != side[0]).any():
-        across = side[left] != side[right]
-        left, right = left[across], right[across]
+    """Pairs of a group of a tree to look at: within a block or across two, and met neither in an
+    earlier tree nor at the depth before."""
+    if side[0] == WITHIN:
+        left, right = np.triu_indices(len(signatures), 1)
+    else:
+        low, high = np.flatnonzero(side == side.min()), np.flatnonzero(side != side.min())
+        left, right = np.repeat(low, len(high)), np.tile(high, len(low))
     own = _prefixes(signatures, depth)
-    meets = own[left, tree] == own[right, tree]
-    for t in range(tree):
-        meets &= own[left, t] != own[right, t]
+    apart = [own[:, t] for t in range(tree)]
     if before is not None:
-        longer = _prefixes(signatures, before)
-        for t in range(TREES):
-            meets &= longer[left, t] != longer[right, t]
-    return left[meets], right[meets]
+        apart += list(_prefixes(signatures, before).T)
+    meets = own[left, tree] == own[right, tree]
+    left, right = left[meets], right[meets]
+    for prefix in apart:
+        new = prefix[left] != prefix[right]
+        left, right = left[new], right[new]
+    return left, right
 
 
 def _signatures(size: int):
@@ -199,36 +203,61 @@ def _wanted(depth: int, before: int | None):
     return run
 
 
+def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many shingles the sets of each pair have in common.
+
+    Where a group has many pairs they are counted as a product of matrices, over the shingles
+    that two sets or more hold.
+    """
+    if len(left) >= 4 * len(sets):
+        sizes = np.array([len(s) for s in sets])
+        _, place, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = held > 1
+        low, high = np.unique(left), np.unique(right)
+        width = int(shared.sum())
+        if len(low) * len(high) * width < len(left) * (200_000 + 300 * sizes.mean()):
+            owner = np.repeat(np.arange(len(sets)), sizes)
+            inside = shared[place]
+            owner, column = owner[inside], (np.cumsum(shared) - 1)[place[inside]]
+            order = np.argsort(column, kind="stable")
+            owner, column = owner[order], column[order]
+            both = np.zeros((len(low), len(high)), np.float32)
+            for at in range(0, width, 1024):
+                part = slice(*np.searchsorted(column, [at, at + 1024]))
+                holds = np.zeros((len(sets), 1024), np.float32)
+                holds[owner[part], column[part] - at] = 1
+                both += holds[low] @ holds[high].T
+            return both[np.searchsorted(low, left), np.searchsorted(high, right)].astype(np.int64)
+    found = (len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(left, right, strict=True))
+    return np.fromiter(found, np.int64, len(left))
+
+
 def _similar(table: pa.Table, depth: int, before: int | None, threshold: float):
     """The digests of a group, and its new pairs at the threshold with their similarities."""
     tree, digests, signatures, side = _group_arrays(table)
     sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
-    out = []
+    sizes = np.array([len(s) for s in sets])
     left, right = new_pairs(signatures, side, tree, depth, before)
-    for i, j in zip(left.tolist(), right.tolist(), strict=True):
-        a, b = sets[i], sets[j]
-        if min(len(a), len(b)) < threshold * max(len(a), len(b)):
-            continue
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        similarity = both / (len(a) + len(b) - both)
-        if similarity >= threshold:
-            out.append((i, j, similarity))
-    return digests, out
-
+    near = np.minimum(sizes[left], sizes[right]) >= threshold * np.maximum(sizes[left], sizes[right])
+    left, right = left[near], right[near]
+    both = overlaps(sets, left, right)
+    similarity = both / (sizes[left] + sizes[right] - both)
+    linked = similarity >= threshold
+    return digests, left[linked], right[linked], similarity[linked]
 
-def forest(n: int, edges: list[tuple[int, int, float]]) -> list[int]:
-    """The smallest member each of ``n`` members is connected to."""
-    parent = list(range(n))
 
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
-    for i, j, _ in edges:
-        a, b = root(i), root(j)
-        parent[max(a, b)] = min(a, b)
-    return [root(i) for i in range(n)]
+def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The smallest member each of ``n`` members is connected to by the pairs."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[left], root[right])
+        new = root.copy()
+        for ends in (left, right, root[left], root[right]):
+            np.minimum.at(new, ends, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
 
 
 def _rows(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
@@ -249,17 +278,16 @@ def _counted(depth: int, before: int | None, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for table in groups(batches, "group"):
-            digests, pairs_ = _similar(table, depth, before, threshold)
+            digests, left, right, _ = _similar(table, depth, before, threshold)
+            if not len(left):
+                continue
             n = len(digests)
-            count = [0] * n
-            for i, j, _ in pairs_:
-                count[i] += 1
-                count[j] += 1
-            roots = forest(n, pairs_)
+            count = np.bincount(left, minlength=n) + np.bincount(right, minlength=n)
+            roots = forest(n, left, right).tolist()
             rows += [
-                (digests[i], count[i], None if roots[i] == i else digests[roots[i]])
-                for i in range(n)
-                if count[i]
+                (digests[i], c, None if roots[i] == i else digests[roots[i]])
+                for i, c in enumerate(count.tolist())
+                if c
             ]
             if len(rows) >= 10_000:
                 yield _rows(rows, _COUNTED)
@@ -279,9 +307,10 @@ def _paired(depth: int, before: int | None, threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, "group"):
-            digests, pairs_ = _similar(table, depth, before, threshold)
-            for at in range(0, len(pairs_), 10_000):
-                yield _rows([(*sorted((digests[i], digests[j])), x) for i, j, x in pairs_[at : at + 10_000]], _PAIRS)
+            digests, *found = _similar(table, depth, before, threshold)
+            for at in range(0, len(found[0]), 10_000):
+                part = zip(*(x[at : at + 10_000].tolist() for x in found), strict=True)
+                yield _rows([(*sorted((digests[i], digests[j])), x) for i, j, x in part], _PAIRS)
 
     return run
 
@@ -289,28 +318,32 @@ def _paired(depth: int, before: int | None, threshold: float):
 def _prefixed(classes: DataFrame, depth: int, *keep: str) -> DataFrame:
     """One row per class and tree, with its prefix."""
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    each = classes.select("digest", "signature", tree.alias("tree"))
+    each = classes.select("digest", "n", "signature", tree.alias("tree"))
     prefix = F.expr(f"substring(signature, tree * {2 * DEPTH} + 1, {2 * depth})")
     return each.select("tree", prefix.alias("prefix"), "digest", *keep)
 
 
 def _buckets(classes: DataFrame, depth: int, *keep: str) -> DataFrame:
-    """Members of buckets of two classes or more: ``tree``, ``prefix``, ``digest``, ``size``."""
-    sizes = _prefixed(classes, depth).groupBy("tree", "prefix").agg(F.count("*").alias("size"))
+    """Members of buckets of two classes or more: ``tree``, ``prefix``, ``digest``, ``size``,
+    ``bytes`` (of all its shingles)."""
+    each = _prefixed(classes, depth, "n").groupBy("tree", "prefix")
+    sizes = each.agg(F.count("*").alias("size"), (F.sum("n") * 8).alias("bytes"))
     several = materialise(sizes.where("size > 1"))
     return _prefixed(classes, depth, *keep).join(several.hint("merge"), ["tree", "prefix"])
 
 
 def _in_groups(members: DataFrame) -> DataFrame:
     """Members dealt to groups: a bucket, or a pair of blocks of a large one."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    enough = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES))
+    blocks = F.least("size", enough).cast("int")
     placed = members.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("digest"), blocks).cast("int")})
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = placed.select("*", other.alias("other"))
     group = F.concat_ws(
         "|", "tree", F.hex("prefix"), F.least("own", "other").cast("string"), F.greatest("own", "other").cast("string")
     )
-    return dealt.select(group.alias("group"), "tree", F.col("own").alias("side"), "digest", "signature")
+    side = F.when(F.expr("own = other"), WITHIN).otherwise(F.col("own"))
+    return dealt.select(group.alias("group"), "tree", side.alias("side"), "digest", "signature")
 
 
 def _sorted_by_group(df: DataFrame) -> DataFrame:
@@ -347,7 +380,7 @@ def _search(named: DataFrame, classes: DataFrame, threshold: float, target: floa
     every = classes.where(F.col("signature").isNotNull())
     # classes that share no prefix at the last depth are never compared: they go at once
     shared = _buckets(every, steps[-1]).select("digest").distinct()
-    several = materialise(every.join(shared.hint("merge"), "digest").select("digest", "signature", F.col("first.row").alias("row")))
+    several = materialise(every.join(shared.hint("merge"), "digest").select("digest", "n", "signature", F.col("first.row").alias("row")))
     texts = named.select("row", "text").join(several.select("row", "digest").hint("merge"), "row")
     sets = materialise(texts.select("text", "digest").mapInArrow(_sets(size), "digest binary, shingles binary"))
     found: list[DataFrame] = []
@@ -390,19 +423,28 @@ def join(
     target: float = TARGET,
     size: int = SHINGLE,
 ) -> DataFrame:
-    """One row per document: its key, ``class_id`` and ``n_links`` (other texts at the
-    threshold or above)."""
+    """One row per document: its key, ``class_id``, ``n_links`` (other texts at the threshold or
+    above) and ``group_id`` (the smallest id of the texts it is connected to by links)."""
     named, classes = _classes(docs, text, key, size)
     found = _search(named, classes, threshold, target, size, _counted, _COUNTED_DDL)
     linked = found.groupBy("digest").agg(F.sum("n_links").alias("n_links"))
+    near = classes.select("digest", "first").join(_labels(found).hint("merge"), "digest")
+    heads = near.groupBy("label").agg(F.min("first").alias("head"))
+    grouped = near.join(heads.hint("merge"), "label").select("digest", F.lit(True).alias("near"), F.col("head.key").alias("group_id"))
     known = materialise(
-        classes.select("digest", "class_id").join(linked.hint("merge"), "digest", "left")
+        classes.select("digest", "class_id")
+        .join(linked.hint("merge"), "digest", "left")
+        .join(grouped.hint("merge"), "digest", "left")
     )
     rows = named.select("key", "digest").join(known.hint("merge"), "digest", "left")
     return rows.select(
         F.col("key").alias(key),
         F.when(F.col("digest").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(F.col("digest").isNull(), F.col("key"))
+        .when(F.col("near"), F.col("group_id"))
+        .otherwise(F.col("class_id"))
+        .alias("group_id"),
     )
 
 
@@ -429,6 +471,12 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
+def _labels(found: DataFrame) -> DataFrame:
+    """``digest`` and ``label`` (of its group) of the classes that have links."""
+    edges = found.where("parent is not null").select(F.col("digest").alias("a"), F.col("parent").alias("b"))
+    return components(edges).withColumnRenamed("node", "digest")
+
+
 def one_per_group(
     docs: DataFrame,
     text: str = "text",
@@ -443,9 +491,7 @@ def one_per_group(
     """
     named, classes = _classes(docs, text, key, size)
     found = _search(named, classes, threshold, target, size, _counted, _COUNTED_DDL)
-    edges = found.where("parent is not null").select(F.col("digest").alias("a"), F.col("parent").alias("b"))
-    labels = components(edges).withColumnRenamed("node", "digest")
-    grouped = classes.join(labels.hint("merge"), "digest", "left")
+    grouped = classes.join(_labels(found).hint("merge"), "digest", "left")
     group = F.coalesce("label", "digest")
     stay = materialise(grouped.groupBy(group.alias("group")).agg(F.min("first").alias("first")).select("first.row"))
     whole = named.select("doc", "row", F.col("text").isNull().alias("none"))

@@ -28,22 +28,27 @@ from d left join f on f.payload_digest = d.payload_digest
 """
 
 OP6 = f"""
-with w as (
-    select text, min(doc_id) as class_id, {_words('text')} as words from documents where text is not null group by text
+with recursive w as (
+    select text, min(doc_id) as copy_id, {_words('text')} as words from documents where text is not null group by text
 ), sh as (
-    select distinct class_id, list_slice(words, i, least(i + {SHINGLE} - 1, len(words))) as s
-    from (select class_id, words, unnest(range(1, greatest(len(words) - {SHINGLE} + 1, 1) + 1)) as i from w where len(words) > 0)
+    select distinct copy_id, list_slice(words, i, least(i + {SHINGLE} - 1, len(words))) as s
+    from (select copy_id, words, unnest(range(1, greatest(len(words) - {SHINGLE} + 1, 1) + 1)) as i from w where len(words) > 0)
 ), n as (
-    select class_id, count(*) as n from sh group by 1
+    select copy_id, count(*) as n from sh group by 1
 ), pairs as (
-    select a.class_id as a, b.class_id as b, count(*) as c from sh a join sh b on a.s = b.s and a.class_id <> b.class_id group by 1, 2
+    select a.copy_id as a, b.copy_id as b, count(*) as c from sh a join sh b on a.s = b.s and a.copy_id <> b.copy_id group by 1, 2
+), linked as (
+    select a, b from pairs join n x on x.copy_id = a join n y on y.copy_id = b where c::double / (x.n + y.n - c) >= {THRESHOLD}
 ), links as (
-    select a, count(*) as n_links
-    from pairs join n x on x.class_id = a join n y on y.class_id = b
-    where c::double / (x.n + y.n - c) >= {THRESHOLD} group by 1
+    select a, count(*) as n_links from linked group by 1
+), near as (
+    select a, b from linked union select near.a, linked.b from near join linked on linked.a = near.b
+), classes as (
+    select a, min(b) as class_id from near group by 1
 )
-select d.doc_id, coalesce(w.class_id, d.doc_id) as class_id, coalesce(n_links, 0)::BIGINT as n_links
-from documents d left join w on w.text = d.text left join links on links.a = w.class_id
+select d.doc_id, coalesce(classes.class_id, w.copy_id, d.doc_id) as class_id, coalesce(n_links, 0)::BIGINT as n_links,
+       coalesce(w.copy_id, d.doc_id) as copy_id
+from documents d left join w on w.text = d.text left join links on links.a = w.copy_id left join classes on classes.a = w.copy_id
 """
 
 
