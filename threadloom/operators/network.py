@@ -486,7 +486,8 @@ def _stretch(
     The result is the same for any number of members."""
     told, folder = new_stage(spark), state.rsplit("/", 1)[0]
 
-    def run(me: int, _: Iterator) -> Iterator[tuple[str, list[tuple[int, float]]]]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (me,) = (k for part in parts for k in part.column(0).to_pylist())
         network, adam = _read_state(state, first, settings.rate)
         sums, (system, name) = [], open_uri(f"{told}/{_attempt(members)}")
         system.create_dir(name, recursive=True)
@@ -508,12 +509,12 @@ def _stretch(
         if me == 0:
             path = f"{folder}/{uuid.uuid4().hex}"
             _save_state(path, network, adam)
-            yield path, sums
+            yield pa.RecordBatch.from_arrays([pa.array([path] * len(sums)), *(pa.array(c) for c in zip(*sums, strict=True))], ["path", "rows", "loss"])
 
-    tasks = spark.sparkContext.parallelize(range(members), members)
-    found = (tasks.barrier() if members > 1 else tasks).mapPartitionsWithIndex(run).collect()
+    # an operator of Spark SQL, so that it runs in the Python workers that are there
+    found = spark.range(0, members, 1, members).mapInArrow(run, "path string, rows long, loss double", barrier=members > 1).collect()
     _delete_folder(told)
-    return found[0]
+    return found[0]["path"], [(r["rows"], r["loss"]) for r in found]
 
 
 def _attempt(members: int) -> str:
